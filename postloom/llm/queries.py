@@ -4,12 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postloom.llm.entities import entity_pairs, link_senders
 from postloom.llm.lookalike import lookalike_pairs, normalise_texts
 from postloom.llm.mixing import mix_sources
+from postloom.llm.own_text import foreign_lines, own_texts
 from postloom.llm.tokenizer import count_tokens, encode_texts
 from postloom.runtime import table
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return foreign_lines(table(spark, folder, "emails")).select("pos", "line_no")
+
+
+def p2_own_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Each mail reduced to its sender's words."""
+    return own_texts(table(spark, folder, "emails"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return entity_pairs(table(spark, folder, "senders"))
+
+
+def p5_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """The entity of each sender row."""
+    return link_senders(table(spark, folder, "senders"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_texts(table(spark, folder, "documents"))
 
@@ -38,5 +58,5 @@ def p10_forms(spark: SparkSession, folder: str) -> DataFrame:
     return normalise_texts(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p8_counts, p9_mix, p9_report, p10_found, p10_forms)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_own_text, p5_found, p5_entities, p8_ids, p8_counts, p9_mix, p9_report, p10_found, p10_forms)}
 SQL: dict[str, str] = {}
