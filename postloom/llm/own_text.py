@@ -51,7 +51,7 @@ _CLOSING = re.compile(r"(?i)^\s*(?:best|best (?:wishes|regards)|regards|kind reg
 _CONTACT = re.compile(r"(?i)(?:[\w.+-]+(?:@| at |\(at\)| \[at\] )[\w.-]+|^\s*(?:tel|phone|voice|fax|mail|e-?mail|pager|office|mobile)\b[.:]?|(?:\+|\b)\d[\d ().-]{5,}\d(?:\s*x\d+)?|\bp\.?\s?o\.? box\b)")
 _TITLE_LINE = re.compile(r"^[A-Z][\w.-]*(?: [\w.-]+){0,3}, (?:the )?[A-Z][\w'-]+(?: [\w'-]+){0,3}$")
 _PROSE_WORDS = 5
-_SCRIPT_END = ("exit 0", "done", "fi", "end", "}")
+_SCRIPT_END = ("exit 0", "done", "fi")
 _CODE = re.compile(r"^(?: {4}|\t)\s*\S")
 
 

@@ -8,10 +8,20 @@ from postloom.llm.entities import entity_pairs, link_senders
 from postloom.llm.lookalike import lookalike_pairs, normalise_texts
 from postloom.llm.mixing import mix_sources
 from postloom.llm.own_text import foreign_lines, own_texts
+from postloom.llm.personal import find_items, replace_items
 from postloom.llm.tokenizer import count_tokens, encode_texts
 from postloom.runtime import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return find_items(table(spark, folder, "emails"))
+
+
+def p1_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Each body with its personal items replaced by placeholders."""
+    return replace_items(table(spark, folder, "emails"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return foreign_lines(table(spark, folder, "emails")).select("pos", "line_no")
 
@@ -58,5 +68,5 @@ def p10_forms(spark: SparkSession, folder: str) -> DataFrame:
     return normalise_texts(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_own_text, p5_found, p5_entities, p8_ids, p8_counts, p9_mix, p9_report, p10_found, p10_forms)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_own_text, p5_found, p5_entities, p8_ids, p8_counts, p9_mix, p9_report, p10_found, p10_forms)}
 SQL: dict[str, str] = {}
