@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.operators.failed_rows import rejected_rows, valid_rows
 from postloom.operators.hierarchy import message_descendants, message_hierarchy, message_paths
 from postloom.operators.keyed_totals import heavy_keys, keyed_totals
-from postloom.operators.timestamps import normalise_dates
+from postloom.operators.timestamps import CASCADE, MONTHS, normalise_dates
 from postloom.runtime import table
 
 HEAVY_SHARE = 0.02
@@ -97,7 +99,27 @@ judged AS (
   FROM cells)
 """
 
+_QUOTED = [(p.replace("'", "''"), re.sub(r"\$(\d)", r"\\\1", put)) for _, p, put in CASCADE]
+_DATES = f"""
+WITH months(word, m) AS (VALUES {', '.join(f"('{w}', {m})" for m, ws in MONTHS.items() for w in ws.split())}),
+t AS (SELECT pos, trim(regexp_replace(coalesce(date_raw, ''), '\\s+', ' ', 'g')) AS t, lower(regexp_extract(coalesce(from_email, ''), '@([^@]+)$', 1)) AS host FROM emails),
+c AS (SELECT *, string_split(CASE {' '.join(f"WHEN regexp_matches(t, '{p}') THEN regexp_replace(t, '{p}', '{put}')" for p, put in _QUOTED)} END, '|') AS p FROM t),
+n AS (SELECT pos, t, host, coalesce(TRY_CAST(p[2] AS INTEGER), m.m) AS mo, CASE WHEN length(p[1]) = 2 THEN 1900 ELSE 0 END + CAST(p[1] AS INTEGER) AS y, CAST(p[3] AS INTEGER) AS d,
+    TRY_CAST(p[4] AS INTEGER) AS h0, TRY_CAST(p[5] AS INTEGER) AS mi, coalesce(TRY_CAST(p[6] AS INTEGER), 0) AS s, coalesce(TRY_CAST(rpad(substr(p[7], 1, 3), 3, '0') AS INTEGER), 0) AS ms, upper(p[8]) AS half, upper(p[9]) AS zone
+  FROM c LEFT JOIN months m ON m.word = lower(p[2])),
+w AS (SELECT *, CASE WHEN half = '' THEN h0 WHEN h0 BETWEEN 1 AND 12 THEN h0 % 12 + CASE WHEN half = 'PM' THEN 12 ELSE 0 END END AS h FROM n),
+v AS (SELECT *, TRY_CAST(printf('%04d-%02d-%02d %02d:%02d:%02d', y, mo, d, h, mi, s) AS TIMESTAMP) AS wall FROM w WHERE h < 24 AND mi < 60 AND s < 60),
+u AS (SELECT v.*, z.offset_min, s.tz_name AS tz, regexp_matches(zone, '^[-+]') AS numeric, TRY_CAST(substr(regexp_replace(zone, '[^0-9]', '', 'g'), 1, 2) AS INTEGER) AS oh, TRY_CAST(substr(regexp_replace(zone, '[^0-9]', '', 'g'), 3, 2) AS INTEGER) AS om
+  FROM v LEFT JOIN zone_names z ON z.abbr = zone LEFT JOIN sites s ON s.site_host = host WHERE wall IS NOT NULL),
+i AS (SELECT *, timezone(tz, wall) AS inst FROM u)
+SELECT pos, CAST(CASE WHEN length(t) > 11 THEN CAST(t AS BIGINT) ELSE CAST(t AS BIGINT) * 1000 END AS BIGINT) AS utc_ms FROM t WHERE regexp_matches(t, '^(\\d{{9,10}}|\\d{{12,13}})$')
+UNION ALL
+SELECT pos, CAST(CASE WHEN numeric THEN epoch_ms(wall) - CASE WHEN zone LIKE '-%' THEN -1 ELSE 1 END * (oh * 60 + om) * 60000 WHEN zone <> '' THEN epoch_ms(wall) - offset_min * 60000 ELSE epoch_ms(inst) END + ms AS BIGINT) AS utc_ms FROM i
+WHERE CASE WHEN numeric THEN oh <= 14 AND om < 60 WHEN zone <> '' THEN offset_min IS NOT NULL
+  ELSE tz IS NOT NULL AND timezone(tz, inst) = wall AND timezone(tz, inst + INTERVAL 1 HOUR) <> wall AND timezone(tz, inst - INTERVAL 1 HOUR) <> wall END"""
+
 SQL = {
+    "p3_found": _DATES,
     "p4_found": _REVIEW
     + """SELECT row_id, CASE WHEN NOT quoted THEN 'quoting' WHEN NOT seven THEN 'column_count' ELSE 'bad_value' END AS reason
 FROM parts WHERE NOT quoted OR NOT seven OR row_id IN (SELECT row_id FROM judged WHERE NOT sound)""",

@@ -1,4 +1,570 @@
-"""Queries of the mail-archive operators."""
+"""Queries of the mail-archive operators over the whole mail table, with SQL where SQL can say it."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from postloom.functions.text import normalize_subject, preferred
+from postloom.operators import cleaning, matching, parsing, people, replies, spam, threads
+from postloom.plans.pipeline import archive_threads, classified_mails, linked_mails
+from postloom.runtime import cut, shared_folder, table
+from postloom.sources import archive
+
+# Rule tables for the archive at hand: the general ones of the spam operator and some of its own.
+SUBJECT_RULES = (*spam.SUBJECT_RULES, (r"^announce .*\d+$", "numbered_announcement"), (r"^is .* (hostile|cheap)\?$", "leading_question"))
+BODY_RULES = (*spam.BODY_RULES, (r"sent from my .*(handheld|terminal|pager)", "device_tag"), (r"accepts no liability", "liability"), (r"give me one", "give_me_one"), (r"it costs \d+ units", "unit_price"), (r"next week", "next_week"))
 
 QUERIES: dict = {}
-SQL: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def _mails(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "emails")
+
+
+def _people(spark: SparkSession, folder: str) -> DataFrame:
+    known = table(spark, folder, "known_entities")
+    return known.select(F.row_number().over(_by_key()).alias("ord"), F.col("from_key").alias("person"), F.substring_index("email", "@", 1).alias("pattern"))
+
+
+def _by_key():
+    from pyspark.sql import Window
+
+    return Window.orderBy("from_key")  # a fixed table of a few rows
+
+
+def _linked(spark: SparkSession, folder: str) -> DataFrame:
+    return classified_mails(_mails(spark, folder))
+
+
+def _threads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return archive_threads(_linked(spark, folder))
+
+
+# --- SQL shared by several queries
+
+_STRIPPED = r"regexp_replace(coalesce(subject, ''), '^\s+|\s+$', '', 'g')"
+_NORMAL = rf"lower(regexp_replace(regexp_replace({_STRIPPED}, '(?i)^(?:(?:re|fwd|fw):\s*|\[[\w\s-]+\]\s*)+', ''), '^\s+|\s+$', '', 'g'))"
+_REPLY = rf"regexp_matches({_STRIPPED}, '^(?:Re|RE|Fw|FW|Fwd|FWD):')"
+_D2 = f"""
+WITH RECURSIVE ids AS (SELECT DISTINCT message_id FROM emails WHERE message_id <> ''),
+par AS (SELECT message_id, arg_max(in_reply_to, pos) AS parent_id FROM emails WHERE message_id <> '' AND in_reply_to <> '' AND in_reply_to IN (FROM ids) GROUP BY 1),
+d1 AS (SELECT e.* EXCLUDE (parent_id, is_thread_root, normalized_subject, orphan_status, orphan_type), p.parent_id, p.parent_id IS NULL AS is_thread_root FROM emails e LEFT JOIN par p USING (message_id)),
+d2 AS (SELECT *, {_NORMAL} AS normalized_subject, {_REPLY} AS is_reply,
+  CASE WHEN parent_id IS NOT NULL THEN 'has_parent' WHEN {_REPLY} THEN 'orphan_reply' ELSE 'true_root' END AS orphan_status,
+  CASE WHEN parent_id IS NULL AND {_REPLY} THEN CASE WHEN in_reply_to IS NOT NULL THEN 'in_reply_to_unmatched' ELSE 'no_in_reply_to' END END AS orphan_type FROM d1)"""
+_AUTHOR = "coalesce(nullif(from_email, ''), from_raw, '')"
+_E = (
+    _D2
+    + f""",
+last AS (SELECT message_id, max(pos) AS pos FROM emails WHERE message_id <> '' GROUP BY 1),
+own AS (SELECT d2.* FROM d2 WHERE coalesce(message_id, '') = '' OR pos IN (SELECT pos FROM last)),
+up AS (SELECT o.pos AS node, l.pos AS parent FROM own o LEFT JOIN last l ON o.parent_id = l.message_id),
+walk AS (SELECT node, node AS root, CAST(0 AS BIGINT) AS depth FROM up WHERE parent IS NULL UNION ALL SELECT u.node, w.root, w.depth + 1 FROM walk w JOIN up u ON u.parent = w.node),
+inside AS (SELECT o.*, w.root, w.depth, {_AUTHOR} AS author, nullif(substr(date_parsed, 1, 19), '') AS local FROM own o JOIN walk w ON o.pos = w.node),
+sums AS (SELECT root, count(*) AS message_count, count(DISTINCT nullif(author, '')) AS participant_count, min(local) AS date_start, max(local) AS date_end, max(depth) AS depth, coalesce(bool_or(has_pgp), false) AS has_pgp FROM inside GROUP BY 1),
+threads AS (SELECT s.root AS root_pos, 'thread_' || i.id AS thread_id, i.subject, i.normalized_subject, s.message_count, s.participant_count, s.date_start, s.date_end, TRY_CAST(substr(s.date_start, 1, 4) AS INTEGER) AS year_start, s.depth, i.author AS root_author, s.has_pgp
+  FROM sums s JOIN inside i ON i.root = s.root AND i.depth = 0)"""
+)
+_SECONDS = "CAST(epoch(TRY_CAST(replace(substr(date_parsed, 1, 19), 'T', ' ') AS TIMESTAMP)) AS BIGINT)"
+
+
+@query(_E + " SELECT * FROM threads")
+def thread_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Flagship: threads over header links with size, people, dates, depth."""
+    return _threads(spark, folder)[1]
+
+
+# --- header links
+
+
+@query(
+    _D2
+    + """, kids AS (SELECT parent_id, count(*) AS n FROM d2 WHERE parent_id IS NOT NULL GROUP BY 1)
+SELECT count(*) AS total_emails, count(DISTINCT nullif(message_id, '')) AS emails_with_message_id, count(*) FILTER (in_reply_to <> '') AS emails_with_in_reply_to,
+  count(*) FILTER (in_reply_to <> '' AND in_reply_to IN (FROM ids)) AS in_reply_to_matched, count(*) FILTER (in_reply_to <> '' AND in_reply_to NOT IN (FROM ids)) AS in_reply_to_unmatched,
+  count(*) FILTER (parent_id IS NULL) AS root_messages, count(*) FILTER (parent_id IS NOT NULL) AS child_messages,
+  (SELECT count(*) FROM kids) AS emails_as_parents, (SELECT coalesce(max(n), 0) FROM kids) AS max_children FROM d2"""
+)
+def parent_resolution_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.link_stats(_mails(spark, folder))
+
+
+@query(_D2 + " SELECT pos, message_id, parent_id, is_thread_root FROM d2")
+def reply_links(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.link_replies(_mails(spark, folder)).select("pos", "message_id", "parent_id", "is_thread_root")
+
+
+@query(_D2 + " SELECT parent_id AS message_id, string_agg(message_id, ' ' ORDER BY pos) AS children FROM d2 WHERE parent_id IS NOT NULL GROUP BY 1")
+def reply_children(spark: SparkSession, folder: str) -> DataFrame:
+    lists = replies.children_lists(replies.link_replies(_mails(spark, folder)))
+    return lists.select("message_id", F.array_join("children_ids", " ").alias("children"))
+
+
+@query(_D2 + ", k AS (SELECT parent_id, count(*) AS n_children FROM d2 WHERE parent_id IS NOT NULL GROUP BY 1) SELECT n_children, count(*) AS n_parents FROM k GROUP BY 1")
+def fanout_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.fanout_histogram(_mails(spark, folder))
+
+
+@query(_D2 + ", k AS (SELECT parent_id, count(*) AS n_children, min(pos) AS f FROM d2 WHERE parent_id IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 3 LIMIT 1) SELECT k.parent_id AS message_id, n_children, (SELECT arg_max(subject, pos) FROM emails e WHERE e.message_id = k.parent_id) AS subject FROM k")
+def max_fanout(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.widest_parent(_mails(spark, folder))
+
+
+# --- subjects and orphans
+
+
+@query(f"SELECT pos, {_NORMAL} AS normalized FROM emails")
+def normalized_subject(spark: SparkSession, folder: str) -> DataFrame:
+    return _mails(spark, folder).select("pos", normalize_subject(F.col("subject")).alias("normalized"))
+
+
+@query(_D2 + " SELECT pos, normalized_subject, orphan_status, orphan_type FROM d2")
+def orphan_status(spark: SparkSession, folder: str) -> DataFrame:
+    return _linked(spark, folder).select("pos", "normalized_subject", "orphan_status", "orphan_type")
+
+
+@query(
+    _D2
+    + """ SELECT count(*) AS total_emails, count(*) FILTER (orphan_status = 'has_parent') AS emails_with_parent, count(*) FILTER (orphan_status <> 'has_parent') AS emails_without_parent,
+  count(*) FILTER (orphan_status = 'has_parent' AND is_reply) AS reply_subjects_with_parent, count(*) FILTER (orphan_status = 'orphan_reply') AS reply_subjects_without_parent, count(*) FILTER (orphan_status = 'true_root') AS non_reply_without_parent,
+  count(*) FILTER (orphan_type = 'in_reply_to_unmatched') AS in_reply_to_unmatched, count(*) FILTER (orphan_type = 'no_in_reply_to') AS no_in_reply_to FROM d2"""
+)
+def orphan_type_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.orphan_counts(_linked(spark, folder))
+
+
+@query(_D2 + " SELECT pos, id, subject, normalized_subject, coalesce(nullif(from_email, ''), from_raw, '') AS sender, coalesce(nullif(date_parsed, ''), date_raw, '') AS date, file_year, in_reply_to, orphan_type FROM d2 WHERE orphan_status = 'orphan_reply'")
+def orphan_review(spark: SparkSession, folder: str) -> DataFrame:
+    """The narrow rows of orphans that people review."""
+    orphans = _linked(spark, folder).filter("orphan_status = 'orphan_reply'")
+    return orphans.select("pos", "id", "subject", "normalized_subject", preferred("from_email", "from_raw").alias("sender"), preferred("date_parsed", "date_raw").alias("date"), "file_year", "in_reply_to", "orphan_type")
+
+
+@query(_D2 + " SELECT normalized_subject, count(*) AS n FROM d2 WHERE normalized_subject <> '' GROUP BY 1 HAVING count(*) >= 2")
+def subject_groups_having(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.subject_groups(_linked(spark, folder))
+
+
+@query(_D2 + ", g AS (SELECT count(*) AS n FROM d2 WHERE normalized_subject <> '' GROUP BY normalized_subject) SELECT count(*) AS unique_normalized_subjects, count(*) FILTER (n > 1) AS subjects_with_multiple_emails, coalesce(max(n), 0) AS largest_subject_group FROM g")
+def subject_group_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.subject_group_stats(_linked(spark, folder))
+
+
+_ORPHAN = "SELECT DISTINCT normalized_subject FROM d2 WHERE orphan_status = 'orphan_reply' AND normalized_subject <> ''"
+_ANCHOR = "SELECT DISTINCT normalized_subject FROM d2 WHERE orphan_status <> 'orphan_reply' AND normalized_subject <> ''"
+
+
+@query(f"{_D2} ({_ORPHAN}) INTERSECT ({_ANCHOR})")
+def matchable_subjects(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.matchable_subjects(_linked(spark, folder))
+
+
+@query(f"{_D2} ({_ORPHAN}) EXCEPT ({_ANCHOR})")
+def unmatchable_subjects(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.unmatchable_subjects(_linked(spark, folder))
+
+
+@query(f"{_D2} SELECT pos, normalized_subject FROM d2 WHERE orphan_status = 'orphan_reply' AND normalized_subject IN ({_ANCHOR})")
+def matchable_orphans(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.matchable_orphans(_linked(spark, folder)).select("pos", "normalized_subject")
+
+
+@query(f"{_D2} SELECT pos, normalized_subject FROM d2 WHERE orphan_status = 'orphan_reply' AND normalized_subject NOT IN ({_ANCHOR})")
+def unmatchable_orphans(spark: SparkSession, folder: str) -> DataFrame:
+    return replies.unmatchable_orphans(_linked(spark, folder)).select("pos", "normalized_subject")
+
+
+# --- matches
+
+_STATES = (
+    _D2
+    + f""", st AS (SELECT pos, id, message_id, normalized_subject AS s, orphan_status, {_SECONDS} AS ts, coalesce(nullif(date_parsed, ''), nullif(date_raw, ''), '') AS key,
+  CASE WHEN orphan_status = 'true_root' THEN 10 ELSE 0 END + CASE WHEN message_id <> '' AND message_id IN (SELECT parent_id FROM d2 WHERE parent_id IS NOT NULL) THEN 5 ELSE 0 END + CASE WHEN parent_id IS NOT NULL THEN 3 ELSE 0 END AS base
+  FROM d2 WHERE normalized_subject <> ''),
+sc AS (SELECT o.pos, c.message_id AS parent_id, c.key, c.pos AS cpos, o.ts - c.ts AS gap,
+  c.base + CASE WHEN o.ts - c.ts < 86400 THEN 5 WHEN o.ts - c.ts < 604800 THEN 3 WHEN o.ts - c.ts < 2592000 THEN 1 ELSE 0 END AS score
+  FROM st o JOIN st c ON o.s = c.s AND o.id <> c.id AND (o.ts IS NULL OR c.ts IS NULL OR c.ts < o.ts) WHERE o.orphan_status = 'orphan_reply'),
+best AS (SELECT pos, parent_id, score, gap, row_number() OVER (PARTITION BY pos ORDER BY score DESC, key, cpos) AS r FROM sc),
+hits AS (SELECT pos, parent_id, CAST(score AS INTEGER) AS match_score, gap AS gap_seconds FROM best WHERE r = 1 AND parent_id <> '')"""
+)
+
+
+@query(_STATES + " SELECT * FROM hits")
+def orphan_match_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.match_by_subject(_linked(spark, folder))
+
+
+@query(_STATES + " SELECT CASE WHEN gap_seconds < 86400 THEN 'same_day' WHEN gap_seconds < 604800 THEN 'within_week' WHEN gap_seconds < 2592000 THEN 'within_month' ELSE 'over_month' END AS gap, count(*) AS n FROM hits WHERE gap_seconds IS NOT NULL GROUP BY 1")
+def match_gap_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.gap_histogram(matching.match_by_subject(_linked(spark, folder)))
+
+
+@query()
+def orphan_match_loop_free(spark: SparkSession, folder: str) -> DataFrame:
+    """The matches that close no loop with the header links or one another."""
+    state = cut(_linked(spark, folder))
+    return matching.drop_loops(state, cut(matching.match_by_subject(state)))
+
+
+_QUOTES = r"""
+WITH l AS (SELECT pos, regexp_replace(unnest(string_split(body, chr(10))), '^\s+|\s+$', '', 'g') AS line, unnest(range(len(string_split(body, chr(10))))) AS i FROM emails),
+q AS (SELECT pos, i, regexp_replace(line, '^>+\s*', '') AS quote FROM l WHERE line LIKE '>%'),
+quotes AS (SELECT pos, CAST(row_number() OVER (PARTITION BY pos ORDER BY i) - 1 AS INTEGER) AS ordinal, quote FROM q WHERE length(quote) > 20)"""
+
+
+@query(_QUOTES + " SELECT * FROM quotes")
+def quote_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.quoted_lines(_mails(spark, folder))
+
+
+_KEY = r"regexp_replace(regexp_replace(regexp_replace(lower({}), '\s+', ' ', 'g'), '[^\pL\pN\pM_\s]', '', 'g'), '^\s+|\s+$', '', 'g')"
+
+
+@query(
+    _D2
+    + ", "
+    + _QUOTES.strip().removeprefix("WITH ")
+    + f""", about AS (SELECT pos, id, message_id, normalized_subject AS s, {_SECONDS} AS ts, orphan_status FROM d2),
+probes AS (SELECT a.*, ordinal, {_KEY.format('quote')} AS key FROM quotes JOIN about a USING (pos) WHERE ordinal < 5 AND a.orphan_status = 'true_root' AND a.s <> ''),
+src AS (SELECT DISTINCT a.*, {_KEY.format('l.line')} AS key FROM l JOIN about a USING (pos) JOIN emails e USING (pos) WHERE length(e.body) >= 50 AND length(l.line) > 30),
+sc AS (SELECT p.pos, p.ordinal, c.pos AS cpos, c.message_id AS parent_id, 1 + CASE WHEN p.s = c.s THEN 10 WHEN contains(p.s, c.s) OR contains(c.s, p.s) THEN 5 ELSE 0 END
+    + CASE WHEN p.ts - c.ts < 86400 THEN 5 WHEN p.ts - c.ts < 604800 THEN 3 WHEN p.ts - c.ts < 2592000 THEN 1 ELSE 0 END AS score
+  FROM probes p JOIN src c ON p.key = c.key AND p.id <> c.id AND (p.ts IS NULL OR c.ts IS NULL OR c.ts < p.ts) WHERE length(p.key) >= 20 AND length(c.key) > 20),
+best AS (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY score DESC, ordinal, cpos) AS r FROM sc)
+SELECT pos, parent_id, CAST(score AS INTEGER) AS quote_match_score FROM best WHERE r = 1 AND parent_id <> ''"""
+)
+def quote_best_match(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.match_by_quotes(_linked(spark, folder))
+
+
+@query(
+    _D2
+    + f""", roots AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY ts, pos) AS rn FROM (SELECT pos, message_id, normalized_subject AS s, {_SECONDS} AS ts FROM d2 WHERE orphan_status = 'true_root' AND length(normalized_subject) > 3) WHERE ts IS NOT NULL),
+fold AS (SELECT s, rn, pos, ts, pos AS a_pos, message_id AS a_id, ts AS a_ts FROM roots WHERE rn = 1
+  UNION ALL SELECT r.s, r.rn, r.pos, r.ts, CASE WHEN r.ts - f.a_ts >= 345600 THEN r.pos ELSE f.a_pos END, CASE WHEN r.ts - f.a_ts >= 345600 THEN r.message_id ELSE f.a_id END, CASE WHEN r.ts - f.a_ts >= 345600 THEN r.ts ELSE f.a_ts END
+  FROM fold f JOIN roots r ON r.s = f.s AND r.rn = f.rn + 1)
+SELECT pos, a_id AS parent_id, CAST((ts - a_ts) // 86400 AS INTEGER) AS time_proximity_days FROM fold WHERE pos <> a_pos AND a_id <> ''"""
+)
+def anchored_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.match_by_time(_linked(spark, folder))
+
+
+@query()
+def linked_status_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """States after all kinds of matches were put in."""
+    return linked_mails(_mails(spark, folder)).groupBy("orphan_status").agg(F.count("*").alias("n"))
+
+
+@query()
+def archive_threads_full(spark: SparkSession, folder: str) -> DataFrame:
+    """Threads over header, subject, quote and time links."""
+    return archive_threads(linked_mails(_mails(spark, folder)))[1]
+
+
+# --- threads
+
+
+@query(_E + ", m AS (SELECT i.*, t.thread_id FROM inside i JOIN threads t ON t.root_pos = i.root) SELECT thread_id, CAST(row_number() OVER (PARTITION BY root ORDER BY coalesce(local, ''), depth, pos) AS INTEGER) AS ordinal, id FROM m")
+def thread_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.thread_messages(_threads(spark, folder)[0])
+
+
+@query(_E + " SELECT DISTINCT root AS root_pos, author AS participant FROM inside WHERE author <> ''")
+def thread_participants(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.thread_participants(_threads(spark, folder)[0])
+
+
+@query(
+    _E
+    + """ SELECT count(*) AS total_threads, count(*) FILTER (message_count = 1) AS single_message_threads, count(*) FILTER (message_count > 1) AS multi_message_threads, avg(message_count) AS avg_messages_per_thread, max(message_count) AS max_messages_in_thread,
+  avg(participant_count) AS avg_participants, max(participant_count) AS max_participants, avg(depth) AS avg_depth, max(depth) AS max_depth, count(*) FILTER (has_pgp) AS threads_with_pgp FROM threads"""
+)
+def thread_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.thread_stats(_threads(spark, folder)[1])
+
+
+@query(_E + " SELECT CASE WHEN message_count <= 1 THEN '1' WHEN message_count <= 2 THEN '2' WHEN message_count <= 5 THEN '3-5' WHEN message_count <= 10 THEN '6-10' WHEN message_count <= 25 THEN '11-25' WHEN message_count <= 50 THEN '26-50' ELSE '51+' END AS size, count(*) AS n FROM threads GROUP BY 1")
+def thread_size_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.size_histogram(_threads(spark, folder)[1])
+
+
+@query(_E + " SELECT count(*) FILTER (message_count = 1) AS single_message, count(*) FILTER (message_count BETWEEN 2 AND 5) AS small_2_5, count(*) FILTER (message_count BETWEEN 6 AND 25) AS medium_6_25, count(*) FILTER (message_count BETWEEN 26 AND 100) AS large_26_100, count(*) FILTER (message_count > 100) AS very_large_100plus FROM threads")
+def thread_size_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.size_summary(_threads(spark, folder)[1])
+
+
+@query(_E + " SELECT thread_id, subject, message_count, participant_count, root_author FROM threads ORDER BY message_count DESC, root_pos LIMIT 20")
+def top_threads(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.largest_threads(_threads(spark, folder)[1]).select("thread_id", "subject", "message_count", "participant_count", "root_author")
+
+
+@query(_E + " SELECT thread_id, date_start, row_number() OVER (ORDER BY coalesce(date_start, '0000') DESC, root_pos) AS rank FROM threads")
+def thread_rank(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.rank_by_recency(_threads(spark, folder)[1]).select("thread_id", "date_start", "rank")
+
+
+@query(_E + " SELECT year_start, thread_id FROM threads WHERE year_start IS NOT NULL")
+def index_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.index_by_year(_threads(spark, folder)[1])
+
+
+@query(_E + ", a AS (SELECT lower(root_author) AS author, thread_id FROM threads WHERE root_author <> '') SELECT author, thread_id FROM a WHERE author IN (SELECT author FROM a GROUP BY 1 HAVING count(*) >= 5)")
+def index_by_author_having(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.index_by_author(_threads(spark, folder)[1])
+
+
+@query(_E + " SELECT author, thread_count FROM (SELECT lower(root_author) AS author, count(*) AS thread_count, min(root_pos) AS f FROM threads WHERE root_author <> '' GROUP BY 1 ORDER BY 2 DESC, 3 LIMIT 50)")
+def top_authors(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.top_authors(_threads(spark, folder)[1])
+
+
+@query(_E + " SELECT year_start AS year, count(*) AS n FROM threads WHERE year_start IS NOT NULL GROUP BY 1")
+def threads_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.count_by_year(_threads(spark, folder)[1], "year_start")
+
+
+@query("SELECT file_year AS year, count(*) AS n FROM emails WHERE file_year <> 0 GROUP BY 1")
+def emails_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.count_by_year(_mails(spark, folder), "file_year")
+
+
+@query(_E + " SELECT normalized_subject, count(*) AS n_threads FROM threads WHERE length(normalized_subject) > 3 GROUP BY 1")
+def subject_index(spark: SparkSession, folder: str) -> DataFrame:
+    return threads.subject_index(_threads(spark, folder)[1])
+
+
+@query("SELECT DISTINCT file_year AS year FROM emails WHERE file_year IS NOT NULL")
+def year_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return archive.year_manifest(_mails(spark, folder))
+
+
+# --- people
+
+_PEOPLE = """, people AS (SELECT row_number() OVER (ORDER BY from_key) AS ord, from_key AS person, lower(trim(split_part(email, '@', 1))) AS pattern FROM known_entities),
+senders AS (SELECT DISTINCT from_email, lower(trim(from_email)) AS a FROM emails WHERE from_email IS NOT NULL),
+attributed AS (SELECT s.from_email, arg_min(person, CASE WHEN a = pattern THEN ord - 1000000 ELSE ord END) AS person FROM senders s JOIN people p ON contains(a, pattern) GROUP BY 1),
+posts AS (SELECT i.*, t.person FROM inside i LEFT JOIN attributed t USING (from_email))"""
+_SUBTREE = (
+    _PEOPLE
+    + """, anc AS (SELECT node AS of, node AS a FROM up JOIN walk USING (node) UNION ALL SELECT anc.of, u.parent FROM anc JOIN up u ON u.node = anc.a WHERE u.parent IS NOT NULL),
+mine AS (SELECT pos FROM posts WHERE person IS NOT NULL),
+keep AS (SELECT a AS pos FROM anc WHERE of IN (FROM mine) UNION SELECT of AS pos FROM anc WHERE a IN (FROM mine))"""
+)
+
+
+@query(_E + _PEOPLE + " SELECT person, count(*) AS n_posts, count(DISTINCT root) AS n_threads FROM posts WHERE person IS NOT NULL GROUP BY 1")
+def people_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return people.people_stats(_threads(spark, folder)[0], _people(spark, folder))
+
+
+@query(_E + _SUBTREE + " SELECT root, pos FROM inside WHERE pos IN (FROM keep)")
+def people_subtree(spark: SparkSession, folder: str) -> DataFrame:
+    return people.people_closure(_threads(spark, folder)[0], _people(spark, folder))
+
+
+@query(
+    _E
+    + _SUBTREE
+    + """ SELECT t.thread_id, t.subject, k.*EXCLUDE (root), t.message_count AS original_message_count, TRY_CAST(substr(k.date_start, 1, 4) AS INTEGER) AS year_start, t.depth, t.root_author
+FROM (SELECT root, count(*) AS message_count, count(DISTINCT nullif(author, '')) AS participant_count, min(nullif(date_parsed, '')) AS date_start, max(nullif(date_parsed, '')) AS date_end, coalesce(bool_or(has_pgp), false) AS has_pgp, count(person) AS notable_count FROM posts WHERE pos IN (FROM keep) GROUP BY 1) k JOIN threads t ON t.root_pos = k.root"""
+)
+def people_threads(spark: SparkSession, folder: str) -> DataFrame:
+    members, found = _threads(spark, folder)
+    return people.people_threads(members, _people(spark, folder), found)
+
+
+# --- spam
+
+
+def _rules_sql(rules, column: str, scope: str) -> str:
+    cases = ", ".join(f"CASE WHEN regexp_matches({column}, '{p.replace(chr(39), chr(39) * 2)}') THEN '{scope}:{n}' END" for p, n in rules)
+    return f"list_filter([{cases}], lambda x: x IS NOT NULL)"
+
+
+_SPAM = f"""
+WITH n AS (SELECT from_email, count(*) AS n FROM emails GROUP BY 1),
+t AS (SELECT e.*, n.n, lower(coalesce(subject, '')) AS s, lower(coalesce(body, '')) AS b, lower(coalesce(e.from_email, '')) AS f, coalesce(subject, '') AS p FROM emails e LEFT JOIN n ON e.from_email IS NOT DISTINCT FROM n.from_email),
+r AS (SELECT *, {_rules_sql(SUBJECT_RULES, 's', 'spam_subject')} AS rs, {_rules_sql(BODY_RULES, 'b', 'spam_body')} AS rb,
+  (contains(b, '<html') OR contains(b, '<body')) AND length(b) < 5000 AND {' + '.join(f"CAST(regexp_matches(b, '{x}') AS INTEGER)" for x in spam.HTML_SIGNALS)} >= 2 AS h,
+  NOT ({' OR '.join(f"suffix(f, '@{d}')" for d in spam.NUMERIC_SERVICES)}) AS odd, upper(p) = p AND lower(p) <> p AND length(p) > 20 AND regexp_matches(p, '[!$]{{2,}}') AND coalesce(n, 0) <= 1 AS caps FROM t),
+o AS (SELECT *, list_filter([CASE WHEN odd AND regexp_matches(f, '^\\d{{7,}}@') THEN 'suspicious_numeric_sender' END, CASE WHEN odd AND regexp_matches(f, '@\\d+\\.(com|net|org)$') THEN 'numeric_domain' END], lambda x: x IS NOT NULL) AS ro FROM r),
+w AS (SELECT *, rs || rb[1:{spam.SHOWN_BODY_REASONS}] || CASE WHEN h THEN ['html_commercial'] ELSE [] END || ro || CASE WHEN caps THEN ['caps_punct_commercial'] ELSE [] END AS reasons FROM o),
+c AS (SELECT * EXCLUDE (reasons), NOT (from_email IS NOT NULL AND n > {spam.EXEMPT}) AND (len(rs) >= 1 OR len(rb) >= 3 OR (h AND len(rb) >= 1) OR (len(ro) > 0 AND (len(rb) >= 1 OR caps)) OR len(reasons) >= 3) AS is_spam, reasons FROM w)"""
+
+
+def _classified(spark: SparkSession, folder: str) -> DataFrame:
+    return spam.classify(_mails(spark, folder), SUBJECT_RULES, BODY_RULES)
+
+
+@query("SELECT from_email, count(*) AS n FROM emails GROUP BY 1")
+def sender_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    return spam.sender_frequency(_mails(spark, folder))
+
+
+@query(_SPAM + " SELECT pos, is_spam, CASE WHEN is_spam THEN array_to_string(reasons, ';') ELSE '' END AS reasons FROM c")
+def spam_classify(spark: SparkSession, folder: str) -> DataFrame:
+    return _classified(spark, folder).select("pos", "is_spam", F.array_join("reasons", ";").alias("reasons"))
+
+
+@query(_SPAM + " SELECT split_part(x, ':', 1) AS reason, count(*) AS n FROM (SELECT unnest(reasons) AS x FROM c WHERE is_spam) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def spam_reason_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return spam.reason_counts(_classified(spark, folder))
+
+
+@query(_SPAM + " SELECT file_year, count(*) FILTER (is_spam) AS n_spam, count(*) AS n_mails, count(*) FILTER (is_spam) * 100.0 / count(*) AS spam_percent FROM c GROUP BY 1 HAVING count(*) FILTER (is_spam) > 0")
+def spam_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    return spam.spam_by_year(_classified(spark, folder)).withColumn("spam_percent", F.col("spam_percent").cast("double"))
+
+
+@query(_SPAM + " SELECT pos, id, file_year, subject, coalesce(nullif(from_email, ''), from_raw) AS sender, array_to_string(reasons, ';') AS reasons, substr(coalesce(body, ''), 1, 200) AS body_preview FROM c WHERE is_spam")
+def spam_review(spark: SparkSession, folder: str) -> DataFrame:
+    return spam.spam_review(_classified(spark, folder))
+
+
+@query(_SPAM + " SELECT pos, CASE WHEN contains(b, '<html') OR contains(b, '<body') THEN " + " + ".join(f"CAST(regexp_matches(b, '{x}') AS INTEGER)" for x in spam.HTML_SIGNALS) + " ELSE 0 END AS n_signals, rs[1] AS first_subject_rule FROM c")
+def html_signals(spark: SparkSession, folder: str) -> DataFrame:
+    lower = F.lower(F.coalesce(F.col("subject"), F.lit("")))
+    first = F.try_element_at(spam._hits(lower, SUBJECT_RULES, "spam_subject"), F.lit(1))
+    return _mails(spark, folder).select("pos", spam.html_signals(F.lower(F.coalesce(F.col("body"), F.lit("")))).alias("n_signals"), first.alias("first_subject_rule"))
+
+
+# --- cleaning
+
+_FLAG = "split_part({}, ':', 1)"
+_ANON = " OR ".join(f"regexp_matches(lower(coalesce(from_raw, '')), '{p}')" for p in cleaning.ANONYMOUS)
+_CLEAN = f"""
+WITH k AS (SELECT lower(trim(from_key)) AS key, max(email) AS address FROM known_entities GROUP BY 1),
+c AS (SELECT e.*, coalesce(list_contains(list_transform(flags, lambda x: {_FLAG.format('x')}), 'NO_EMAIL_FOUND'), false) AS missing,
+  coalesce(list_contains(list_transform(flags, lambda x: contains(x, 'MISSING_HEADER: Message-ID')), true), false) OR {' OR '.join(f"contains(lower(coalesce(subject, '')), '{s}')" for s in cleaning.SPAM_SUBJECTS)} OR regexp_matches(coalesce(from_email, ''), '^\\d{{8}}@') AS spam, {_ANON} AS anon FROM emails e),
+j AS (SELECT c.*, k.address FROM c LEFT JOIN k ON c.missing AND k.key = lower(trim(coalesce(from_raw, '')))),
+r AS (SELECT * EXCLUDE (flags, from_email), coalesce(address, from_email) AS from_email, list_transform(list_filter(flags, lambda x: {_FLAG.format('x')} <> 'OBFUSCATED_EMAIL' AND NOT ({_FLAG.format('x')} = 'NO_EMAIL_FOUND' AND address IS NOT NULL)), lambda x: CASE WHEN {_FLAG.format('x')} = 'NO_EMAIL_FOUND' AND anon THEN 'ANONYMOUS_SENDER: ''' || coalesce(from_raw, '') || '''' ELSE x END) AS flags,
+  len(list_filter(flags, lambda x: {_FLAG.format('x')} = 'OBFUSCATED_EMAIL')) AS n_hidden, len(list_filter(flags, lambda x: {_FLAG.format('x')} = 'NO_EMAIL_FOUND')) AS n_missing FROM j)"""
+
+
+def _known(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "known_entities")
+
+
+@query(_CLEAN + " SELECT pos, from_email, array_to_string(flags, chr(10)) AS flags FROM r WHERE NOT spam")
+def entity_resolution(spark: SparkSession, folder: str) -> DataFrame:
+    out = cleaning.clean(_mails(spark, folder), _known(spark, folder))
+    return out.select("pos", "from_email", F.array_join("flags", "\n").alias("flags"))
+
+
+@query(
+    _CLEAN
+    + """ SELECT count(*) AS original_count, count(*) FILTER (spam) AS spam_removed, count(*) FILTER (NOT spam AND (n_hidden > 0 OR (address IS NOT NULL AND n_missing > 0))) AS emails_fixed,
+  CAST(coalesce(sum(n_missing) FILTER (NOT spam AND address IS NOT NULL), 0) AS BIGINT) AS known_entity_lookups, CAST(coalesce(sum(n_hidden) FILTER (NOT spam), 0) AS BIGINT) AS obfuscation_fixes,
+  CAST(coalesce(sum(n_missing) FILTER (NOT spam AND address IS NULL AND anon), 0) AS BIGINT) AS anonymous_kept, CAST(coalesce(sum(n_missing) FILTER (NOT spam AND address IS NULL AND NOT anon), 0) AS BIGINT) AS still_no_email,
+  count(*) FILTER (NOT spam) AS final_count, count(*) FILTER (NOT spam AND len(flags) > 0) AS final_flagged FROM r"""
+)
+def cleanup_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return cleaning.cleanup_stats(_mails(spark, folder), _known(spark, folder))
+
+
+@query(_CLEAN + f" SELECT {_FLAG.format('x')} AS flag_type, count(*) AS n FROM (SELECT unnest(flags) AS x FROM r WHERE NOT spam) GROUP BY 1")
+def remaining_flags(spark: SparkSession, folder: str) -> DataFrame:
+    return parsing.flag_histogram(cleaning.clean(_mails(spark, folder), _known(spark, folder)))
+
+
+@query(f"SELECT pos, {_ANON} AS anonymous FROM emails")
+def anonymous_senders(spark: SparkSession, folder: str) -> DataFrame:
+    return _mails(spark, folder).select("pos", cleaning.is_anonymous().alias("anonymous"))
+
+
+@query(r"SELECT pos, regexp_replace(from_raw, '([a-zA-Z0-9._-]+)N([a-zA-Z0-9.-]+\.[a-zA-Z]{2,})', '\1@\2', 'g') AS undone FROM emails")
+def capital_n_undone(spark: SparkSession, folder: str) -> DataFrame:
+    return _mails(spark, folder).select("pos", cleaning.undo_capital_n(F.col("from_raw")).alias("undone"))
+
+
+# --- parsing
+
+
+@query(f"SELECT {_FLAG.format('x')} AS flag_type, count(*) AS n FROM (SELECT unnest(flags) AS x FROM emails) GROUP BY 1")
+def flag_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    return parsing.flag_histogram(_mails(spark, folder))
+
+
+@query("SELECT count(*) AS total_parsed, count(*) FILTER (len(flags) > 0) AS total_flagged, count(*) FILTER (len(flags) > 0) * 100.0 / count(*) AS flagged_percent FROM emails")
+def parse_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return parsing.parse_stats(_mails(spark, folder)).withColumn("flagged_percent", F.col("flagged_percent").cast("double"))
+
+
+@query("SELECT pos, id, file_year AS year, source_file AS file, line_number AS line, subject, from_raw, array_to_string(flags, chr(10)) AS flags FROM emails WHERE len(flags) > 0")
+def flag_review(spark: SparkSession, folder: str) -> DataFrame:
+    return archive.flag_review(_mails(spark, folder))
+
+
+@query("SELECT pos, array_to_string(flags, chr(10)) AS flags FROM emails")
+def quality_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """All flags of a record computed anew; the SQL takes those that the archive carries."""
+    mails = _mails(spark, folder).withColumn("_d", parsing.parsed_date(F.col("date_raw")))
+    flags = parsing.quality_flags(parsing.sender(F.col("from_raw"))[2], F.col("_d.flags"), F.col("body"), F.col("message_id"), F.col("subject"))
+    return mails.select("pos", F.array_join(flags, "\n").alias("flags"))
+
+
+@query("SELECT pos, from_name, from_email FROM emails")
+def sender_parse(spark: SparkSession, folder: str) -> DataFrame:
+    """Name and address computed anew; the SQL takes those that the archive carries."""
+    name, address, _ = parsing.sender(F.col("from_raw"))
+    return _mails(spark, folder).select("pos", name.alias("from_name"), address.alias("from_email"))
+
+
+@query("SELECT pos, date_parsed FROM emails")
+def date_parse(spark: SparkSession, folder: str) -> DataFrame:
+    """Dates parsed anew; the SQL takes those that the archive carries."""
+    return _mails(spark, folder).select("pos", parsing.parsed_date(F.col("date_raw"))["iso"].alias("date_parsed"))
+
+
+@query("SELECT pos, substr(sha256(CASE WHEN coalesce(message_id, '') <> '' THEN message_id ELSE file_year || ':' || coalesce(date_raw, '') || ':' || coalesce(from_raw, '') || ':' || coalesce(subject, '') || ':' || substr(coalesce(body, ''), 1, 100) END), 1, 16) AS mail_id FROM emails")
+def surrogate_key(spark: SparkSession, folder: str) -> DataFrame:
+    return _mails(spark, folder).select("pos", parsing.mail_id(F.col("message_id"), F.col("file_year"), F.col("date_raw"), F.col("from_raw"), F.col("subject"), F.col("body")).alias("mail_id"))
+
+
+def _rendered(spark: SparkSession, folder: str) -> DataFrame:
+    """The archive written as raw text into the shared folder and read back as messages."""
+    path = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}"
+    archive.write_archive(_mails(spark, folder), path)
+    return archive.read_messages(spark, path)
+
+
+_TRIPS = ("file_year", "from_raw", "from_name", "from_email", "date_raw", "date_parsed", "subject", "message_id", "in_reply_to", "to_addr", "cc", "content_type", "body", "body_length", "has_pgp", "id")
+
+
+@query(f"SELECT {', '.join(_TRIPS)}, array_to_string(refs, ' ') AS refs, array_to_string(flags, chr(10)) AS flags FROM emails")
+def archive_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = parsing.parse_messages(_rendered(spark, folder))
+    return parsed.select(*_TRIPS, F.array_join("refs", " ").alias("refs"), F.array_join("flags", "\n").alias("flags"))
+
+
+@query(
+    "SELECT message_id, "
+    + " + ".join(f"CAST({c} AS INTEGER)" for c in ("coalesce(from_raw, '') <> ''", "coalesce(date_raw, '') <> ''", "coalesce(subject, '') <> ''", "coalesce(message_id, '') <> ''", "coalesce(in_reply_to, '') <> ''", "len(refs) > 0", "coalesce(to_addr, '') <> ''", "coalesce(cc, '') <> ''", "coalesce(content_type, '') <> ''"))
+    + " AS n_headers, coalesce(subject, '') AS subject FROM emails"
+)
+def header_map(spark: SparkSession, folder: str) -> DataFrame:
+    head, _ = parsing.split_message(F.col("raw"))
+    rows = _rendered(spark, folder).select(parsing.header_map(head).alias("h"))
+    return rows.select(F.btrim(parsing.header(F.col("h"), "message-id"), F.lit("<>")).alias("message_id"), F.size("h").alias("n_headers"), parsing.header(F.col("h"), "subject").alias("subject"))
+
+
+@query()
+def archive_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Both line counts of every message of the rendered archive."""
+    return _rendered(spark, folder).select("source_file", "file_year", "ordinal", "line_number", "true_line_number")
+
+
