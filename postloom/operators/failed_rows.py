@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.runtime import broadcast_if_small
+from postloom.runtime import broadcast_if_small, cut
 
 # A code point no text may hold; it parts fields once commas inside quotes are out of the way. Real occurrences are escaped first.
 _SEP, _ESC = "﷐", "﷑"
@@ -36,16 +36,17 @@ class Rule:
 
 
 FLAG_TYPES = ("NO_EMAIL_FOUND", "OBFUSCATED_EMAIL", "MISSING_HEADER", "CORRUPTED_DATE", "UNPARSEABLE_DATE", "EMPTY_BODY")
-# One JSON string without its quotes, and a whole array of strings "TYPE: detail".
-_JSON_CHAR = r'(?:[^"\\\x00-\x1f]|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})'
+_ITEM = "\x01"  # stands for a JSON string; no JSON text holds it
 
 
 def _flag_list(value: Column) -> Column:
-    """A JSON array of strings TYPE: detail. The length is linear in the text: the array is parsed, then each item is tested."""
+    """A JSON array of strings TYPE: detail, in time linear in its length: strings are folded to one sign, then the frame is tested."""
     items = F.from_json(value, "array<string>", {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowUnquotedFieldNames": "false"})
-    shape = F.regexp_replace(value, r'"(?:[^"\\\x00-\x1f]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*+"', "s")
-    whole = shape.rlike(r"^\s*\[\s*(?:s\s*(?:,\s*s\s*)*)?\]\s*$")
-    typed = F.forall(items, lambda x: x.isNotNull() & x.rlike(rf"(?s)^(?:{'|'.join(FLAG_TYPES)}): .+"))
+    # A backslash pair is taken out first, so that what is left between two quotes is one string.
+    pairs = F.regexp_replace(value, r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})', "e")
+    frame = F.regexp_replace(F.regexp_replace(pairs, r'"[^"\\\x00-\x1f]*+"', _ITEM), r"[ \t\r\n]+", "")
+    whole = (frame == "[]") | (F.replace(frame, F.lit("," + _ITEM), F.lit("")) == f"[{_ITEM}]")
+    typed = F.forall(items, lambda x: x.isNotNull() & x.rlike(rf"(?s)^(?:{'|'.join(FLAG_TYPES)}): ."))
     return F.coalesce(whole & items.isNotNull() & typed, F.lit(False))
 
 
@@ -60,32 +61,42 @@ REVIEW_RULES: tuple[Rule, ...] = (
 )
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _outside_ok(x: Column, i: Column, last: Column) -> Column:
+    """Whether a part that stands outside quotes may stand there; parts of odd number are inside."""
+    plain = ~x.contains("\n") & ~x.contains("\r")
+    return (
+        (i % 2 == 1)
+        | ((i == 0) & ((x == "") | x.endswith(",") | (last == 0)) & plain)
+        | ((i == last) & (i > 0) & ((x == "") | x.startswith(",")) & plain)
+        | ((i > 0) & (i < last) & ((x == "") | (x.startswith(",") & x.endswith(","))) & plain)
+    )
+
+
+def _parted(parts: Column) -> Column:
+    """(broken, text) of the parts between quotes: text has a separator between fields and no quotes of the notation."""
+
+    def run(last: Column) -> Column:
+        broken = (last % 2 == 1) | F.exists(F.transform(parts, lambda x, i: ~_outside_ok(x, i, last)), lambda bad: bad)
+        # Outside quotes commas part fields; an empty part between two quoted ones is a doubled quote.
+        rewritten = F.transform(parts, lambda x, i: F.when(i % 2 == 1, x).when((x == "") & (i > 0) & (i < last), F.lit('"')).otherwise(F.replace(x, F.lit(","), F.lit(_SEP))))
+        return F.struct(broken.alias("broken"), F.array_join(rewritten, "").alias("text"))
+
+    return _let(F.size(parts) - 1, run)
+
+
 def split_records(df: DataFrame, text: str = "record_text") -> DataFrame:
     """df with ``_broken`` (quoting), ``_count`` (fields) and ``_values`` (unquoted field values)."""
     raw = F.coalesce(F.col(text), F.lit(""))
     safe = F.replace(F.replace(raw, F.lit(_ESC), F.lit(_ESC + "b")), F.lit(_SEP), F.lit(_ESC + "a"))
-    parts = F.split(safe, '"', -1)
-    last = F.size("_parts") - 1
-
-    def outside_ok(x: Column, i: Column) -> Column:
-        inner = (i > 0) & (i < last)
-        return (
-            (i % 2 == 1)
-            | ((i == 0) & ((x == "") | x.endswith(",") | (last == 0)) & ~x.contains("\n") & ~x.contains("\r"))
-            | ((i == last) & (i > 0) & ((x == "") | x.startswith(",")) & ~x.contains("\n") & ~x.contains("\r"))
-            | (inner & ((x == "") | (x.startswith(",") & x.endswith(","))) & ~x.contains("\n") & ~x.contains("\r"))
-        )
-
-    # Outside quotes commas part fields; an empty part between two quoted ones is a doubled quote.
-    def rewritten(x: Column, i: Column) -> Column:
-        return F.when(i % 2 == 1, x).when((x == "") & (i > 0) & (i < last), F.lit('"')).otherwise(F.replace(x, F.lit(","), F.lit(_SEP)))
-
-    out = df.withColumn("_parts", parts)
-    out = out.withColumn("_broken", (last % 2 == 1) | ~F.forall(F.transform("_parts", outside_ok), lambda ok: ok))
-    joined = F.array_join(F.transform("_parts", rewritten), "")
-    fields = F.split(joined, _SEP, -1)
-    plain = F.transform(fields, lambda x: F.replace(F.replace(x, F.lit(_ESC + "a"), F.lit(_SEP)), F.lit(_ESC + "b"), F.lit(_ESC)))
-    return out.withColumn("_values", plain).withColumn("_count", F.size("_values")).drop("_parts")
+    plain = lambda fields: F.transform(fields, lambda x: F.replace(F.replace(x, F.lit(_ESC + "a"), F.lit(_SEP)), F.lit(_ESC + "b"), F.lit(_ESC)))
+    parted = _let(F.split(safe, '"', -1), lambda parts: _let(_parted(parts), lambda p: F.struct(p["broken"].alias("broken"), plain(F.split(p["text"], _SEP, -1)).alias("values"))))
+    out = df.withColumn("_split", parted)
+    return out.withColumn("_broken", F.col("_split.broken")).withColumn("_values", F.col("_split.values")).withColumn("_count", F.size("_values")).drop("_split")
 
 
 def invalid_values(values: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -99,33 +110,44 @@ def invalid_values(values: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return distinct.withColumn("bad_reason", verdict).filter("bad_reason is not null")
 
 
-def judge_rows(df: DataFrame, key: str = "row_id", text: str = "record_text", rules: tuple[Rule, ...] = REVIEW_RULES) -> DataFrame:
-    """df with ``_values``, ``reason`` (NULL: valid) and ``bad_columns`` (array of ``column: reason``)."""
-    records = split_records(df, text)
+def judge_rows(df: DataFrame, text: str = "record_text", rules: tuple[Rule, ...] = REVIEW_RULES) -> DataFrame:
+    """df with ``field_values``, ``reason`` (NULL: valid) and ``bad_columns`` (array of ``column: reason``).
+
+    Rows are never grouped or keyed: the dictionary is joined once for each checked column, by value.
+    """
+    # The caller's columns travel as one struct, so that no working name can clash with them.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    records = split_records(rows, "_text")
     structure = F.when(F.col("_broken"), "quoting").when(F.col("_count") != len(rules), "column_count")
     records = records.withColumn("_structure", structure)
     place = {r.name: i + 1 for i, r in enumerate(rules)}
     checked = [r for r in rules if r.valid is not None]
-    cells = F.array(*[F.struct(F.lit(r.name).alias("col"), F.element_at("_values", place[r.name]).alias("value"), (F.element_at("_values", place[r.needs]) if r.needs else F.lit("")).alias("other")) for r in checked])
-    sound = records.filter("_structure is null")
-    values = sound.select(F.col(key).alias("_key"), F.explode(cells).alias("_cell")).select("_key", "_cell.*")
-    bad = invalid_values(values, rules)
-    failing = values.join(broadcast_if_small(bad), ["col", "value", "other"]).distinct()
-    failing = failing.groupBy("_key").agg(F.array_sort(F.collect_set(F.concat_ws(": ", "col", "bad_reason"))).alias("bad_columns"))
-    out = records.join(failing, F.col(key) == F.col("_key"), "left")
-    reason = F.coalesce(F.col("_structure"), F.when(F.col("bad_columns").isNotNull(), "bad_value"))
-    return out.withColumn("reason", reason).select(*[F.col(f"`{c}`") for c in df.columns if c not in ("reason", "bad_columns", "_values")], "_values", "reason", "bad_columns")
-
-
-def rejected_rows(df: DataFrame, key: str = "row_id", text: str = "record_text", rules: tuple[Rule, ...] = REVIEW_RULES) -> DataFrame:
-    return judge_rows(df, key, text, rules).filter("reason is not null")
+    sound = F.col("_structure").isNull()
+    value = lambda r: F.when(sound, F.try_element_at("_values", F.lit(place[r.name])))
+    other = lambda r: F.when(sound, F.try_element_at("_values", F.lit(place[r.needs]))) if r.needs else F.lit("")
+    cells = F.array(*[F.struct(F.lit(r.name).alias("col"), value(r).alias("value"), other(r).alias("other")) for r in checked])
+    values = records.filter(sound).select(F.explode(cells).alias("_cell")).select("_cell.*")
+    bad = cut(invalid_values(values, rules))
+    out = records
+    for i, r in enumerate(checked):
+        own = broadcast_if_small(bad.filter(F.col("col") == r.name).select(F.col("value").alias(f"_v{i}"), F.col("other").alias(f"_o{i}"), F.col("bad_reason").alias(f"_b{i}")))
+        out = out.join(own, (value(r) == F.col(f"_v{i}")) & (other(r) == F.col(f"_o{i}")), "left").drop(f"_v{i}", f"_o{i}")
+    found = F.array_sort(F.array_compact(F.array(*[F.concat(F.lit(f"{r.name}: "), F.col(f"_b{i}")) for i, r in enumerate(checked)])))
+    out = out.withColumn("_bad", F.when(F.size(found) > 0, found))
+    reason = F.coalesce(F.col("_structure"), F.when(F.col("_bad").isNotNull(), "bad_value"))
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c not in ("field_values", "reason", "bad_columns")]
+    return out.select(*kept, F.col("_values").alias("field_values"), reason.alias("reason"), F.col("_bad").alias("bad_columns"))
+
+
+def rejected_rows(df: DataFrame, text: str = "record_text", rules: tuple[Rule, ...] = REVIEW_RULES) -> DataFrame:
+    return judge_rows(df, text, rules).filter("reason is not null")
 
 
 def valid_rows(df: DataFrame, key: str = "row_id", text: str = "record_text", rules: tuple[Rule, ...] = REVIEW_RULES) -> DataFrame:
     """The typed valid rows: the key and one column for each rule."""
-    out = judge_rows(df, key, text, rules).filter("reason is null")
+    out = judge_rows(df.select(key, text), text, rules).filter("reason is null")
     typed = []
     for i, r in enumerate(rules):
-        v = F.element_at("_values", i + 1)
+        v = F.try_element_at("field_values", F.lit(i + 1))
         typed.append((F.from_json(v, "array<string>") if r.type == "array<string>" else v.try_cast(r.type)).alias(r.name))
     return out.select(key, *typed)

@@ -128,8 +128,12 @@ def resolve_forest(links: DataFrame, span: int = SPAN, one_task: int = ONE_TASK)
 
 
 def message_nodes(emails: DataFrame) -> DataFrame:
-    """(message_id, node): each distinct non-empty message id with the least pos of its rows, which is unique."""
-    return emails.filter(filled("message_id")).groupBy("message_id").agg(F.min("pos").alias("node"))
+    """(message_id, node): each distinct non-empty message id with the least pos of its rows, which is unique.
+
+    A message none of whose rows has a pos gets a negative number from its id.
+    """
+    unplaced = -F.shiftrightunsigned(F.xxhash64("message_id"), 1) - 1
+    return emails.filter(filled("message_id")).groupBy("message_id").agg(F.min("pos").alias("_pos")).select("message_id", F.coalesce("_pos", unplaced).alias("node"))
 
 
 def message_links(emails: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -156,7 +160,7 @@ def message_hierarchy(emails: DataFrame, span: int = SPAN, one_task: int = ONE_T
 
 #: Path elements in one Arrow batch that a task hands on.
 PATH_BATCH = 200_000
-NOWHERE = np.iinfo(np.int64).min
+NOWHERE = np.iinfo(np.int64).min  # no node has this number
 _PATH = "node bigint, exit bigint, path array<bigint>"
 
 

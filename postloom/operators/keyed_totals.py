@@ -146,15 +146,16 @@ def keyed_totals(df: DataFrame, fields: list[str], measures: dict[str, tuple[str
     plan = [("", "sum"), *((f"_m{i}", kind) for i, (_, kind) in enumerate(measures.values()))]
     kinds = [k for _, k in plan]
     blocks = blocks or max(8, partitions(df.sparkSession))
-    source = df.select(*[F.col(f"`{f}`") for f in fields], *[F.col(f"`{c}`").cast("bigint").alias(f"_m{i}") for i, (c, _) in enumerate(measures.values())])
-    encoded = source.mapInArrow(_encode(fields, plan, blocks, held), _BLOCKS)
+    inner = [f"_f{i}" for i in range(len(fields))]
+    source = df.select(*[F.col(f"`{f}`").cast("string").alias(a) for f, a in zip(fields, inner)], *[F.col(f"`{c}`").cast("bigint").alias(f"_m{i}") for i, (c, _) in enumerate(measures.values())])
+    encoded = source.mapInArrow(_encode(inner, plan, blocks, held), _BLOCKS)
     # Round one adds blocks of up to fan_in splits; round two what is left of each key range.
     first = encoded.withColumn("split", F.floor(F.col("split") / fan_in).cast("int")).groupBy("field", "block", "split").applyInArrow(_reduce(kinds), _BLOCKS)
     whole = first.groupBy("field", "block").applyInArrow(_reduce(kinds), _BLOCKS)
     slots = F.arrays_zip(F.col("keys").alias("k"), *[F.element_at("totals", i + 1).alias(f"t{i}") for i in range(len(kinds))])
     rows = whole.select("field", F.explode(slots).alias("slot"))
     value = lambda i, kind: F.when(F.col(f"slot.t{i}") != int(_START[kind]), F.col(f"slot.t{i}")) if kind != "sum" else F.col(f"slot.t{i}")
-    return rows.select(F.col("field").alias("field_name"), F.col("slot.k").alias("key_value"), F.col("slot.t0").alias("n"), *[value(i + 1, kind).alias(name) for i, (name, (_, kind)) in enumerate(measures.items())])
+    return rows.select(F.create_map(*[x for f, a in zip(fields, inner) for x in (F.lit(a), F.lit(f))])[F.col("field")].alias("field_name"), F.col("slot.k").alias("key_value"), F.col("slot.t0").alias("n"), *[value(i + 1, kind).alias(name) for i, (name, (_, kind)) in enumerate(measures.items())])
 
 
 def heavy_keys(df: DataFrame, fields: list[str], share: float) -> DataFrame:

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.runtime import broadcast_if_small
-
 EXEMPT = 5
 SHOWN_BODY_REASONS = 3
 # Fixed values: (pattern, name) over the subject in small letters.
@@ -82,7 +80,7 @@ def classify(mails: DataFrame, subject_rules=SUBJECT_RULES, body_rules=BODY_RULE
     Sender counts are aggregated before anything is joined; exempt mails skip all patterns.
     """
     counts = sender_frequency(mails).select(F.col("from_email").alias("_sender"), F.col("n").alias("n_from_sender"))
-    joined = mails.join(broadcast_if_small(counts), F.col("from_email").eqNullSafe(F.col("_sender")), "left").drop("_sender")
+    joined = mails.join(counts, F.col("from_email").eqNullSafe(F.col("_sender")), "left").drop("_sender")
     subject, body, sender, plain = F.lower(_text("subject")), F.lower(_text("body")), F.lower(_text("from_email")), _text("subject")
     known = F.lit(False)
     for d in services:

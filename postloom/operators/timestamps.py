@@ -104,9 +104,10 @@ def normalise_dates(df: DataFrame, sites: DataFrame, zone_names: DataFrame, raw:
         .filter("_least = _tz")
         .drop("_least")
     )
-    part = F.split(F.col("_fields"), r"\|")
-    out = df.withColumn("_fields", canonical_fields(F.col(raw))).withColumn("_p", part)
-    p, text = F.col("_p"), F.trim(F.coalesce(F.col(raw), F.lit("")))
+    # The caller's columns travel as one struct, so that no working name can clash with them.
+    out = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{raw}`").alias("_raw"), F.col(f"`{sender}`").alias("_from"))
+    out = out.withColumn("_fields", canonical_fields(F.col("_raw"))).withColumn("_p", F.split("_fields", r"\|"))
+    p, text = F.col("_p"), F.trim(F.coalesce(F.col("_raw"), F.lit("")))
     year = _number(p, 1)
     half, hour = F.upper(F.element_at(p, 8)), _number(p, 4)
     hour = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0))
@@ -114,8 +115,8 @@ def normalise_dates(df: DataFrame, sites: DataFrame, zone_names: DataFrame, raw:
     digits = F.regexp_replace(F.element_at(p, 9), "[^0-9]", "")
     off_h, off_m = F.substring(digits, 1, 2).try_cast("int"), F.substring(digits, 3, 2).try_cast("int")
     out = out.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.col("_fields"),
+        "_row",
+        "_fields",
         F.when(F.length(F.element_at(p, 1)) == 2, year + 1900).otherwise(year).alias("_y"),
         _month(p).alias("_m"),
         _number(p, 3).alias("_d"),
@@ -126,7 +127,7 @@ def normalise_dates(df: DataFrame, sites: DataFrame, zone_names: DataFrame, raw:
         (F.element_at(p, 4) != "").alias("_has_time"),
         zone.alias("_zone"),
         F.when(zone.rlike(r"^[-+]\d") & (off_h <= 14) & (off_m < 60), F.when(zone.startswith("-"), -1).otherwise(1) * (off_h * 60 + off_m)).alias("_off_min"),
-        F.lower(F.regexp_extract(F.coalesce(F.col(sender), F.lit("")), "@([^@]+)$", 1)).alias("_host"),
+        F.lower(F.regexp_extract(F.coalesce(F.col("_from"), F.lit("")), "@([^@]+)$", 1)).alias("_host"),
         F.when(text.rlike(_EPOCH), F.when(F.length(text) > 11, text.try_cast("bigint")).otherwise(text.try_cast("bigint") * 1000)).alias("_epoch_ms"),
         (F.regexp_replace(text, r"(?U)\s+", "") == "").alias("_blank"),
     )
@@ -165,4 +166,5 @@ def normalise_dates(df: DataFrame, sites: DataFrame, zone_names: DataFrame, raw:
         .when(F.col("date_status") == "zone", (F.col("_wall") - F.col("_zone_min") * 60) * 1000 + ms)
         .when(F.col("date_status") == "site", once * 1000 + ms)
     )
-    return out.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("utc_ms", "date_status")], utc.cast("bigint").alias("utc_ms"), "date_status")
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c not in ("utc_ms", "date_status")]
+    return out.select(*kept, utc.cast("bigint").alias("utc_ms"), "date_status")
