@@ -14,10 +14,14 @@ unknown the candidate is admitted and time gives no points; of equal scores the
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.functions.text import local_seconds, normalize_for_matching, strip
+from postloom.operators import replies
+from postloom.operators.components import connected_components
 from postloom.operators.hierarchy import resolve_forest
 from postloom.runtime import broadcast_if_small, cut, filled
 
@@ -107,6 +111,90 @@ def match_by_subject(classified: DataFrame) -> DataFrame:
     return best.select("pos", F.col("b.value.message_id").alias("parent_id"), F.col("b.score").cast("int").alias("match_score"), F.col("b.gap_seconds").alias("gap_seconds")).filter(filled("parent_id"))
 
 
+# --- subjects in archive order
+
+#: Mails that may hang together through subjects and links when matched in order; one task settles them.
+MOST_TOGETHER = 500_000
+_ORDERED = "pos long, parent_id string, match_score int, gap_seconds long, to_kind string"
+
+
+def _in_order(group: pd.DataFrame) -> pd.DataFrame:
+    """Orphans of one component in archive order; each sees the links made before it."""
+    group = group.sort_values("pos", kind="stable")
+    pos, ids, mids, subjects, status = (group[c].tolist() for c in ("pos", "id", "message_id", "normalized_subject", "orphan_status"))
+    ts, keys = group["ts"].to_numpy(dtype="float64", na_value=np.nan), group["key"].tolist()
+    parent: dict[str, str | None] = {}
+    for m, p in zip(mids, group["parent_id"]):
+        if m:
+            parent[m] = p if isinstance(p, str) else None
+    root = np.array([x == "true_root" for x in status])
+    linked = np.array([isinstance(p, str) for p in group["parent_id"]])
+    children = group["n_children"].to_numpy(dtype="int64", na_value=0).copy()
+    groups: dict[str, list[int]] = {}
+    for i, s in enumerate(subjects):
+        if s:
+            groups.setdefault(s, []).append(i)
+    of_subject = {s: np.array(sorted(at, key=lambda i: keys[i])) for s, at in groups.items()}
+
+    def closes_loop(child: str, above: str) -> bool:
+        seen, at = set(), above
+        while at:
+            if at == child or at in seen:
+                return True
+            seen.add(at)
+            at = parent.get(at)
+        return False
+
+    out = []
+    for i, s in enumerate(subjects):
+        if status[i] != "orphan_reply" or not s or len(of_subject[s]) < 2:
+            continue
+        at = of_subject[s]
+        gap = ts[i] - ts[at]
+        open_ = np.array([ids[j] != ids[i] for j in at]) & ~(gap <= 0)
+        near = np.where(np.isnan(gap), 0, np.where(gap < DAY, 5, np.where(gap < 7 * DAY, 3, np.where(gap < SLICE, 1, 0))))
+        score = root[at] * 10 + (children[at] > 0) * 5 + linked[at] * 3 + near
+        for k in np.lexsort((np.arange(len(at)), -score)):
+            j = at[k]
+            if not open_[k] or not mids[j] or closes_loop(mids[i], mids[j]):
+                continue
+            kind = "to_root" if status[j] == "true_root" else "to_parent" if children[j] + 1 > 1 else "to_chain"
+            out.append((pos[i], mids[j], int(score[k]), None if np.isnan(gap[k]) else int(gap[k]), kind))
+            linked[i], children[j] = True, children[j] + 1
+            status[i] = "matched"
+            if mids[i]:
+                parent[mids[i]] = mids[j]
+            break
+    return pd.DataFrame(out, columns=["pos", "parent_id", "match_score", "gap_seconds", "to_kind"]).astype({"gap_seconds": "Int64"})
+
+
+def match_in_order(classified: DataFrame, most: int = MOST_TOGETHER) -> DataFrame:
+    """(pos, parent_id, match_score, gap_seconds, to_kind): subject matches made one after another in archive order.
+
+    The same scores as ``match_by_subject``, but each match sees the ones before it, and a candidate that would
+    close a loop is passed over for the next best. This is sequential by nature: mails that hang together through
+    subjects, links or copies are settled by one task over thin rows, so the size of such a group is checked and
+    more than ``most`` are refused. Use ``match_by_subject`` for archives of any size.
+    """
+    counts = replies.children_of(classified).select("message_id", "n_children")
+    thin = classified.select("pos", "id", F.coalesce("message_id", F.lit("")).alias("message_id"), "parent_id", "normalized_subject", "orphan_status", local_seconds(F.col("date_parsed")).alias("ts"), _date_key().alias("key"))
+    thin = cut(thin.join(counts, "message_id", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
+    subject = thin.filter("normalized_subject <> ''").groupBy("normalized_subject").agg(F.min("pos").alias("b"))
+    own = thin.filter("message_id <> ''").groupBy("message_id").agg(F.min("pos").alias("b"))
+    edges = thin.join(subject, "normalized_subject").select(F.col("pos").alias("a"), "b").unionByName(thin.join(own, "message_id").select(F.col("pos").alias("a"), "b"))
+    edges = edges.unionByName(thin.filter("parent_id is not null").join(own.withColumnRenamed("message_id", "parent_id"), "parent_id").select(F.col("pos").alias("a"), "b"))
+    parts = connected_components(thin.select(F.col("pos").alias("node")), edges)
+    largest = parts.groupBy("component").count().agg(F.max("count")).first()[0] or 0
+    if largest > most:
+        raise ValueError(f"{largest} mails hang together; match_by_subject has no such bound")
+    return thin.join(parts, F.col("pos") == F.col("node")).groupBy("component").applyInPandas(_in_order, _ORDERED)
+
+
+def match_kinds(matches: DataFrame) -> DataFrame:
+    """(to_kind, n) of matches made in order: to a root, to a mail that then has several children, or to one link of a chain."""
+    return matches.groupBy("to_kind").agg(F.count("*").alias("n"))
+
+
 def gap_histogram(matches: DataFrame) -> DataFrame:
     g = F.col("gap_seconds")
     bucket = F.when(g < DAY, "same_day").when(g < 7 * DAY, "within_week").when(g < SLICE, "within_month").otherwise("over_month")

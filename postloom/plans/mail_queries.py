@@ -220,6 +220,17 @@ def orphan_match_loop_free(spark: SparkSession, folder: str) -> DataFrame:
     return matching.drop_loops(state, cut(matching.match_by_subject(state)))
 
 
+@query()
+def orphan_match_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Subject matches made one after another, each seeing those before it."""
+    return matching.match_in_order(_linked(spark, folder))
+
+
+@query()
+def match_kind_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.match_kinds(matching.match_in_order(_linked(spark, folder)))
+
+
 _QUOTES = r"""
 WITH l AS (SELECT pos, regexp_replace(unnest(string_split(body, chr(10))), '^\s+|\s+$', '', 'g') AS line, unnest(range(len(string_split(body, chr(10))))) AS i FROM emails),
 q AS (SELECT pos, i, regexp_replace(line, '^>+\s*', '') AS quote FROM l WHERE line LIKE '>%'),

@@ -65,6 +65,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores if it comes in fewer partitions (one small file); larger inputs stay as they are read, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def filled(column: str):
     """Neither NULL nor the empty string."""
     return F.col(column).isNotNull() & (F.col(column) != "")

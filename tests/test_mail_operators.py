@@ -189,6 +189,59 @@ def test_subject_match_needs_no_pairs_and_drops_loops(spark):
     assert matching.drop_loops(state, found).count() == 0
 
 
+def in_order(rows):
+    """Brute force: a plain loop over mails in archive order."""
+    from datetime import datetime
+
+    when = lambda r: datetime.fromisoformat(r["date_parsed"][:19]) if r["date_parsed"] else None
+    known = {r["message_id"]: r for r in rows if r["message_id"]}
+    made = {}
+    for r in rows:
+        if r["orphan_status"] != "orphan_reply" or not r["normalized_subject"]:
+            continue
+        best, top = None, -1
+        for c in sorted((x for x in rows if x["normalized_subject"] == r["normalized_subject"]), key=lambda x: x["date_parsed"] or x["date_raw"] or ""):
+            if c["id"] == r["id"] or (when(r) and when(c) and when(c) >= when(r)):
+                continue
+            seen, at, loop = set(), c["message_id"], False
+            while at:
+                if at == r["message_id"] or at in seen:
+                    loop = True
+                    break
+                seen.add(at)
+                at = known[at]["parent_id"] if at in known else None
+            if loop:
+                continue
+            score = 10 * (c["orphan_status"] == "true_root") + 5 * bool(c["children"]) + 3 * bool(c["parent_id"])
+            if when(r) and when(c):
+                gap = (when(r) - when(c)).total_seconds()
+                score += 5 if gap < 86400 else 3 if gap < 604800 else 1 if gap < 2592000 else 0
+            if score > top:
+                best, top = c, score
+        if best:
+            r["parent_id"], r["orphan_status"] = best["message_id"], "matched_by_subject"
+            best["children"].append(r["message_id"])
+            made[r["pos"]] = (best["message_id"], top)
+    return made
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_matching_in_order_against_a_loop(spark, seed):
+    r = random.Random(seed)
+    rows = []
+    for i in range(150):
+        date = f"1994-{r.randint(1, 4):02d}-{r.randint(1, 28):02d}T{r.randint(0, 23):02d}:00:00" if r.random() < 0.8 else None
+        rows.append(dict(message_id=f"m{i}", in_reply_to=f"m{r.randrange(i)}" if i and r.random() < 0.4 else None, subject=r.choice(["Re: ", ""]) + f"t{r.randint(0, 5)}", date_parsed=date, date_raw=f"raw{r.randint(0, 9)}"))
+    state = replies.classify_orphans(replies.link_replies(mails(spark, rows)))
+    plain = [x.asDict() for x in state.orderBy("pos").collect()]
+    for x in plain:
+        x["children"] = [y["message_id"] for y in plain if y["parent_id"] == x["message_id"]]
+    got = {x.pos: (x.parent_id, x.match_score) for x in matching.match_in_order(state).collect()}
+    assert got == in_order(plain) and got
+    with pytest.raises(ValueError):
+        matching.match_in_order(state, most=3)
+
+
 def test_duplicates_and_threads(spark):
     rows = [dict(message_id="a", from_email="x@y", date_parsed=day(1)), dict(message_id="a", from_email="x@y", date_parsed=day(1)), dict(message_id="b", in_reply_to="a", from_email="z@y", date_parsed=day(2)), dict(message_id="", in_reply_to="a"), dict(message_id="l", in_reply_to="l")]
     members = threads.thread_members(replies.classify_orphans(replies.link_replies(mails(spark, rows))))
