@@ -11,7 +11,7 @@ longest common subsequence.
 Rows also belong together through one address, unless several people use it: an address is shared if any full
 name on it cannot be the same as its most frequent one. The classes are the connected components of all links.
 
-Defined results: a row without any name or address of its own (NULL, empty, a bare word, a shared address alone)
+Defined results: a row with a NULL key is left out; a row without any name or address of its own (NULL, empty, a bare word, a shared address alone)
 is a class of its own; repeated rows are linked; extra columns are ignored; an empty table has no classes.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postloom.llm.names import GIVEN, NICKNAMES, ORG_SHORT, ORG_WORDS, TITLES
+from postloom.operators.components import connected_components
 from postloom.runtime import broadcast_if_small, cut
 
 LEAST_SUFFIX = 4
@@ -188,23 +189,9 @@ def suffix_blocks(names: DataFrame, least: int = LEAST_SUFFIX, block: int = BLOC
     return rare.unionByName(rare2).unionByName(third)
 
 
-def connected_classes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, class): the least node each node is connected with; labels spread and jump until nothing changes."""
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
-    labels = cut(nodes.select("node", F.col("node").alias("class")))
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), F.col("class").alias("c")), "b").groupBy("a").agg(F.min("c").alias("near"))
-        spread = labels.join(near, F.col("node") == F.col("a"), "left").select("node", F.col("class").alias("old"), F.least("class", F.coalesce("near", "class")).alias("class"))
-        jumped = spread.join(spread.select(F.col("node").alias("class"), F.col("class").alias("farther")), "class", "left").select("node", "old", F.least("class", F.coalesce("farther", "class")).alias("class"))
-        labels = cut(jumped)
-        if not labels.filter("old <> class").take(1):
-            return labels.select("node", "class")
-        labels = labels.select("node", "class")
-
-
 def link_senders(df: DataFrame, key: str = "sender_id", least: int = LEAST_SUFFIX, block: int = BLOCK) -> DataFrame:
     """(key, entity) of every row; rows of one entity share its id. ``key`` must be a unique BIGINT."""
-    rows = df.select(F.col(key).cast("bigint").alias("_key"), "from_raw", "from_name", "from_email").mapInArrow(_identities, "_key bigint, email string, kind string, first string, last string, supported boolean")
+    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("_key"), "from_raw", "from_name", "from_email").mapInArrow(_identities, "_key bigint, email string, kind string, first string, last string, supported boolean")
     rows = cut(rows)
     # Addresses several people use: some name on them cannot be their most frequent one.
     on = rows.filter("email is not null and kind in ('person', 'initial', 'org')").groupBy("email", "kind", "first", "last").agg(F.count("*").alias("_n"))
@@ -233,7 +220,7 @@ def link_senders(df: DataFrame, key: str = "sender_id", least: int = LEAST_SUFFI
     full = tied.filter("_shared and kind = 'person'").groupBy("email", F.substring("first", 1, 1).alias("first"), "last").agg(F.min("id").alias("b"), F.max("id").alias("_other")).filter("b = _other").drop("_other")
     by_initial = rows.filter("_shared and kind = 'initial'").join(full, ["email", "first", "last"]).select(F.col("_key").alias("a"), "b")
     edges = alike.unionByName(by_name).unionByName(by_address).unionByName(by_initial)
-    return connected_classes(rows.select(F.col("_key").alias("node")), edges).select(F.col("node").alias(key), F.col("class").alias("entity"))
+    return connected_components(rows.select(F.col("_key").alias("node")), edges).select(F.col("node").alias(key), F.col("component").alias("entity"))
 
 
 def entity_pairs(df: DataFrame, key: str = "sender_id") -> DataFrame:

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postloom.runtime import cut, spread
+
 # Letters with one look, as Latin, Cyrillic, Greek; "-" where a script has none.
 LOOKS = (
     "AАΑ BВΒ CС- EЕΕ HНΗ IІΙ JЈ- KКΚ MМΜ N-Ν OОΟ PРΡ SЅ- TТΤ XХΧ YҮΥ Z-Ζ "
@@ -107,7 +109,7 @@ def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def normalise_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, form, visible) of every row; one narrow pass, no shuffle."""
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), F.col(text)).mapInArrow(_forms, f"_key {kind}, form string, visible boolean").withColumnRenamed("_key", key)
+    return spread(df.select(F.col(key), F.col(text))).mapInArrow(_forms, f"_key {kind}, form string, visible boolean").withColumnRenamed("_key", key)
 
 
 def lookalike_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -117,10 +119,8 @@ def lookalike_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     for each spelling, not for each copy); rows join their spelling afterwards, so copies of one string cost nothing.
     """
     kind = df.schema[key].dataType.simpleString()
-    named = df.filter(F.col(text).isNotNull()).select(F.struct(F.col(key).alias("k"), F.sha2(F.col(text), 256).alias("t")).alias("_k"), F.col(text))
+    named = df.filter(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.struct(F.col(key).alias("k"), F.sha2(F.col(text), 256).alias("t")).alias("_k"), F.col(text))
     forms = normalise_texts(named, "_k", text).filter("visible").select(F.col("_k.k").cast(kind).alias("doc"), F.col("_k.t").alias("spelling"), F.sha2("form", 256).alias("form"))
-    from postloom.runtime import cut
-
     forms = cut(forms)
     spellings = forms.groupBy("form", "spelling").agg(F.count("*").alias("_n"))
     several = spellings.groupBy("form").agg(F.count("*").alias("_s")).filter("_s > 1").select("form")

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postloom.runtime import spread
+
 OWN, QUOTE, SIGNATURE, FRAME, FORWARD, NOTICE = "own", "quote", "signature", "frame", "forward", "notice"
 
 # Verbs of attribution lines at the end or in the middle of a line.
@@ -280,7 +282,7 @@ def _foreign_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def foreign_lines(df: DataFrame, key: str = "pos", body: str = "body") -> DataFrame:
     """(key, line_no, kind) of every line that its sender did not write for the mail; one narrow pass, no shuffle."""
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), F.col(body)).mapInArrow(_foreign_lines, f"_key {kind}, line_no bigint, kind string").withColumnRenamed("_key", key)
+    return spread(df.select(F.col(key), F.col(body))).mapInArrow(_foreign_lines, f"_key {kind}, line_no bigint, kind string").withColumnRenamed("_key", key)
 
 
 def _own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,4 +297,4 @@ def _own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def own_texts(df: DataFrame, key: str = "pos", body: str = "body") -> DataFrame:
     """(key, own_text) of every row: the body reduced to its own lines, NULL for NULL."""
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), F.col(body)).mapInArrow(_own_texts, f"_key {kind}, own_text string").withColumnRenamed("_key", key)
+    return spread(df.select(F.col(key), F.col(body))).mapInArrow(_own_texts, f"_key {kind}, own_text string").withColumnRenamed("_key", key)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from postloom.llm.entities import lcs_ratio
 from postloom.llm.names import GIVEN, NICKNAMES, ORG_SHORT, ORG_WORDS, TITLES
+from postloom.runtime import spread
 
 TRAINING_TEXTS = 3000
 ROUNDS = 8
@@ -481,7 +482,7 @@ def _found(trained: Model):
 def find_items(df: DataFrame, key: str = "pos", text: str = "body") -> DataFrame:
     """(key, kind, start_at) of every personal item; one narrow pass, no shuffle. The model (a few hundred weights) travels with the tasks."""
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), F.col(text)).mapInArrow(_found(model()), f"_key {kind}, kind string, start_at bigint").withColumnRenamed("_key", key)
+    return spread(df.select(F.col(key), F.col(text))).mapInArrow(_found(model()), f"_key {kind}, kind string, start_at bigint").withColumnRenamed("_key", key)
 
 
 def _replaced(trained: Model):
@@ -505,4 +506,4 @@ def _replaced(trained: Model):
 def replace_items(df: DataFrame, key: str = "pos", text: str = "body") -> DataFrame:
     """(key, clean_text) of every row: each item replaced by a placeholder of its kind, all else unchanged."""
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), F.col(text)).mapInArrow(_replaced(model()), f"_key {kind}, clean_text string").withColumnRenamed("_key", key)
+    return spread(df.select(F.col(key), F.col(text))).mapInArrow(_replaced(model()), f"_key {kind}, clean_text string").withColumnRenamed("_key", key)

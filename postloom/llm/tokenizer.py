@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postloom.runtime import spread
+
 #: Default place of the vocabulary; a parameter of every operator here.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Tokens a worker remembers with their ids.
@@ -222,12 +224,12 @@ def _encode(path: str, counts_only: bool):
 def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """(key, ids) of every row of df; one narrow pass, no shuffle."""
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(F.col(key), F.col(text)).mapInArrow(_encode(vocabulary, False), f"_key {kind}, _value array<int>")
+    out = spread(df.select(F.col(key), F.col(text))).mapInArrow(_encode(vocabulary, False), f"_key {kind}, _value array<int>")
     return out.select(F.col("_key").alias(key), F.col("_value").alias("ids"))
 
 
 def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """(key, n_tokens) of every row of df."""
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(F.col(key), F.col(text)).mapInArrow(_encode(vocabulary, True), f"_key {kind}, _value bigint")
+    out = spread(df.select(F.col(key), F.col(text))).mapInArrow(_encode(vocabulary, True), f"_key {kind}, _value bigint")
     return out.select(F.col("_key").alias(key), F.col("_value").alias("n_tokens"))
