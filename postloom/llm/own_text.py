@@ -54,6 +54,7 @@ _CONTACT = re.compile(r"(?i)(?:[\w.+-]+(?:@| at |\(at\)| \[at\] )[\w.-]+|^\s*(?:
 _TITLE_LINE = re.compile(r"^[A-Z][\w.-]*(?: [\w.-]+){0,3}, (?:the )?[A-Z][\w'-]+(?: [\w'-]+){0,3}$")
 _PROSE_WORDS = 5
 _SCRIPT_END = ("exit 0", "done", "fi")
+_PLAIN_INDENT = re.compile(r"^ {4}\S")
 _CODE = re.compile(r"^(?: {4}|\t)\s*\S")
 
 
@@ -61,7 +62,7 @@ def _is_prefixed(line: str, weak: bool) -> bool:
     """Whether a line carries a quote prefix; the weaker signs count only inside or behind a quotation."""
     if _STRONG.match(line):
         return not _ESCAPED_FROM.match(line)
-    return weak and bool(_PREFIX.match(line)) and not (_TABLE.match(line) and not line.startswith("| >"))
+    return weak and bool(_PREFIX.match(line)) and not (_TABLE.match(line) and not line.lstrip().startswith(("| >", "| |")))
 
 
 def _weak_run(lines: list[str], i: int) -> int:
@@ -70,7 +71,7 @@ def _weak_run(lines: list[str], i: int) -> int:
     while j < n and lines[j].lstrip()[:1] == mark and _PREFIX.match(lines[j]):
         j += 1
     run = lines[i:j]
-    if all(_TABLE.match(x) and len(x) > 1 for x in run) or (len(run) == 1 and (mark == "#" or len(run[0].split()) < 3)):
+    if all(_TABLE.match(x) and len(x) > 1 for x in run) or (len(run) == 1 and (mark == "#" or len(run[0].split()) < 2)):
         return 0
     return len(run)
 
@@ -129,13 +130,18 @@ def line_kinds(body: str) -> list[tuple[str, str]]:
     n = len(lines)
     kinds = [OWN] * n
     i, weak, indented = 0, False, False
-    signed = False
+    signed, before, seen = False, None, 0  # before: the last line above with anything on it
     while i < n:
         line = lines[i]
         bare = line.strip()
         if not bare:
             i += 1
             continue
+        for k in range(i - 1, seen - 1, -1):
+            if lines[k].strip():
+                before = k
+                break
+        seen = i
         first = bare[0]
         if first == "-" and bare.startswith("-----"):
             m = _PGP.match(bare)
@@ -206,10 +212,11 @@ def line_kinds(body: str) -> list[tuple[str, str]]:
             while k < n and (not lines[k].strip() or _CODE.match(lines[k])):
                 j = k + 1 if lines[k].strip() else j
                 k += 1
-            if indented or any(len(x.split()) >= _PROSE_WORDS for x in lines[i:j]):
+            behind_quote = before is not None and kinds[before] == QUOTE
+            if indented or behind_quote or any(len(x.split()) >= _PROSE_WORDS for x in lines[i:j]):
                 kinds[i:j] = [OWN if not x.strip() else QUOTE for x in lines[i:j]]
-                if lines[j - 1].strip() in _SCRIPT_END:
-                    while j > i and lines[j - 1].strip() and len(lines[j - 1].split()) < _PROSE_WORDS:
+                if lines[j - 1].strip() in _SCRIPT_END and _PLAIN_INDENT.match(lines[j - 1]):  # the sender's own script behind it
+                    while j > i and _PLAIN_INDENT.match(lines[j - 1]) and len(lines[j - 1].split()) < _PROSE_WORDS:
                         j -= 1
                         kinds[j] = OWN
                     j = k
