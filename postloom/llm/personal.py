@@ -46,7 +46,8 @@ _DOT = r"(?:\.|\s?\[dot\]\s?|\s?\(dot\)\s?|[ ]dot[ ])"
 _EMAIL = re.compile(rf"(?<![\w.+-])[\w][\w.+-]*(?:@|[ ]?\[at\][ ]?|[ ]?\(at\)[ ]?|[ ]at[ ](?=[\w-]+(?:[ ]dot[ ])))[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[A-Za-z]{{2,}}\b", re.I)
 _NUMBER = re.compile(
     r"(?<![\w./@#$-])(?:"
-    r"\+\d{1,3}(?:[ .-]?\(\d{1,5}\))?(?:[ .-]?\d{2,6}){2,4}"
+    r"\+44 \d{4} \d{6}|\+1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}"
+    r"|\+\d{1,3}(?:[ .-]?\(\d{1,5}\))?[ .-]?\d{2,5}(?:[ .-]?\d{3,6}){1,3}"
     r"|1[-. ]\d{3}[-. ]\d{3}[-. ]\d{4}"
     r"|\(\d{3,5}\)[ ]?\d{3}[-. ]\d{3,4}"
     r"|\d{3}[-. ]\d{3}[-. ]\d{4}"
@@ -63,6 +64,8 @@ _BEFORE = re.compile(r"([A-Za-z][\w.'-]*)[^\w\n]*$")
 _MARKS = re.compile(r"\n[ \t]*(?:(?:[A-Za-z]{0,4}>|[|:}])[ \t]*)*$")
 _ID_SHAPES = (re.compile(r"\d{3}([-. ])\d{2}\1\d{4}$|\d{9}$"), re.compile(r"\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])-\d{4}$"), re.compile(r"[A-Z]\d{3}-\d{4}-\d{4}$"), re.compile(r"[A-Z] ?\d{7}$"))
 
+_HEX_BEFORE, _HEX_AFTER = re.compile(r"\b[0-9A-F]{8}[\s>|:}]+$"), re.compile(r"[\s>|:}]+[0-9A-F]{8}\b")
+
 # Words that open sentences or close letters and are no part of a name.
 STOP = frozenset(
     """a an and as ask at are be been but by call can contact did do does each fax folks for from give greetings has have
@@ -246,11 +249,13 @@ def add_document(g: Graph, feats: Features, doc: int, text: str) -> None:
         value = m.group()
         if value[0] == "(" and ")" not in value:
             start, value = start + 1, value[1:]
+        shape = _digit_shape(value)
+        known = next((i for i, p in enumerate(_ID_SHAPES) if p.match(value)), -1)
+        if known == 3 and (_HEX_BEFORE.search(text[max(0, start - 12) : start]) or _HEX_AFTER.match(text[end : end + 12])):
+            continue  # one group of a fingerprint
         _node(g, doc, start, end, NUMBER, -1, re.sub(r"\D", "", value))
         out, cue = g.features, _cue(text, start)
         word = cue[1:]
-        shape = _digit_shape(value)
-        known = next((i for i, p in enumerate(_ID_SHAPES) if p.match(value)), -1)
         add(out, f"shape{shape}")
         add(out, f"id{known}")
         add(out, "reserved" + ("+" if re.search(r"555[-. ]?01\d\d|1632|7946 0", value) else "-") + str(known))
