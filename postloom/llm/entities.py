@@ -6,7 +6,7 @@ surname in the address), or the words of an organisation. Distinct identities ar
 token is indexed by its suffixes of a least length; a suffix that too many identities share is first refined
 by the other fields of the identity, and only a refined suffix that is still too common is left to the exact
 comparison of whole identities, which needs no blocks. Pairs of a block are compared by the ratio of their
-longest common subsequence.
+longest common subsequence, and those near enough must be one slip of the pen apart.
 
 Rows also belong together through one address, unless several people use it: an address is shared if any full
 name on it cannot be the same as its most frequent one. The classes are the connected components of all links.
@@ -60,6 +60,21 @@ def lcs_ratio(a: str, b: str) -> float:
     return 2 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
+def one_slip(a: str, b: str) -> bool:
+    """Equal, or apart by one letter missing, added, wrong, or by two neighbours swapped."""
+    if a == b:
+        return True
+    if abs(len(a) - len(b)) > 1:
+        return False
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    if len(a) != len(b):
+        short, long = sorted((a, b), key=len)
+        return short[i:] == long[i + 1 :]
+    return a[i + 1 :] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
+
+
 def _words(name: str) -> list[str]:
     name = unicodedata.normalize("NFKC", name).strip(" \"'\t")
     name = re.split(r"\s+[-–/|]\s+", name)[0]
@@ -162,12 +177,10 @@ def _score(kind: pd.Series, first_a: pd.Series, last_a: pd.Series, sure_a: pd.Se
     out = []
     for k, fa, la, sa, fb, lb, sb in zip(kind, first_a, last_a, sure_a, first_b, last_b, sure_b):
         last = lcs_ratio(la, lb)
-        if k == "org":
-            fits = fa == fb and last >= SURNAME_RATIO and not (sa and sb)
-        elif fa == fb:
-            fits = last >= SURNAME_RATIO and not (sa and sb)
+        if fa == fb:  # two spellings that are both sure are two entities
+            fits = last >= SURNAME_RATIO and one_slip(la, lb) and not (sa and sb)
         else:
-            fits = la == lb and _same_given(fa, fb)
+            fits = k == "person" and la == lb and _same_given(fa, fb) and one_slip(fa, fb)
         out.append(last + lcs_ratio(fa, fb) if fits else 0.0)
     return pd.Series(out, dtype="float64")
 
@@ -199,8 +212,9 @@ def link_senders(df: DataFrame, key: str = "sender_id", least: int = LEAST_SUFFI
     clash = on.join(main, "email").filter(~_fits("kind", "first", "last", F.col("m.kind"), F.col("m.first"), F.col("m.last"))).select("email").distinct()
     shared = cut(clash.withColumn("_shared", F.lit(True)))
     rows = cut(rows.join(broadcast_if_small(shared), "email", "left").withColumn("_shared", F.coalesce("_shared", F.lit(False))))
-    # Identities and the rows' ties to them and to addresses.
-    names = rows.filter("kind in ('person', 'org') and last <> ''").groupBy("kind", "first", "last").agg(F.max("supported").alias("supported"), F.count("*").alias("_n"), F.min("_key").alias("id"))
+    # Identities and the rows' ties to them and to addresses. A spelling is sure if an address holds it or if it
+    # comes from two sources; slips are written once.
+    names = rows.filter("kind in ('person', 'org') and last <> ''").groupBy("kind", "first", "last").agg((F.max("supported") | (F.count_distinct(F.coalesce("email", F.lit(""))) > 1)).alias("supported"), F.count("*").alias("_n"), F.min("_key").alias("id"))
     names = cut(names)
     blocks = suffix_blocks(names, least, block)
     pairs = blocks.alias("x").join(blocks.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
