@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,7 +31,23 @@ def local_session(cores: int | str = 8, memory: str = "12g", app: str = "postloo
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands this package to the executors' Python workers once a session, so that it need not be installed there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(os.path.join(root, "postloom")):  # not if it is already run from an archive
+        base = os.path.join(tempfile.mkdtemp(prefix="postloom-"), "postloom")
+        context.addPyFile(shutil.make_archive(base, "zip", root, "postloom"))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
