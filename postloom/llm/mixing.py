@@ -45,6 +45,7 @@ def mix_sources(docs: DataFrame, targets: DataFrame, key: str = "doc_id", total_
     wanted = docs.filter("source is not null and text is not null").join(named, "source", "left_semi")
     sizes = count_tokens(wanted.select(F.struct(F.col(key), F.col("source")).alias("_k"), "text"), "_k", "text", vocabulary)
     sizes = sizes.filter("n_tokens > 0").select(F.col(f"_k.{key}").alias(key), F.col("_k.source").alias("source"), "n_tokens", F.xxhash64(F.col(f"_k.{key}"), F.lit(seed)).alias("_draw"))
+    sizes = cut(sizes)  # the range sort samples its input; texts are tokenised once
     # The range sort: (source, draw) order over all partitions; the partition's number is written with the rows.
     ranged = sizes.repartitionByRange(max(2, partitions(spark)), "source", "_draw", key).sortWithinPartitions("source", "_draw", key)
     ranged = cut(ranged.withColumn("_part", F.spark_partition_id()))
