@@ -16,6 +16,8 @@ from postloom.runtime import broadcast_if_small
 SPAM_SUBJECTS = ("financial information", "urgent buy", "buy alert", "sizzler", "immediate cash", "cable descrambler", "save your life", "online business", "make money", "work from home", "mlm", "adult", "xxx")
 # Senders that are anonymous on purpose.
 ANONYMOUS = (r"^anonymous", r"^nobody@", r"^<>$", r"@nowhere", r"use-author-address-header", r"^0x[0-9a-f]+@", r"^[0-9a-f]{8}@")
+# Fixed value: a capital N between a name and a host.
+CAPITAL_N = r"([a-zA-Z0-9._-]+)N([a-zA-Z0-9.-]+\.[a-zA-Z]{2,})"
 
 NO_ADDRESS, DISGUISED = "NO_EMAIL_FOUND", "OBFUSCATED_EMAIL"
 
@@ -43,7 +45,7 @@ def is_anonymous(patterns: tuple[str, ...] = ANONYMOUS) -> Column:
 
 def undo_capital_n(from_raw: Column) -> Column:
     """A capital N written for the at sign."""
-    return F.regexp_replace(from_raw, r"([a-zA-Z0-9._-]+)N([a-zA-Z0-9.-]+\.[a-zA-Z]{2,})", "$1@$2")
+    return F.regexp_replace(from_raw, CAPITAL_N, "$1@$2")
 
 
 def resolve_senders(mails: DataFrame, known: DataFrame, patterns: tuple[str, ...] = ANONYMOUS) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from postloom.runtime import broadcast_if_small, cut
 
 # A code point no text may hold; it parts fields once commas inside quotes are out of the way. Real occurrences are escaped first.
-_SEP, _ESC = "﷐", "﷑"
+_SEP, _ESC = "\ufdd0", "\ufdd1"
 
 
 @dataclass(frozen=True)
@@ -56,7 +56,7 @@ REVIEW_RULES: tuple[Rule, ...] = (
     Rule("file", "string", lambda v, year: F.coalesce((v == F.concat(F.lit("cyp-"), year, F.lit(".txt"))) & v.rlike(r"^cyp-[0-9]{4}\.txt\z"), F.lit(False)), "not the file of its year", "year"),
     Rule("line", "bigint", lambda v: v.rlike(r"^0*[1-9][0-9]*\z"), "not a positive line number"),
     Rule("subject", "string", None, ""),
-    Rule("from_raw", "string", lambda v: ~v.rlike(r"[\x00-\x1f\x7f-\x9f�]"), "control or replacement character"),
+    Rule("from_raw", "string", lambda v: ~v.rlike(r"[\x00-\x1f\x7f-\x9f\ufffd]"), "control or replacement character"),
     Rule("flags", "array<string>", _flag_list, "not a list of known flags"),
 )
 

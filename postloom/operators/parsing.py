@@ -23,6 +23,9 @@ from postloom.functions.text import strip
 ADDRESS = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 # Bracketed words come first, and bare ones need white space around them, so that words holding them stay whole.
 DISGUISES = ((r"(?iU)\s*\[at\]\s*", "@"), (r"(?iU)\s*\[dot\]\s*", "."), (r"[A-Z](?=[a-z0-9.-]+\.[a-z]{2,})", "@"), (r"(?iU)\s+at\s+", "@"), (r"(?iU)\s+dot\s+", "."))
+# A name before an address in angle brackets, and one in round brackets behind an address.
+NAME_FIRST = r'\A"?([^"<]+?)"?(?U:\s*)<([^>]+)>\z'
+NAME_BEHIND = r"\A([^\s(]+@[^\s(]+)\s*\(([^)]+)\)\z"
 #: Bodies shorter than this are flagged.
 LEAST_BODY = 10
 
@@ -71,11 +74,10 @@ def sender(from_raw: Column) -> tuple[Column, Column, Column]:
     for pattern, put in DISGUISES:
         undone = F.regexp_replace(undone, pattern, put)
     hidden = F.regexp_extract(undone, ADDRESS, 0)
-    quoted, bracketed = r'\A"?([^"<]+?)"?(?U:\s*)<([^>]+)>\z', r"\A([^\s(]+@[^\s(]+)\s*\(([^)]+)\)\z"
-    first, second = F.regexp_extract(raw, quoted, 1), F.regexp_extract(raw, quoted, 2)
+    first, second = F.regexp_extract(raw, NAME_FIRST, 1), F.regexp_extract(raw, NAME_FIRST, 2)
     name = (
-        F.when(raw.rlike(quoted), F.when(first.contains("@"), strip(second)).otherwise(strip(first)))
-        .when(raw.rlike(bracketed), strip(F.regexp_extract(raw, bracketed, 2)))
+        F.when(raw.rlike(NAME_FIRST), F.when(first.contains("@"), strip(second)).otherwise(strip(first)))
+        .when(raw.rlike(NAME_BEHIND), strip(F.regexp_extract(raw, NAME_BEHIND, 2)))
         .otherwise(F.lit(None).cast("string"))
     )
     has, was = plain != "", hidden != ""
@@ -89,6 +91,7 @@ def sender(from_raw: Column) -> tuple[Column, Column, Column]:
     return F.when(raw == "", F.lit(None).cast("string")).when(has, name).when(was, F.lit(None).cast("string")).otherwise(raw), address, F.array_compact(F.array(flag))
 
 
+# The date inside a damaged header, and zone remarks at the end of one.
 _DAMAGED_DATE = re.compile(r"((?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),?\s+\d+\s+\w+\s+\d+\s+[\d:]+)")
 _ZONE_TAIL = re.compile(r"\s*[-+]\d{4}|\s*\([A-Z]{3,4}\)|\s*[A-Z]{3,4}$")
 # Layouts tried after the standard one, in order.
