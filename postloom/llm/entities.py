@@ -2,11 +2,12 @@
 
 A sender row is parsed into an identity: given name and surname of a person (order, titles, middle initials,
 affiliations, digits written for letters and nicknames are taken out; a misspelt surname is put right by the
-surname in the address), or the words of an organisation. Distinct identities are compared in blocks: every
-token is indexed by its suffixes of a least length; a suffix that too many identities share is first refined
-by the other fields of the identity, and only a refined suffix that is still too common is left to the exact
-comparison of whole identities, which needs no blocks. Pairs of a block are compared by the ratio of their
-longest common subsequence, and those near enough must be one slip of the pen apart.
+surname in the address), or the words of an organisation. Two identities can only be linked if one field is the
+same and the other one slip of the pen away, so distinct identities are compared in blocks of one equal field.
+In a block of too many, only those are compared whose other fields, whole or less one letter, coincide; any two
+words one slip apart do, so no pair is lost, and as few words are one letter from another, these blocks do not
+grow with the table. Pairs of a block are compared by the ratio of their longest common subsequence, and those
+near enough must be one slip apart.
 
 Rows also belong together through one address, unless several people use it: an address is shared if any full
 name on it cannot be the same as its most frequent one. The classes are the connected components of all links.
@@ -32,9 +33,10 @@ from postloom.llm.names import GIVEN, NICKNAMES, ORG_SHORT, ORG_WORDS, TITLES
 from postloom.operators.components import connected_components
 from postloom.runtime import broadcast_if_small, cut
 
-LEAST_SUFFIX = 4
-#: Identities that may share a suffix before it is refined, or a refined suffix before whole identities decide.
+#: Identities that may share a field and are all compared; above that, those whose other fields share a slip key.
 BLOCK = 200
+#: Modulus and base of the hashes of slip keys.
+_PRIME, _BASE = (1 << 61) - 1, 1_000_003
 SURNAME_RATIO = 0.8
 GIVEN_RATIO = 0.78
 
@@ -185,24 +187,40 @@ def _score(kind: pd.Series, first_a: pd.Series, last_a: pd.Series, sure_a: pd.Se
     return pd.Series(out, dtype="float64")
 
 
-def suffix_blocks(names: DataFrame, least: int = LEAST_SUFFIX, block: int = BLOCK) -> DataFrame:
-    """(id, block) of identities (id, kind, first, last): suffixes, the common ones refined by the other fields."""
-    tokens = names.select("id", "kind", F.explode(F.array(F.struct(F.lit("l").alias("part"), F.col("last").alias("token"), F.col("first").alias("other")), F.struct(F.lit("f").alias("part"), F.col("first").alias("token"), F.col("last").alias("other")))).alias("t")).select("id", "kind", "t.*")
-    tokens = tokens.filter((F.length("token") >= least) | (F.col("part") == "f"))
-    starts = F.sequence(F.lit(1), F.greatest(F.length("token") - least + 1, F.lit(1)))
-    suffixes = tokens.select("id", "other", "token", F.explode(F.transform(starts, lambda i: F.concat_ws("|", "kind", "part", F.expr("token").substr(i, F.length("token"))))).alias("key"))
-    common = lambda df: df.groupBy("key").agg(F.count("*").alias("_n")).filter(F.col("_n") > block).select("key", F.lit(True).alias("_many"))
-    first = suffixes.join(common(suffixes), "key", "left")
-    rare = first.filter("_many is null").select("id", "key")
-    refined = first.filter("_many").select("id", "token", "other", F.concat_ws("|", "key", F.substring("other", 1, 2)).alias("key"))
-    second = refined.join(common(refined), "key", "left")
-    rare2 = second.filter("_many is null").select("id", "key")
-    finest = second.filter("_many").select("id", F.concat_ws("|", "key", F.substring("other", 1, 5), F.substring("token", 1, 1)).alias("key"))
-    third = finest.join(common(finest), "key", "left_anti").select("id", "key")
-    return rare.unionByName(rare2).unionByName(third)
-
-
-def link_senders(df: DataFrame, key: str = "sender_id", least: int = LEAST_SUFFIX, block: int = BLOCK) -> DataFrame:
+def slip_keys(word: str) -> list[int]:
+    """Hashes of the word and of the word less any one letter, in linear time; words one slip apart share one at least.
+
+    A letter missing or added: the shorter word is the longer one less a letter. A wrong letter, or two neighbours
+    swapped: less one letter each, the words are equal.
+    """
+    powers, ends = [1], [0]  # hashes of the ends of the word, the shortest first
+    for c in reversed(word):
+        ends.append((ord(c) * powers[-1] + ends[-1]) % _PRIME)
+        powers.append(powers[-1] * _BASE % _PRIME)
+    out, start, n = {ends[-1]}, 0, len(word)
+    for i, c in enumerate(word):
+        out.add((start * powers[n - 1 - i] + ends[n - 1 - i]) % _PRIME)
+        start = (start * _BASE + ord(c)) % _PRIME
+    return list(out)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _slips(word: pd.Series) -> pd.Series:
+    return word.map(slip_keys)
+
+
+def field_blocks(names: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(id, key, slip) of identities (id, kind, first, last): an equal field, and a slip key of the other if too many share the field."""
+    field = lambda name, other: F.struct(F.xxhash64(F.lit(name), "kind", name).alias("key"), F.col(other).alias("other"))
+    fields = names.select("id", F.explode(F.array(field("first", "last"), field("last", "first"))).alias("t")).select("id", "t.*")
+    common = fields.groupBy("key").agg(F.count("*").alias("_n")).filter(F.col("_n") > block).select("key", F.lit(True).alias("_many"))
+    sized = fields.join(common, "key", "left")
+    few = sized.filter("_many is null").select("id", "key", F.lit(0).cast("bigint").alias("slip"))
+    many = sized.filter("_many").select("id", "key", F.explode(_slips("other")).alias("slip"))
+    return few.unionByName(many)
+
+
+def link_senders(df: DataFrame, key: str = "sender_id", block: int = BLOCK) -> DataFrame:
     """(key, entity) of every row; rows of one entity share its id. ``key`` must be a unique BIGINT."""
     rows = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("_key"), "from_raw", "from_name", "from_email").mapInArrow(_identities, "_key bigint, email string, kind string, first string, last string, supported boolean")
     rows = cut(rows)
@@ -216,8 +234,8 @@ def link_senders(df: DataFrame, key: str = "sender_id", least: int = LEAST_SUFFI
     # comes from two sources; slips are written once.
     names = rows.filter("kind in ('person', 'org') and last <> ''").groupBy("kind", "first", "last").agg((F.max("supported") | (F.count_distinct(F.coalesce("email", F.lit(""))) > 1)).alias("supported"), F.count("*").alias("_n"), F.min("_key").alias("id"))
     names = cut(names)
-    blocks = suffix_blocks(names, least, block)
-    pairs = blocks.alias("x").join(blocks.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    blocks = field_blocks(names, block)
+    pairs = blocks.alias("x").join(blocks.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.slip") == F.col("y.slip")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     side = lambda s: names.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("kind", "first", "last", "supported", "_n")])
     scored = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("score", _score("a_kind", "a_first", "a_last", "a_supported", "b_first", "b_last", "b_supported")).filter("score > 0 and a_kind = b_kind")
     scored = cut(scored)

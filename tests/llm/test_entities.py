@@ -1,8 +1,9 @@
+import itertools
 import random
 
 import pytest
 
-from postloom.llm.entities import entity_pairs, identity, lcs_ratio, link_senders
+from postloom.llm.entities import entity_pairs, identity, lcs_ratio, link_senders, one_slip, slip_keys
 from postloom.operators.components import connected_components
 
 
@@ -88,3 +89,23 @@ def test_nothing_to_link(spark, rows):
     df = spark.createDataFrame(rows, "sender_id long, from_raw string, from_name string, from_email string")
     assert entity_pairs(df).count() == 0
     assert link_senders(df).count() == sum(r[0] is not None for r in rows)
+
+
+def test_words_one_slip_apart_share_a_key():
+    words = ["".join(w) for n in range(5) for w in itertools.product("abc", repeat=n)]
+    keys = {w: set(slip_keys(w)) for w in words}
+    assert all(keys[a] & keys[b] for a in words for b in words if one_slip(a, b))
+    assert len(slip_keys("ab" * 100_000)) > 1
+
+
+def test_common_names_lose_no_slip(spark):
+    r = random.Random(8)
+    crowd = ["".join(r.choice("abcdefghijklmnoprstuvw") for _ in range(9)) for _ in range(300)]
+    surnames = crowd + ["kelms", "eklms", crowd[0][:4] + crowd[0][5:], "xz" + crowd[1][2:]]
+    names = [f"Gregory {w}" for w in surnames] + ["Walter Lee", "Wlater Lee", *(f"{w} Lee" for w in crowd[:250])]
+    df = spark.createDataFrame([(i, n, n, None) for i, n in enumerate(names)], "sender_id long, from_raw string, from_name string, from_email string")
+    want = {(300, 301), (0, 302), (304, 305)}
+    assert {(x.sender_a, x.sender_b) for x in entity_pairs(df).collect()} == want
+    for block in (1, 10_000):
+        of = {x.sender_id: x.entity for x in link_senders(df, block=block).collect()}
+        assert {(a, b) for a in of for b in of if a < b and of[a] == of[b]} == want
