@@ -37,6 +37,8 @@ from postloom.runtime import broadcast_if_small, cut
 BLOCK = 200
 #: Modulus and base of the hashes of slip keys.
 _PRIME, _BASE = (1 << 61) - 1, 1_000_003
+#: A spelling no address holds is a slip of one that comes from so many times its sources, however often it recurs.
+MANY = 4
 SURNAME_RATIO = 0.8
 GIVEN_RATIO = 0.78
 
@@ -231,16 +233,18 @@ def link_senders(df: DataFrame, key: str = "sender_id", block: int = BLOCK) -> D
     shared = cut(clash.withColumn("_shared", F.lit(True)))
     rows = cut(rows.join(broadcast_if_small(shared), "email", "left").withColumn("_shared", F.coalesce("_shared", F.lit(False))))
     # Identities and the rows' ties to them and to addresses. A spelling is sure if an address holds it or if it
-    # comes from two sources; slips are written once.
-    names = rows.filter("kind in ('person', 'org') and last <> ''").groupBy("kind", "first", "last").agg((F.max("supported") | (F.count_distinct(F.coalesce("email", F.lit(""))) > 1)).alias("supported"), F.count("*").alias("_n"), F.min("_key").alias("id"))
-    names = cut(names)
+    # comes from two sources, but beside one that comes from MANY times its sources only an address makes it so.
+    names = rows.filter("kind in ('person', 'org') and last <> ''").groupBy("kind", "first", "last").agg(F.max("supported").alias("held"), F.count_distinct(F.coalesce("email", F.lit(""))).alias("sources"), F.count("*").alias("_n"), F.min("_key").alias("id"))
+    names = cut(names.withColumn("supported", F.col("held") | (F.col("sources") > 1)))
     blocks = field_blocks(names, block)
     pairs = blocks.alias("x").join(blocks.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.slip") == F.col("y.slip")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    side = lambda s: names.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("kind", "first", "last", "supported", "_n")])
-    scored = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("score", _score("a_kind", "a_first", "a_last", "a_supported", "b_first", "b_last", "b_supported")).filter("score > 0 and a_kind = b_kind")
+    side = lambda s: names.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("kind", "first", "last", "supported", "held", "sources", "_n")])
+    beside = lambda s, o: F.col(f"{s}_held") | (F.col(f"{s}_supported") & (F.col(f"{s}_sources") * MANY > F.col(f"{o}_sources")))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("a_own", beside("a", "b")).withColumn("b_own", beside("b", "a"))
+    scored = both.withColumn("score", _score("a_kind", "a_first", "a_last", "a_own", "b_first", "b_last", "b_own")).filter("score > 0 and a_kind = b_kind")
     scored = cut(scored)
     # A spelling no address supports joins the best candidate only, so that it cannot bridge two people.
-    ranked = scored.select(F.col("a").alias("of"), F.col("b").alias("to"), "score", F.col("b_supported").alias("sure"), F.col("b__n").alias("n"), F.col("a_supported").alias("own")).unionByName(scored.select(F.col("b").alias("of"), F.col("a").alias("to"), "score", F.col("a_supported").alias("sure"), F.col("a__n").alias("n"), F.col("b_supported").alias("own")))
+    ranked = scored.select(F.col("a").alias("of"), F.col("b").alias("to"), "score", F.col("b_supported").alias("sure"), F.col("b__n").alias("n"), F.col("a_own").alias("own")).unionByName(scored.select(F.col("b").alias("of"), F.col("a").alias("to"), "score", F.col("a_supported").alias("sure"), F.col("a__n").alias("n"), F.col("b_own").alias("own")))
     best = ranked.filter("not own").groupBy("of").agg(F.max_by("to", F.struct("sure", "score", "n", -F.col("to"))).alias("to"))
     alike = best.select(F.col("of").alias("a"), F.col("to").alias("b"))
     ids = names.select("kind", "first", "last", "id")
