@@ -222,6 +222,28 @@ def field_blocks(names: DataFrame, block: int = BLOCK) -> DataFrame:
     return few.unionByName(many)
 
 
+def spelling_links(scored: DataFrame) -> DataFrame:
+    """(a, b): the links between spellings, from scored pairs (a, b, score, and of each side _supported, _own and __n).
+
+    Every spelling that is not sure joins its best candidate, so it leads to one sure spelling at most. Groups that
+    lead to none are one through all their pairs, and together join their best candidate outside, so that no two
+    sure spellings are bridged.
+    """
+    half = lambda x, y: scored.select(F.col(x).alias("of"), F.col(y).alias("to"), "score", F.col(f"{y}_supported").alias("sure"), F.col(f"{y}__n").alias("n"), F.col(f"{x}_own").alias("own"))
+    ranked = half("a", "b").unionByName(half("b", "a")).filter("not own")
+    best = cut(ranked.groupBy("of").agg(F.max_by(F.struct("to", "sure"), F.struct("sure", "score", "n", -F.col("to"))).alias("m")).select(F.col("of").alias("a"), F.col("m.to").alias("b"), F.col("m.sure").alias("sure")))
+    alike = best.select("a", "b")
+    group = connected_components(alike.select(F.explode(F.array("a", "b")).alias("node")), alike)
+    led = group.join(best.filter("sure").select(F.col("a").alias("node")), "node", "left_semi").select("component").distinct()
+    free = cut(group.join(led, "component", "left_anti").select(F.col("node").alias("of")))
+    around = cut(ranked.join(free, "of", "left_semi").join(free.select(F.col("of").alias("to"), F.lit(True).alias("inside")), "to", "left"))
+    among = around.filter("inside").select(F.col("of").alias("a"), F.col("to").alias("b"))
+    whole = connected_components(free.select(F.col("of").alias("node")), among)
+    out = around.filter("inside is null").join(whole, F.col("of") == F.col("node"))
+    joins = out.groupBy("component").agg(F.max_by(F.struct(F.col("of").alias("a"), F.col("to").alias("b")), F.struct("score", "n", -F.col("to"), -F.col("of"))).alias("m")).select("m.*")
+    return alike.unionByName(among).unionByName(joins)
+
+
 def link_senders(df: DataFrame, key: str = "sender_id", block: int = BLOCK) -> DataFrame:
     """(key, entity) of every row; rows of one entity share its id. ``key`` must be a unique BIGINT."""
     rows = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("_key"), "from_raw", "from_name", "from_email").mapInArrow(_identities, "_key bigint, email string, kind string, first string, last string, supported boolean")
@@ -243,10 +265,7 @@ def link_senders(df: DataFrame, key: str = "sender_id", block: int = BLOCK) -> D
     both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("a_own", beside("a", "b")).withColumn("b_own", beside("b", "a"))
     scored = both.withColumn("score", _score("a_kind", "a_first", "a_last", "a_own", "b_first", "b_last", "b_own")).filter("score > 0 and a_kind = b_kind")
     scored = cut(scored)
-    # A spelling no address supports joins the best candidate only, so that it cannot bridge two people.
-    ranked = scored.select(F.col("a").alias("of"), F.col("b").alias("to"), "score", F.col("b_supported").alias("sure"), F.col("b__n").alias("n"), F.col("a_own").alias("own")).unionByName(scored.select(F.col("b").alias("of"), F.col("a").alias("to"), "score", F.col("a_supported").alias("sure"), F.col("a__n").alias("n"), F.col("b_own").alias("own")))
-    best = ranked.filter("not own").groupBy("of").agg(F.max_by("to", F.struct("sure", "score", "n", -F.col("to"))).alias("to"))
-    alike = best.select(F.col("of").alias("a"), F.col("to").alias("b"))
+    alike = spelling_links(scored)
     ids = names.select("kind", "first", "last", "id")
     tied = rows.join(ids, ["kind", "first", "last"], "left")
     by_name = tied.filter("id is not null").select(F.col("_key").alias("a"), F.col("id").alias("b"))

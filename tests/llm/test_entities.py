@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from postloom.llm.entities import entity_pairs, identity, lcs_ratio, link_senders, one_slip, slip_keys
+from postloom.llm.entities import entity_pairs, identity, lcs_ratio, link_senders, one_slip, slip_keys, spelling_links
 from postloom.operators.components import connected_components
 
 
@@ -121,3 +121,30 @@ def test_repeated_slips_are_judged_beside_the_other_spelling(spark):
     of = {parts[x.sender_id][0].split()[1]: x.entity for x in link_senders(df).collect()}
     assert of["Hallwick"] == of["Hallwcik"]
     assert len(set(of.values())) == 7
+
+
+def test_spellings_none_of_which_is_sure_are_one(spark):
+    # The best partners alone pair these off: a letter added scores more than a wrong one.
+    row = ["Anders Hallwick", "Anders Hallwicks", "Anders Hallwock", "Anders Hallwocks"]
+    # Two sure spellings, each with a slip of its own, and a spelling between the slips: it may not bridge them.
+    sure = [("Bertil Stonehum", "stonehum@a.example"), ("Bertil Stonezem", "stonezem@b.example")]
+    slips = ["Bertil Stonehumm", "Bertil Stonehem"]
+    parts = [(n, None) for n in row] + sure + [(n, None) for n in slips]
+    df = spark.createDataFrame([(i, f"{n} <{e}>" if e else n, n, e) for i, (n, e) in enumerate(parts)], "sender_id long, from_raw string, from_name string, from_email string")
+    of = {parts[x.sender_id][0]: x.entity for x in link_senders(df).collect()}
+    assert len({of[n] for n in row}) == 1
+    assert of["Bertil Stonehum"] != of["Bertil Stonezem"] and of["Bertil Stonehumm"] == of["Bertil Stonehum"]
+
+
+def test_spelling_links_keep_all_pairs_but_bridge_no_sure_ones(spark):
+    def links(pairs, sure=()):
+        rows = [(a, b, score, a in sure, a in sure, 1, b in sure, b in sure, 1) for a, b, score in pairs]
+        df = spark.createDataFrame(rows, "a long, b long, score double, a_supported boolean, a_own boolean, a__n long, b_supported boolean, b_own boolean, b__n long")
+        nodes = spark.createDataFrame([(n,) for n in sorted({x for p in pairs for x in p[:2]})], "node long")
+        return {x.node: x.component for x in connected_components(nodes, spelling_links(df)).collect()}
+
+    # two couples of best partners, joined by a pair that is nobody's best
+    assert set(links([(1, 2, 1.9), (3, 4, 1.9), (2, 3, 1.8)]).values()) == {1}
+    # 1 and 6 are sure: 2 leads to 1, 5 to 6; the free couple 3, 4 joins the better side only
+    got = links([(1, 2, 1.9), (2, 3, 1.7), (3, 4, 1.9), (4, 5, 1.8), (5, 6, 1.9)], sure=(1, 6))
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3, 6: 3}
