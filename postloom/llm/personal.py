@@ -42,6 +42,9 @@ _SPLIT = re.compile(rf"({_CAP})(,?)({_GAP})?")
 _LOWER_WORD = re.compile(r"(?<![\w@./+-])[a-z]{2,12}\b")
 # Names that in small letters are mostly other words do not open a candidate.
 _LOWER_NAMES = (GIVEN | set(NICKNAMES)) - set("will rich bill pat sue sandy jack rob nick kit ray rose mark art ant dick gail kay meg nell bob ron theo tori drew al may june dan ben ed ken jen deb sally polly molly nat sam ted tim tom liz joe jon".split()) | {"jon"}
+_LOWER_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789'-")
+_LOWER_NEXT = re.compile(rf"{_GAP}([a-z]\.{_GAP})?[a-z][a-z0-9'-]+(?![\w@]|\.\w)")
+_LOWER_LAST = re.compile(rf"(?<![\w@./+-])[a-z][a-z0-9'-]+,{_GAP}$")
 _DOT = r"(?:\.|\s?\[dot\]\s?|\s?\(dot\)\s?|[ ]dot[ ])"
 _EMAIL = re.compile(rf"(?<![\w.+-])[\w][\w.+-]*(?:@|[ ]?\[at\][ ]?|[ ]?\(at\)[ ]?|[ ]at[ ](?=[\w-]+(?:[ ]dot[ ])))[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[A-Za-z]{{2,}}\b", re.I)
 _NUMBER = re.compile(
@@ -283,16 +286,37 @@ def add_document(g: Graph, feats: Features, doc: int, text: str) -> None:
     _skip_edges(g, first)
 
 
+def _before_gap(text: str, start: int) -> int:
+    """Where a word before a comma and a gap that ends at start may begin, start itself without such a comma; looks no further back."""
+    at = start
+    while at and text[at - 1] in " \t>|:}":
+        at -= 1
+        if text[at] == ">":
+            most = max(0, at - 4)
+            while at > most and text[at - 1].isascii() and text[at - 1].isalpha():
+                at -= 1
+    if at and text[at - 1] == "\n":
+        at -= 1
+        while at and text[at - 1] in " \t":
+            at -= 1
+    if not at or text[at - 1] != ",":
+        return start
+    at -= 1
+    while at and text[at - 1] in _LOWER_LETTERS:
+        at -= 1
+    return at
+
+
 def _lower_runs(text: str, start: int, end: int) -> list[tuple[str, int]]:
     """A given name in small letters with the word behind it, or with the word before its comma."""
     out = []
-    m = re.match(rf"{_GAP}([a-z]\.{_GAP})?[a-z][a-z0-9'-]+(?![\w@]|\.\w)", text[end : end + 60])
+    m = _LOWER_NEXT.match(text, end)
     if m:
-        out.append((text[start : end + m.end()], start))
-    m = re.search(rf"(?<![\w@./+-])[a-z][a-z0-9'-]+,{_GAP}$", text[max(0, start - 40) : start])
+        out.append((text[start : m.end()], start))
+    at = _before_gap(text, start)
+    m = _LOWER_LAST.search(text, at, start) if at < start else None
     if m:
-        at = max(0, start - 40) + m.start()
-        out.append((text[at:end], at))
+        out.append((text[m.start() : end], m.start()))
     return out
 
 

@@ -2,7 +2,7 @@ from collections import Counter
 
 import pytest
 
-from postloom.llm.personal import KINDS, add_document, find_items, fit, model, replace_items, Graph
+from postloom.llm.personal import KINDS, add_document, find_items, fit, model, replace_items, Graph, _lower_runs
 from postloom.llm.personal_training import examples
 
 
@@ -76,3 +76,15 @@ def test_frames_and_corner_cases(spark):
     clean = {r.pos: r.clean_text for r in replace_items(df).collect()}
     assert clean[1] is None and clean[2] == "" and clean[3] == "mail [EMAIL]" and "Merrowin" not in clean[4]
     assert find_items(df.limit(0)).count() == 0
+
+
+def test_small_letter_names_are_taken_whole():
+    word = "hallwick" * 12
+    for gap in (" ", "\n" + "> " * 40):
+        text = f"we met gregory{gap}{word} there"
+        assert _lower_runs(text, 7, 14) == [(f"gregory{gap}{word}", 7)]
+        text = f"we met {word},{gap}gregory"
+        start = len(text) - 7
+        assert _lower_runs(text, start, len(text)) == [(text[7:], 7)]
+    assert _lower_runs("a@hallwick, gregory", 12, 19) == []
+    assert _lower_runs("\n> > hallwick,\n> > gregory.", 19, 26) == [("hallwick,\n> > gregory", 5)]
