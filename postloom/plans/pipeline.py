@@ -9,8 +9,11 @@ from postloom.runtime import cut
 
 
 def clean_and_filter(mails: DataFrame, known: DataFrame, **rules) -> DataFrame:
-    """Stages B and C: resolved senders, without both kinds of spam."""
-    return spam.split_spam(spam.classify(cleaning.clean(mails, known), **rules))[0]
+    """Stages B and C: resolved senders, without both kinds of spam.
+
+    The parsed mails are written once, as Spark cannot plan these stages over the Python dates of the parser.
+    """
+    return spam.split_spam(spam.classify(cleaning.clean(cut(mails), known), **rules))[0]
 
 
 def classified_mails(mails: DataFrame) -> DataFrame:
