@@ -33,6 +33,7 @@ ONE_TASK = 1 << 20
 
 ROOT, OPEN, LOOP = 0, 1, 2
 _STEP = "node bigint, exit bigint, hops bigint, state int"
+NOWHERE = np.iinfo(np.int64).min  # no node has this number
 
 
 def contract(node: np.ndarray, exit_: np.ndarray, hops: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,6 +128,123 @@ def resolve_forest(links: DataFrame, span: int = SPAN, one_task: int = ONE_TASK)
     return done.select("node", F.when(rooted, F.col("exit")).alias("root"), F.when(rooted, F.col("hops")).otherwise(-1).cast("bigint").alias("depth"))
 
 
+def _ring(node: np.ndarray, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, loop) of the nodes on loops, of a table in which every chain ends in one."""
+    order = np.argsort(node)
+    node, up = node[order], np.searchsorted(node[order], parent[order])
+    at = up
+    for _ in range(len(node).bit_length()):
+        at = at[at]
+    on = np.unique(at)  # where chains are after more steps than there are nodes
+    least, at = node.copy(), up
+    for _ in range(len(on).bit_length()):
+        least, at = np.minimum(least, least[at]), at[at]
+    return node[on], least[on]
+
+
+def _rings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    got = [b for b in batches if b.num_rows]
+    if got:
+        node, parent = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in range(2))
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _ring(node, parent)], ["node", "loop"])
+
+
+def loops(stuck: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
+    """(node, loop) of the nodes that lie on a loop, loop being its least node.
+
+    stuck: (node, parent), the nodes on or below loops, each parent among them. Up to one_task of them are settled
+    by one task, more by pointer doubling with joins.
+    """
+    stuck = cut(stuck)
+    n = stuck.count()
+    if n <= one_task:
+        return cut(stuck.coalesce(1).mapInArrow(_rings, "node bigint, loop bigint"))
+    above = lambda df, *more: df.select(F.col("node").alias("up"), F.col("up").alias("_up"), *more)
+    at = stuck.select("node", F.col("parent").alias("up"))
+    for _ in range(n.bit_length()):
+        at = cut(at.join(above(at), "up").select("node", F.col("_up").alias("up")))
+    on = at.select(F.col("up").alias("node")).distinct()
+    ring = cut(stuck.join(on, "node", "left_semi").select("node", F.col("parent").alias("up"), F.col("node").alias("loop")))
+    for _ in range(n.bit_length()):
+        ring = cut(ring.join(above(ring, F.col("loop").alias("_loop")), "up").select("node", F.col("_up").alias("up"), F.least("loop", "_loop").alias("loop")))
+    return ring.select("node", "loop")
+
+
+# --- sums along the forest
+
+
+def sums_above(links: DataFrame, span: int = SPAN, one_task: int = ONE_TASK) -> DataFrame:
+    """(node, total): the weights of each node and all nodes above it, of a forest (node, parent, weight) without loops."""
+    top = F.col("parent").isNull()
+    start = links.select("node", F.coalesce("parent", "node").alias("exit"), F.col("weight").cast("bigint").alias("hops"), F.when(top, ROOT).otherwise(OPEN).alias("state"))
+    return _solve(start, span, None, one_task).select("node", F.col("hops").alias("total"))
+
+
+_SUMS = "node bigint, parent bigint, weight bigint, exit bigint, total bigint, top boolean"
+
+
+def _sum_fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each node the sum of its fragment's nodes at and below it, and the node through which its chain leaves the fragment."""
+    got = [b for b in batches if b.num_rows]
+    if not got:
+        return
+    frag, node, parent, weight = (np.concatenate([pc.fill_null(b.column(i), NOWHERE).to_numpy(zero_copy_only=False) for b in got]) for i in range(4))
+    order = np.lexsort((node, frag))
+    frag, node, parent, weight = frag[order], node[order], parent[order], weight[order]
+    for part in np.split(np.arange(len(node)), np.flatnonzero(np.diff(frag)) + 1):
+        own, up = node[part], parent[part]
+        root = up == NOWHERE
+        state = np.where(root, ROOT, OPEN)
+        exit_, hops, state = contract(own, np.where(root, own, up), np.where(root, 0, 1), state)
+        at = np.searchsorted(own, up)
+        at[at == len(own)] = 0
+        inside = ~root & (own[at] == up)
+        total = weight[part].tolist()
+        above = np.where(inside, at, -1).tolist()
+        for i in np.argsort(-hops, kind="stable").tolist():  # the farthest from the top first
+            if above[i] >= 0:
+                total[above[i]] += total[i]
+        left = state == OPEN
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(own), pa.array(up, mask=root), pa.array(weight[part]), pa.array(exit_, mask=~left), pa.array(total, pa.int64()), pa.array(left & ~inside)],
+            ["node", "parent", "weight", "exit", "total", "top"],
+        )
+
+
+def _doubled_sums(links: DataFrame, n: int) -> DataFrame:
+    """Sums below by pointer doubling with joins: each round adds the nodes twice as far below."""
+    at = links.select("node", F.col("parent").alias("up"), F.col("weight").alias("total"))
+    for _ in range(n.bit_length()):
+        if not at.filter("up is not null").take(1):
+            break
+        lower = at.filter("up is not null").groupBy(F.col("up").alias("node")).agg(F.sum("total").alias("_more"))
+        above = at.select(F.col("node").alias("up"), F.col("up").alias("_up"))
+        at = cut(at.join(lower, "node", "left").join(above, "up", "left").select("node", F.col("_up").alias("up"), (F.col("total") + F.coalesce("_more", F.lit(0))).alias("total")))
+    return at.select("node", "total")
+
+
+def sums_below(links: DataFrame, span: int = SPAN, one_task: int = ONE_TASK, n: int | None = None) -> DataFrame:
+    """(node, total): the weights of each node and all nodes below it, of a forest (node, parent, weight) without loops.
+
+    Fragments sum what they hold; what leaves a fragment is one number for each node it leaves through, and these
+    nodes form the quotient forest, solved the same way. Linear in the nodes, whatever the depth.
+    """
+    whole = n is not None and n <= one_task
+    frag = (F.lit(0) if whole else F.floor(F.col("node") / F.lit(span))).cast("bigint").alias("frag")
+    summed = lambda df: df.select(frag, "node", "parent", F.col("weight").cast("bigint").alias("weight")).repartition("frag").mapInArrow(_sum_fragments, _SUMS)
+    local = cut(summed(links))
+    direct = cut(local.filter("top").groupBy(F.col("exit").alias("node")).agg(F.sum("total").alias("weight")))
+    left = direct.count()
+    if not left:
+        return local.select("node", "total")
+    quotient = cut(local.drop("weight").join(broadcast_if_small(direct), "node").select("node", F.col("exit").alias("parent"), "weight"))
+    before = n if n is not None else local.count()
+    into = _doubled_sums(quotient, left) if left > one_task and left > 0.7 * before else sums_below(quotient, span * WIDEN, one_task, left)
+    into = cut(into.select("node", F.col("total").alias("_into")))
+    again = local.select("node", "parent", "weight").join(broadcast_if_small(into), "node", "left")
+    return cut(summed(again.select("node", "parent", (F.col("weight") + F.coalesce("_into", F.lit(0))).alias("weight")))).select("node", "total")
+
+
 def message_nodes(emails: DataFrame) -> DataFrame:
     """(message_id, node): each distinct non-empty message id with the least pos of its rows, which is unique.
 
@@ -160,30 +278,30 @@ def message_hierarchy(emails: DataFrame, span: int = SPAN, one_task: int = ONE_T
 
 #: Path elements in one Arrow batch that a task hands on.
 PATH_BATCH = 200_000
-NOWHERE = np.iinfo(np.int64).min  # no node has this number
-_PATH = "node bigint, exit bigint, path array<bigint>"
+_PATH = "node bigint, exit bigint, path array<string>"
 
 
 def _local_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each node its chain inside the fragment (topmost first) and the parent outside, NULL if the chain ends at a root. Nodes on loops are not in the input."""
+    """For each node the names of its chain inside the fragment (topmost first) and the parent outside, NULL if the chain ends at a root. Nodes on loops are not in the input."""
     got = [b for b in batches if b.num_rows]
     if not got:
         return
     frag, node, parent = (np.concatenate([pc.fill_null(b.column(i), NOWHERE).to_numpy(zero_copy_only=False) for b in got]) for i in range(3))
+    name = np.concatenate([b.column(3).to_numpy(zero_copy_only=False) for b in got])
     order = np.lexsort((node, frag))
-    frag, node, parent = frag[order], node[order], parent[order]
+    frag, node, parent, name = frag[order], node[order], parent[order], name[order]
     nodes, exits, paths, held = [], [], [], 0
 
     def flush():
-        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(exits, pa.int64()), pa.array(paths, pa.list_(pa.int64()))], ["node", "exit", "path"])
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(exits, pa.int64()), pa.array(paths, pa.list_(pa.string()))], ["node", "exit", "path"])
 
     for part in np.split(np.arange(len(node)), np.flatnonzero(np.diff(frag)) + 1):
-        up = dict(zip(node[part].tolist(), parent[part].tolist()))
+        up = dict(zip(node[part].tolist(), zip(parent[part].tolist(), name[part].tolist())))
         for x in up:
-            path, at = [x], up[x]
+            path, at = [], x
             while at in up:
-                path.append(at)
-                at = up[at]
+                at, word = up[at]
+                path.append(word)
             nodes.append(x)
             exits.append(at if at != NOWHERE else None)
             paths.append(path[::-1])
@@ -195,15 +313,14 @@ def _local_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def expand_paths(links: DataFrame, solved: DataFrame, span: int = SPAN) -> DataFrame:
-    """(node, path): the nodes from the root down to the node, for all nodes that have a root.
+def expand_paths(forest: DataFrame, span: int = SPAN) -> DataFrame:
+    """(node, path): the names from the root down to the node, of a forest (node, parent, name) without loops.
 
     The output is as large as the sum of all depths. Fragment-local chains are joined to the paths of the nodes
-    they leave through, one crossing of a fragment border at a time.
+    they leave through; these grow as well, so the part of a chain that is known doubles with each round.
     """
-    sound = links.join(solved.filter("root is not null").select("node"), "node", "left_semi")
     frag = F.floor(F.col("node") / F.lit(span)).cast("bigint").alias("frag")
-    local = cut(sound.select(frag, "node", "parent").repartition("frag").mapInArrow(_local_paths, _PATH))
+    local = cut(forest.select(frag, "node", "parent", "name").repartition("frag").mapInArrow(_local_paths, _PATH))
     while local.filter("exit is not null").take(1):
         up = local.select(F.col("node").alias("exit"), F.col("exit").alias("_exit"), F.col("path").alias("_path"))
         # Only paths that others leave through travel in the join.
@@ -213,30 +330,26 @@ def expand_paths(links: DataFrame, solved: DataFrame, span: int = SPAN) -> DataF
     return local.select("node", "path")
 
 
-def message_paths(emails: DataFrame, span: int = SPAN) -> DataFrame:
-    """(message_id, root_id, node_depth, path, n_descendants): path holds the message ids from the root down, joined by spaces."""
+def _message_forest(emails: DataFrame, span: int) -> tuple[DataFrame, DataFrame]:
+    """(nodes with root and depth, the forest (node, parent, name) of those that have a root)."""
     nodes = cut(message_nodes(emails.select("pos", "message_id")))
     links = cut(message_links(emails.select("message_id", "parent_id", "children_ids"), nodes))
-    solved = cut(resolve_forest(links, span))
-    closure = closure_of(links, solved, span)
-    names = nodes.select(F.col("node").alias("ancestor"), F.col("message_id").alias("ancestor_id"))
-    paths = closure.join(names, "ancestor").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.col("distance"), F.col("ancestor_id")))).alias("steps"))
-    paths = paths.select("node", F.array_join(F.reverse(F.transform("steps", lambda s: s["ancestor_id"])), " ").alias("path"), F.element_at("steps", -1)["ancestor_id"].alias("root_id"))
-    below = closure.filter("distance > 0").groupBy("ancestor").agg(F.count("*").alias("n_descendants"))
-    out = nodes.join(solved, "node").join(paths, "node", "left").join(below, F.col("node") == F.col("ancestor"), "left")
-    return out.select("message_id", F.coalesce("root_id", F.lit("")).alias("root_id"), F.col("depth").alias("node_depth"), F.coalesce("path", F.lit("")).alias("path"), F.coalesce("n_descendants", F.lit(0).cast("bigint")).alias("n_descendants"))
+    solved = cut(nodes.join(resolve_forest(links, span), "node"))
+    forest = links.join(solved.filter("root is not null").select("node", F.col("message_id").alias("name")), "node")
+    return solved, cut(forest)
 
 
-def closure_of(links: DataFrame, solved: DataFrame, span: int = SPAN) -> DataFrame:
-    """(node, ancestor, distance): every node with itself and each of its ancestors; read by ancestor it lists all descendants."""
-    paths = expand_paths(links, solved, span)
-    return paths.select("node", F.size("path").alias("_n"), F.posexplode("path").alias("_at", "ancestor")).select("node", "ancestor", (F.col("_n") - 1 - F.col("_at")).cast("bigint").alias("distance"))
+def message_paths(emails: DataFrame, span: int = SPAN) -> DataFrame:
+    """(message_id, root_id, node_depth, path, n_descendants): path holds the message ids from the root down, joined by spaces."""
+    solved, forest = _message_forest(emails, span)
+    paths = expand_paths(forest, span).select("node", F.element_at("path", 1).alias("root_id"), F.array_join("path", " ").alias("path"))
+    below = sums_below(forest.select("node", "parent", F.lit(1).alias("weight")), span).select("node", (F.col("total") - 1).alias("n_descendants"))
+    out = solved.join(paths, "node", "left").join(below, "node", "left")
+    return out.select("message_id", F.coalesce("root_id", F.lit("")).alias("root_id"), F.col("depth").alias("node_depth"), F.coalesce("path", F.lit("")).alias("path"), F.coalesce("n_descendants", F.lit(0).cast("bigint")).alias("n_descendants"))
 
 
 def message_descendants(emails: DataFrame, span: int = SPAN) -> DataFrame:
     """(ancestor_id, message_id, distance) for every pair of a message and one of its ancestors, distance 1 and more."""
-    nodes = cut(message_nodes(emails.select("pos", "message_id")))
-    links = cut(message_links(emails.select("message_id", "parent_id", "children_ids"), nodes))
-    closure = closure_of(links, cut(resolve_forest(links, span)), span).filter("distance > 0")
-    names = nodes.select(F.col("node").alias("ancestor"), F.col("message_id").alias("ancestor_id"))
-    return closure.join(names, "ancestor").join(nodes, "node").select("ancestor_id", "message_id", "distance")
+    paths = expand_paths(_message_forest(emails, span)[1], span)
+    steps = paths.select(F.element_at("path", -1).alias("message_id"), F.size("path").alias("_n"), F.posexplode("path").alias("_at", "ancestor_id"))
+    return steps.select("ancestor_id", "message_id", (F.col("_n") - 1 - F.col("_at")).cast("bigint").alias("distance")).filter("distance > 0")

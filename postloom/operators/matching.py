@@ -1,28 +1,33 @@
 """Parents for mails that headers leave without one: by subject, by quoted lines, by nearness in time.
 
 All three choose from the state before they run (a snapshot), so that the choice is a function of the data and
-not of the order of processing, and every choice is a window over bounded time slices: a subject or a line that
-a third of all mails share is cut into slices of SLICE days, and a mail looks into its own slice and the one
-before it; older mails are represented by the single earliest one. No pairs inside a group are ever formed.
-
-Links that would close a loop are dropped after the match by ``drop_loops``.
-
-Defined results: mails with an empty normalized subject are not matched by subject; where one of two dates is
-unknown the candidate is admitted and time gives no points; of equal scores the earliest candidate wins, by
-(date string, pos); copies of a mail are never its own parent.
+not of the order of processing. Candidates are looked for by place in the sorted sequence of a subject or a line
+(``ordered.next_after``): for each orphan and each range of gaps the earliest one, and where that one is ruled
+out, the next behind it. No pairs inside a group are ever formed, and a subject or a line that a third of all
+mails share is spread over many tasks.
+
+Loops: of the links that lie on one loop, the one of the latest mail is taken out. ``match_by_subject`` with
+``loop_free`` then tries that mail's next candidate, round by round, until no loop is left; the other two leave
+the mail without a link (``drop_loops``).
+
+Defined results: mails with an empty normalized subject are not matched by subject; mails without a message id
+are no candidates, as nothing can refer to them; where one of two dates is unknown the candidate is admitted and
+time gives no points; of equal scores the earliest candidate wins, by (date string, pos) for subjects, by (place
+of the quoted line, date, pos) for quotations, unknown dates last; copies of a mail are never its own parent.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.text import local_seconds, normalize_for_matching, strip
 from postloom.operators import replies
 from postloom.operators.components import connected_components
-from postloom.operators.hierarchy import resolve_forest
+from postloom.operators.hierarchy import loops, resolve_forest
+from postloom.operators.ordered import next_after, place
 from postloom.runtime import broadcast_if_small, cut, filled
 
 DAY = 86_400
@@ -42,38 +47,47 @@ def gap_points(gap: Column) -> Column:
     return F.when(gap.isNotNull(), points).otherwise(0)
 
 
-def first_at_or_after(probes: DataFrame, sources: DataFrame, by: list[str], width: int = SLICE) -> DataFrame:
-    """(probe, cell): for each probe (*by, probe, at) the source (*by, ts, cell) with the least ts >= at that lies less than ``width`` later.
+def candidates(probes: DataFrame, sources: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(candidates, cells): for each probe, group and range of gaps the earliest source of another id.
 
-    One running pass over rows sorted by time, latest first, in slices of ``width``; the cost is that of the sort.
-    Cells must order as sources do at equal times.
+    probes: (*by, probe struct with pos, id and ts); sources: (*by, ts, key, pos, value struct with id). A dated
+    probe asks four ranges of dated sources and the undated ones; a probe without a date asks all. candidates has
+    ``probe``, ``cell`` and, for ``behind``, the group in ``group`` and the range's end in ``upto``.
     """
-    cell, probe = sources.schema["cell"].dataType, probes.schema["probe"].dataType
-    slice_of = lambda c: F.floor(F.col(c) / width).cast("bigint")
-    # A source stands in its own slice and in the one before, where probes that look across the border find it.
-    seen = sources.select(*by, F.col("ts").alias("at"), "cell", F.lit(None).cast(probe).alias("probe"), F.explode(F.array(slice_of("ts"), slice_of("ts") - 1)).alias("_slice"))
-    look = probes.select(*by, "at", F.lit(None).cast(cell).alias("cell"), "probe", slice_of("at").alias("_slice"))
-    order = Window.partitionBy(*by, "_slice").orderBy(F.desc("at"), F.col("probe").isNotNull(), F.desc("cell")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = seen.unionByName(look).withColumn("_found", F.last("cell", ignorenulls=True).over(order))
-    return found.filter("probe is not null and _found is not null").select("probe", F.col("_found").alias("cell"))
+    undated = probes.filter("probe.ts is null").select(*by).distinct()
+    cell = F.struct("ts", "key", "pos", "value").alias("cell")
+    timed = F.col("ts").isNotNull()
+    own = sources.select(*by, F.when(timed, "dated").otherwise("undated").alias("_kind"), place(F.coalesce("ts", F.lit(0)), F.col("key"), F.col("pos")).alias("at"), cell)
+    any_ = sources.join(broadcast_if_small(cut(undated)), by, "left_semi").select(*by, F.lit("any").alias("_kind"), place(F.lit(0), F.col("key"), F.col("pos")).alias("at"), cell)
+    cells = cut(own.unionByName(any_))
+    ts, first, last = F.col("probe.ts"), -(2**62), 2**62
+    look = lambda kind, low, high: F.struct(F.lit(kind).alias("kind"), place(low).alias("at"), high.cast("bigint").alias("upto"))
+    ranges, upper = [], 1
+    for limit, _ in GAPS:
+        ranges.append(look("dated", ts - (limit - 1), ts - upper))
+        upper = limit
+    ranges += [look("dated", F.lit(first), ts - upper), look("undated", F.lit(first), F.lit(last))]
+    asked = F.when(ts.isNotNull(), F.array(*ranges)).otherwise(F.array(look("any", F.lit(first), F.lit(last))))
+    group = F.struct(*by, F.col("w.kind").alias("_kind")).alias("group")
+    asks = probes.select(*by, "probe", F.explode(asked).alias("w")).select(group, F.col("w.at").alias("at"), F.col("w.upto").alias("upto"), "probe")
+    found = _ask(asks, cells, by)
+    # A copy of the mail itself makes way for the source behind it.
+    while found.filter("cell.value.id = probe.id").take(1):
+        self_ = F.col("cell.value.id") == F.col("probe.id")
+        found = cut(found.filter(~self_).unionByName(behind(found.filter(self_), cells, by)))
+    return found, cells
 
 
-def earliest_in_gaps(probes: DataFrame, sources: DataFrame, by: list[str]) -> DataFrame:
-    """For each probe and each gap range the earliest source before it under the same key columns.
+def _ask(asks: DataFrame, cells: DataFrame, by: list[str]) -> DataFrame:
+    probes = asks.select("group.*", "at", F.struct("probe", "group", "upto").alias("probe"))
+    near = next_after(probes, cells, [*by, "_kind"])
+    return cut(near.filter(F.coalesce("cell.ts", F.lit(0)) <= F.col("probe.upto")).select("probe.*", "cell"))
 
-    probes: (*by, probe, ts); sources: (*by, ts, key, pos, value). Returns (probe, value, source_ts, key, pos),
-    at most one row for each probe and gap range. Dated probes and sources only.
-    """
-    cells = sources.select(*by, "ts", F.struct("ts", "key", "pos", "value").alias("cell"))
-    looks, upper = [], 1
-    for limit, _ in GAPS:
-        looks.append(F.struct((F.col("ts") - (limit - 1)).alias("at"), (F.col("ts") - upper).alias("to")))
-        upper = limit
-    asked = probes.select(*by, "probe", F.explode(F.array(*looks)).alias("w")).select(*by, F.struct("probe", F.col("w.to").alias("to")).alias("probe"), F.col("w.at").alias("at"))
-    near = first_at_or_after(asked, cells, by).filter(F.col("cell.ts") <= F.col("probe.to")).select(F.col("probe.probe").alias("probe"), "cell")
-    first = cells.groupBy(*by).agg(F.min("cell").alias("cell"))
-    old = probes.join(first, by).filter(F.col("cell.ts") <= F.col("ts") - SLICE).select("probe", "cell")
-    return near.unionByName(old).select("probe", F.col("cell.value").alias("value"), F.col("cell.ts").alias("source_ts"), F.col("cell.key").alias("key"), F.col("cell.pos").alias("pos"))
+
+def behind(taken: DataFrame, cells: DataFrame, by: list[str]) -> DataFrame:
+    """The candidates that follow those in ``taken`` within their ranges."""
+    ts = F.when(F.col("group._kind") == "dated", F.col("cell.ts")).otherwise(0)
+    return _ask(taken.select("group", place(ts, F.col("cell.key"), F.col("cell.pos")).alias("at"), "upto", "probe"), cells, by)
 
 
 def _states(classified: DataFrame) -> DataFrame:
@@ -85,30 +99,91 @@ def _states(classified: DataFrame) -> DataFrame:
     return thin.withColumn("base", base).drop("_parent", "parent_id")
 
 
-def match_by_subject(classified: DataFrame) -> DataFrame:
-    """(pos, parent_id, match_score, gap_seconds) of every orphan reply that finds a parent under its subject."""
+_GROUP = ["normalized_subject", "base"]
+
+
+def _best(found: DataFrame) -> DataFrame:
+    """The candidate of most points of each probe, with its columns ``probe``, ``cell`` and the rest as ``m``."""
+    score = F.col("cell.value.base") + gap_points(F.col("probe.ts") - F.col("cell.ts"))
+    order = F.struct((-score).alias("s"), F.col("cell.key").alias("k"), F.col("cell.pos").alias("p"))
+    best = found.groupBy(F.col("probe.pos").alias("pos")).agg(F.min_by(F.struct("probe", "group", "upto", "cell", score.cast("int").alias("score")), order).alias("m"))
+    return best.select("pos", F.col("m.cell.value.message_id").alias("parent_id"), F.col("m.score").alias("match_score"), (F.col("m.probe.ts") - F.col("m.cell.ts")).alias("gap_seconds"), "m")
+
+
+def _subject_candidates(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     states = cut(_states(classified))
-    value = F.struct("id", "message_id", "base").alias("value")
-    orphans = states.filter("orphan_status = 'orphan_reply'").select("normalized_subject", F.struct("pos", "id", "ts").alias("probe"), "ts")
-    sources = states.select("normalized_subject", "base", "ts", "key", "pos", value)
-    dated, classes = sources.filter("ts is not null"), sources.select("normalized_subject", "base").distinct()
-    look = orphans.filter("ts is not null").join(classes, "normalized_subject")
-    hits = earliest_in_gaps(look.select("normalized_subject", "base", "probe", "ts"), dated, ["normalized_subject", "base"])
-    # Without a date on either side only the state counts: the first candidate of each class, and the first of another id.
-    def firsts(df: DataFrame) -> DataFrame:
-        cell = F.struct("key", "pos", "value", "ts")
-        one = df.groupBy("normalized_subject", "base").agg(F.min(cell).alias("f"))
-        two = df.join(one, ["normalized_subject", "base"]).filter(F.col("value.id") != F.col("f.value.id")).groupBy("normalized_subject", "base").agg(F.min(cell).alias("f"))
-        return one.unionByName(two).select("normalized_subject", F.col("f.value").alias("value"), F.col("f.key").alias("key"), F.col("f.pos").alias("pos"))
-
-    undated = orphans.filter("ts is not null").select("normalized_subject", "probe").join(firsts(sources.filter("ts is null")), "normalized_subject")
-    blind = orphans.filter("ts is null").select("normalized_subject", "probe").join(firsts(sources), "normalized_subject")
-    free = undated.unionByName(blind).select("probe", "value", F.lit(None).cast("bigint").alias("source_ts"), "key", "pos")
-    found = hits.unionByName(free).filter(F.col("value.id") != F.col("probe.id"))
-    gap = F.col("probe.ts") - F.col("source_ts")
-    scored = found.withColumn("gap_seconds", gap).withColumn("score", F.col("value.base") + gap_points(F.col("gap_seconds")))
-    best = scored.groupBy(F.col("probe.pos").alias("pos")).agg(F.min_by(F.struct("value", "score", "gap_seconds"), F.struct((-F.col("score")).alias("s"), F.col("key"), F.col("pos").alias("p"))).alias("b"))
-    return best.select("pos", F.col("b.value.message_id").alias("parent_id"), F.col("b.score").cast("int").alias("match_score"), F.col("b.gap_seconds").alias("gap_seconds")).filter(filled("parent_id"))
+    sources = states.filter(filled("message_id")).select(*_GROUP, "ts", "key", "pos", F.struct("id", "message_id", "base", F.col("orphan_status").alias("status")).alias("value"))
+    orphans = states.filter("orphan_status = 'orphan_reply'").select("normalized_subject", F.struct("pos", "id", "ts").alias("probe"))
+    classes = sources.select(*_GROUP).distinct()  # a subject has at most a handful of point classes
+    return candidates(orphans.join(classes, "normalized_subject"), sources, _GROUP)
+
+
+_LINK = ("pos", "parent_id", "match_score", "gap_seconds")
+
+
+def match_by_subject(classified: DataFrame, loop_free: bool = False) -> DataFrame:
+    """(pos, parent_id, match_score, gap_seconds) of every orphan reply that finds a parent under its subject.
+
+    loop_free: a link that closes a loop gives way to the mail's next candidate.
+    """
+    return match_with_rejections(classified)[0] if loop_free else _best(_subject_candidates(classified)[0]).select(*_LINK)
+
+
+def match_with_rejections(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links without loops, (pos, parent_id) of the candidates rejected on the way)."""
+    found, cells = _subject_candidates(classified)
+    forest = cut(_forest(classified))
+    rejected = None
+    while True:
+        best = cut(_best(found))
+        closing = cut(closing_links(forest, best.select("pos", "parent_id")))
+        if not closing.take(1):
+            none = best.filter(F.lit(False)).select("pos", "parent_id")
+            return best.select(*_LINK), none if rejected is None else rejected
+        out = best.join(broadcast_if_small(closing), "pos", "left_semi")
+        rejected = cut((out if rejected is None else rejected.unionByName(out.select("pos", "parent_id"))).select("pos", "parent_id"))
+        taken = cut(out.select("m.probe", "m.group", "m.upto", "m.cell"))
+        gone = taken.select(F.col("probe.pos").alias("_pos"), F.col("group").alias("_group"), F.col("upto").alias("_upto"))
+        same = (F.col("probe.pos") == F.col("_pos")) & (F.col("group") == F.col("_group")) & (F.col("upto") == F.col("_upto"))
+        next_ = behind(taken, cells, _GROUP)
+        while next_.filter("cell.value.id = probe.id").take(1):
+            self_ = F.col("cell.value.id") == F.col("probe.id")
+            next_ = cut(next_.filter(~self_).unionByName(behind(next_.filter(self_), cells, _GROUP)))
+        found = cut(found.join(broadcast_if_small(gone), same, "left_anti").unionByName(next_))
+
+
+def link_kinds(classified: DataFrame, links: DataFrame) -> DataFrame:
+    """(to_kind, n) of links: to a root, to a mail that then has several children, or to one link of a chain.
+
+    Links count one after another by pos: a mail has several children from the second link to it on, those that
+    headers gave it included. Only counts of each parent are compared, its first two links told from the rest.
+    """
+    by_header = replies.children_of(classified).select(F.col("message_id").alias("parent_id"), F.col("n_children").alias("_had"))
+    last = classified.filter(filled("message_id")).groupBy("message_id").agg(F.max_by("orphan_status", "pos").alias("_status"))
+    to = links.groupBy("parent_id").agg(F.count("*").alias("_n")).join(by_header, "parent_id", "left")
+    to = to.join(last.withColumnRenamed("message_id", "parent_id"), "parent_id").withColumn("_had", F.coalesce("_had", F.lit(0)))
+    root = F.col("_status") == "true_root"
+    first = F.when(root | (F.col("_had") > 0), 0).otherwise(1)  # the first link to a mail without children
+    kinds = to.select(F.explode(F.array(F.struct(F.lit("to_root").alias("k"), F.when(root, F.col("_n")).otherwise(0).alias("n")), F.struct(F.lit("to_parent").alias("k"), F.when(root, 0).otherwise(F.col("_n") - first).alias("n")), F.struct(F.lit("to_chain").alias("k"), F.when(root, 0).otherwise(first).alias("n")))).alias("x"))
+    return kinds.groupBy(F.col("x.k").alias("to_kind")).agg(F.sum("x.n").alias("n")).filter("n > 0")
+
+
+def subject_match_stats(classified: DataFrame) -> DataFrame:
+    """One row: orphans before, matched and unmatched, candidates rejected because they close a loop, roots and children after."""
+    links, rejected = match_with_rejections(classified)
+    return _one_row(
+        classified.agg(F.count("*").alias("total_emails"), F.count_if(F.col("orphan_status") == "orphan_reply").alias("orphans_before"), F.count_if(F.col("parent_id").isNull()).alias("_roots")),
+        links.agg(F.count("*").alias("orphans_matched")),
+        rejected.agg(F.count("*").alias("cycles_prevented")),
+    ).select("total_emails", "orphans_before", "orphans_matched", (F.col("orphans_before") - F.col("orphans_matched")).alias("orphans_unmatched"), "cycles_prevented", (F.col("_roots") - F.col("orphans_matched")).alias("root_messages_after"), (F.col("total_emails") - F.col("_roots") + F.col("orphans_matched")).alias("child_messages_after"))
+
+
+def _one_row(first: DataFrame, *rest: DataFrame) -> DataFrame:
+    """Single rows side by side."""
+    out = first.withColumn("_one", F.lit(1))
+    for df in rest:
+        out = out.join(F.broadcast(df.withColumn("_one", F.lit(1))), "_one")  # a single row
+    return out.drop("_one")
 
 
 # --- subjects in archive order
@@ -221,48 +296,73 @@ def body_lines(mails: DataFrame) -> DataFrame:
     return long.select("pos", F.explode(kept).alias("line")).select("pos", normalize_for_matching(F.col("line")).alias("line_key")).filter(F.length("line_key") > LEAST_KEY)
 
 
+def related_subjects(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(mine, theirs): each subject with the others that hold it or that it holds; empty subjects aside.
+
+    Subjects are not compared with one another: the longer one is cut into its pieces of the lengths that occur,
+    and pieces meet subjects in an equi-join. What comes out are true containments only.
+    """
+    def held(long: DataFrame, short: DataFrame) -> DataFrame:
+        """(long, short) of single-column tables of distinct texts."""
+        short = short.filter("short <> ''")
+        sizes = short.agg(F.array_sort(F.collect_set(F.length("short"))).alias("_sizes")).withColumn("_one", F.lit(1))  # no longer than the longest subject
+        n = F.length("long")
+        pieces = F.flatten(F.transform(F.filter("_sizes", lambda k: k < n), lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(F.col("long"), i, k))))
+        cut_up = long.withColumn("_one", F.lit(1)).join(F.broadcast(sizes), "_one").select("long", F.explode(F.array_distinct(pieces)).alias("short"))
+        return cut_up.join(broadcast_if_small(short), "short")
+
+    down = held(mine.select(F.col("mine").alias("long")), theirs.select(F.col("theirs").alias("short"))).select(F.col("long").alias("mine"), F.col("short").alias("theirs"))
+    up = held(theirs.select(F.col("theirs").alias("long")), mine.select(F.col("mine").alias("short"))).select(F.col("short").alias("mine"), F.col("long").alias("theirs"))
+    return down.unionByName(up).distinct()
+
+
 def match_by_quotes(classified: DataFrame) -> DataFrame:
     """(pos, parent_id, quote_match_score) of every root that quotes an earlier mail.
 
-    The lines of all bodies are reduced to those some root quotes before anything is compared. A source scores
-    1, 10 more under the same subject, 5 more if one subject holds the other, and points for nearness.
+    Bodies are reduced to quoted lines and to keys of those lines that some root quotes in the pass that reads
+    them; only keys, never bodies, are joined or shuffled. A source scores 1, 10 more under the same subject, 5
+    more if one subject holds the other, and points for nearness.
     """
     roots = classified.filter("orphan_status = 'true_root' and normalized_subject <> ''")
     quotes = quoted_lines(roots).filter(F.col("ordinal") < PROBES).withColumn("line_key", normalize_for_matching(F.col("quote"))).filter(F.length("line_key") >= LEAST_KEY)
     about = classified.select("pos", "id", "message_id", "normalized_subject", local_seconds(F.col("date_parsed")).alias("ts"))
-    probes = cut(quotes.select("pos", "ordinal", "line_key").join(about.drop("message_id"), "pos"))
-    keys = probes.select("line_key").distinct()
-    lines = body_lines(classified).join(broadcast_if_small(keys), "line_key", "left_semi").distinct()
-    sources = cut(lines.join(about, "pos"))
-    probe = F.struct("pos", "ordinal", "id", "ts", "normalized_subject").alias("probe")
-    value = F.struct("id", "message_id", "normalized_subject").alias("value")
-    order = F.lpad(F.col("pos").cast("string"), 20, "0").alias("key")
-    src = sources.select("line_key", F.col("normalized_subject").alias("subject"), "ts", order, "pos", value)
+    asking = cut(quotes.select("pos", "ordinal", "line_key"))
+    probes = about.drop("message_id").join(broadcast_if_small(asking), "pos").withColumnRenamed("normalized_subject", "subject")
+    probes = cut(probes.select("line_key", "subject", F.struct("pos", "ordinal", "id", "ts", F.col("subject")).alias("probe")))
+    keys = cut(asking.select("line_key").distinct())
+    lines = cut(body_lines(classified).join(broadcast_if_small(keys), "line_key", "left_semi").distinct())
+    sources = about.filter(filled("message_id")).join(broadcast_if_small(lines), "pos")
+    value = F.struct("id", "message_id", F.col("normalized_subject").alias("subject")).alias("value")
+    by_date = F.coalesce(F.lpad((F.col("ts") + 10**12).cast("string"), 15, "0"), F.lit("~")).alias("key")  # sorts as the date does, unknown ones last
+    sources = cut(sources.select("line_key", F.col("normalized_subject").alias("subject"), "ts", by_date, "pos", value))
     # Under the same subject, under the empty subject (which every subject holds), under subjects that hold one another, and anywhere.
-    same = probes.select("line_key", F.col("normalized_subject").alias("subject"), probe, "ts")
-    empty = probes.select("line_key", F.lit("").alias("subject"), probe, "ts")
-    pairs = probes.select("line_key", F.col("normalized_subject").alias("mine")).distinct().join(src.select("line_key", F.col("subject").alias("theirs")).distinct(), "line_key")
-    pairs = pairs.filter((F.col("mine") != F.col("theirs")) & (F.col("theirs") != "") & (F.contains("mine", "theirs") | F.contains("theirs", "mine")))
-    held = probes.select("line_key", F.col("normalized_subject").alias("mine"), probe, "ts").join(pairs, ["line_key", "mine"]).select("line_key", F.col("theirs").alias("subject"), "probe", "ts")
-    near = same.unionByName(empty).unionByName(held)
-    parts = []
-    for look, sought, by in ((near, src, ["line_key", "subject"]), (same.drop("subject"), src.drop("subject"), ["line_key"])):
-        parts.append(earliest_in_gaps(look.filter("ts is not null"), sought.filter("ts is not null"), by))
-        cell = F.struct("pos", "value")
-        unknown = sought.filter("ts is null").groupBy(*by).agg(F.min(cell).alias("f"))
-        any_ = sought.groupBy(*by).agg(F.min(cell).alias("f"))
-        other = sought.join(any_, by).filter(F.col("value.id") != F.col("f.value.id")).groupBy(*by).agg(F.min(cell).alias("f"))
-        for lookers, firsts in ((look.filter("ts is not null"), unknown), (look.filter("ts is null"), any_), (look.filter("ts is null"), other)):
-            parts.append(lookers.join(firsts, by).select("probe", F.col("f.value").alias("value"), F.lit(None).cast("bigint").alias("source_ts"), F.lit("").alias("key"), F.col("f.pos").alias("pos")))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    found = found.filter(F.col("value.id") != F.col("probe.id"))
-    mine, theirs = F.col("probe.normalized_subject"), F.col("value.normalized_subject")
+    groups = cut(sources.select("line_key", "subject").distinct())
+    related = related_subjects(probes.select(F.col("subject").alias("mine")).distinct(), groups.select(F.col("subject").alias("theirs")).distinct())
+    held = probes.withColumnRenamed("subject", "mine").join(broadcast_if_small(cut(related)), "mine").select("line_key", F.col("theirs").alias("subject"), "probe")
+    near = probes.unionByName(probes.withColumn("subject", F.lit(""))).unionByName(held).join(groups, ["line_key", "subject"], "left_semi")
+    under, _ = candidates(cut(near), sources, ["line_key", "subject"])
+    anywhere, _ = candidates(probes.drop("subject"), sources.drop("subject"), ["line_key"])
+    found = under.select("probe", "cell").unionByName(anywhere.select("probe", "cell"))
+    mine, theirs = F.col("probe.subject"), F.col("cell.value.subject")
     relation = F.when(mine == theirs, 10).when(F.contains(mine, theirs) | F.contains(theirs, mine), 5).otherwise(0)
-    scored = found.withColumn("score", 1 + relation + gap_points(F.col("probe.ts") - F.col("source_ts")))
-    best = scored.groupBy(F.col("probe.pos").alias("pos")).agg(F.min_by(F.struct("value", "score"), F.struct((-F.col("score")).alias("s"), F.col("probe.ordinal").alias("o"), F.col("pos").alias("p"))).alias("b"))
-    return best.select("pos", F.col("b.value.message_id").alias("parent_id"), F.col("b.score").cast("int").alias("quote_match_score")).filter(filled("parent_id"))
+    score = (1 + relation + gap_points(F.col("probe.ts") - F.col("cell.ts"))).cast("int")
+    order = F.struct((-score).alias("s"), F.col("probe.ordinal").alias("o"), F.col("cell.key").alias("k"), F.col("cell.pos").alias("p"))
+    best = found.groupBy(F.col("probe.pos").alias("pos")).agg(F.min_by(F.struct(F.col("cell.value.message_id").alias("message_id"), score.alias("score")), order).alias("b"))
+    return best.select("pos", F.col("b.message_id").alias("parent_id"), F.col("b.score").alias("quote_match_score"))
+
+
+def quote_match_stats(classified: DataFrame) -> DataFrame:
+    """One row: roots, roots with quoted lines, links found, links rejected because they close a loop, and roots without a source.
+
+    Roots without a subject and rejected links count in neither outcome.
+    """
+    roots = classified.filter("orphan_status = 'true_root'")
+    quoting = cut(quoted_lines(roots).select("pos").distinct())
+    able = roots.filter("normalized_subject <> ''").select("pos").join(quoting, "pos", "left_semi")
+    found = cut(match_by_quotes(classified))
+    kept = drop_loops(classified, found)
+    counts = _one_row(roots.agg(F.count("*").alias("true_roots_checked")), quoting.agg(F.count("*").alias("roots_with_quotes")), able.agg(F.count("*").alias("_able")), found.agg(F.count("*").alias("_found")), kept.agg(F.count("*").alias("matches_found")))
+    return counts.select("true_roots_checked", "roots_with_quotes", "matches_found", (F.col("_found") - F.col("matches_found")).alias("cycles_prevented"), (F.col("_able") - F.col("_found")).alias("no_match_found"))
 
 
 # --- nearness in time
@@ -270,30 +370,56 @@ def match_by_quotes(classified: DataFrame) -> DataFrame:
 MAX_DAYS, LEAST_SUBJECT = 3, 3
 
 
-def match_by_time(classified: DataFrame, max_days: int = MAX_DAYS) -> DataFrame:
-    """(pos, parent_id, time_proximity_days) of roots that follow an anchor root of their subject within the window.
+def _time_roots(classified: DataFrame) -> DataFrame:
+    subject = F.col("normalized_subject")
+    return classified.filter((F.col("orphan_status") == "true_root") & (F.length(subject) > LEAST_SUBJECT)).select("pos", "message_id", subject.alias("subject"), local_seconds(F.col("date_parsed")).alias("ts"))
 
-    Anchored, not gap-based: a root later than the window becomes the next anchor. A root without another root
-    in the window before it is an anchor in any case; from there "the first root at least one window later" leads
-    from anchor to anchor. All look-ups stay within two slices of the width of the window.
-    """
+
+def _anchored(roots: DataFrame, max_days: int) -> DataFrame:
+    """(pos, ts, cell) of dated roots, cell being the anchor (-ts, -pos, message_id) of each, its own for an anchor."""
     window = (max_days + 1) * DAY
-    roots = classified.filter((F.col("orphan_status") == "true_root") & (F.length("normalized_subject") > LEAST_SUBJECT)).select("pos", "message_id", F.col("normalized_subject").alias("subject"), local_seconds(F.col("date_parsed")).alias("ts")).filter("ts is not null")
-    roots = cut(roots)
-    cells = roots.select("subject", "ts", F.struct("ts", "pos", "message_id").alias("cell"))
-    me = F.struct("ts", "pos")
+    me = F.struct("ts", "pos").alias("probe")
+    here = place(F.col("ts"), F.lit(""), F.col("pos")).alias("at")
+    cells = roots.select("subject", here, F.struct("ts", "pos", "message_id").alias("cell"))
     # The first root in the window before a root, the root itself included: if it is itself, it opens a stretch.
-    opens = first_at_or_after(roots.select("subject", me.alias("probe"), (F.col("ts") - window + 1).alias("at")), cells, ["subject"], window)
+    opens = next_after(roots.select("subject", me, place(F.col("ts") - window + 1).alias("at")), cells, ["subject"])
     starts = opens.filter("cell.pos = probe.pos").select(F.col("probe.pos").alias("node"))
-    ahead = first_at_or_after(roots.select("subject", me.alias("probe"), (F.col("ts") + window).alias("at")), cells, ["subject"], window)
+    ahead = next_after(roots.select("subject", me, place(F.col("ts") + window).alias("at")), cells, ["subject"])
     chain = ahead.select(F.col("probe.pos").alias("node"), F.col("cell.pos").alias("up"))
-    anchors = roots.join(broadcast_if_small(_reachable(starts, chain)), F.col("pos") == F.col("node"), "left_semi")
+    anchors = roots.join(_reachable(starts, chain), F.col("pos") == F.col("node"), "left_semi")
     # The last anchor not after a root, looked for backwards in time.
-    back = anchors.select("subject", (-F.col("ts")).alias("ts"), F.struct((-F.col("ts")).alias("ts"), (-F.col("pos")).alias("pos"), "message_id").alias("cell"))
-    found = first_at_or_after(roots.select("subject", me.alias("probe"), (-F.col("ts")).alias("at")), back, ["subject"], window)
-    gap = F.col("probe.ts") + F.col("cell.ts")
-    linked = found.filter(F.col("cell.pos") != -F.col("probe.pos")).filter((gap > 0) | (-F.col("cell.pos") < F.col("probe.pos")))
-    return linked.select(F.col("probe.pos").alias("pos"), F.col("cell.message_id").alias("parent_id"), F.floor(gap / DAY).cast("int").alias("time_proximity_days")).filter(filled("parent_id"))
+    back = anchors.select("subject", place(-F.col("ts"), F.lit(""), -F.col("pos")).alias("at"), F.struct((-F.col("ts")).alias("ts"), (-F.col("pos")).alias("pos"), "message_id").alias("cell"))
+    found = next_after(roots.select("subject", me, place(-F.col("ts"), F.lit(""), -F.col("pos") - 1).alias("at")), back, ["subject"])
+    return found.select(F.col("probe.pos").alias("pos"), F.col("probe.ts").alias("ts"), "cell")
+
+
+def match_by_time(classified: DataFrame, max_days: int = MAX_DAYS) -> DataFrame:
+    """(pos, parent_id, time_proximity_days) of roots that follow an anchor root of their subject within the window.
+
+    Anchored, not gap-based: a root later than the window becomes the next anchor. A root without another root
+    in the window before it is an anchor in any case; from there "the first root at least one window later" leads
+    from anchor to anchor.
+    """
+    found = _anchored(cut(_time_roots(classified).filter("ts is not null")), max_days)
+    linked = found.filter(F.col("cell.pos") != -F.col("pos"))
+    return linked.select("pos", F.col("cell.message_id").alias("parent_id"), F.floor((F.col("ts") + F.col("cell.ts")) / DAY).cast("int").alias("time_proximity_days")).filter(filled("parent_id"))
+
+
+def time_match_stats(classified: DataFrame, max_days: int = MAX_DAYS) -> DataFrame:
+    """One row: subjects with several roots, roots in them (undated ones too), links, links rejected because they close a loop, and roots too far from the anchor before them."""
+    every = cut(_time_roots(classified))
+    groups = every.groupBy("subject").agg(F.count("*").alias("n"), F.count("ts").alias("dated")).filter("n > 1")
+    own = _anchored(every.filter("ts is not null"), max_days).filter(F.col("cell.pos") == -F.col("pos"))
+    links = cut(match_by_time(classified, max_days))
+    kept = drop_loops(classified, links)
+    # Every anchor but the first of its subject was too far from the one before.
+    counts = _one_row(groups.agg(F.count("*").alias("subjects_with_multi_roots"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_true_roots_in_groups")), every.filter("ts is not null").agg(F.count_distinct("subject").alias("_subjects")), own.agg(F.count("*").alias("_anchors")), links.agg(F.count("*").alias("_links")), kept.agg(F.count("*").alias("matches_found")))
+    return counts.select("subjects_with_multi_roots", "total_true_roots_in_groups", "matches_found", (F.col("_links") - F.col("matches_found")).alias("cycles_prevented"), (F.col("_anchors") - F.col("_subjects")).alias("too_far_apart"))
+
+
+def root_groups(classified: DataFrame) -> DataFrame:
+    """(normalized_subject, n_roots, n_dated) of the subjects with several roots."""
+    return _time_roots(classified).groupBy(F.col("subject").alias("normalized_subject")).agg(F.count("*").alias("n_roots"), F.count("ts").alias("n_dated")).filter("n_roots > 1")
 
 
 def _reachable(starts: DataFrame, chain: DataFrame) -> DataFrame:
@@ -318,12 +444,29 @@ def apply_links(classified: DataFrame, links: DataFrame, status: str) -> DataFra
     return out.withColumn("parent_id", F.coalesce("_new", "parent_id")).withColumn("orphan_status", F.when(hit, status).otherwise(F.col("orphan_status"))).drop("_pos", "_new")
 
 
+def _forest(before: DataFrame) -> DataFrame:
+    """(pos, message_id, parent_id) of the records that stand for their messages."""
+    nodes = before.filter(filled("message_id")).groupBy("message_id").agg(F.max("pos").alias("pos"))
+    return before.select("pos", "message_id", "parent_id").join(nodes, ["message_id", "pos"])
+
+
+def closing_links(forest: DataFrame, links: DataFrame) -> DataFrame:
+    """(pos) of the links to take out: of those on one loop the link of the latest mail. A loop of headers alone stays.
+
+    forest: (pos, message_id, parent_id) of the records that stand for messages; links: (pos, parent_id), which go
+    before the forest's own. A link of a record that does not stand for its message closes nothing.
+    """
+    new = links.select(F.col("pos").alias("_pos"), F.col("parent_id").alias("_new"))
+    put = forest.join(new, F.col("pos") == F.col("_pos"), "left")
+    above = forest.select(F.col("message_id").alias("_to"), F.col("pos").alias("parent"))
+    steps = cut(put.join(above, F.coalesce("_new", "parent_id") == F.col("_to"), "left").select(F.col("pos").alias("node"), "parent", F.col("_new").isNotNull().alias("fresh")))
+    stuck = resolve_forest(steps.select("node", "parent")).filter("root is null").select("node")
+    on = loops(steps.join(broadcast_if_small(cut(stuck)), "node", "left_semi").select("node", "parent"))
+    fresh = on.join(steps.filter("fresh").select("node"), "node", "left_semi")
+    return fresh.groupBy("loop").agg(F.max("node").alias("pos")).select("pos")
+
+
 def drop_loops(before: DataFrame, links: DataFrame) -> DataFrame:
-    """The links without those that stand on or below a loop once all are put in."""
-    nodes = before.filter(filled("message_id")).groupBy("message_id").agg(F.max("pos").alias("node"))
-    after = apply_links(before.select("pos", "message_id", "parent_id", "orphan_status"), links, "linked")
-    own = after.join(nodes, "message_id").filter("pos = node").select("node", "parent_id")
-    forest = own.join(nodes.select(F.col("message_id").alias("parent_id"), F.col("node").alias("parent")), "parent_id", "left").select("node", "parent")
-    bad = resolve_forest(cut(forest)).filter("root is null").select(F.col("node").alias("_node"))
-    marked = links.join(before.select("pos", "message_id"), "pos").join(nodes, "message_id")
-    return marked.join(broadcast_if_small(bad), F.col("node") == F.col("_node"), "left_anti").select(*links.columns)
+    """The links without the one of the latest mail on each loop that they close; a link below a loop stays."""
+    links = cut(links)
+    return links.join(broadcast_if_small(cut(closing_links(cut(_forest(before)), links))), "pos", "left_anti")

@@ -2,7 +2,7 @@
 
 People come as a table (ord, person, pattern). A mail is a person's if its address equals a pattern or holds
 one; equality goes first, then the order of the table. NULL addresses match nobody. The table must be small: it
-is counted, and beyond LEAST rows refused, because containment tests cannot be hashed.
+is counted, and beyond MOST_PATTERNS rows refused, because containment tests cannot be hashed.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.text import preferred, strip
-from postloom.operators.hierarchy import closure_of
+from postloom.operators.hierarchy import sums_above, sums_below
 from postloom.runtime import cut, is_small
 
 MOST_PATTERNS = 10_000
@@ -38,17 +38,16 @@ def attribute(mails: DataFrame, people: DataFrame) -> DataFrame:
 def people_closure(members: DataFrame, people: DataFrame) -> DataFrame:
     """(root, pos) of every message to keep: the people's own, all above them and all below them.
 
-    members: the rows of ``thread_members``. Up and down are two joins with the ancestor table of the forest.
+    members: the rows of ``thread_members``. Marks are summed up and down the forest, which is linear in the
+    messages; ancestor pairs are never formed.
     """
-    own = cut(attribute(members.filter("root is not null"), people).filter("person is not null").select("pos"))
-    nodes = members.filter("root is not null and message_id <> ''").select(F.col("message_id").alias("parent_id"), F.col("pos").alias("parent"))
-    links = cut(members.filter("root is not null").select("pos", "parent_id").join(nodes, "parent_id", "left").select(F.col("pos").alias("node"), "parent"))
-    solved = members.filter("root is not null").select(F.col("pos").alias("node"), "root", "depth")
-    closure = cut(closure_of(links, solved))
-    up = closure.join(own.select(F.col("pos").alias("node")), "node", "left_semi").select(F.col("ancestor").alias("pos"))
-    down = closure.join(own.select(F.col("pos").alias("ancestor")), "ancestor", "left_semi").select(F.col("node").alias("pos"))
-    keep = up.unionByName(down).distinct()
-    return members.join(keep, "pos", "left_semi").select("root", "pos")
+    inside = members.filter("root is not null")
+    own = attribute(inside.select("pos", "from_email"), people).filter("person is not null").select("pos", F.lit(1).alias("_mark"))
+    nodes = inside.filter("message_id <> ''").select(F.col("message_id").alias("parent_id"), F.col("pos").alias("parent"))
+    links = inside.select("root", "pos", "parent_id").join(nodes, "parent_id", "left").join(own, "pos", "left")
+    links = cut(links.select("root", F.col("pos").alias("node"), "parent", F.coalesce("_mark", F.lit(0)).alias("weight")))
+    marked = sums_above(links).unionByName(sums_below(links)).filter("total > 0").select("node").distinct()
+    return links.join(marked, "node", "left_semi").select("root", F.col("node").alias("pos"))
 
 
 def people_threads(members: DataFrame, people: DataFrame, threads: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ a loop belong to no thread.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.text import preferred
 from postloom.operators.hierarchy import resolve_forest
+from postloom.operators.ordered import running_sums
 from postloom.runtime import cut, filled
 
 #: Upper bounds of the size histogram.
@@ -58,10 +59,10 @@ def build_threads(members: DataFrame) -> DataFrame:
 def thread_messages(members: DataFrame) -> DataFrame:
     """(thread_id, ordinal, id): the messages of each thread in the order of their dates, unknown dates first."""
     local = F.coalesce(F.nullif(F.substring("date_parsed", 1, 19), F.lit("")), F.lit(""))
-    inside = members.filter("root is not null").withColumn("_local", local)
+    inside = members.filter("root is not null").select("root", local.alias("_local"), "depth", "pos", "id")
     names = inside.filter("depth = 0").select("root", F.concat(F.lit("thread_"), F.col("id")).alias("thread_id"))
-    order = Window.partitionBy("root").orderBy("_local", "depth", "pos")
-    return inside.withColumn("ordinal", F.row_number().over(order)).join(names, "root").select("thread_id", "ordinal", "id")
+    placed = running_sums(inside, ["root"], ["_local", "depth", "pos"], {"_before": F.lit(1)})
+    return placed.join(names, "root").select("thread_id", (F.col("_before") + 1).cast("int").alias("ordinal"), "id")
 
 
 def thread_participants(members: DataFrame) -> DataFrame:
@@ -99,17 +100,11 @@ def largest_threads(threads: DataFrame, most: int = 20) -> DataFrame:
 def rank_by_recency(threads: DataFrame) -> DataFrame:
     """threads with ``rank``, latest start first, of equals the earlier root; unknown starts last.
 
-    A global rank without a global sort in one task: range partitions are ranked inside and shifted by the sizes
-    of those before them.
+    A global rank without a global sort in one task: running counts over range partitions.
     """
-    key = F.coalesce("date_start", F.lit("0000"))
-    sorted_ = cut(threads.withColumn("_key", key).repartitionByRange(F.desc("_key"), F.asc("root_pos")).withColumn("_part", F.spark_partition_id()))
-    sizes = sorted_.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
-    shifts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy("_part").orderBy(F.desc("_key"), "root_pos")
-    ranked = sorted_.withColumn("_r", F.row_number().over(inside)).join(F.broadcast(shifts), "_part")  # as many rows as partitions
-    return ranked.withColumn("rank", (F.col("_r") + F.col("_shift")).cast("bigint")).drop("_key", "_part", "_r", "_shift")
+    keyed = threads.withColumn("_key", F.coalesce("date_start", F.lit("0000")))
+    ranked = running_sums(keyed, [], [F.desc("_key"), F.asc("root_pos")], {"_before": F.lit(1)})
+    return ranked.withColumn("rank", F.col("_before") + 1).drop("_key", "_before")
 
 
 def index_by_year(threads: DataFrame) -> DataFrame:

@@ -67,18 +67,22 @@ d2 AS (SELECT *, {_NORMAL} AS normalized_subject, {_REPLY} AS is_reply,
   CASE WHEN parent_id IS NOT NULL THEN 'has_parent' WHEN {_REPLY} THEN 'orphan_reply' ELSE 'true_root' END AS orphan_status,
   CASE WHEN parent_id IS NULL AND {_REPLY} THEN CASE WHEN in_reply_to IS NOT NULL THEN 'in_reply_to_unmatched' ELSE 'no_in_reply_to' END END AS orphan_type FROM d1)"""
 _AUTHOR = "coalesce(nullif(from_email, ''), from_raw, '')"
-_E = (
-    _D2
-    + f""",
+
+
+def _threads_sql(state: str) -> str:
+    """CTEs from a state of the mails to ``threads``."""
+    return f""",
 last AS (SELECT message_id, max(pos) AS pos FROM emails WHERE message_id <> '' GROUP BY 1),
-own AS (SELECT d2.* FROM d2 WHERE coalesce(message_id, '') = '' OR pos IN (SELECT pos FROM last)),
+own AS (SELECT s.* FROM {state} s WHERE coalesce(message_id, '') = '' OR pos IN (SELECT pos FROM last)),
 up AS (SELECT o.pos AS node, l.pos AS parent FROM own o LEFT JOIN last l ON o.parent_id = l.message_id),
 walk AS (SELECT node, node AS root, CAST(0 AS BIGINT) AS depth FROM up WHERE parent IS NULL UNION ALL SELECT u.node, w.root, w.depth + 1 FROM walk w JOIN up u ON u.parent = w.node),
 inside AS (SELECT o.*, w.root, w.depth, {_AUTHOR} AS author, nullif(substr(date_parsed, 1, 19), '') AS local FROM own o JOIN walk w ON o.pos = w.node),
 sums AS (SELECT root, count(*) AS message_count, count(DISTINCT nullif(author, '')) AS participant_count, min(local) AS date_start, max(local) AS date_end, max(depth) AS depth, coalesce(bool_or(has_pgp), false) AS has_pgp FROM inside GROUP BY 1),
 threads AS (SELECT s.root AS root_pos, 'thread_' || i.id AS thread_id, i.subject, i.normalized_subject, s.message_count, s.participant_count, s.date_start, s.date_end, TRY_CAST(substr(s.date_start, 1, 4) AS INTEGER) AS year_start, s.depth, i.author AS root_author, s.has_pgp
   FROM sums s JOIN inside i ON i.root = s.root AND i.depth = 0)"""
-)
+
+
+_E = _D2 + _threads_sql("d2")
 _SECONDS = "CAST(epoch(TRY_CAST(replace(substr(date_parsed, 1, 19), 'T', ' ') AS TIMESTAMP)) AS BIGINT)"
 
 
@@ -190,34 +194,84 @@ def unmatchable_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- matches
 
-_STATES = (
-    _D2
-    + f""", st AS (SELECT pos, id, message_id, normalized_subject AS s, orphan_status, {_SECONDS} AS ts, coalesce(nullif(date_parsed, ''), nullif(date_raw, ''), '') AS key,
-  CASE WHEN orphan_status = 'true_root' THEN 10 ELSE 0 END + CASE WHEN message_id <> '' AND message_id IN (SELECT parent_id FROM d2 WHERE parent_id IS NOT NULL) THEN 5 ELSE 0 END + CASE WHEN parent_id IS NOT NULL THEN 3 ELSE 0 END AS base
-  FROM d2 WHERE normalized_subject <> ''),
-sc AS (SELECT o.pos, c.message_id AS parent_id, c.key, c.pos AS cpos, o.ts - c.ts AS gap,
+#: Rounds of rejected links that the SQL writes out; the tables need fewer, and a further round changes nothing.
+_ROUNDS = 6
+
+
+def _subject_sql(state: str, p: str) -> str:
+    """CTEs {p}sc: all scored pairs under one subject; {p}hits: the best of each orphan."""
+    return f""", {p}st AS (SELECT pos, id, message_id, normalized_subject AS s, orphan_status, {_SECONDS} AS ts, coalesce(nullif(date_parsed, ''), nullif(date_raw, ''), '') AS key,
+  CASE WHEN orphan_status = 'true_root' THEN 10 ELSE 0 END + CASE WHEN message_id <> '' AND message_id IN (SELECT parent_id FROM {state} WHERE parent_id IS NOT NULL) THEN 5 ELSE 0 END + CASE WHEN parent_id IS NOT NULL THEN 3 ELSE 0 END AS base
+  FROM {state} WHERE normalized_subject <> ''),
+{p}sc AS MATERIALIZED (SELECT o.pos, c.message_id AS parent_id, c.key, c.pos AS cpos, o.ts - c.ts AS gap,
   c.base + CASE WHEN o.ts - c.ts < 86400 THEN 5 WHEN o.ts - c.ts < 604800 THEN 3 WHEN o.ts - c.ts < 2592000 THEN 1 ELSE 0 END AS score
-  FROM st o JOIN st c ON o.s = c.s AND o.id <> c.id AND (o.ts IS NULL OR c.ts IS NULL OR c.ts < o.ts) WHERE o.orphan_status = 'orphan_reply'),
-best AS (SELECT pos, parent_id, score, gap, row_number() OVER (PARTITION BY pos ORDER BY score DESC, key, cpos) AS r FROM sc),
-hits AS (SELECT pos, parent_id, CAST(score AS INTEGER) AS match_score, gap AS gap_seconds FROM best WHERE r = 1 AND parent_id <> '')"""
-)
+  FROM {p}st o JOIN {p}st c ON o.s = c.s AND o.id <> c.id AND c.message_id <> '' AND (o.ts IS NULL OR c.ts IS NULL OR c.ts < o.ts) WHERE o.orphan_status = 'orphan_reply'),
+{p}best AS (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY score DESC, key, cpos) AS r FROM {p}sc),
+{p}hits AS (SELECT pos, parent_id, CAST(score AS INTEGER) AS match_score, gap AS gap_seconds FROM {p}best WHERE r = 1)"""
+
+
+def _loops_sql(state: str, p: str, links: str) -> str:
+    """CTE {p}bad: of the links on one loop that of the latest mail."""
+    return f""", {p}can AS (SELECT pos, message_id, parent_id FROM {state} WHERE pos IN (SELECT max(pos) FROM emails WHERE message_id <> '' GROUP BY message_id)),
+{p}g AS MATERIALIZED (SELECT c.pos AS node, t.pos AS up, b.pos IS NOT NULL AS fresh FROM {p}can c LEFT JOIN {links} b ON b.pos = c.pos LEFT JOIN {p}can t ON t.message_id = coalesce(b.parent_id, c.parent_id)),
+{p}w AS (SELECT node AS s, up AS reach FROM {p}g WHERE fresh AND up IS NOT NULL UNION SELECT w.s, g.up FROM {p}w w JOIN {p}g g ON g.node = w.reach WHERE g.up IS NOT NULL),
+{p}bad AS MATERIALIZED (SELECT DISTINCT m AS pos FROM (SELECT max(w.reach) AS m FROM {p}w w JOIN {p}g g ON g.node = w.reach AND g.fresh WHERE w.s IN (SELECT s FROM {p}w WHERE s = reach) GROUP BY w.s))"""
+
+
+def _loop_free_sql(state: str, p: str) -> str:
+    """CTEs {p}free: the links after all rounds; {p}rej: the rejected pairs."""
+    out = f", {p}rej0 AS (SELECT CAST(NULL AS BIGINT) AS pos, CAST(NULL AS BIGINT) AS cpos WHERE false)"
+    for k in range(_ROUNDS + 1):
+        out += f""", {p}b{k} AS MATERIALIZED (SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY pos ORDER BY score DESC, key, cpos) AS r FROM {p}sc c ANTI JOIN {p}rej{k} USING (pos, cpos)) WHERE r = 1)"""
+        if k < _ROUNDS:
+            out += _loops_sql(state, f"{p}{k}", f"{p}b{k}") + f""", {p}rej{k + 1} AS (SELECT pos, cpos FROM {p}rej{k} UNION ALL SELECT pos, cpos FROM {p}b{k} WHERE pos IN (SELECT pos FROM {p}{k}bad))"""
+    return out + f", {p}rej AS (SELECT * FROM {p}rej{_ROUNDS}), {p}free AS (SELECT pos, parent_id, CAST(score AS INTEGER) AS match_score, gap AS gap_seconds FROM {p}b{_ROUNDS})"
+
 
+def _put_sql(state: str, links: str, status: str, out: str) -> str:
+    """CTE {out}: the state with links put in."""
+    return f", {out} AS MATERIALIZED (SELECT s.* REPLACE (coalesce(l.parent_id, s.parent_id) AS parent_id, CASE WHEN l.pos IS NOT NULL THEN '{status}' ELSE s.orphan_status END AS orphan_status) FROM {state} s LEFT JOIN {links} l USING (pos))"
 
-@query(_STATES + " SELECT * FROM hits")
+
+_STATES = _D2 + _subject_sql("d2", "s")
+_FREE = _STATES + _loop_free_sql("d2", "s")
+
+
+@query(_STATES + " SELECT * FROM shits")
 def orphan_match_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return matching.match_by_subject(_linked(spark, folder))
 
 
-@query(_STATES + " SELECT CASE WHEN gap_seconds < 86400 THEN 'same_day' WHEN gap_seconds < 604800 THEN 'within_week' WHEN gap_seconds < 2592000 THEN 'within_month' ELSE 'over_month' END AS gap, count(*) AS n FROM hits WHERE gap_seconds IS NOT NULL GROUP BY 1")
+@query(_STATES + " SELECT CASE WHEN gap_seconds < 86400 THEN 'same_day' WHEN gap_seconds < 604800 THEN 'within_week' WHEN gap_seconds < 2592000 THEN 'within_month' ELSE 'over_month' END AS gap, count(*) AS n FROM shits WHERE gap_seconds IS NOT NULL GROUP BY 1")
 def match_gap_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return matching.gap_histogram(matching.match_by_subject(_linked(spark, folder)))
 
 
-@query()
+@query(_FREE + " SELECT * FROM sfree")
 def orphan_match_loop_free(spark: SparkSession, folder: str) -> DataFrame:
-    """The matches that close no loop with the header links or one another."""
+    """The matches of which a link that closes a loop gave way to the mail's next candidate."""
+    return matching.match_by_subject(cut(_linked(spark, folder)), loop_free=True)
+
+
+@query(
+    _FREE
+    + """, kids AS (SELECT parent_id, count(*) AS n FROM d2 WHERE parent_id IS NOT NULL GROUP BY 1),
+st AS (SELECT message_id, arg_max(orphan_status, pos) AS status FROM d2 WHERE message_id <> '' GROUP BY 1),
+seen AS (SELECT st.status, coalesce(k.n, 0) + row_number() OVER (PARTITION BY l.parent_id ORDER BY l.pos) AS n_then FROM sfree l JOIN st ON st.message_id = l.parent_id LEFT JOIN kids k ON k.parent_id = l.parent_id)
+SELECT CASE WHEN status = 'true_root' THEN 'to_root' WHEN n_then > 1 THEN 'to_parent' ELSE 'to_chain' END AS to_kind, count(*) AS n FROM seen GROUP BY 1"""
+)
+def match_kind_counts(spark: SparkSession, folder: str) -> DataFrame:
     state = cut(_linked(spark, folder))
-    return matching.drop_loops(state, cut(matching.match_by_subject(state)))
+    return matching.link_kinds(state, cut(matching.match_by_subject(state, loop_free=True)))
+
+
+@query(
+    _FREE
+    + """ SELECT count(*) AS total_emails, count(*) FILTER (orphan_status = 'orphan_reply') AS orphans_before, (SELECT count(*) FROM sfree) AS orphans_matched, count(*) FILTER (orphan_status = 'orphan_reply') - (SELECT count(*) FROM sfree) AS orphans_unmatched,
+  (SELECT count(*) FROM srej) AS cycles_prevented, count(*) FILTER (parent_id IS NULL) - (SELECT count(*) FROM sfree) AS root_messages_after, count(*) FILTER (parent_id IS NOT NULL) + (SELECT count(*) FROM sfree) AS child_messages_after FROM d2"""
+)
+def subject_match_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.subject_match_stats(cut(_linked(spark, folder)))
 
 
 @query()
@@ -226,18 +280,12 @@ def orphan_match_in_order(spark: SparkSession, folder: str) -> DataFrame:
     return matching.match_in_order(_linked(spark, folder))
 
 
-@query()
-def match_kind_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return matching.match_kinds(matching.match_in_order(_linked(spark, folder)))
-
-
-_QUOTES = r"""
-WITH l AS (SELECT pos, regexp_replace(unnest(string_split(body, chr(10))), '^\s+|\s+$', '', 'g') AS line, unnest(range(len(string_split(body, chr(10))))) AS i FROM emails),
+_QUOTED_LINES = r"""l AS MATERIALIZED (SELECT pos, regexp_replace(unnest(string_split(body, chr(10))), '^\s+|\s+$', '', 'g') AS line, unnest(range(len(string_split(body, chr(10))))) AS i FROM emails),
 q AS (SELECT pos, i, regexp_replace(line, '^>+\s*', '') AS quote FROM l WHERE line LIKE '>%'),
-quotes AS (SELECT pos, CAST(row_number() OVER (PARTITION BY pos ORDER BY i) - 1 AS INTEGER) AS ordinal, quote FROM q WHERE length(quote) > 20)"""
+quotes AS MATERIALIZED (SELECT pos, CAST(row_number() OVER (PARTITION BY pos ORDER BY i) - 1 AS INTEGER) AS ordinal, quote FROM q WHERE length(quote) > 20)"""
 
 
-@query(_QUOTES + " SELECT * FROM quotes")
+@query(f"WITH {_QUOTED_LINES} SELECT * FROM quotes")
 def quote_lines(spark: SparkSession, folder: str) -> DataFrame:
     return matching.quoted_lines(_mails(spark, folder))
 
@@ -245,42 +293,86 @@ def quote_lines(spark: SparkSession, folder: str) -> DataFrame:
 _KEY = r"regexp_replace(regexp_replace(regexp_replace(lower({}), '\s+', ' ', 'g'), '[^\pL\pN\pM_\s]', '', 'g'), '^\s+|\s+$', '', 'g')"
 
 
-@query(
-    _D2
-    + ", "
-    + _QUOTES.strip().removeprefix("WITH ")
-    + f""", about AS (SELECT pos, id, message_id, normalized_subject AS s, {_SECONDS} AS ts, orphan_status FROM d2),
-probes AS (SELECT a.*, ordinal, {_KEY.format('quote')} AS key FROM quotes JOIN about a USING (pos) WHERE ordinal < 5 AND a.orphan_status = 'true_root' AND a.s <> ''),
-src AS (SELECT DISTINCT a.*, {_KEY.format('l.line')} AS key FROM l JOIN about a USING (pos) JOIN emails e USING (pos) WHERE length(e.body) >= 50 AND length(l.line) > 30),
-sc AS (SELECT p.pos, p.ordinal, c.pos AS cpos, c.message_id AS parent_id, 1 + CASE WHEN p.s = c.s THEN 10 WHEN contains(p.s, c.s) OR contains(c.s, p.s) THEN 5 ELSE 0 END
+def _quote_sql(state: str, p: str) -> str:
+    """CTE {p}hits: the best source of each root that quotes; ``l`` and ``quotes`` must be there."""
+    return f""", {p}about AS (SELECT pos, id, message_id, normalized_subject AS s, {_SECONDS} AS ts, orphan_status FROM {state}),
+{p}probes AS (SELECT a.*, ordinal, {_KEY.format('quote')} AS key FROM quotes JOIN {p}about a USING (pos) WHERE ordinal < 5 AND a.orphan_status = 'true_root' AND a.s <> ''),
+{p}src AS (SELECT DISTINCT a.*, {_KEY.format('l.line')} AS key FROM l JOIN {p}about a USING (pos) JOIN emails e USING (pos) WHERE length(e.body) >= 50 AND length(l.line) > 30 AND a.message_id <> ''),
+{p}sc AS (SELECT p.pos, p.ordinal, c.pos AS cpos, c.ts AS cts, c.message_id AS parent_id, 1 + CASE WHEN p.s = c.s THEN 10 WHEN contains(p.s, c.s) OR contains(c.s, p.s) THEN 5 ELSE 0 END
     + CASE WHEN p.ts - c.ts < 86400 THEN 5 WHEN p.ts - c.ts < 604800 THEN 3 WHEN p.ts - c.ts < 2592000 THEN 1 ELSE 0 END AS score
-  FROM probes p JOIN src c ON p.key = c.key AND p.id <> c.id AND (p.ts IS NULL OR c.ts IS NULL OR c.ts < p.ts) WHERE length(p.key) >= 20 AND length(c.key) > 20),
-best AS (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY score DESC, ordinal, cpos) AS r FROM sc)
-SELECT pos, parent_id, CAST(score AS INTEGER) AS quote_match_score FROM best WHERE r = 1 AND parent_id <> ''"""
-)
+  FROM {p}probes p JOIN {p}src c ON p.key = c.key AND p.id <> c.id AND (p.ts IS NULL OR c.ts IS NULL OR c.ts < p.ts) WHERE length(p.key) >= 20 AND length(c.key) > 20),
+{p}best AS (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY score DESC, ordinal, cts IS NULL, cts, cpos) AS r FROM {p}sc),
+{p}hits AS MATERIALIZED (SELECT pos, parent_id, CAST(score AS INTEGER) AS quote_match_score FROM {p}best WHERE r = 1)"""
+
+
+def _time_sql(state: str, p: str) -> str:
+    """CTEs {p}all: roots under subjects; {p}fold: dated ones with their anchors; {p}hits: the links."""
+    return f""", {p}all AS (SELECT pos, message_id, normalized_subject AS s, {_SECONDS} AS ts FROM {state} WHERE orphan_status = 'true_root' AND length(normalized_subject) > 3),
+{p}roots AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY s ORDER BY ts, pos) AS rn FROM {p}all WHERE ts IS NOT NULL),
+{p}fold AS (SELECT s, rn, pos, ts, pos AS a_pos, message_id AS a_id, ts AS a_ts FROM {p}roots WHERE rn = 1
+  UNION ALL SELECT r.s, r.rn, r.pos, r.ts, CASE WHEN r.ts - f.a_ts >= 345600 THEN r.pos ELSE f.a_pos END, CASE WHEN r.ts - f.a_ts >= 345600 THEN r.message_id ELSE f.a_id END, CASE WHEN r.ts - f.a_ts >= 345600 THEN r.ts ELSE f.a_ts END
+  FROM {p}fold f JOIN {p}roots r ON r.s = f.s AND r.rn = f.rn + 1),
+{p}hits AS MATERIALIZED (SELECT pos, a_id AS parent_id, CAST((ts - a_ts) // 86400 AS INTEGER) AS time_proximity_days FROM {p}fold WHERE pos <> a_pos AND a_id <> '')"""
+
+
+_QUOTE = f"{_D2}, {_QUOTED_LINES}{_quote_sql('d2', 'q')}"
+
+
+@query(_QUOTE + " SELECT * FROM qhits")
 def quote_best_match(spark: SparkSession, folder: str) -> DataFrame:
     return matching.match_by_quotes(_linked(spark, folder))
 
 
 @query(
-    _D2
-    + f""", roots AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY ts, pos) AS rn FROM (SELECT pos, message_id, normalized_subject AS s, {_SECONDS} AS ts FROM d2 WHERE orphan_status = 'true_root' AND length(normalized_subject) > 3) WHERE ts IS NOT NULL),
-fold AS (SELECT s, rn, pos, ts, pos AS a_pos, message_id AS a_id, ts AS a_ts FROM roots WHERE rn = 1
-  UNION ALL SELECT r.s, r.rn, r.pos, r.ts, CASE WHEN r.ts - f.a_ts >= 345600 THEN r.pos ELSE f.a_pos END, CASE WHEN r.ts - f.a_ts >= 345600 THEN r.message_id ELSE f.a_id END, CASE WHEN r.ts - f.a_ts >= 345600 THEN r.ts ELSE f.a_ts END
-  FROM fold f JOIN roots r ON r.s = f.s AND r.rn = f.rn + 1)
-SELECT pos, a_id AS parent_id, CAST((ts - a_ts) // 86400 AS INTEGER) AS time_proximity_days FROM fold WHERE pos <> a_pos AND a_id <> ''"""
+    _QUOTE
+    + _loops_sql("d2", "q", "qhits")
+    + """ SELECT count(*) AS true_roots_checked, count(*) FILTER (pos IN (SELECT pos FROM quotes)) AS roots_with_quotes, (SELECT count(*) FROM qhits) - (SELECT count(*) FROM qbad) AS matches_found, (SELECT count(*) FROM qbad) AS cycles_prevented,
+  count(*) FILTER (normalized_subject <> '' AND pos IN (SELECT pos FROM quotes)) - (SELECT count(*) FROM qhits) AS no_match_found FROM d2 WHERE orphan_status = 'true_root'"""
 )
+def quote_match_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.quote_match_stats(_linked(spark, folder))
+
+
+_TIME = _D2 + _time_sql("d2", "t")
+
+
+@query(_TIME + " SELECT * FROM thits")
 def anchored_sessions(spark: SparkSession, folder: str) -> DataFrame:
     return matching.match_by_time(_linked(spark, folder))
 
 
-@query()
+@query(_TIME + " SELECT s AS normalized_subject, count(*) AS n_roots, count(ts) AS n_dated FROM tall GROUP BY 1 HAVING count(*) > 1")
+def root_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Subjects under which several conversations begin."""
+    return matching.root_groups(_linked(spark, folder))
+
+
+@query(
+    _TIME
+    + _loops_sql("d2", "t", "thits")
+    + """, many AS (SELECT s, count(*) AS n FROM tall GROUP BY 1 HAVING count(*) > 1)
+SELECT (SELECT count(*) FROM many) AS subjects_with_multi_roots, (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM many) AS total_true_roots_in_groups, (SELECT count(*) FROM thits) - (SELECT count(*) FROM tbad) AS matches_found, (SELECT count(*) FROM tbad) AS cycles_prevented,
+  (SELECT count(*) FROM tfold WHERE rn > 1 AND pos = a_pos) AS too_far_apart"""
+)
+def time_match_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.time_match_stats(_linked(spark, folder))
+
+
+_LINKED = (
+    f"{_D2}, {_QUOTED_LINES}"
+    + _subject_sql("d2", "s") + _loop_free_sql("d2", "s") + _put_sql("d2", "sfree", "matched_by_subject", "d3")
+    + _quote_sql("d3", "q") + _loops_sql("d3", "q", "qhits") + ", qkept AS (SELECT * FROM qhits ANTI JOIN qbad USING (pos))" + _put_sql("d3", "qkept", "matched_by_quote", "d3b")
+    + _time_sql("d3b", "t") + _loops_sql("d3b", "t", "thits") + ", tkept AS (SELECT * FROM thits ANTI JOIN tbad USING (pos))" + _put_sql("d3b", "tkept", "matched_by_time_proximity", "d3c")
+)
+
+
+@query(_LINKED + " SELECT orphan_status, count(*) AS n FROM d3c GROUP BY 1")
 def linked_status_counts(spark: SparkSession, folder: str) -> DataFrame:
     """States after all kinds of matches were put in."""
     return linked_mails(_mails(spark, folder)).groupBy("orphan_status").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(_LINKED + _threads_sql("d3c") + " SELECT * FROM threads")
 def archive_threads_full(spark: SparkSession, folder: str) -> DataFrame:
     """Threads over header, subject, quote and time links."""
     return archive_threads(linked_mails(_mails(spark, folder)))[1]

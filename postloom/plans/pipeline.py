@@ -22,7 +22,7 @@ def classified_mails(mails: DataFrame) -> DataFrame:
 
 
 def linked_mails(mails: DataFrame, by_subject: bool = True, by_quotes: bool = True, by_time: bool = True, max_days: int = matching.MAX_DAYS) -> DataFrame:
-    """Stages D1 to D3c: every kind of link, loops left out; all columns but ``body``.
+    """Stages D1 to D3c: every kind of link, none that closes a loop; all columns but ``body``.
 
     The state between the stages is written without the bodies, which only the quotation match reads, by pos.
     """
@@ -30,14 +30,14 @@ def linked_mails(mails: DataFrame, by_subject: bool = True, by_quotes: bool = Tr
     state = cut(classified_mails(mails.drop("body")))
 
     def put_in(state: DataFrame, links: DataFrame, status: str) -> DataFrame:
-        return cut(matching.apply_links(state, matching.drop_loops(state, cut(links)), status))
+        return cut(matching.apply_links(state, links, status))
 
     if by_subject:
-        state = put_in(state, matching.match_by_subject(state), "matched_by_subject")
+        state = put_in(state, matching.match_by_subject(state, loop_free=True), "matched_by_subject")
     if by_quotes:
-        state = put_in(state, matching.match_by_quotes(state.join(bodies, "pos")), "matched_by_quote")
+        state = put_in(state, matching.drop_loops(state, matching.match_by_quotes(state.join(bodies, "pos"))), "matched_by_quote")
     if by_time:
-        state = put_in(state, matching.match_by_time(state, max_days), "matched_by_time_proximity")
+        state = put_in(state, matching.drop_loops(state, matching.match_by_time(state, max_days)), "matched_by_time_proximity")
     return state
 
 

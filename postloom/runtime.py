@@ -1,4 +1,8 @@
-"""Session settings and the few helpers every operator shares: table access, lineage cuts, size-checked broadcasts."""
+"""Session settings and the few helpers every operator shares: table access, lineage cuts, size-checked broadcasts.
+
+Written states are removed with the frames that read them if the session sets
+``spark.cleaner.referenceTracking.cleanCheckpoints``, as ``local_session`` does.
+"""
 
 from __future__ import annotations
 
@@ -9,9 +13,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Most rows a side may have to be broadcast; counted before each broadcast, never assumed.
+#: Most rows and bytes a side may have to be broadcast; measured before each broadcast, never assumed.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,6 +25,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -52,12 +59,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir). Only where it is unset, as in tests, a local one is made."""
+    """The folder all executors share (spark.checkpoint.dir). Only in a local session without one, as in tests, a local folder is made; on a cluster that is an error."""
     context = spark.sparkContext
     now = context._jsc.sc().getCheckpointDir()
     if now.isDefined():
         return now.get()
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not folder and not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     context.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), f"postloom-{os.getpid()}-{uuid.uuid4().hex[:8]}"))
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -68,14 +77,33 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most the given number of rows; reads no more than that number."""
-    return df.limit(rows + 1).count() <= rows
+def _row_bytes(df: DataFrame):
+    """About as many bytes as a row holds: texts by their length, nested values by their JSON form, others by eight."""
+    total = F.lit(0)
+    for f in df.schema.fields:
+        c, kind = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            size = F.octet_length(c)
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            size = F.octet_length(F.to_json(F.struct(c)))
+        else:
+            size = F.lit(8)
+        total = total + F.coalesce(size, F.lit(1))
+    return total.cast("bigint")
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most the given rows and bytes; reads no more than that number of rows, and only their sizes travel."""
+    n, held = df.select(_row_bytes(df).alias("_b")).limit(rows + 1).agg(F.count("*"), F.sum("_b")).first()
+    return n <= rows and (held or 0) <= most_bytes
+
 
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Marks df for a broadcast only after its size was checked; otherwise the join shuffles and AQE splits skewed keys.
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks df for a broadcast only after its size was checked; otherwise the join shuffles and AQE splits skewed keys."""
-    return F.broadcast(df) if is_small(df, rows) else df
+    df is computed for the check and again for the join, so callers ``cut`` it first where that is dear.
+    """
+    return F.broadcast(df) if is_small(df, rows, most_bytes) else df
 
 
 def partitions(spark: SparkSession) -> int:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from postloom.operators.hierarchy import LOOP, OPEN, closure_of, contract, message_descendants, message_hierarchy, message_paths, resolve_forest
+from postloom.operators.hierarchy import LOOP, OPEN, contract, expand_paths, loops, message_descendants, message_hierarchy, message_paths, resolve_forest, sums_above, sums_below
 
 
 def brute(parents):
@@ -96,6 +96,32 @@ def test_empty_and_null_places(spark):
     assert {(r.message_id, r.root_id, r.node_depth) for r in got} == {("a", "a", 0), ("b", "a", 1)}
 
 
-def test_closure_counts_hot_parent(spark):
-    links = spark.range(1, 2000).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("parent")).union(spark.createDataFrame([(0, None)], "node long, parent long"))
-    assert closure_of(links, resolve_forest(links, 100), 100).filter("distance = 1 and ancestor = 0").count() == 1999
+@pytest.mark.parametrize(("n", "near", "span", "one_task"), [(1500, True, 32, 1), (800, False, 16, 1), (800, False, 16, 10**6)])
+def test_sums_and_paths_against_brute_force(spark, n, near, span, one_task):
+    r = random.Random(n)
+    parents = {i: None if not i or r.random() < 0.1 else r.randrange(max(0, i - 20), i) if near else r.randrange(i) for i in range(n)}
+    weight = {i: r.randint(0, 3) for i in parents}
+    df = spark.createDataFrame([(i, p, weight[i], f"n{i}") for i, p in parents.items()], "node long, parent long, weight long, name string")
+    above, below, paths = {}, dict(weight), {}
+    for i, p in parents.items():
+        above[i] = weight[i] + (0 if p is None else above[p])
+        paths[i] = [*([] if p is None else paths[p]), f"n{i}"]
+    for i in reversed(range(n)):
+        if parents[i] is not None:
+            below[parents[i]] += below[i]
+    assert {x.node: x.total for x in sums_above(df, span, one_task).collect()} == above
+    assert {x.node: x.total for x in sums_below(df, span, one_task).collect()} == below
+    assert {x.node: x.path for x in expand_paths(df, span).collect()} == paths
+
+
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_loops(spark, one_task):
+    steps = [(1, 2), (2, 3), (3, 1), (4, 3), (5, 4), (7, 7), (8, 7), (10, 11), (11, 10)]
+    got = {(r.node, r.loop) for r in loops(spark.createDataFrame(steps, "node long, parent long"), one_task).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (7, 7), (10, 10), (11, 10)}
+    assert loops(spark.createDataFrame([], "node long, parent long"), one_task).count() == 0
+
+
+def test_hot_parent(spark):
+    links = spark.range(1, 2000).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("parent"), F.lit(1).alias("weight")).union(spark.createDataFrame([(0, None, 1)], "node long, parent long, weight int"))
+    assert sums_below(links, 100, 1).filter("node = 0").first().total == 2000

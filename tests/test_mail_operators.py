@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postloom.functions.text import is_reply_subject, normalize_for_matching, normalize_subject
 from postloom.operators import cleaning, matching, parsing, people, replies, spam, threads
+from postloom.operators.ordered import next_after, place, running_sums
 from postloom.operators.parsing import parse_date
 from postloom.sources import archive
 from postloom.streaming.incremental import stream_parsed
@@ -181,12 +182,103 @@ def test_time_anchors(spark):
     assert got == {2: ("m1", 1), 3: ("m1", 3), 5: ("m5", 1), 8: ("m20", 3)}
 
 
-def test_subject_match_needs_no_pairs_and_drops_loops(spark):
+def test_two_orphans_that_choose_each_other(spark):
     rows = [dict(message_id="a", subject="Re: t", date_raw="x"), dict(message_id="b", subject="Re: t", date_raw="y"), dict(message_id="c", subject="Re: lone")]
     state = replies.classify_orphans(replies.link_replies(mails(spark, rows)))
     found = matching.match_by_subject(state)
     assert {r.pos: r.parent_id for r in found.collect()} == {1: "b", 2: "a"}
-    assert matching.drop_loops(state, found).count() == 0
+    assert [(r.pos, r.parent_id) for r in matching.drop_loops(state, found).collect()] == [(1, "b")]
+    assert [(r.pos, r.parent_id) for r in matching.match_by_subject(state, loop_free=True).collect()] == [(1, "b")]
+
+
+def test_only_the_closing_link_goes(spark):
+    rows = [dict(message_id=m) for m in "cdef"] + [dict(message_id="x", in_reply_to="y"), dict(message_id="y", in_reply_to="x"), dict(message_id="z")]
+    state = replies.classify_orphans(replies.link_replies(mails(spark, rows)))
+    links = spark.createDataFrame([(1, "d"), (2, "c"), (3, "d"), (4, "e"), (7, "x")], "pos long, parent_id string")
+    assert sorted(r.pos for r in matching.drop_loops(state, links).collect()) == [1, 3, 4, 7]  # one of the loop c, d; what hangs below loops stays
+
+
+def rounds(rows):
+    """Brute force: every orphan's best candidate; the latest link of each loop gives way to the next best, until no loop is left."""
+    from datetime import datetime
+
+    when = lambda r: datetime.fromisoformat(r["date_parsed"][:19]) if r["date_parsed"] else None
+    stands = {r["message_id"]: r for r in rows if r["message_id"]}
+    lists = {}
+    for r in rows:
+        if r["orphan_status"] != "orphan_reply" or not r["normalized_subject"]:
+            continue
+        own = []
+        for c in rows:
+            if c["normalized_subject"] != r["normalized_subject"] or c["id"] == r["id"] or not c["message_id"] or (when(r) and when(c) and when(c) >= when(r)):
+                continue
+            score = 10 * (c["orphan_status"] == "true_root") + 5 * bool(c["children"]) + 3 * bool(c["parent_id"])
+            if when(r) and when(c):
+                gap = (when(r) - when(c)).total_seconds()
+                score += 5 if gap < 86400 else 3 if gap < 604800 else 1 if gap < 2592000 else 0
+            own.append((-score, c["date_parsed"] or c["date_raw"] or "", c["pos"], c["message_id"]))
+        lists[r["pos"]] = sorted(own)
+    while True:
+        link = {p: x[0][3] for p, x in lists.items() if x}
+        up = {r["message_id"]: link.get(r["pos"], r["parent_id"]) for r in stands.values()}
+        bad = set()
+        for r in stands.values():
+            ring, at = [], up[r["message_id"]]
+            while at in up and at != r["message_id"] and at not in ring:
+                ring.append(at)
+                at = up[at]
+            fresh = [stands[m]["pos"] for m in [*ring, r["message_id"]] if stands[m]["pos"] in link]
+            if at == r["message_id"] and fresh:
+                bad.add(max(fresh))
+        if not bad:
+            return {p: (x[0][3], -x[0][0]) for p, x in lists.items() if x}
+        for p in bad:
+            lists[p].pop(0)
+
+
+def random_archive(r, n, blind):
+    rows = []
+    for i in range(n):
+        date = f"1994-{r.randint(1, 4):02d}-{r.randint(1, 28):02d}T{r.randint(0, 23):02d}:00:00" if r.random() > blind else None
+        rows.append(dict(message_id=f"m{i}" if r.random() < 0.95 else "", in_reply_to=f"m{r.randrange(n)}" if r.random() < 0.2 else None, subject=r.choice(["Re: ", "Re: ", ""]) + f"t{r.randint(0, 5)}", date_parsed=date, date_raw=f"raw{r.randint(0, 9)}"))
+        if r.random() < 0.1:
+            rows.append({**rows[-1], "id": f"i{len(rows) - 1}"})
+    return rows
+
+
+@pytest.mark.parametrize("blind", [0.2, 0.8])
+def test_loop_free_matching_against_brute_force(spark, blind):
+    state = replies.classify_orphans(replies.link_replies(mails(spark, random_archive(random.Random(int(blind * 10)), 90, blind)))).cache()
+    plain = [x.asDict() for x in state.orderBy("pos").collect()]
+    parents = {y["parent_id"] for y in plain}
+    for x in plain:
+        x["children"] = x["message_id"] in parents and x["message_id"]
+    links, rejected = matching.match_with_rejections(state)
+    assert {x.pos: (x.parent_id, x.match_score) for x in links.collect()} == rounds(plain)
+    assert blind < 0.5 or rejected.count() > 0
+
+
+def test_next_after_and_running_sums_against_loops(spark):
+    r = random.Random(9)
+    rows = [(r.choice("aab"), r.randint(0, 30), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, ts long, pos long").repartition(7)
+    cells = df.filter("pos % 3 = 0").select("g", place(F.col("ts"), F.lit(""), F.col("pos")).alias("at"), F.struct("ts", "pos").alias("cell"))
+    probes = df.filter("pos % 3 <> 0").select("g", place(F.col("ts")).alias("at"), F.col("pos").alias("probe"))
+    got = {x.probe: (x.cell.ts, x.cell.pos) for x in next_after(probes, cells, ["g"]).collect()}
+    want = {p: min((t2, p2) for g2, t2, p2 in rows if p2 % 3 == 0 and g2 == g and t2 >= t) for g, t, p in rows if p % 3 and any(p2 % 3 == 0 and g2 == g and t2 >= t for g2, t2, p2 in rows)}
+    assert got == want
+    sums = running_sums(df, ["g"], ["ts", "pos"], {"before": F.col("ts"), "n": F.lit(1)})
+    for x in sums.collect():
+        above = [t for g, t, p in rows if g == x.g and (t, p) < (x.ts, x.pos)]
+        assert (x.before, x.n) == (sum(above), len(above))
+    assert running_sums(df.limit(0), ["g"], ["ts"], {"n": F.lit(1)}).count() == next_after(probes.limit(0), cells, ["g"]).count() == 0
+
+
+def test_related_subjects(spark):
+    texts = ["a", "ab", "xaby", "b", "key", "monkey", "Ää", ""]
+    one = lambda n: spark.createDataFrame([(t,) for t in texts], f"{n} string")
+    got = {tuple(x) for x in matching.related_subjects(one("mine"), one("theirs")).collect()}
+    assert got == {(a, b) for a in texts for b in texts if a and b and a != b and (a in b or b in a)}
 
 
 def in_order(rows):
