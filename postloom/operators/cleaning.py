@@ -15,7 +15,7 @@ from postloom.runtime import broadcast_if_small
 # Subject substrings of the first spam pass.
 SPAM_SUBJECTS = ("financial information", "urgent buy", "buy alert", "sizzler", "immediate cash", "cable descrambler", "save your life", "online business", "make money", "work from home", "mlm", "adult", "xxx")
 # Senders that are anonymous on purpose.
-ANONYMOUS = (r"^anonymous", r"^nobody@", r"^<>$", r"@nowhere", r"use-author-address-header", r"^0x[0-9a-f]+@", r"^[0-9a-f]{8}@")
+ANONYMOUS = (r"^anonymous", r"^nobody@", r"^<>$", r"@nowhere", r"use-author-address-header", r"^0x[0-9a-f]+@", r"^[0-9a-f]{8}@", r"damien lucifer", r"root@hellspawn")
 # Fixed value: a capital N between a name and a host.
 CAPITAL_N = r"([a-zA-Z0-9._-]+)N([a-zA-Z0-9.-]+\.[a-zA-Z]{2,})"
 

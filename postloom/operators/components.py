@@ -12,8 +12,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component): the least node each node is connected with.
 
     nodes: (node BIGINT); edges: (a, b), in any direction, repeated or not; loops do not matter, ends that are no
-    nodes are ignored. Labels spread along edges and jump to the label of their label, so a component of any
-    shape settles in few rounds; each round is written to the shared folder.
+    nodes are ignored. Labels spread along edges and jump to the label of their label; chains and stars settle in
+    rounds that grow with the logarithm of their size, and no shape takes more rounds than its longest shortest
+    path. Each round is written to the shared folder.
     """
     both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
     labels = cut(nodes.select("node").distinct().select("node", F.col("node").alias("label")))

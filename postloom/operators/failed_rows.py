@@ -8,7 +8,7 @@ keys of failing values travel in the join.
 Defined results: a NULL or empty record has one empty field and so fails with ``column_count``; a record
 without a failing part is valid; reasons are checked in the order quoting, column_count, bad_value; a row
 with several bad values lists them all in ``bad_columns``. Repeated rows are judged one by one, extra columns
-of the input are kept.
+of the input are kept. A value beyond the range of its column's type is named in ``beyond_type``.
 """
 
 from __future__ import annotations
@@ -119,11 +119,12 @@ def judge_rows(df: DataFrame, text: str = "record_text", rules: tuple[Rule, ...]
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
     records = split_records(rows, "_text")
     structure = F.when(F.col("_broken"), "quoting").when(F.col("_count") != len(rules), "column_count")
-    records = records.withColumn("_structure", structure)
+    # Rows without fields to check get keys of their own, so that they do not meet in one task of a join.
+    records = records.withColumn("_structure", structure).withColumn("_row_no", F.monotonically_increasing_id().cast("string"))
     place = {r.name: i + 1 for i, r in enumerate(rules)}
     checked = [r for r in rules if r.valid is not None]
     sound = F.col("_structure").isNull()
-    value = lambda r: F.when(sound, F.try_element_at("_values", F.lit(place[r.name])))
+    value = lambda r: F.when(sound, F.try_element_at("_values", F.lit(place[r.name]))).otherwise(F.concat(F.lit(_SEP), F.col("_row_no")))
     other = lambda r: F.when(sound, F.try_element_at("_values", F.lit(place[r.needs]))) if r.needs else F.lit("")
     cells = F.array(*[F.struct(F.lit(r.name).alias("col"), value(r).alias("value"), other(r).alias("other")) for r in checked])
     values = records.filter(sound).select(F.explode(cells).alias("_cell")).select("_cell.*")
@@ -144,10 +145,18 @@ def rejected_rows(df: DataFrame, text: str = "record_text", rules: tuple[Rule, .
 
 
 def valid_rows(df: DataFrame, key: str = "row_id", text: str = "record_text", rules: tuple[Rule, ...] = REVIEW_RULES) -> DataFrame:
-    """The typed valid rows: the key and one column for each rule."""
+    """The typed valid rows: the key, one column for each rule, and ``beyond_type``.
+
+    The rules settle what is valid; the casts here cannot fail on a valid value but for one reason: a number may be
+    larger than its type holds. Such a row stays valid, its column is NULL and named in ``beyond_type`` (else empty).
+    Only invalid values are kept in a dictionary: one of valid values would be as large as the table.
+    """
     out = judge_rows(df.select(key, text), text, rules).filter("reason is null")
-    typed = []
+    typed, beyond = [], []
     for i, r in enumerate(rules):
         v = F.try_element_at("field_values", F.lit(i + 1))
-        typed.append((F.from_json(v, "array<string>") if r.type == "array<string>" else v.try_cast(r.type)).alias(r.name))
-    return out.select(key, *typed)
+        cell = F.from_json(v, "array<string>") if r.type == "array<string>" else v.try_cast(r.type)
+        typed.append(cell.alias(r.name))
+        if r.type not in ("string", "array<string>"):
+            beyond.append(F.when(cell.isNull(), F.lit(r.name)))
+    return out.select(key, *typed, F.array_compact(F.array(*beyond)).cast("array<string>").alias("beyond_type"))

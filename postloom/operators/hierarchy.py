@@ -129,14 +129,19 @@ def resolve_forest(links: DataFrame, span: int = SPAN, one_task: int = ONE_TASK)
 
 
 def _ring(node: np.ndarray, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(node, loop) of the nodes on loops, of a table in which every chain ends in one."""
+    """(node, loop) of the nodes on loops; a chain whose parent is no node ends there."""
     order = np.argsort(node)
-    node, up = node[order], np.searchsorted(node[order], parent[order])
+    node, parent = node[order], parent[order]
+    n = len(node)
+    up = np.searchsorted(node, parent)
+    up[(up == n) | (node[np.minimum(up, n - 1)] != parent)] = n
+    up = np.append(up, n)  # the place where chains end
     at = up
-    for _ in range(len(node).bit_length()):
+    for _ in range(n.bit_length()):
         at = at[at]
     on = np.unique(at)  # where chains are after more steps than there are nodes
-    least, at = node.copy(), up
+    on = on[on < n]
+    least, at = np.append(node, NOWHERE), up
     for _ in range(len(on).bit_length()):
         least, at = np.minimum(least, least[at]), at[at]
     return node[on], least[on]
@@ -149,22 +154,22 @@ def _rings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _ring(node, parent)], ["node", "loop"])
 
 
-def loops(stuck: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
+def loops(steps: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """(node, loop) of the nodes that lie on a loop, loop being its least node.
 
-    stuck: (node, parent), the nodes on or below loops, each parent among them. Up to one_task of them are settled
-    by one task, more by pointer doubling with joins.
+    steps: (node BIGINT unique, parent BIGINT); a chain ends at a parent that is no node. Up to one_task of them
+    are settled by one task, more by pointer doubling with joins.
     """
-    stuck = cut(stuck)
-    n = stuck.count()
+    steps = cut(steps)
+    n = steps.count()
     if n <= one_task:
-        return cut(stuck.coalesce(1).mapInArrow(_rings, "node bigint, loop bigint"))
+        return cut(steps.coalesce(1).mapInArrow(_rings, "node bigint, loop bigint"))
     above = lambda df, *more: df.select(F.col("node").alias("up"), F.col("up").alias("_up"), *more)
-    at = stuck.select("node", F.col("parent").alias("up"))
-    for _ in range(n.bit_length()):
+    at = steps.select("node", F.col("parent").alias("up"))
+    for _ in range(n.bit_length()):  # chains that end drop out
         at = cut(at.join(above(at), "up").select("node", F.col("_up").alias("up")))
     on = at.select(F.col("up").alias("node")).distinct()
-    ring = cut(stuck.join(on, "node", "left_semi").select("node", F.col("parent").alias("up"), F.col("node").alias("loop")))
+    ring = cut(steps.join(on, "node", "left_semi").select("node", F.col("parent").alias("up"), F.col("node").alias("loop")))
     for _ in range(n.bit_length()):
         ring = cut(ring.join(above(ring, F.col("loop").alias("_loop")), "up").select("node", F.col("_up").alias("up"), F.least("loop", "_loop").alias("loop")))
     return ring.select("node", "loop")

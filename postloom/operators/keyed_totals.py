@@ -2,8 +2,10 @@
 
 Each input split encodes its keys into a local dictionary and adds its rows into dense accumulator arrays
 (``numpy.bincount`` and scatter-reduce). What leaves a split is one array block for each key range, in which a
-hot key is one slot, however many rows it has. Blocks are added up in two rounds of a distributed reduction, so
-no task receives more than a bounded share of all blocks; no row of the input is ever shuffled.
+hot key is one slot, however many rows it has. Blocks are added up in two rounds of a distributed reduction; the
+number of key ranges follows the number of distinct keys, so a range holds about KEYS_IN_BLOCK keys at any size,
+and its totals are handed on in slices. No row of the input is ever shuffled. Splits are those of the files, equal
+in bytes.
 
 Defined results: NULL and empty keys are not keys (they still count as rows of the input); an empty table gives
 no rows; NULL measures count as 0 in sums and are skipped by least and greatest; extra columns are not read.
@@ -11,6 +13,7 @@ no rows; NULL measures count as 0 in sums and are skipped by least and greatest;
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +26,10 @@ from postloom.runtime import partitions
 
 #: Distinct keys a split holds before it hands its blocks on and starts anew; bounds the memory of a task, loses nothing.
 KEYS_HELD = 200_000
+#: Keys of one key range, as estimated from the distinct keys of the largest field.
+KEYS_IN_BLOCK = 50_000
+#: Keys in one row that a task hands on.
+SLICE = 5_000
 #: Blocks of one key range that a task of the first round adds up.
 FAN_IN = 64
 
@@ -62,9 +69,16 @@ def _dense(codes: np.ndarray, size: int, kind: str, values: np.ndarray | None) -
 
 
 def _block_of(keys: list[str], blocks: int) -> np.ndarray:
-    import xxhash
+    return np.fromiter((zlib.crc32(k.encode("utf-8", "surrogatepass")) % blocks for k in keys), np.int64, len(keys))
 
-    return np.fromiter((xxhash.xxh32_intdigest(k.encode("utf-8", "surrogatepass")) % blocks for k in keys), np.int64, len(keys))
+
+def _slices(field: str, block: int, split: int, keys: list[str], arrays: list[np.ndarray]) -> Iterator[dict]:
+    for low in range(0, len(keys), SLICE):
+        high = min(low + SLICE, len(keys))  # arrays are longer than the keys they hold
+        yield {"field": field, "block": block, "split": split, "keys": keys[low:high], "totals": [a[low:high].tolist() for a in arrays]}
+
+
+_SCHEMA = pa.schema([("field", pa.string()), ("block", pa.int32()), ("split", pa.int32()), ("keys", pa.list_(pa.string())), ("totals", pa.list_(pa.list_(pa.int64())))])
 
 
 def _emit(field: str, acc: _Accumulators, blocks: int, split: int) -> Iterator[pa.RecordBatch]:
@@ -73,17 +87,10 @@ def _emit(field: str, acc: _Accumulators, blocks: int, split: int) -> Iterator[p
         return
     of = _block_of(list(keys), blocks)
     order = np.argsort(of, kind="stable")
-    edges = np.flatnonzero(np.diff(of[order])) + 1
-    rows = [(int(of[part[0]]), part) for part in np.split(order, edges)]
-    yield pa.RecordBatch.from_pydict(
-        {
-            "field": pa.array([field] * len(rows), pa.string()),
-            "block": pa.array([b for b, _ in rows], pa.int32()),
-            "split": pa.array([split] * len(rows), pa.int32()),
-            "keys": pa.array([list(keys[part]) for _, part in rows], pa.list_(pa.string())),
-            "totals": pa.array([[list(a[part]) for a in acc.arrays] for _, part in rows], pa.list_(pa.list_(pa.int64()))),
-        }
-    )
+    rows = []
+    for part in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+        rows += _slices(field, int(of[part[0]]), split, list(keys[part]), [a[part] for a in acc.arrays])
+    yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
 
 
 def _encode(fields: list[str], measures: list[tuple[str, str]], blocks: int, held: int):
@@ -123,29 +130,30 @@ def _reduce(kinds: list[str]):
         acc = _Accumulators(kinds)
         for keys, totals in zip(table.column("keys").to_pylist(), table.column("totals").to_pylist()):
             acc.add(keys, [np.asarray(t, np.int64) for t in totals])
-        n = len(acc.slots)
-        return pa.Table.from_pydict(
-            {
-                "field": pa.array([key[0].as_py()], pa.string()),
-                "block": pa.array([key[1].as_py()], pa.int32()),
-                "split": pa.array([key[2].as_py() if len(key) > 2 else 0], pa.int32()),
-                "keys": pa.array([list(acc.slots)], pa.list_(pa.string())),
-                "totals": pa.array([[list(a[:n]) for a in acc.arrays]], pa.list_(pa.list_(pa.int64()))),
-            }
-        )
+        split = key[2].as_py() if len(key) > 2 else 0
+        return pa.Table.from_pylist(list(_slices(key[0].as_py(), key[1].as_py(), split, list(acc.slots), acc.arrays)), _SCHEMA)
 
     return run
 
 
-def keyed_totals(df: DataFrame, fields: list[str], measures: dict[str, tuple[str, str]] | None = None, blocks: int | None = None, held: int = KEYS_HELD, fan_in: int = FAN_IN) -> DataFrame:
+def key_counts(df: DataFrame, fields: list[str]) -> tuple[int, int]:
+    """(rows, distinct keys of the field with most of them, estimated to 5 percent) in one pass."""
+    row = df.agg(F.count("*").alias("n"), *[F.approx_count_distinct(F.col(f"`{f}`"), 0.05).alias(f"d{i}") for i, f in enumerate(fields)]).first()
+    return row[0], max(row[1:], default=0)
+
+
+def keyed_totals(df: DataFrame, fields: list[str], measures: dict[str, tuple[str, str]] | None = None, distinct: int | None = None, blocks: int | None = None, held: int = KEYS_HELD, fan_in: int = FAN_IN) -> DataFrame:
     """(field_name, key_value, n, one column for each measure) for each key of each of the string columns ``fields``.
 
-    measures: output name to (integer input column, sum|min|max). Rows of the input are read once for all fields.
+    measures: output name to (integer input column, sum|min|max). Rows of the input are read once for all fields,
+    after a pass over the keys alone that estimates their number (``distinct``, if it is not given).
     """
     measures = measures or {}
     plan = [("", "sum"), *((f"_m{i}", kind) for i, (_, kind) in enumerate(measures.values()))]
     kinds = [k for _, k in plan]
-    blocks = blocks or max(8, partitions(df.sparkSession))
+    if not blocks:
+        distinct = key_counts(df, fields)[1] if distinct is None else distinct
+        blocks = max(8, partitions(df.sparkSession), -(-distinct // KEYS_IN_BLOCK))
     inner = [f"_f{i}" for i in range(len(fields))]
     source = df.select(*[F.col(f"`{f}`").cast("string").alias(a) for f, a in zip(fields, inner)], *[F.col(f"`{c}`").cast("bigint").alias(f"_m{i}") for i, (c, _) in enumerate(measures.values())])
     encoded = source.mapInArrow(_encode(inner, plan, blocks, held), _BLOCKS)
@@ -160,5 +168,5 @@ def keyed_totals(df: DataFrame, fields: list[str], measures: dict[str, tuple[str
 
 def heavy_keys(df: DataFrame, fields: list[str], share: float) -> DataFrame:
     """(field_name, key_value, n) of the keys with at least the given share of all rows, rows without a key included."""
-    total = df.count()
-    return keyed_totals(df, fields).filter(F.col("n") >= F.lit(share) * F.lit(total))
+    total, distinct = key_counts(df, fields)
+    return keyed_totals(df, fields, distinct=distinct).filter(F.col("n") >= F.lit(share) * F.lit(total))

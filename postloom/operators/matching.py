@@ -28,7 +28,7 @@ from postloom.operators import replies
 from postloom.operators.components import connected_components
 from postloom.operators.hierarchy import loops, resolve_forest
 from postloom.operators.ordered import next_after, place
-from postloom.runtime import broadcast_if_small, cut, filled
+from postloom.runtime import broadcast_if_small, cut, filled, spread
 
 DAY = 86_400
 SLICE = 30 * DAY
@@ -51,37 +51,49 @@ def candidates(probes: DataFrame, sources: DataFrame, by: list[str]) -> tuple[Da
     """(candidates, cells): for each probe, group and range of gaps the earliest source of another id.
 
     probes: (*by, probe struct with pos, id and ts); sources: (*by, ts, key, pos, value struct with id). A dated
-    probe asks four ranges of dated sources and the undated ones; a probe without a date asks all. candidates has
-    ``probe``, ``cell`` and, for ``behind``, the group in ``group`` and the range's end in ``upto``.
+    probe asks the ranges of GAPS, the sources before them and the undated ones; a probe without a date asks all.
+    candidates has ``probe`` and ``cell`` and, for ``behind``, the ``group`` and the range's end in ``upto``.
     """
-    undated = probes.filter("probe.ts is null").select(*by).distinct()
     cell = F.struct("ts", "key", "pos", "value").alias("cell")
-    timed = F.col("ts").isNotNull()
-    own = sources.select(*by, F.when(timed, "dated").otherwise("undated").alias("_kind"), place(F.coalesce("ts", F.lit(0)), F.col("key"), F.col("pos")).alias("at"), cell)
-    any_ = sources.join(broadcast_if_small(cut(undated)), by, "left_semi").select(*by, F.lit("any").alias("_kind"), place(F.lit(0), F.col("key"), F.col("pos")).alias("at"), cell)
-    cells = cut(own.unionByName(any_))
-    ts, first, last = F.col("probe.ts"), -(2**62), 2**62
-    look = lambda kind, low, high: F.struct(F.lit(kind).alias("kind"), place(low).alias("at"), high.cast("bigint").alias("upto"))
+    ts, last = F.col("probe.ts"), F.lit(2**62)
+    kind = lambda k: F.struct(*by, F.lit(k).alias("_kind")).alias("group")
     ranges, upper = [], 1
     for limit, _ in GAPS:
-        ranges.append(look("dated", ts - (limit - 1), ts - upper))
+        ranges.append(F.struct(place(ts - (limit - 1)).alias("at"), (ts - upper).cast("bigint").alias("upto")))
         upper = limit
-    ranges += [look("dated", F.lit(first), ts - upper), look("undated", F.lit(first), F.lit(last))]
-    asked = F.when(ts.isNotNull(), F.array(*ranges)).otherwise(F.array(look("any", F.lit(first), F.lit(last))))
-    group = F.struct(*by, F.col("w.kind").alias("_kind")).alias("group")
-    asks = probes.select(*by, "probe", F.explode(asked).alias("w")).select(group, F.col("w.at").alias("at"), F.col("w.upto").alias("upto"), "probe")
-    found = _ask(asks, cells, by)
-    # A copy of the mail itself makes way for the source behind it.
-    while found.filter("cell.value.id = probe.id").take(1):
-        self_ = F.col("cell.value.id") == F.col("probe.id")
+    dated = sources.filter("ts is not null").select(*by, place(F.col("ts"), F.col("key"), F.col("pos")).alias("at"), cell)
+    asks = probes.filter("probe.ts is not null").select(*by, "probe", F.explode(F.array(*ranges)).alias("w")).select(kind("dated"), F.col("w.at").alias("at"), F.col("w.upto").alias("upto"), "probe")
+    near = _ask(asks, dated.withColumn("_kind", F.lit("dated")), by)
+    # Older, undated and blind look-ups always ask for the first of a group, or the first of another id: an aggregate.
+    order = F.struct(F.when(F.col("_kind") == "dated", F.col("ts")).alias("t"), "key", "pos")
+    kinds = F.when(F.col("ts").isNotNull(), F.array(F.lit("dated"), F.lit("any"))).otherwise(F.array(F.lit("undated"), F.lit("any")))
+    every = cut(sources.select(*by, "ts", "key", "pos", "value", F.explode(kinds).alias("_kind")))
+    one = every.groupBy(*by, "_kind").agg(F.min_by(cell, order).alias("_first"))
+    rest = every.join(one, [*by, "_kind"]).filter(F.col("value.id") != F.col("_first.value.id")).groupBy(*by, "_kind").agg(F.min_by(cell, order).alias("_second"))
+    firsts = one.join(rest, [*by, "_kind"], "left")
+    wanted = F.when(ts.isNotNull(), F.array(F.lit("dated"), F.lit("undated"))).otherwise(F.array(F.lit("any")))
+    asked = probes.select(*by, "probe", F.explode(wanted).alias("_kind")).join(firsts, [*by, "_kind"])
+    upto = F.when(F.col("_kind") == "dated", ts - SLICE).otherwise(last).cast("bigint").alias("upto")
+    pick = F.when(F.col("_first.value.id") == F.col("probe.id"), F.col("_second")).otherwise(F.col("_first")).alias("cell")
+    far = asked.select("probe", F.struct(*by, "_kind").alias("group"), upto, pick).filter("cell is not null")
+    far = far.filter((F.col("group._kind") != "dated") | (F.col("cell.ts") <= F.col("upto")))
+    found = near.unionByName(far.select(*near.columns))
+    cells = every.select(*by, "_kind", place(F.when(F.col("_kind") == "dated", F.col("ts")).otherwise(0), F.col("key"), F.col("pos")).alias("at"), cell)
+    return _without_self(cut(found), cells, by), cells
+
+
+def _without_self(found: DataFrame, cells: DataFrame, by: list[str]) -> DataFrame:
+    """A copy of the mail itself under another date makes way for the source behind it."""
+    self_ = F.col("cell.value.id") == F.col("probe.id")
+    while found.filter(self_).take(1):
         found = cut(found.filter(~self_).unionByName(behind(found.filter(self_), cells, by)))
-    return found, cells
+    return found
 
 
 def _ask(asks: DataFrame, cells: DataFrame, by: list[str]) -> DataFrame:
     probes = asks.select("group.*", "at", F.struct("probe", "group", "upto").alias("probe"))
     near = next_after(probes, cells, [*by, "_kind"])
-    return cut(near.filter(F.coalesce("cell.ts", F.lit(0)) <= F.col("probe.upto")).select("probe.*", "cell"))
+    return near.filter((F.col("probe.group._kind") != "dated") | (F.col("cell.ts") <= F.col("probe.upto"))).select("probe.*", "cell")
 
 
 def behind(taken: DataFrame, cells: DataFrame, by: list[str]) -> DataFrame:
@@ -132,7 +144,7 @@ def match_by_subject(classified: DataFrame, loop_free: bool = False) -> DataFram
 def match_with_rejections(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links without loops, (pos, parent_id) of the candidates rejected on the way)."""
     found, cells = _subject_candidates(classified)
-    forest = cut(_forest(classified))
+    forest = _forest(classified)
     rejected = None
     while True:
         best = cut(_best(found))
@@ -141,14 +153,11 @@ def match_with_rejections(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
             none = best.filter(F.lit(False)).select("pos", "parent_id")
             return best.select(*_LINK), none if rejected is None else rejected
         out = best.join(broadcast_if_small(closing), "pos", "left_semi")
-        rejected = cut((out if rejected is None else rejected.unionByName(out.select("pos", "parent_id"))).select("pos", "parent_id"))
+        rejected = out.select("pos", "parent_id") if rejected is None else rejected.unionByName(out.select("pos", "parent_id"))
         taken = cut(out.select("m.probe", "m.group", "m.upto", "m.cell"))
         gone = taken.select(F.col("probe.pos").alias("_pos"), F.col("group").alias("_group"), F.col("upto").alias("_upto"))
         same = (F.col("probe.pos") == F.col("_pos")) & (F.col("group") == F.col("_group")) & (F.col("upto") == F.col("_upto"))
-        next_ = behind(taken, cells, _GROUP)
-        while next_.filter("cell.value.id = probe.id").take(1):
-            self_ = F.col("cell.value.id") == F.col("probe.id")
-            next_ = cut(next_.filter(~self_).unionByName(behind(next_.filter(self_), cells, _GROUP)))
+        next_ = _without_self(cut(behind(taken, cells, _GROUP)), cells, _GROUP)
         found = cut(found.join(broadcast_if_small(gone), same, "left_anti").unionByName(next_))
 
 
@@ -309,7 +318,7 @@ def related_subjects(mine: DataFrame, theirs: DataFrame) -> DataFrame:
         n = F.length("long")
         pieces = F.flatten(F.transform(F.filter("_sizes", lambda k: k < n), lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(F.col("long"), i, k))))
         cut_up = long.withColumn("_one", F.lit(1)).join(F.broadcast(sizes), "_one").select("long", F.explode(F.array_distinct(pieces)).alias("short"))
-        return cut_up.join(broadcast_if_small(short), "short")
+        return cut_up.join(short, "short")
 
     down = held(mine.select(F.col("mine").alias("long")), theirs.select(F.col("theirs").alias("short"))).select(F.col("long").alias("mine"), F.col("short").alias("theirs"))
     up = held(theirs.select(F.col("theirs").alias("long")), mine.select(F.col("mine").alias("short"))).select(F.col("short").alias("mine"), F.col("long").alias("theirs"))
@@ -320,25 +329,25 @@ def match_by_quotes(classified: DataFrame) -> DataFrame:
     """(pos, parent_id, quote_match_score) of every root that quotes an earlier mail.
 
     Bodies are reduced to quoted lines and to keys of those lines that some root quotes in the pass that reads
-    them; only keys, never bodies, are joined or shuffled. A source scores 1, 10 more under the same subject, 5
+    them; only keys, never bodies, are joined. A source scores 1, 10 more under the same subject, 5
     more if one subject holds the other, and points for nearness.
     """
     roots = classified.filter("orphan_status = 'true_root' and normalized_subject <> ''")
     quotes = quoted_lines(roots).filter(F.col("ordinal") < PROBES).withColumn("line_key", normalize_for_matching(F.col("quote"))).filter(F.length("line_key") >= LEAST_KEY)
     about = classified.select("pos", "id", "message_id", "normalized_subject", local_seconds(F.col("date_parsed")).alias("ts"))
     asking = cut(quotes.select("pos", "ordinal", "line_key"))
-    probes = about.drop("message_id").join(broadcast_if_small(asking), "pos").withColumnRenamed("normalized_subject", "subject")
+    probes = about.drop("message_id").join(asking, "pos").withColumnRenamed("normalized_subject", "subject")
     probes = cut(probes.select("line_key", "subject", F.struct("pos", "ordinal", "id", "ts", F.col("subject")).alias("probe")))
     keys = cut(asking.select("line_key").distinct())
-    lines = cut(body_lines(classified).join(broadcast_if_small(keys), "line_key", "left_semi").distinct())
-    sources = about.filter(filled("message_id")).join(broadcast_if_small(lines), "pos")
+    lines = cut(body_lines(spread(classified.select("pos", "body"))).join(broadcast_if_small(keys), "line_key", "left_semi").distinct())
+    sources = about.filter(filled("message_id")).join(lines, "pos")
     value = F.struct("id", "message_id", F.col("normalized_subject").alias("subject")).alias("value")
     by_date = F.coalesce(F.lpad((F.col("ts") + 10**12).cast("string"), 15, "0"), F.lit("~")).alias("key")  # sorts as the date does, unknown ones last
     sources = cut(sources.select("line_key", F.col("normalized_subject").alias("subject"), "ts", by_date, "pos", value))
     # Under the same subject, under the empty subject (which every subject holds), under subjects that hold one another, and anywhere.
     groups = cut(sources.select("line_key", "subject").distinct())
     related = related_subjects(probes.select(F.col("subject").alias("mine")).distinct(), groups.select(F.col("subject").alias("theirs")).distinct())
-    held = probes.withColumnRenamed("subject", "mine").join(broadcast_if_small(cut(related)), "mine").select("line_key", F.col("theirs").alias("subject"), "probe")
+    held = probes.withColumnRenamed("subject", "mine").join(related, "mine").select("line_key", F.col("theirs").alias("subject"), "probe")
     near = probes.unionByName(probes.withColumn("subject", F.lit(""))).unionByName(held).join(groups, ["line_key", "subject"], "left_semi")
     under, _ = candidates(cut(near), sources, ["line_key", "subject"])
     anywhere, _ = candidates(probes.drop("subject"), sources.drop("subject"), ["line_key"])
@@ -445,28 +454,27 @@ def apply_links(classified: DataFrame, links: DataFrame, status: str) -> DataFra
 
 
 def _forest(before: DataFrame) -> DataFrame:
-    """(pos, message_id, parent_id) of the records that stand for their messages."""
+    """(pos, message_id, top) of the records that stand for their messages: top is the message its chain ends at, NULL on or below a loop."""
     nodes = before.filter(filled("message_id")).groupBy("message_id").agg(F.max("pos").alias("pos"))
-    return before.select("pos", "message_id", "parent_id").join(nodes, ["message_id", "pos"])
+    own = cut(before.select("pos", "message_id", "parent_id").join(nodes, ["message_id", "pos"]))
+    above = own.select(F.col("message_id").alias("parent_id"), F.col("pos").alias("parent"))
+    solved = resolve_forest(cut(own.join(above, "parent_id", "left").select(F.col("pos").alias("node"), "parent")))
+    return cut(own.select("pos", "message_id").join(solved.select(F.col("node").alias("pos"), F.col("root").alias("top")), "pos"))
 
 
 def closing_links(forest: DataFrame, links: DataFrame) -> DataFrame:
-    """(pos) of the links to take out: of those on one loop the link of the latest mail. A loop of headers alone stays.
+    """(pos) of the links to take out: of those on one loop the link of the latest mail. A loop of earlier links stays.
 
-    forest: (pos, message_id, parent_id) of the records that stand for messages; links: (pos, parent_id), which go
-    before the forest's own. A link of a record that does not stand for its message closes nothing.
+    forest: as of ``_forest``; links: (pos, parent_id) of messages that have no parent yet. Such a message is the
+    top of its tree, so a link leads from tree to tree and only the links are followed. A link of a record that
+    does not stand for its message closes nothing.
     """
-    new = links.select(F.col("pos").alias("_pos"), F.col("parent_id").alias("_new"))
-    put = forest.join(new, F.col("pos") == F.col("_pos"), "left")
-    above = forest.select(F.col("message_id").alias("_to"), F.col("pos").alias("parent"))
-    steps = cut(put.join(above, F.coalesce("_new", "parent_id") == F.col("_to"), "left").select(F.col("pos").alias("node"), "parent", F.col("_new").isNotNull().alias("fresh")))
-    stuck = resolve_forest(steps.select("node", "parent")).filter("root is null").select("node")
-    on = loops(steps.join(broadcast_if_small(cut(stuck)), "node", "left_semi").select("node", "parent"))
-    fresh = on.join(steps.filter("fresh").select("node"), "node", "left_semi")
-    return fresh.groupBy("loop").agg(F.max("node").alias("pos")).select("pos")
+    to = forest.select(F.col("message_id").alias("parent_id"), F.col("top").alias("parent"))
+    steps = links.join(forest.select("pos"), "pos", "left_semi").join(to, "parent_id").filter("parent is not null")
+    return loops(steps.select(F.col("pos").alias("node"), "parent")).groupBy("loop").agg(F.max("node").alias("pos")).select("pos")
 
 
 def drop_loops(before: DataFrame, links: DataFrame) -> DataFrame:
     """The links without the one of the latest mail on each loop that they close; a link below a loop stays."""
     links = cut(links)
-    return links.join(broadcast_if_small(cut(closing_links(cut(_forest(before)), links))), "pos", "left_anti")
+    return links.join(broadcast_if_small(cut(closing_links(_forest(before), links))), "pos", "left_anti")

@@ -18,13 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postloom.runtime import broadcast_if_small, cut
+from postloom.runtime import cut
 
 
-def range_sorted(df: DataFrame, *order: Column | str) -> DataFrame:
-    """df in the given order over all partitions, with the partition's number in ``_part``; written once."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return cut(ranged.withColumn("_part", F.spark_partition_id()))
+def _range_sorted(df: DataFrame, *order: Column | str) -> DataFrame:
+    """df in the given order over all partitions, with the partition's number in ``_part``. df is read twice, the ranges are drawn from a sample."""
+    return df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
 
 
 def _starts(keys: np.ndarray, last: int | None) -> np.ndarray:
@@ -37,7 +36,7 @@ def _starts(keys: np.ndarray, last: int | None) -> np.ndarray:
 
 def _running(values: list[str], out: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, carried = None, [0] * len(values)
+        last, carried, part, types = None, [0] * len(values), None, None
         for batch in batches:
             n = batch.num_rows
             if not n:
@@ -54,26 +53,38 @@ def _running(values: list[str], out: list[str]):
                     before[: int(np.argmax(new)) if new.any() else n] += carried[i]
                 carried[i] = int(before[-1] + v[-1])
                 columns.append(pa.array(before, pa.int64()))
-            last = keys[-1]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *out])
+            last, part, types = keys[-1], batch.column("_part")[0].as_py(), batch.column("_row").type
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), *columns, batch.column("_k"), batch.column("_part"), pa.array(np.zeros(n, bool))], ["_row", *out, "_k", "_part", "_tail"])
+        if last is not None:  # what the last group of the partition hands on
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, types), *(pa.array([c], pa.int64()) for c in carried), pa.array([last], pa.int64()), pa.array([part], pa.int32()), pa.array([True])], ["_row", *out, "_k", "_part", "_tail"])
 
     return run
 
 
+def running_inside(df: DataFrame, by: list[str], sums: dict[str, Column]) -> DataFrame:
+    """As ``running_sums`` in the order the rows have, for groups whose rows are neighbours in one partition; no exchange."""
+    seen = _summed(df, by, sums).filter("not _tail")
+    return seen.select(*[F.col(f"_row.`{c}`") for c in df.columns], *sums)
+
+
+def _summed(df: DataFrame, by: list[str], sums: dict[str, Column], *order: Column | str) -> DataFrame:
+    values = {f"_v{i}": F.coalesce(c.cast("bigint"), F.lit(0)) for i, c in enumerate(sums.values())}
+    key = F.xxhash64(*by) if by else F.lit(0).cast("bigint")
+    keyed = df.withColumns({"_row": F.struct(*[F.col(f"`{c}`") for c in df.columns]), "_k": key, **values})
+    placed = _range_sorted(keyed, *by, *order) if order else keyed.withColumn("_part", F.spark_partition_id())
+    placed = placed.select("_row", "_k", "_part", *values)
+    schema = T.StructType([T.StructField("_row", placed.schema["_row"].dataType), *[T.StructField(name, T.LongType()) for name in sums], T.StructField("_k", T.LongType()), T.StructField("_part", T.IntegerType()), T.StructField("_tail", T.BooleanType())])
+    return placed.mapInArrow(_running(list(values), list(sums)), schema)
+
+
 def running_sums(df: DataFrame, by: list[str], order: list[Column | str], sums: dict[str, Column]) -> DataFrame:
     """df with, for each entry of ``sums``, the sum of its BIGINT column over the rows of the group before this one."""
-    values = {f"_v{i}": c.cast("bigint") for i, c in enumerate(sums.values())}
-    key = F.xxhash64(*by) if by else F.lit(0).cast("bigint")
-    keyed = df.withColumns({"_k": key, **{n: F.coalesce(c, F.lit(0)) for n, c in values.items()}})
-    ranged = range_sorted(keyed, *by, *order)
-    totals = ranged.groupBy("_k", "_part").agg(*[F.sum(v).alias(f"{v}t") for v in values])
-    before = Window.partitionBy("_k").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition a group touches
-    offsets = totals.select("_k", "_part", F.count("*").over(before).alias("_earlier"), *[F.sum(f"{v}t").over(before).alias(f"{v}o") for v in values])
-    offsets = cut(offsets.filter("_earlier > 0").drop("_earlier"))
-    schema = T.StructType([*ranged.schema.fields, *[T.StructField(name, T.LongType()) for name in sums]])
-    inside = ranged.mapInArrow(_running(list(values), list(sums)), schema)
-    out = inside.join(broadcast_if_small(offsets), ["_k", "_part"], "left")
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[(F.col(name) + F.coalesce(f"{v}o", F.lit(0))).alias(name) for name, v in zip(sums, values)])
+    seen = cut(_summed(df, by, sums, *order))
+    upto = Window.partitionBy("_k").orderBy("_part")
+    tails = seen.filter("_tail").select("_k", F.col("_part").alias("_from"), F.lead("_part").over(upto).alias("_until"), *[F.sum(name).over(upto).alias(f"_o{i}") for i, name in enumerate(sums)])
+    crosses = (F.col("s._k") == F.col("t._k")) & (F.col("_part") > F.col("_from")) & (F.col("_until").isNull() | (F.col("_part") <= F.col("_until")))
+    out = seen.filter("not _tail").alias("s").join(F.broadcast(tails).alias("t"), crosses, "left")  # one row for each partition
+    return out.select(*[F.col(f"_row.`{c}`") for c in df.columns], *[(F.col(f"s.`{name}`") + F.coalesce(f"_o{i}", F.lit(0))).alias(name) for i, name in enumerate(sums)])
 
 
 def _last_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,13 +134,11 @@ def next_after(probes: DataFrame, cells: DataFrame, by: list[str]) -> DataFrame:
     rows = cells.select(*by, "at", "cell", none(probes, "probe")).unionByName(probes.select(*by, "at", none(cells, "cell"), "probe"))
     rows = rows.withColumn("_k", F.xxhash64(*by))
     # Latest first, so that the last cell above a probe is the next one behind it.
-    ranged = range_sorted(rows, *by, F.desc("at"), F.col("cell").isNotNull())
+    ranged = _range_sorted(rows, *by, F.desc("at"), F.col("cell").isNotNull()).select("probe", "cell", "_k", "_part")
     schema = T.StructType([ranged.schema["probe"], ranged.schema["cell"], T.StructField("_k", T.LongType()), T.StructField("_part", T.IntegerType())])
-    seen = cut(ranged.select("probe", "cell", "_k", "_part").mapInArrow(_last_seen, schema))
-    tails = seen.filter("probe is null").select("_k", F.col("cell").alias("_cell"), F.col("_part").alias("_from"))
-    until = F.lead("_from").over(Window.partitionBy("_k").orderBy("_from"))  # at most one row for each partition
-    tails = broadcast_if_small(cut(tails.withColumn("_until", until)))
-    near = seen.filter("probe is not null and cell is not null").select("probe", "cell")
+    seen = cut(ranged.mapInArrow(_last_seen, schema))
+    upto = Window.partitionBy("_k").orderBy("_part")
+    tails = seen.filter("probe is null").select("_k", F.col("cell").alias("_cell"), F.col("_part").alias("_from"), F.lead("_part").over(upto).alias("_until"))
     crosses = (F.col("s._k") == F.col("t._k")) & (F.col("_part") > F.col("_from")) & (F.col("_until").isNull() | (F.col("_part") <= F.col("_until")))
-    far = seen.filter("probe is not null and cell is null").alias("s").join(tails.alias("t"), crosses).select("probe", F.col("_cell").alias("cell"))
-    return near.unionByName(far)
+    probed = seen.filter("probe is not null").alias("s").join(F.broadcast(tails).alias("t"), F.col("cell").isNull() & crosses, "left")  # at most one row for each partition
+    return probed.select("probe", F.coalesce("cell", "_cell").alias("cell")).filter("cell is not null")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from datetime import datetime
 from email.utils import parsedate_to_datetime
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,8 @@ from postloom.functions.text import strip
 ADDRESS = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 # Bracketed words come first, and bare ones need white space around them, so that words holding them stay whole.
 DISGUISES = ((r"(?iU)\s*\[at\]\s*", "@"), (r"(?iU)\s*\[dot\]\s*", "."), (r"[A-Z](?=[a-z0-9.-]+\.[a-z]{2,})", "@"), (r"(?iU)\s+at\s+", "@"), (r"(?iU)\s+dot\s+", "."))
+# The same in the order and without the white space of the original archive's parser; a word that holds "at" or "dot" is taken apart.
+DISGUISES_IN_ORDER = ((r"[A-Z](?=[a-z0-9.-]+\.[a-z]{2,})", "@"), (r"(?iU)\s*at\s*", "@"), (r"(?iU)\s*\[at\]\s*", "@"), (r"(?iU)\s*dot\s*", "."), (r"(?iU)\s*\[dot\]\s*", "."))
 # A name before an address in angle brackets, and one in round brackets behind an address.
 NAME_FIRST = r'\A"?([^"<]+?)"?(?U:\s*)<([^>]+)>\z'
 NAME_BEHIND = r"\A([^\s(]+@[^\s(]+)\s*\(([^)]+)\)\z"
@@ -66,12 +69,12 @@ def references(raw: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.coalesce(raw, F.lit("")), F.lit("<[^>]+>"), 0), lambda x: F.btrim(x, F.lit("<>")))
 
 
-def sender(from_raw: Column) -> tuple[Column, Column, Column]:
-    """Name, address and flags of a From header."""
+def sender(from_raw: Column, disguises=DISGUISES) -> tuple[Column, Column, Column]:
+    """Name, address and flags of a From header; ``disguises`` may be DISGUISES_IN_ORDER."""
     raw = strip(F.coalesce(from_raw, F.lit("")))
     plain = F.regexp_extract(raw, ADDRESS, 0)
     undone = raw
-    for pattern, put in DISGUISES:
+    for pattern, put in disguises:
         undone = F.regexp_replace(undone, pattern, put)
     hidden = F.regexp_extract(undone, ADDRESS, 0)
     first, second = F.regexp_extract(raw, NAME_FIRST, 1), F.regexp_extract(raw, NAME_FIRST, 2)
@@ -98,14 +101,15 @@ _ZONE_TAIL = re.compile(r"\s*[-+]\d{4}|\s*\([A-Z]{3,4}\)|\s*[A-Z]{3,4}$")
 _LAYOUTS = ("%a %b %d %H:%M:%S %Y", "%d %b %Y %H:%M:%S", "%d %b %y %H:%M:%S", "%a, %d %b %Y %H:%M:%S", "%a, %d %b %y %H:%M:%S")
 
 
-def parse_date(raw: str | None) -> tuple[str | None, list[str]]:
+@lru_cache(100_000)
+def parse_date(raw: str | None) -> tuple[str | None, tuple[str, ...]]:
     """ISO string (with the offset if one was given) and flags of one Date header."""
     text = (raw or "").strip()
     if not text:
-        return None, ["MISSING_HEADER: Date"]
-    flags = []
+        return None, ("MISSING_HEADER: Date",)
+    flags: tuple[str, ...] = ()
     if "sendmail" in text.lower() or "id AA" in text:
-        flags.append(f"CORRUPTED_DATE: '{text[:80]}...'")
+        flags = (f"CORRUPTED_DATE: '{text[:80]}...'",)
         inner = _DAMAGED_DATE.search(text)
         text = inner.group(1) if inner else text
     try:
@@ -118,13 +122,13 @@ def parse_date(raw: str | None) -> tuple[str | None, list[str]]:
             return datetime.strptime(bare, layout).isoformat(), flags
         except ValueError:
             continue
-    return None, [*flags, f"UNPARSEABLE_DATE: '{text}'"]
+    return None, (*flags, f"UNPARSEABLE_DATE: '{text}'")
 
 
 @F.pandas_udf(T.StructType([T.StructField("iso", T.StringType()), T.StructField("flags", T.ArrayType(T.StringType()))]))
 def parsed_date(raw: pd.Series) -> pd.DataFrame:
     found = [parse_date(x) for x in raw]
-    return pd.DataFrame({"iso": [x[0] for x in found], "flags": [x[1] for x in found]})
+    return pd.DataFrame({"iso": [x[0] for x in found], "flags": [list(x[1]) for x in found]})
 
 
 def mail_id(message_id: Column, year: Column, date_raw: Column, from_raw: Column, subject: Column, body: Column) -> Column:
@@ -145,12 +149,12 @@ def quality_flags(sender_flags: Column, date_flags: Column, body: Column, messag
     return F.concat(sender_flags, date_flags, rest)
 
 
-def parse_messages(raw: DataFrame) -> DataFrame:
+def parse_messages(raw: DataFrame, disguises=DISGUISES) -> DataFrame:
     """Records from rows with ``raw`` (text of one message) and ``file_year``; further columns are kept."""
     head, body = split_message(F.col("raw"))
     step = raw.withColumn("_h", header_map(head)).withColumn("_body", body)
     h = F.col("_h")
-    name, address, from_flags = sender(header(h, "from"))
+    name, address, from_flags = sender(header(h, "from"), disguises)
     out = step.select(
         *[F.col(f"`{c}`") for c in raw.columns if c != "raw"],
         header(h, "from").alias("from_raw"),

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.runtime import BROADCAST_ROWS, cut, is_small
+
 EXEMPT = 5
 SHOWN_BODY_REASONS = 3
 # Fixed values: (pattern, name) over the subject in small letters.
@@ -74,31 +76,45 @@ def sender_frequency(mails: DataFrame) -> DataFrame:
     return mails.groupBy("from_email").agg(F.count("*").alias("n"))
 
 
-def classify(mails: DataFrame, subject_rules=SUBJECT_RULES, body_rules=BODY_RULES, signals=HTML_SIGNALS, services=NUMERIC_SERVICES, exempt: int = EXEMPT) -> DataFrame:
-    """mails with n_from_sender, is_spam and reasons (empty for ham).
+def classify(mails: DataFrame, subject_rules=SUBJECT_RULES, body_rules=BODY_RULES, signals=HTML_SIGNALS, services=NUMERIC_SERVICES, exempt: int = EXEMPT, most_senders: int = BROADCAST_ROWS) -> DataFrame:
+    """mails with is_spam and reasons (empty for ham).
 
-    Sender counts are aggregated before anything is joined; exempt mails skip all patterns.
+    Only senders with several mails matter. Where these are few they are broadcast and exempt mails skip all
+    patterns; else the patterns run first, and the few mails that they would call spam are joined with the counts.
+    Either way no mail is shuffled for its sender, whose frequency may be a third of all.
     """
-    counts = sender_frequency(mails).select(F.col("from_email").alias("_sender"), F.col("n").alias("n_from_sender"))
-    joined = mails.join(counts, F.col("from_email").eqNullSafe(F.col("_sender")), "left").drop("_sender")
+    several = cut(sender_frequency(mails).filter("n > 1").select(F.col("from_email").alias("_sender"), F.col("n").alias("_n")))
     subject, body, sender, plain = F.lower(_text("subject")), F.lower(_text("body")), F.lower(_text("from_email")), _text("subject")
     known = F.lit(False)
     for d in services:
         known = known | sender.endswith(f"@{d}")
-    on_subject = _hits(subject, subject_rules, "spam_subject")
-    on_body = _hits(body, body_rules, "spam_body")
     html = (html_signals(body, signals) >= 2) & (F.length(body) < 5000)
     odd = F.array_compact(F.array(F.when(~known & sender.rlike(r"^\d{7,}@"), F.lit("suspicious_numeric_sender")), F.when(~known & sender.rlike(r"@\d+\.(com|net|org)$"), F.lit("numeric_domain"))))
-    caps = (F.upper(plain) == plain) & (F.lower(plain) != plain) & (F.length(plain) > 20) & plain.rlike(r"[!$]{2,}") & (F.coalesce(F.col("n_from_sender"), F.lit(0)) <= 1)
-    safe = F.col("from_email").isNotNull() & (F.col("n_from_sender") > exempt)
-    rules = F.struct(on_subject.alias("s"), on_body.alias("b"), html.alias("h"), odd.alias("o"), caps.alias("c"))
-    marked = joined.withColumn("_r", F.when(~safe, rules))
+    caps = (F.upper(plain) == plain) & (F.lower(plain) != plain) & (F.length(plain) > 20) & plain.rlike(r"[!$]{2,}")
+    rules = F.struct(_hits(subject, subject_rules, "spam_subject").alias("s"), _hits(body, body_rules, "spam_body").alias("b"), html.alias("h"), odd.alias("o"), caps.alias("c"))
+    none = F.array().cast("array<string>")
     r = F.col("_r")
-    reasons = F.concat(r["s"], F.slice(r["b"], 1, SHOWN_BODY_REASONS), F.when(r["h"], F.array(F.lit("html_commercial"))).otherwise(F.array().cast("array<string>")), r["o"], F.when(r["c"], F.array(F.lit("caps_punct_commercial"))).otherwise(F.array().cast("array<string>")))
-    n_body = F.size(r["b"])
-    verdict = (F.size(r["s"]) >= 1) | (n_body >= 3) | (r["h"] & (n_body >= 1)) | ((F.size(r["o"]) > 0) & ((n_body >= 1) | r["c"])) | (F.size(reasons) >= 3)
-    spam = F.coalesce(verdict, F.lit(False))
-    return marked.withColumn("is_spam", spam).withColumn("reasons", F.when(F.col("is_spam"), reasons).otherwise(F.array().cast("array<string>"))).drop("_r")
+
+    def reasons(shouts: Column) -> Column:
+        return F.concat(r["s"], F.slice(r["b"], 1, SHOWN_BODY_REASONS), F.when(r["h"], F.array(F.lit("html_commercial"))).otherwise(none), r["o"], F.when(shouts, F.array(F.lit("caps_punct_commercial"))).otherwise(none))
+
+    def verdict(shouts: Column) -> Column:
+        n_body = F.size(r["b"])
+        return F.coalesce((F.size(r["s"]) >= 1) | (n_body >= 3) | (r["h"] & (n_body >= 1)) | ((F.size(r["o"]) > 0) & ((n_body >= 1) | shouts)) | (F.size(reasons(shouts)) >= 3), F.lit(False))
+
+    def judged(df: DataFrame) -> DataFrame:
+        shouts = r["c"] & (F.coalesce("_n", F.lit(1)) <= 1)
+        out = df.withColumn("is_spam", verdict(shouts)).withColumn("reasons", F.when(F.col("is_spam"), reasons(shouts)).otherwise(none))
+        return out.select(*[F.col(f"`{c}`") for c in mails.columns if c not in ("is_spam", "reasons")], "is_spam", "reasons")
+
+    of_sender = F.col("from_email").eqNullSafe(F.col("_sender"))
+    safe = F.col("from_email").isNotNull() & (F.coalesce("_n", F.lit(1)) > exempt)
+    if is_small(several, most_senders):
+        return judged(mails.join(F.broadcast(several), of_sender, "left").withColumn("_r", F.when(~safe, rules)))
+    ruled = mails.withColumn("_r", rules)
+    suspects = ruled.filter(verdict(r["c"])).join(several, of_sender, "left").withColumn("_r", F.when(~safe, r))
+    rest = ruled.filter(~verdict(r["c"])).withColumn("_n", F.lit(2)).withColumn("_r", F.lit(None).cast(ruled.schema["_r"].dataType))
+    return judged(suspects).unionByName(judged(rest))
 
 
 def split_spam(classified: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ as ``ambiguous``, one that it never showed (spring) as ``nonexistent``; neither
 
 Defined results: NULL and blank headers are ``empty``; headers no pattern matches ``unparsed``; fields outside
 the calendar or the clock ``invalid``; a date without a time ``no_time``; a zone name missing from the table
-(or listed there with two different offsets) ``unknown_zone``; no zone and no listed site ``no_site``.
+(or listed there with two different offsets) ``unknown_zone``; no zone and no listed site ``no_site``; a site whose zone is no known zone ``bad_site_zone``.
 Digits finer than a millisecond are cut off, missing seconds are 0, two-digit years are 19yy.
 """
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.runtime import broadcast_if_small
+from postloom.runtime import broadcast_if_small, cut
 
 # Month names (first letters, lower case) in the languages of the mail programs met so far.
 MONTHS = {
@@ -57,15 +57,17 @@ CASCADE: list[tuple[str, str, str]] = [
 ]
 # Two letters alone are never a zone after a time in the slashed and long forms: they are the half of the day.
 _EPOCH = r"^(\d{9,10}|\d{12,13})$"
+_DONE = "\x01"
 
 
 def canonical_fields(raw: Column) -> Column:
     """year|month|day|hour|minute|second|fraction|half|zone of a header, or NULL."""
     text = F.trim(F.regexp_replace(F.coalesce(raw, F.lit("")), r"(?U)\s+", " "))
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    # Each pattern runs once: a header that matched opens with a sign no pattern takes, so the patterns behind pass it by.
+    out = text
     for _, pattern, fields in CASCADE:
-        out = out.when(text.rlike(pattern), F.regexp_replace(text, pattern, fields))
-    return out
+        out = F.regexp_replace(out, pattern, _DONE + fields)
+    return F.when(out.startswith(_DONE) & ~text.startswith(_DONE), F.substring(out, 2, 200))
 
 
 def _number(parts: Column, at: int) -> Column:
@@ -84,6 +86,12 @@ def _clock_offset(zone: Column, seconds: Column) -> Column:
     return F.unix_seconds(F.from_utc_timestamp(at, zone)) - seconds
 
 
+def _is_zone(name: Column) -> Column:
+    """Whether a zone name can be used: a date with it at its end casts to an instant."""
+    shaped = name.rlike(r"^(?:[A-Za-z][A-Za-z0-9_+/-]*|[-+]\d{2}:\d{2})\z")
+    return F.coalesce(shaped & F.concat(F.lit("2000-01-01 00:00:00 "), name).try_cast("timestamp").isNotNull(), F.lit(False))
+
+
 def normalise_dates(df: DataFrame, sites: DataFrame, zone_names: DataFrame, raw: str = "date_raw", sender: str = "from_email") -> DataFrame:
     """df with ``utc_ms`` (NULL where the header settles no instant) and ``date_status``; its own columns stay as they are.
 
@@ -103,6 +111,8 @@ def normalise_dates(df: DataFrame, sites: DataFrame, zone_names: DataFrame, raw:
         .agg(F.min("tz_name").alias("_least"), F.max("tz_name").alias("_tz"))
         .filter("_least = _tz")
         .drop("_least")
+        .withColumn("_known", _is_zone(F.col("_tz")))
+        .withColumn("_tz", F.when(F.col("_known"), F.col("_tz")))
     )
     # The caller's columns travel as one struct, so that no working name can clash with them.
     out = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{raw}`").alias("_raw"), F.col(f"`{sender}`").alias("_from"))
@@ -135,7 +145,7 @@ def normalise_dates(df: DataFrame, sites: DataFrame, zone_names: DataFrame, raw:
     ok = F.col("_day").isNotNull() & F.col("_h").between(0, 23) & F.col("_mi").between(0, 59) & F.col("_s").between(0, 59)
     wall = F.datediff("_day", F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + F.col("_h") * 3600 + F.col("_mi") * 60 + F.col("_s")
     out = out.withColumn("_wall", F.when(ok, wall))
-    out = out.join(broadcast_if_small(zones), F.col("_zone") == F.col("_abbr"), "left").join(broadcast_if_small(places.withColumnRenamed("_host", "_site")), F.col("_host") == F.col("_site"), "left")
+    out = out.join(broadcast_if_small(cut(zones)), F.col("_zone") == F.col("_abbr"), "left").join(broadcast_if_small(cut(places.withColumnRenamed("_host", "_site"))), F.col("_host") == F.col("_site"), "left")
     # The offsets a day before and after bracket any change of the clock; each candidate counts if the clock showed the wall time then.
     before, after = (F.col("_wall") - _clock_offset(F.col("_tz"), F.col("_wall") + d) for d in (-86400, 86400))
     shown = lambda c: F.when(c + _clock_offset(F.col("_tz"), c) == F.col("_wall"), c)
@@ -153,6 +163,7 @@ def normalise_dates(df: DataFrame, sites: DataFrame, zone_names: DataFrame, raw:
         .when(F.col("_off_min").isNotNull(), "offset")
         .when(F.col("_zone").rlike(r"^[-+]\d"), "invalid")
         .when(named, F.when(F.col("_zone_min").isNotNull(), "zone").otherwise("unknown_zone"))
+        .when(~F.col("_known"), "bad_site_zone")
         .when(F.col("_tz").isNull(), "no_site")
         .when(twice, "ambiguous")
         .when(once.isNull(), "nonexistent")

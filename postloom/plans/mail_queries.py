@@ -13,10 +13,6 @@ from postloom.plans.pipeline import archive_threads, classified_mails, linked_ma
 from postloom.runtime import cut, shared_folder, table
 from postloom.sources import archive
 
-# Rule tables for the archive at hand: the general ones of the spam operator and some of its own.
-SUBJECT_RULES = (*spam.SUBJECT_RULES, (r"^announce .*\d+$", "numbered_announcement"), (r"^is .* (hostile|cheap)\?$", "leading_question"))
-BODY_RULES = (*spam.BODY_RULES, (r"sent from my .*(handheld|terminal|pager)", "device_tag"), (r"accepts no liability", "liability"), (r"give me one", "give_me_one"), (r"it costs \d+ units", "unit_price"), (r"next week", "next_week"))
-
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -493,24 +489,60 @@ def people_threads(spark: SparkSession, folder: str) -> DataFrame:
 # --- spam
 
 
-def _rules_sql(rules, column: str, scope: str) -> str:
-    cases = ", ".join(f"CASE WHEN regexp_matches({column}, '{p.replace(chr(39), chr(39) * 2)}') THEN '{scope}:{n}' END" for p, n in rules)
+# The fixed rules of the spam operator, written out once more for the SQL.
+_SUBJECTS = r"""make_money (make|earn)\s*(big\s*)?(money|cash|\$|bucks)
+work_from_home work\s*(from\s*)?home.*\$
+financial_opportunity financial\s*(freedom|opportunity)
+adult_content (xxx|adult|sexy)\s*(image|pic|video|site)
+cable_scrambler cable\s*(tv\s*)?(de)?scrambler
+stock_pump (stock|buy|sell)\s*alert
+get_rich_quick get\s*rich\s*(quick|fast|now)
+weight_loss lose\s*(weight|pounds|lbs)
+pharma_spam viagra|cialis|penis\s*enlarge
+bulk_email bulk\s*e?-?mail\s*(list|address|software)
+email_list_sale (\d+,?\d*,?\d*)\s*(fresh\s*)?(e?-?mail|address)
+free_money free\s*(money|cash|offer|gift|trial)
+limited_time limited\s*time\s*(only|offer)
+cc_processing credit\s*card\s*(machine|terminal|processing)
+biz_opp internet\s*business\s*opportunity
+mlm mlm|multi.?level\s*market
+home_business home\s*based\s*business
+amazing_offer amazing\s*(new\s*)?(product|offer|opportunity)
+double_money double\s*your\s*(money|income)"""
+_BODIES = r"""not_spam_disclaimer this\s*is\s*not\s*spam
+receiving_disclaimer you\s*(are\s*)?receiving\s*this\s*(because|as)
+removal_instructions to\s*(be\s*)?removed?\s*from\s*(this|our|the)\s*(list|mailing)
+unsubscribe_spam unsubscribe\s*(instructions|link|here|below)
+order_now order\s*(now|today)\s*(and\s*)?(receive|get)
+call_now call\s*(now|today|toll.?free)\s*(to\s*order)?
+act_now act\s*(now|fast|today)
+price_pitch only\s*\$\d+
+satisfaction_guarantee satisfaction\s*guarante
+risk_free risk.?free
+discount (huge|big|massive)\s*discount"""
+
+
+def _rules_sql(rules: str, column: str, scope: str) -> str:
+    pairs = [line.split(" ", 1) for line in rules.split("\n")]
+    cases = ", ".join(f"CASE WHEN regexp_matches({column}, '{p}') THEN '{scope}:{n}' END" for n, p in pairs)
     return f"list_filter([{cases}], lambda x: x IS NOT NULL)"
 
 
+_SIGNALS = r"CAST(regexp_matches(b, 'click\s*here') AS INTEGER) + CAST(regexp_matches(b, '<a\s*href') AS INTEGER) + CAST(contains(b, 'bgcolor') AS INTEGER) + CAST(regexp_matches(b, 'font\s*color') AS INTEGER)"
 _SPAM = f"""
 WITH n AS (SELECT from_email, count(*) AS n FROM emails GROUP BY 1),
 t AS (SELECT e.*, n.n, lower(coalesce(subject, '')) AS s, lower(coalesce(body, '')) AS b, lower(coalesce(e.from_email, '')) AS f, coalesce(subject, '') AS p FROM emails e LEFT JOIN n ON e.from_email IS NOT DISTINCT FROM n.from_email),
-r AS (SELECT *, {_rules_sql(SUBJECT_RULES, 's', 'spam_subject')} AS rs, {_rules_sql(BODY_RULES, 'b', 'spam_body')} AS rb,
-  (contains(b, '<html') OR contains(b, '<body')) AND length(b) < 5000 AND {' + '.join(f"CAST(regexp_matches(b, '{x}') AS INTEGER)" for x in spam.HTML_SIGNALS)} >= 2 AS h,
-  NOT ({' OR '.join(f"suffix(f, '@{d}')" for d in spam.NUMERIC_SERVICES)}) AS odd, upper(p) = p AND lower(p) <> p AND length(p) > 20 AND regexp_matches(p, '[!$]{{2,}}') AND coalesce(n, 0) <= 1 AS caps FROM t),
+r AS (SELECT *, {_rules_sql(_SUBJECTS, 's', 'spam_subject')} AS rs, {_rules_sql(_BODIES, 'b', 'spam_body')} AS rb,
+  (contains(b, '<html') OR contains(b, '<body')) AND length(b) < 5000 AND {_SIGNALS} >= 2 AS h,
+  NOT (suffix(f, '@mcimail.com') OR suffix(f, '@compuserve.com') OR suffix(f, '@aol.com') OR suffix(f, '@prodigy.com') OR suffix(f, '@prodigy.net')) AS odd,
+  upper(p) = p AND lower(p) <> p AND length(p) > 20 AND regexp_matches(p, '[!$]{{2,}}') AND coalesce(n, 0) <= 1 AS caps FROM t),
 o AS (SELECT *, list_filter([CASE WHEN odd AND regexp_matches(f, '^\\d{{7,}}@') THEN 'suspicious_numeric_sender' END, CASE WHEN odd AND regexp_matches(f, '@\\d+\\.(com|net|org)$') THEN 'numeric_domain' END], lambda x: x IS NOT NULL) AS ro FROM r),
-w AS (SELECT *, rs || rb[1:{spam.SHOWN_BODY_REASONS}] || CASE WHEN h THEN ['html_commercial'] ELSE [] END || ro || CASE WHEN caps THEN ['caps_punct_commercial'] ELSE [] END AS reasons FROM o),
-c AS (SELECT * EXCLUDE (reasons), NOT (from_email IS NOT NULL AND n > {spam.EXEMPT}) AND (len(rs) >= 1 OR len(rb) >= 3 OR (h AND len(rb) >= 1) OR (len(ro) > 0 AND (len(rb) >= 1 OR caps)) OR len(reasons) >= 3) AS is_spam, reasons FROM w)"""
+w AS (SELECT *, rs || rb[1:3] || CASE WHEN h THEN ['html_commercial'] ELSE [] END || ro || CASE WHEN caps THEN ['caps_punct_commercial'] ELSE [] END AS reasons FROM o),
+c AS (SELECT * EXCLUDE (reasons), NOT (from_email IS NOT NULL AND n > 5) AND (len(rs) >= 1 OR len(rb) >= 3 OR (h AND len(rb) >= 1) OR (len(ro) > 0 AND (len(rb) >= 1 OR caps)) OR len(reasons) >= 3) AS is_spam, reasons FROM w)"""
 
 
 def _classified(spark: SparkSession, folder: str) -> DataFrame:
-    return spam.classify(_mails(spark, folder), SUBJECT_RULES, BODY_RULES)
+    return spam.classify(_mails(spark, folder))
 
 
 @query("SELECT from_email, count(*) AS n FROM emails GROUP BY 1")
@@ -538,21 +570,22 @@ def spam_review(spark: SparkSession, folder: str) -> DataFrame:
     return spam.spam_review(_classified(spark, folder))
 
 
-@query(_SPAM + " SELECT pos, CASE WHEN contains(b, '<html') OR contains(b, '<body') THEN " + " + ".join(f"CAST(regexp_matches(b, '{x}') AS INTEGER)" for x in spam.HTML_SIGNALS) + " ELSE 0 END AS n_signals, rs[1] AS first_subject_rule FROM c")
+@query(_SPAM + " SELECT pos, CASE WHEN contains(b, '<html') OR contains(b, '<body') THEN " + _SIGNALS + " ELSE 0 END AS n_signals, rs[1] AS first_subject_rule FROM c")
 def html_signals(spark: SparkSession, folder: str) -> DataFrame:
     lower = F.lower(F.coalesce(F.col("subject"), F.lit("")))
-    first = F.try_element_at(spam._hits(lower, SUBJECT_RULES, "spam_subject"), F.lit(1))
+    first = F.try_element_at(spam._hits(lower, spam.SUBJECT_RULES, "spam_subject"), F.lit(1))
     return _mails(spark, folder).select("pos", spam.html_signals(F.lower(F.coalesce(F.col("body"), F.lit("")))).alias("n_signals"), first.alias("first_subject_rule"))
 
 
 # --- cleaning
 
 _FLAG = "split_part({}, ':', 1)"
-_ANON = " OR ".join(f"regexp_matches(lower(coalesce(from_raw, '')), '{p}')" for p in cleaning.ANONYMOUS)
+_ANON = "regexp_matches(lower(coalesce(from_raw, '')), '^anonymous|^nobody@|^<>$|@nowhere|use-author-address-header|^0x[0-9a-f]+@|^[0-9a-f]{8}@|damien lucifer|root@hellspawn')"
+_SPAM_WORDS = "regexp_matches(lower(coalesce(subject, '')), 'financial information|urgent buy|buy alert|sizzler|immediate cash|cable descrambler|save your life|online business|make money|work from home|mlm|adult|xxx')"
 _CLEAN = f"""
 WITH k AS (SELECT lower(trim(from_key)) AS key, max(email) AS address FROM known_entities GROUP BY 1),
 c AS (SELECT e.*, coalesce(list_contains(list_transform(flags, lambda x: {_FLAG.format('x')}), 'NO_EMAIL_FOUND'), false) AS missing,
-  coalesce(list_contains(list_transform(flags, lambda x: contains(x, 'MISSING_HEADER: Message-ID')), true), false) OR {' OR '.join(f"contains(lower(coalesce(subject, '')), '{s}')" for s in cleaning.SPAM_SUBJECTS)} OR regexp_matches(coalesce(from_email, ''), '^\\d{{8}}@') AS spam, {_ANON} AS anon FROM emails e),
+  coalesce(list_contains(list_transform(flags, lambda x: contains(x, 'MISSING_HEADER: Message-ID')), true), false) OR {_SPAM_WORDS} OR regexp_matches(coalesce(from_email, ''), '^\\d{{8}}@') AS spam, {_ANON} AS anon FROM emails e),
 j AS (SELECT c.*, k.address FROM c LEFT JOIN k ON c.missing AND k.key = lower(trim(coalesce(from_raw, '')))),
 r AS (SELECT * EXCLUDE (flags, from_email), coalesce(address, from_email) AS from_email, list_transform(list_filter(flags, lambda x: {_FLAG.format('x')} <> 'OBFUSCATED_EMAIL' AND NOT ({_FLAG.format('x')} = 'NO_EMAIL_FOUND' AND address IS NOT NULL)), lambda x: CASE WHEN {_FLAG.format('x')} = 'NO_EMAIL_FOUND' AND anon THEN 'ANONYMOUS_SENDER: ''' || coalesce(from_raw, '') || '''' ELSE x END) AS flags,
   len(list_filter(flags, lambda x: {_FLAG.format('x')} = 'OBFUSCATED_EMAIL')) AS n_hidden, len(list_filter(flags, lambda x: {_FLAG.format('x')} = 'NO_EMAIL_FOUND')) AS n_missing FROM j)"""
@@ -665,9 +698,25 @@ def header_map(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.btrim(parsing.header(F.col("h"), "message-id"), F.lit("<>")).alias("message_id"), F.size("h").alias("n_headers"), parsing.header(F.col("h"), "subject").alias("subject"))
 
 
-@query()
-def archive_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    """Both line counts of every message of the rendered archive."""
-    return _rendered(spark, folder).select("source_file", "file_year", "ordinal", "line_number", "true_line_number")
+def _head_sql(name: str, value: str) -> str:
+    return f"CASE WHEN coalesce({value}, '') <> '' THEN '{name}: ' || {value} || chr(10) ELSE '' END"
+
+
+_TEXT = " || ".join(
+    [_head_sql(n, c) for n, c in (("From", "from_raw"), ("Date", "date_raw"), ("Subject", "subject"), ("Message-ID", "message_id"), ("In-Reply-To", "in_reply_to"), ("References", "nullif(array_to_string(refs, chr(10) || ' '), '')"), ("To", "to_addr"), ("Cc", "cc"), ("Content-Type", "content_type"))]
+    + ["chr(10)", "coalesce(body, '')"]
+)
 
 
+@query(
+    f"""WITH x AS (SELECT pos, file_year, message_id, regexp_replace({_TEXT}, '\\r\\n?', chr(10), 'g') AS t FROM emails),
+n AS (SELECT *, length(t) - length(replace(t, chr(10), '')) + 1 AS lines, row_number() OVER (PARTITION BY file_year ORDER BY pos) AS ordinal, coalesce(sum(length(t) - length(replace(t, chr(10), '')) + 2) OVER (PARTITION BY file_year ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM x)
+SELECT file_year, ordinal, coalesce(message_id, '') AS message_id, CAST(above + ordinal AS BIGINT) AS line_number, CAST(above + 2 AS BIGINT) AS true_line_number FROM n"""
+)
+def archive_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Both line counts of every message of the archive, written as one text for each year."""
+    path = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}"
+    archive.write_archive(_mails(spark, folder), path, one_file=True)
+    rows = archive.read_messages(spark, path)
+    head, _ = parsing.split_message(F.col("raw"))
+    return rows.select("file_year", "ordinal", F.btrim(parsing.header(parsing.header_map(head), "message-id"), F.lit("<>")).alias("message_id"), "line_number", "true_line_number")

@@ -12,9 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from postloom.operators.ordered import running_inside
+from postloom.runtime import broadcast_if_small, cut
+
 #: The line between messages; a parameter of every function here.
 DELIMITER = "From archive@local Thu Jan  1 00:00:00 1970"
 FILE_PATTERN = "*.txt"
+#: Blocks of text (128 MB each as Spark reads them) whose line totals may be broadcast.
+MOST_BLOCKS = 2_000_000
 
 
 def year_of(path: Column) -> Column:
@@ -34,22 +39,20 @@ def read_messages(spark: SparkSession, path: str, delimiter: str = DELIMITER, fi
         F.make_valid_utf8("value").alias("value"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
     )
     # A file may open with a delimiter, and delimiters may stand back to back; both are parted here.
     opens = F.startswith(F.concat(F.col("value"), F.lit("\n")), F.lit(f"{delimiter}\n"))
     whole = F.concat(F.when(opens, F.lit("\n\n")).otherwise(F.lit("\n")), F.col("value"))
-    rows = rows.select("_path", "_block", "_row", opens.alias("_opens"), F.posexplode(F.split(whole, f"\n\\Q{delimiter}\\E(?=\n|\\z)", -1)).alias("_part", "raw"))
+    rows = rows.select("_path", "_block", opens.alias("_opens"), F.posexplode(F.split(whole, f"\n\\Q{delimiter}\\E(?=\n|\\z)", -1)).alias("_part", "raw"))
     hollow = ((F.col("_part") > 0) & (F.col("raw") == "")) | ((F.col("_part") == 0) & F.col("_opens"))
     rows = rows.withColumn("_hollow", hollow).withColumn("raw", F.regexp_replace(F.regexp_replace("raw", r"\r\n?", "\n"), r"\A\n", ""))
     rows = rows.withColumn("_lines", F.when(F.col("_hollow"), 0).otherwise(F.length("raw") - F.length(F.replace("raw", F.lit("\n"), F.lit(""))) + 1))
-    # Prefix sums in two steps: totals of the blocks of a file, then inside each block.
+    # Prefix sums in two steps: totals of the blocks of a file, then in reading order inside each block. Only totals are shuffled, never text.
     blocks = rows.groupBy("_path", "_block").agg(F.sum("_lines").alias("_l"), F.count("*").alias("_n"))
     before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("_path", "_block", F.coalesce(F.sum("_l").over(before), F.lit(0)).alias("_lines_before"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows_before"))
-    inside = Window.partitionBy("_path", "_block").orderBy("_row", "_part")
-    prior = inside.rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("_at", F.row_number().over(inside) - 1).withColumn("_before", F.coalesce(F.sum("_lines").over(prior), F.lit(0))).join(blocks, ["_path", "_block"])
+    blocks = cut(blocks.select("_path", "_block", F.coalesce(F.sum("_l").over(before), F.lit(0)).alias("_lines_before"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows_before")))
+    inside = running_inside(rows.select("_path", "_block", "_lines", "raw"), ["_path", "_block"], {"_at": F.lit(1), "_before": F.col("_lines")})
+    placed = inside.join(broadcast_if_small(blocks, MOST_BLOCKS, MOST_BLOCKS * 128), ["_path", "_block"])
     ordinal = (F.col("_rows_before") + F.col("_at")).cast("bigint")
     true_line = (F.col("_lines_before") + F.col("_before") + ordinal + 1).cast("bigint")
     named = placed.select(F.element_at(F.split("_path", "/"), -1).alias("source_file"), year_of(F.col("_path")).alias("file_year"), ordinal.alias("ordinal"), (true_line + ordinal - 2).alias("line_number"), true_line.alias("true_line_number"), "raw")
@@ -65,8 +68,10 @@ def render_message() -> Column:
     return F.concat(*heads, F.lit("\n"), F.coalesce(F.col("body"), F.lit("")))
 
 
-def write_archive(mails: DataFrame, path: str, delimiter: str = DELIMITER) -> None:
-    """One text per partition, each message behind its delimiter line; folders by year."""
+def write_archive(mails: DataFrame, path: str, delimiter: str = DELIMITER, one_file: bool = False) -> None:
+    """One text per partition, each message behind its delimiter line; folders by year. one_file: one text for each year, in the order of pos."""
+    if one_file:
+        mails = mails.repartition("file_year").sortWithinPartitions("file_year", "pos")
     text = mails.select(F.concat(F.lit(f"{delimiter}\n"), render_message()).alias("value"), F.col("file_year").alias("year"))
     text.write.mode("overwrite").partitionBy("year").text(path)
 

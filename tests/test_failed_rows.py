@@ -98,3 +98,16 @@ def test_valid_rows_are_typed(spark):
     row = valid_rows(spark.createDataFrame([(1, GOOD), (2, "x")], "row_id long, record_text string")).collect()
     assert len(row) == 1
     assert (row[0].year, row[0].line, row[0].from_raw, row[0].flags) == (1994, 12, 'Ann "A" <a@b.example>', ["EMPTY_BODY: x"])
+
+
+def test_numbers_beyond_their_type_are_named(spark):
+    big = GOOD.split(",")
+    big[3] = "9" * 40
+    rows = valid_rows(spark.createDataFrame([(1, GOOD), (2, ",".join(big))], "row_id long, record_text string")).orderBy("row_id").collect()
+    assert [r.beyond_type for r in rows] == [[], ["line"]] and rows[1].line is None and rows[1].year == rows[0].year
+
+
+def test_many_rows_without_fields(spark):
+    df = spark.createDataFrame([(i, "x" if i % 2 else GOOD.replace("cyp-", "cyq-")) for i in range(500)], "row_id long, record_text string")
+    got = {(r.row_id % 2, r.reason) for r in judge_rows(df).collect()}
+    assert got == {(1, "column_count"), (0, "bad_value")}

@@ -116,7 +116,7 @@ def test_sums_and_paths_against_brute_force(spark, n, near, span, one_task):
 
 @pytest.mark.parametrize("one_task", [0, 10**6])
 def test_loops(spark, one_task):
-    steps = [(1, 2), (2, 3), (3, 1), (4, 3), (5, 4), (7, 7), (8, 7), (10, 11), (11, 10)]
+    steps = [(1, 2), (2, 3), (3, 1), (4, 3), (5, 4), (7, 7), (8, 7), (10, 11), (11, 10), (20, 21), (21, 99)]
     got = {(r.node, r.loop) for r in loops(spark.createDataFrame(steps, "node long, parent long"), one_task).collect()}
     assert got == {(1, 1), (2, 1), (3, 1), (7, 7), (10, 10), (11, 10)}
     assert loops(spark.createDataFrame([], "node long, parent long"), one_task).count() == 0

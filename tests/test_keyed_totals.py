@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 
+from postloom.operators import keyed_totals as kt
 from postloom.operators.keyed_totals import heavy_keys, keyed_totals
 
 
@@ -46,3 +47,10 @@ def test_very_long_keys(spark):
     key = "x" * 300_000
     df = spark.createDataFrame([(key,), (key,), ("y",)], "k string")
     assert {(len(r.key_value), r.n) for r in keyed_totals(df, ["k"]).collect()} == {(300_000, 2), (1, 1)}
+
+
+def test_key_ranges_follow_the_keys(spark, monkeypatch):
+    monkeypatch.setattr(kt, "KEYS_IN_BLOCK", 10)
+    monkeypatch.setattr(kt, "SLICE", 3)
+    df = spark.range(1000).selectExpr("cast(id % 500 as string) as k", "id as v").repartition(3)
+    assert {(r.key_value, r.n) for r in keyed_totals(df, ["k"]).collect()} == {(str(i), 2) for i in range(500)}

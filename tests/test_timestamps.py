@@ -97,3 +97,10 @@ def test_session_zone_does_not_matter(spark, zone):
         assert settle(spark, [c[:2] for c in CASES]) == [c[2:] for c in CASES]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_unknown_site_zone_has_a_status(spark):
+    sites = [("odd.example", "Mars/Olympus"), ("worse.example", "'"), ("plus.example", "+02:00"), ("empty.example", "")]
+    mails = spark.createDataFrame([(i, "3 May 1994 10:00:00", f"a@{h}") for i, (h, _) in enumerate(sites)], "pos long, date_raw string, from_email string")
+    out = normalise_dates(mails, spark.createDataFrame(sites, "site_host string, tz_name string"), spark.createDataFrame([], "abbr string, offset_min int"))
+    assert [r.date_status for r in out.orderBy("pos").collect()] == ["bad_site_zone", "bad_site_zone", "site", "bad_site_zone"]
