@@ -1,15 +1,19 @@
 """One form for texts that look the same on the screen.
 
-Marks without ink are dropped, white space and line ends take one form each, wide and narrow forms become plain
-ones, and letters are parted from their accents. Then each token is resolved by script: every letter stands for
-a look, each look can be written in one or more scripts, and the sets of all letters of the token are
-intersected. If one script can write the whole token, its letters are used (Latin before Cyrillic before Greek,
-so the choice depends on the look alone); a token no single script can write takes the first script of each
-look. Accents are put back last.
+Marks without ink are dropped, white space and line ends take one form each, and forms that differ in nothing one
+sees become plain ones: wide and narrow signs, signs that only forbid a line break, roman numerals, upright and
+slanted mathematical letters, ligatures (all found through the Unicode names and decompositions), and a few signs
+with the ink of another. Then letters are parted from their accents and each token is resolved by script: every
+letter stands for a look, each look can be written in one or more scripts (Latin, Cyrillic, Greek, Armenian,
+Cherokee), and the sets of all letters of the token are intersected. If one script can write the whole token, its
+letters are used (the first in this order, so the choice depends on the look alone); a token no single script can
+write takes the first script of each look. Accents are put back last.
 
 Two texts get the same form exactly if they show the same sequence of letters, signs, spaces and line breaks.
-Case, accents, punctuation, wording and raised digits are kept. Defined results: NULL stays NULL; texts without
-visible characters become their white space; repeated rows get equal forms; long texts are processed whole.
+Case, accents, punctuation, wording, raised and lowered digits, script, Fraktur and double-struck letters are kept.
+Beside the form it is reported how many tokens mix scripts, and how many stand in one script but could be written
+whole in another one. Defined results: NULL stays NULL; texts without visible characters become their white
+space; repeated rows get equal forms; long texts are processed whole.
 """
 
 from __future__ import annotations
@@ -26,13 +30,32 @@ from pyspark.sql import functions as F
 
 from postloom.runtime import cut, spread
 
-# Letters with one look, as Latin, Cyrillic, Greek; "-" where a script has none.
+# Letters with one look, as Latin, Cyrillic, Greek, Armenian, Cherokee; "-" where a script has none.
 LOOKS = (
-    "AАΑ BВΒ CС- EЕΕ HНΗ IІΙ JЈ- KКΚ MМΜ N-Ν OОΟ PРΡ SЅ- TТΤ XХΧ YҮΥ Z-Ζ "
-    "aа- cс- dԁ- eе- hһ- iі- jј- oоο pр- qԛ- sѕ- wԝ- xх- yу- "
-    "QԚ- WԜ-"
+    "AАΑ-Ꭺ BВΒ-Ᏼ CСϹ-Ꮯ D---Ꭰ EЕΕ-Ꭼ F-Ϝ-- GԌ--Ꮐ HНΗ-Ꮋ IІΙ-- JЈͿ-Ꭻ KКΚ-Ꮶ L---Ꮮ MМΜ-Ꮇ N-Ν-- OОΟՕ- PРΡ-Ꮲ QԚ--- R---Ꭱ SЅ-ՏᏕ TТΤ-Ꭲ U--Ս- VѴ--Ꮩ WԜ--Ꮃ XХΧ-- YҮΥ-Ꮍ Z-Ζ-Ꮓ "
+    "aа--- cсϲ-- dԁ--- eе--- g--ց- hһ-հ- iі--- jјϳ-- lӏ--- n--ո- oоοօ- pрρ-- qԛ--- sѕ--- u--ս- vѵν-- wԝ--- xх--- yу--- "
+    "-кκ-- -ГΓ-- -ПΠ-- -ФΦ-- ÆӔ--- æӕ--- ƏӘ--- əә--- ƐԐ--- ɛԑε-- ƟӨ--- ɵө--- Þ-Ϸ-- þ-ϸ-- ɑ-α-- ɩ-ι-- ɔ-ͻ--"
 ).split()
-_SCRIPTS = range(3)
+# Further letters of a script with the look of one above.
+ALIASES = {"Ӏ": "І", "Ꮢ": "Ꭱ", "Ꮪ": "Ꮥ", "Ꮤ": "Ꮃ", "Ꭹ": "Ꮍ"}
+# Signs with the ink of another sign.
+SIGNS = {"\u2010": "-", "\u02bc": "\u2019", "\u055a": "\u2019", "\u02bb": "\u2018", "\u2024": ".", "\u2236": ":", "\u01c3": "!", "\u01c0": "|", "\u00b5": "\u03bc"}
+LATIN, CYRILLIC, GREEK, ARMENIAN, CHEROKEE, OTHER = range(6)
+_SCRIPTS = range(5)
+_PREFIXES = (("LATIN ", LATIN), ("CYRILLIC ", CYRILLIC), ("GREEK ", GREEK), ("ARMENIAN ", ARMENIAN), ("CHEROKEE ", CHEROKEE))
+_DRAWN = re.compile(r"SCRIPT|FRAKTUR|DOUBLE-STRUCK|BLACK-LETTER")
+
+
+def _plain_form(c: str) -> str | None:
+    """What a character shows if its decomposition is one that leaves the ink as it is."""
+    how = unicodedata.decomposition(c)
+    if not how.startswith("<"):
+        return None
+    tag, *points = how.split()
+    name = unicodedata.name(c, "")
+    same = tag in ("<wide>", "<narrow>", "<noBreak>") or (tag == "<font>" and name.startswith(("MATHEMATICAL ", "PLANCK")) and not _DRAWN.search(name))
+    same = same or (tag == "<compat>" and ("ROMAN NUMERAL" in name or "LATIN SMALL LIGATURE" in name))
+    return unicodedata.normalize("NFKC", c) if same and tag == "<compat>" else "".join(chr(int(x, 16)) for x in points) if same else None
 
 
 @lru_cache(1)
@@ -52,64 +75,91 @@ def _tables() -> tuple[dict[int, str | None], dict[str, str]]:
             plain[i] = "\n"
         elif 0xFE00 <= i <= 0xFE0F or 0xE0100 <= i <= 0xE01EF or i in (0x34F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0):
             plain[i] = None
-        elif (how := unicodedata.decomposition(c)) and how.split()[0] in ("<wide>", "<narrow>"):
-            plain[i] = "".join(chr(int(x, 16)) for x in how.split()[1:])
-        elif 0xFB00 <= i <= 0xFB06:
-            plain[i] = unicodedata.normalize("NFKC", c)
-    return plain, {c: look for look in LOOKS for c in look if c != "-"}
+        elif (shown := _plain_form(c)) is not None:
+            plain[i] = "".join(SIGNS.get(x, x) for x in shown)
+        elif c in SIGNS:
+            plain[i] = SIGNS[c]
+    looks = {c: look for look in LOOKS for c in look if c != "-"}
+    return plain, looks | {c: looks[of] for c, of in ALIASES.items() if of in looks}
 
 
 _TOKEN = re.compile(r"[^\W\d_](?:[^\W\d_]|[̀-ͯ])*")
-_FOREIGN = re.compile("[Ͱ-԰]")
 _VISIBLE = re.compile(r"\S")
 
 
-def _scripts_of(c: str) -> set[int]:
-    i = ord(c)
-    return {1} if 0x400 <= i <= 0x52F else {2} if 0x370 <= i <= 0x3FF or 0x1F00 <= i <= 0x1FFF else {0} if unicodedata.category(c)[0] == "L" and (i < 0x370 or 0x1E00 <= i <= 0x1EFF) else set(_SCRIPTS)
+@lru_cache(100_000)
+def _script_of(c: str) -> int:
+    name = unicodedata.name(c, "")
+    return next((s for prefix, s in _PREFIXES if name.startswith(prefix)), OTHER)
 
 
 @lru_cache(200_000)
-def resolve_token(token: str) -> str:
-    """The token (decomposed) in the spelling of the one script that can write it, else look by look."""
+def resolve_token(token: str) -> tuple[str, bool, bool]:
+    """Of a decomposed token: its spelling in the one script that can write it, else look by look; whether it mixes scripts; whether it stands whole in a script but the first that could write it."""
     looks = _tables()[1]
-    possible = set(_SCRIPTS)
+    possible, own = set(_SCRIPTS), set()
     for c in token:
+        if unicodedata.combining(c):
+            continue
+        own.add(_script_of(c))
         if c in looks:
             possible &= {s for s in _SCRIPTS if looks[c][s] != "-"}
-        elif not unicodedata.combining(c):
-            possible &= _scripts_of(c)
+        else:
+            possible &= {_script_of(c)}
     if possible:
         best = min(possible)
-        return "".join(looks[c][best] if c in looks else c for c in token)
-    return "".join(next(x for x in looks[c] if x != "-") if c in looks else c for c in token)
+        written = "".join(looks[c][best] if c in looks else c for c in token)
+    else:
+        written = "".join(next(x for x in looks[c] if x != "-") if c in looks else c for c in token)
+    return written, len(own) > 1, len(own) == 1 and bool(possible) and own != {min(possible)} and len(possible) > 1
 
 
-def one_form(text: str | None) -> str | None:
-    """The form of a text that depends on its look alone."""
+_BEYOND_LATIN = re.compile("[\u0181-\U0010ffff]")
+
+
+def one_form_reported(text: str | None) -> tuple[str | None, int, int]:
+    """The form of a text that depends on its look alone, and its tokens of mixed script and those another script could write."""
     if text is None:
-        return None
+        return None, 0, 0
+    text = text.replace("\r\n", "\n")
     if text.isascii():
-        if "\r" not in text and "\t" not in text and text.isprintable():
-            return text
-        return text.replace("\r\n", "\n").translate(_tables()[0])
-    text = unicodedata.normalize("NFD", text.replace("\r\n", "\n").translate(_tables()[0]))
-    if _FOREIGN.search(text):
-        text = _TOKEN.sub(lambda m: resolve_token(m.group()) if _FOREIGN.search(m.group()) else m.group(), text)
-    return unicodedata.normalize("NFC", text)
+        return (text if text.isprintable() else text.translate(_tables()[0])), 0, 0
+    text = unicodedata.normalize("NFD", text.translate(_tables()[0]))
+    counts = [0, 0]
+
+    def put(m: re.Match) -> str:
+        token = m.group()
+        if token.isascii() or not _BEYOND_LATIN.search(token):
+            return token
+        written, mixed, whole = resolve_token(token)
+        counts[0] += mixed
+        counts[1] += whole
+        return written
+
+    if _BEYOND_LATIN.search(text):
+        text = _TOKEN.sub(put, text)
+    return unicodedata.normalize("NFC", text), *counts
+
+
+def one_form(text: str | None) -> str | None:
+    return one_form_reported(text)[0]
 
 
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        forms = [one_form(t) for t in batch.column(1).to_pylist()]
-        visible = [bool(f and _VISIBLE.search(f)) for f in forms]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(forms, pa.string()), pa.array(visible, pa.bool_())], ["_key", "form", "visible"])
+        found = [one_form_reported(t) for t in batch.column(1).to_pylist()]
+        visible = [bool(f and _VISIBLE.search(f)) for f, *_ in found]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array(visible, pa.bool_()), *(pa.array([x[i] for x in found], pa.int64()) for i in (1, 2))], ["_key", "form", "visible", "n_mixed", "n_whole"])
 
 
 def normalise_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, form, visible) of every row; one narrow pass, no shuffle."""
+    """(key, form, visible, n_mixed, n_whole) of every row; one narrow pass, no shuffle.
+
+    n_mixed counts tokens whose letters come from several scripts, n_whole tokens of one script that a script
+    before it in the order could write whole.
+    """
     kind = df.schema[key].dataType.simpleString()
-    return spread(df.select(F.col(key), F.col(text))).mapInArrow(_forms, f"_key {kind}, form string, visible boolean").withColumnRenamed("_key", key)
+    return spread(df.select(F.col(key), F.col(text))).mapInArrow(_forms, f"_key {kind}, form string, visible boolean, n_mixed bigint, n_whole bigint").withColumnRenamed("_key", key)
 
 
 def lookalike_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,8 +1,8 @@
 """A mix of sources whose token shares meet their targets.
 
 Every record gets a hash-random key; each source is put in the order of these keys by a range sort, so a source
-of any size is spread over many partitions. Distributed prefix sums (partition totals first, then the running
-sum inside each partition) give the place of each record in its source, and the source is cut at its exact
+of any size is spread over many partitions. Distributed prefix sums (running sums inside each partition, shifted
+by the totals of the partitions before it) give the place of each record in its source, and the source is cut at its exact
 budget: whole passes over the source first, then the records up to the cut. A source is never used more often
 than its cap.
 
@@ -20,14 +20,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.llm.tokenizer import VOCABULARY, count_tokens
-from postloom.runtime import broadcast_if_small, cut, partitions
+from postloom.operators.ordered import running_sums
+from postloom.runtime import broadcast_if_small, cut
 
 
 def source_budgets(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
     """One row for each target: source, share, max_repeats, available, budget, passes (whole ones), rest (tokens of the last pass)."""
     have = sizes.groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count("*").alias("n_docs"))
     plan = targets.filter("source is not null and target_share > 0 and max_repeats > 0").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").cast("bigint").alias("max_repeats"))
-    plan = plan.join(broadcast_if_small(have), "source", "left").fillna(0, ["available", "n_docs"])
+    plan = plan.join(broadcast_if_small(cut(have)), "source", "left").fillna(0, ["available", "n_docs"])
     every = Window.partitionBy(F.lit(1))  # one row per source of the mix
     plan = plan.withColumn("share", F.when(F.col("available") > 0, F.col("target_share")))
     plan = plan.withColumn("share", F.col("share") / F.sum("share").over(every))
@@ -40,26 +41,19 @@ def source_budgets(sizes: DataFrame, targets: DataFrame, total_tokens: int | Non
 
 def mix_sources(docs: DataFrame, targets: DataFrame, key: str = "doc_id", total_tokens: int | None = None, seed: int = 42, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
     """(mix, report). mix: key, source, n_tokens, copies; report: one row for each target with the shares reached."""
-    spark = docs.sparkSession
-    named = broadcast_if_small(targets.filter("source is not null").select("source").distinct())
+    named = broadcast_if_small(cut(targets.filter("source is not null").select("source").distinct()))
     wanted = docs.filter("source is not null and text is not null").join(named, "source", "left_semi")
     sizes = count_tokens(wanted.select(F.struct(F.col(key), F.col("source")).alias("_k"), "text"), "_k", "text", vocabulary)
     sizes = sizes.filter("n_tokens > 0").select(F.col(f"_k.{key}").alias(key), F.col("_k.source").alias("source"), "n_tokens", F.xxhash64(F.col(f"_k.{key}"), F.lit(seed)).alias("_draw"))
     sizes = cut(sizes)  # the range sort samples its input; texts are tokenised once
-    # The range sort: (source, draw) order over all partitions; the partition's number is written with the rows.
-    ranged = sizes.repartitionByRange(max(2, partitions(spark)), "source", "_draw", key).sortWithinPartitions("source", "_draw", key)
-    ranged = cut(ranged.withColumn("_part", F.spark_partition_id()))
-    parts = ranged.groupBy("source", "_part").agg(F.sum("n_tokens").alias("_sum"))
-    before = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("source", "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("source", "_part").orderBy("_draw", key).rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumn("_before", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    budgets = cut(source_budgets(ranged.select("source", "n_tokens"), targets, total_tokens))
-    placed = placed.join(broadcast_if_small(offsets), ["source", "_part"]).join(broadcast_if_small(budgets.select("source", "passes", "rest", "max_repeats")), "source")
-    into_rest = (F.col("_offset") + F.col("_before") + F.col("n_tokens") / 2) < F.col("rest")
+    # Range partitions over (source, draw); sums run on inside them and across their borders.
+    placed = running_sums(sizes, ["source"], ["_draw", key], {"_before": F.col("n_tokens")})
+    budgets = cut(source_budgets(sizes.select("source", "n_tokens"), targets, total_tokens))
+    placed = placed.join(broadcast_if_small(budgets.select("source", "passes", "rest", "max_repeats")), "source")
+    into_rest = (F.col("_before") + F.col("n_tokens") / 2) < F.col("rest")
     copies = F.least(F.col("passes") + into_rest.cast("bigint"), F.col("max_repeats"))
     mix = placed.select(key, "source", "n_tokens", copies.alias("copies")).filter("copies > 0")
     used = mix.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.sum("copies").alias("records"))
-    report = budgets.join(broadcast_if_small(used), "source", "left").fillna(0, ["tokens", "records"])
+    report = budgets.join(used, "source", "left").fillna(0, ["tokens", "records"])
     share = F.try_divide(F.col("tokens").cast("double"), F.sum("tokens").over(Window.partitionBy(F.lit(1))))
     return mix, report.select("source", "target_share", F.coalesce(share, F.lit(0.0)).alias("actual_share"), "tokens", "records", "available", "budget", "max_repeats")

@@ -9,7 +9,7 @@ from postloom.llm.lookalike import lookalike_pairs, normalise_texts
 from postloom.llm.mixing import mix_sources
 from postloom.llm.own_text import foreign_lines, own_texts
 from postloom.llm.personal import find_items, replace_items
-from postloom.llm.tokenizer import count_tokens, encode_texts
+from postloom.llm.tokenizer import count_tokens, decode_ids, encode_texts, encode_with_places
 from postloom.runtime import table
 
 
@@ -49,6 +49,16 @@ def p8_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"))
 
 
+def p8_places(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of each document with the places of their slices in its text."""
+    return encode_with_places(table(spark, folder, "documents"))
+
+
+def p8_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document encoded and decoded again; the SQL takes the texts as they are."""
+    return decode_ids(encode_texts(table(spark, folder, "documents")))
+
+
 def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
     """The records of the mix and how often each is used."""
     return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[0]
@@ -68,5 +78,5 @@ def p10_forms(spark: SparkSession, folder: str) -> DataFrame:
     return normalise_texts(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_own_text, p5_found, p5_entities, p8_ids, p8_counts, p9_mix, p9_report, p10_found, p10_forms)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_own_text, p5_found, p5_entities, p8_ids, p8_counts, p8_places, p8_decoded, p9_mix, p9_report, p10_found, p10_forms)}
+SQL = {"p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}

@@ -3,10 +3,16 @@
 Pre-tokenisation: every code point gets a class from one array look-up; the classes drive a small automaton.
 The automaton runs as an associative scan: the transition functions of equal blocks of text are composed side
 by side in numpy, the block summaries give each block its entry state, and a second pass marks the positions
-at which a token begins. The slices between them go through cached pair merging.
+at which a token begins. The slices between them go through cached pair merging. The places of the slices are
+kept beside the ids where asked for, and ids are decoded back to texts.
+
+The vocabulary is read once where the query is planned and travels to the workers with it (a table of fixed
+size, about a megabyte); executors need no file.
 
 Defined results: NULL and empty texts have no ids (an empty list); every other text, blank ones included,
-round-trips: the bytes of its ids are the bytes of the text. Long texts are encoded whole.
+round-trips: the bytes of its ids are the bytes of the text. Long texts are encoded whole. NULL ids decode to NULL,
+an empty list to the empty text; an id that is not in the vocabulary is an error; bytes that are no text (a list
+cut inside a character) become U+FFFD.
 """
 
 from __future__ import annotations
@@ -19,7 +25,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.runtime import spread
@@ -166,10 +173,12 @@ class Encoder:
             i = end[i]
         return tuple(out)
 
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+    def encode_batch(self, texts: list[str], places: list[list[int]] | None = None) -> list[list[int]]:
+        """Ids of each text; ``places`` gets, for each text, the position (from 1) of the slice each id lies in."""
         cache, out = self.cache, []
         for text, at in zip(texts, boundaries(texts)):
             ids: list[int] = []
+            starts: list[int] = []
             for a, b in zip(at, at[1:]):
                 piece = text[a:b]
                 known = cache.get(piece)
@@ -179,7 +188,11 @@ class Encoder:
                         cache.clear()
                     cache[piece] = known
                 ids += known
+                if places is not None:
+                    starts += [a + 1] * len(known)
             out.append(ids)
+            if places is not None:
+                places.append(starts)
         return out
 
     def decode(self, ids: list[int]) -> bytes:
@@ -206,30 +219,79 @@ def _batched(texts: list[str | None]) -> Iterator[list[str]]:
     yield part
 
 
-def _encode(path: str, counts_only: bool):
+_SENT: dict[tuple[str, str], Broadcast] = {}
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def _sent(spark: SparkSession, path: str) -> Broadcast:
+    """The table of ranks as a broadcast of this session; its size is that of the vocabulary, whatever the data."""
+    at = (spark.sparkContext.applicationId, path)
+    if at not in _SENT:
+        _SENT[at] = spark.sparkContext.broadcast(encoder(path).ranks)
+    return _SENT[at]
+
+
+def _received(ranks: Broadcast) -> Encoder:
+    """The encoder of a worker, made once."""
+    key = hash((id(ranks.value), len(ranks.value)))
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(ranks.value)
+    return _ENCODERS[key]
+
+
+def _encode(ranks: Broadcast, what: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = _received(ranks)
         for batch in batches:
             low = 0
             for part in _batched(batch.column(1).to_pylist()):
-                ids = enc.encode_batch(part)
+                places: list[list[int]] | None = [] if what == "places" else None
+                ids = enc.encode_batch(part, places)
                 keys = batch.column(0).slice(low, len(part))
                 low += len(part)
-                values = pa.array([len(x) for x in ids], pa.int64()) if counts_only else pa.array(ids, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([keys, values], ["_key", "_value"])
+                if what == "counts":
+                    yield pa.RecordBatch.from_arrays([keys, pa.array([len(x) for x in ids], pa.int64())], ["_key", "_value"])
+                    continue
+                columns = [pa.array(x, pa.list_(pa.int32())) for x in ([ids] if places is None else [ids, places])]
+                yield pa.RecordBatch.from_arrays([keys, *columns], ["_key", "_value", "_places"][: 1 + len(columns)])
 
     return run
 
 
+def _coded(df: DataFrame, key: str, text: str, vocabulary: str, what: str, schema: str) -> DataFrame:
+    kind = df.schema[key].dataType.simpleString()
+    return spread(df.select(F.col(key), F.col(text))).mapInArrow(_encode(_sent(df.sparkSession, vocabulary), what), f"_key {kind}, {schema}")
+
+
 def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """(key, ids) of every row of df; one narrow pass, no shuffle."""
-    kind = df.schema[key].dataType.simpleString()
-    out = spread(df.select(F.col(key), F.col(text))).mapInArrow(_encode(vocabulary, False), f"_key {kind}, _value array<int>")
-    return out.select(F.col("_key").alias(key), F.col("_value").alias("ids"))
+    return _coded(df, key, text, vocabulary, "ids", "_value array<int>").select(F.col("_key").alias(key), F.col("_value").alias("ids"))
+
+
+def encode_with_places(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """(key, ids, places): as ``encode_texts``, with the position (from 1) of the slice of the text in which each id lies."""
+    out = _coded(df, key, text, vocabulary, "places", "_value array<int>, _places array<int>")
+    return out.select(F.col("_key").alias(key), F.col("_value").alias("ids"), F.col("_places").alias("places"))
 
 
 def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """(key, n_tokens) of every row of df."""
+    return _coded(df, key, text, vocabulary, "counts", "_value bigint").select(F.col("_key").alias(key), F.col("_value").alias("n_tokens"))
+
+
+def _decode(ranks: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = _received(ranks)
+        for batch in batches:
+            texts = [None if ids is None else enc.decode(ids).decode("utf-8", "replace") for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["_key", "_value"])
+
+    return run
+
+
+def decode_ids(df: DataFrame, key: str = "doc_id", ids: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
+    """(key, text) of every row of df: the texts its ids stand for."""
     kind = df.schema[key].dataType.simpleString()
-    out = spread(df.select(F.col(key), F.col(text))).mapInArrow(_encode(vocabulary, True), f"_key {kind}, _value bigint")
-    return out.select(F.col("_key").alias(key), F.col("_value").alias("n_tokens"))
+    out = df.select(F.col(key), F.col(ids)).mapInArrow(_decode(_sent(df.sparkSession, vocabulary)), f"_key {kind}, _value string")
+    return out.select(F.col("_key").alias(key), F.col("_value").alias("text"))

@@ -1,7 +1,9 @@
 import itertools
 import random
 
-from postloom.llm.lookalike import LOOKS, lookalike_pairs, normalise_texts, one_form, resolve_token
+import pytest
+
+from postloom.llm.lookalike import LOOKS, lookalike_pairs, normalise_texts, one_form, one_form_reported, resolve_token
 
 SAME = [
     ["cafe\u0301 near", "caf\u00e9 near", "c\u0430f\u0435\u0301\u00a0near", "\uff43\uff41\uff46\u00e9 near", "ca\u200bf\u00e9\u2007ne\u00adar"],
@@ -27,9 +29,25 @@ def test_other_look_other_form():
 
 
 def test_tokens_take_one_script():
-    assert resolve_token("Tожытя") == "Тожытя"
-    assert resolve_token("сос") == "coc"
-    assert resolve_token("\u039d\u0435xt") == "Next"
+    assert resolve_token("Tожытя") == ("Тожытя", True, False)
+    assert resolve_token("сос") == ("coc", False, True)
+    assert resolve_token("\u039d\u0435xt") == ("Next", True, False)
+    assert resolve_token("слово") == ("слово", False, False)
+    assert one_form_reported("p\u0430y сосо, plain слово") == ("pay coco, plain слово", 1, 1)
+
+
+@pytest.mark.parametrize(
+    ("a", "b"),
+    [("\u2011", "-"), ("\u2010", "-"), ("\u00b5", "\u03bc"), ("\u0475", "v"), ("\u03bd", "v"), ("\u03f2", "c"), ("\u04cf", "l"), ("\u0585", "o"), ("\u13aa", "A"), ("\u2170", "i"), ("\u2167", "VIII"), ("\U0001d400", "A"), ("\U0001d6c2", "\u03b1"), ("\U0001d7ce", "0"), ("\u043a", "\u03ba"), ("\u2019", "\u02bc"), ("\ufb01", "fi"), ("\uff76", "\u30ab"), ("\u0259", "\u04d9"), ("\u00fe", "\u03f8")],
+)
+def test_signs_of_one_look(a, b):
+    assert one_form(a) == one_form(b) == one_form(one_form(a))
+    assert one_form(f"x {a} y") == one_form(f"x {b} y")
+
+
+@pytest.mark.parametrize(("a", "b"), [("2", "\u00b2"), ("2", "\u2082"), ("1", "\u2460"), ("C", "\u2102"), ("A", "\U0001d504"), ("-", "\u2013"), ("'", "\u2019"), ("\u2018", "\u2019"), ("s", "\u017f"), ("...", "\u2026"), ("k", "\u043a"), ("a", "\u03b1"), ("n", "\u043f")])
+def test_signs_of_another_look(a, b):
+    assert one_form(a) != one_form(b)
 
 
 def test_form_depends_on_the_look_alone():

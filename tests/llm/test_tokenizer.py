@@ -54,3 +54,17 @@ def test_whole_table(spark, folder, pair):
     docs = table(spark, folder, "documents")
     want = {r.doc_id: pair[1].encode_ordinary(r.text or "") for r in docs.collect()}
     assert {r.doc_id: r.ids for r in tk.encode_texts(docs).collect()} == want
+
+
+def test_places_and_decoding(spark, folder, pair):
+    docs = table(spark, folder, "documents")
+    for r in tk.encode_with_places(docs).join(docs, "doc_id").collect():
+        text, at = r.text or "", r.places
+        assert len(at) == len(r.ids) and at == sorted(at)
+        # The ids of a slice are the bytes of the text from its place to the next one.
+        starts = sorted(set(at))
+        for a, b in zip(starts, [*starts[1:], len(text) + 1]):
+            assert pair[0].decode([i for i, p in zip(r.ids, at) if p == a]).decode() == text[a - 1 : b - 1]
+    assert {r.doc_id: r.text for r in tk.decode_ids(tk.encode_texts(docs)).collect()} == {r.doc_id: r.text or "" for r in docs.collect()}
+    odd = spark.createDataFrame([(1, None), (2, []), (3, pair[0].encode_batch(["\U0001f600"])[0][:1])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in tk.decode_ids(odd).collect()} == {1: None, 2: "", 3: "\ufffd"}
