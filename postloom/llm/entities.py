@@ -1,19 +1,24 @@
 """Links the spellings under which one person or organisation appears.
 
 A sender row is parsed into an identity: given name and surname of a person (order, titles, middle initials,
-affiliations, digits written for letters and nicknames are taken out; a misspelt surname is put right by the
-surname in the address), or the words of an organisation. Two identities can only be linked if one field is the
-same and the other one slip of the pen away, so distinct identities are compared in blocks of one equal field.
-In a block of too many, only those are compared whose other fields, whole or less one letter, coincide; any two
-words one slip apart do, so no pair is lost, and as few words are one letter from another, these blocks do not
-grow with the table. Pairs of a block are compared by the ratio of their longest common subsequence, and those
-near enough must be one slip apart.
+affiliations, digits written for letters and short forms are taken out; a misspelt surname is put right by the
+surname in the address), or the words of an organisation. A short form that may stand for several names is kept
+and may mean any of them.
+
+Distinct identities are indexed by the suffix of one name token, always refined by the other field (its whole
+word and the word less each letter): a suffix alone is common in every large table, a refined one is not. A
+refined suffix of more than BLOCK identities is discarded, and its identities are compared under both words less
+each letter instead, so no pair is lost and the links do not depend on BLOCK. Pairs are judged by their longest
+common subsequence: its ratio must be high, and of either word one letter at most may lie outside. So a pair may
+differ in both fields, if some suffix is shared. Two spellings that both stand on their own (by an address or by
+repetition) stay apart.
 
 Rows also belong together through one address, unless several people use it: an address is shared if any full
 name on it cannot be the same as its most frequent one. The classes are the connected components of all links.
 
 Defined results: a row with a NULL key is left out; a row without any name or address of its own (NULL, empty, a bare word, a shared address alone)
-is a class of its own; repeated rows are linked; extra columns are ignored; an empty table has no classes.
+is a class of its own; a word of more than MOST_LETTERS letters is linked to the same word only; repeated rows are
+linked; extra columns are ignored; an empty table has no classes.
 """
 
 from __future__ import annotations
@@ -29,12 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postloom.llm.names import GIVEN, NICKNAMES, ORG_SHORT, ORG_WORDS, TITLES
+from postloom.llm.names import AMBIGUOUS, GIVEN, NICKNAMES, ORG_SHORT, ORG_WORDS, TITLES
 from postloom.operators.components import connected_components
 from postloom.runtime import broadcast_if_small, cut
 
-#: Identities that may share a field and are all compared; above that, those whose other fields share a slip key.
-BLOCK = 200
+#: Letters of the suffixes of the index; a shorter word is its own suffix.
+LEAST_SUFFIX = 4
+#: Identities of a refined suffix that are all compared; above that it is discarded for a finer index.
+BLOCK = 100
+#: Longer words are no names.
+MOST_LETTERS = 64
 #: Modulus and base of the hashes of slip keys.
 _PRIME, _BASE = (1 << 61) - 1, 1_000_003
 #: A spelling no address holds is a slip of one that comes from so many times its sources, however often it recurs.
@@ -64,19 +73,14 @@ def lcs_ratio(a: str, b: str) -> float:
     return 2 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
-def one_slip(a: str, b: str) -> bool:
-    """Equal, or apart by one letter missing, added, wrong, or by two neighbours swapped."""
+def near(a: str, b: str, least: float) -> bool:
+    """Whether the longest common subsequence leaves out one letter of either word at most, and its ratio is high."""
     if a == b:
         return True
-    if abs(len(a) - len(b)) > 1:
+    if abs(len(a) - len(b)) > 1 or max(len(a), len(b)) > MOST_LETTERS:
         return False
-    i = 0
-    while i < min(len(a), len(b)) and a[i] == b[i]:
-        i += 1
-    if len(a) != len(b):
-        short, long = sorted((a, b), key=len)
-        return short[i:] == long[i + 1 :]
-    return a[i + 1 :] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
+    ratio = lcs_ratio(a, b)
+    return ratio >= least and round(ratio * (len(a) + len(b)) / 2) >= max(len(a), len(b)) - 1
 
 
 def _words(name: str) -> list[str]:
@@ -98,6 +102,12 @@ def _local_parts(email: str) -> list[str]:
     return [p for p in re.split(r"[._\-0-9]+", local) if p]
 
 
+def _full_form(given: str, parts: list[str]) -> str:
+    """The name a short form stands for; one that may stand for several is settled by the address or kept."""
+    told = [g for g in AMBIGUOUS.get(given, ()) if g in parts]
+    return told[0] if len(told) == 1 else NICKNAMES.get(given, given)
+
+
 def _right_spelling(word: str, parts: list[str]) -> str | None:
     """The spelling of a surname in an address: the suffix of a part that is nearest to the word as typed."""
     best, found = 0.0, None
@@ -120,11 +130,11 @@ def identity(raw: str | None, name: str | None, email: str | None) -> tuple[str,
     words = _words(text or "")
     parts = _local_parts(email or "")
     if len([w for w in words if len(w) > 1]) < 1 or (len(words) == 1):
-        known = [p for p in parts if p in GIVEN or p in NICKNAMES]
+        known = [p for p in parts if p in GIVEN or p in NICKNAMES or p in AMBIGUOUS]
         if not words and len(parts) == 2 and len(known) == 1:  # given.surname or surname_given
             other = next(p for p in parts if p is not known[0])
             if len(other) >= 4:
-                return "person", NICKNAMES.get(known[0], known[0]), other, True
+                return "person", _full_form(known[0], parts), other, True
         return ("short", "", words[0], False) if words and email else ("none", "", "", False)
     if any(w in ORG_WORDS or w in ORG_SHORT for w in words):
         full = [x for w in words if w not in ("the", "and", "of") for x in [ORG_SHORT.get(w, w)]]
@@ -138,14 +148,14 @@ def identity(raw: str | None, name: str | None, email: str | None) -> tuple[str,
         last, given = long[0], next((w for w in words if len(w) == 1), "")
         right = _right_spelling(last, parts)
         return "initial", given, right or last, right is not None
-    is_given = lambda w: w in GIVEN or w in NICKNAMES
+    is_given = lambda w: w in GIVEN or w in NICKNAMES or w in AMBIGUOUS
     given, last = (long[-1], long[0]) if is_given(long[-1]) and not is_given(long[0]) else (long[0], long[-1])
     if not is_given(given) and not is_given(last) and not first_initial:
         near = [max((lcs_ratio(w, g) for g in GIVEN if abs(len(g) - len(w)) < 3), default=0.0) for w in (given, last)]
         if near[1] > near[0] and near[1] >= GIVEN_RATIO:
             given, last = last, given
     right = _right_spelling(last, parts)
-    return "person", NICKNAMES.get(given, given), right or last, right is not None
+    return "person", _full_form(given, parts), right or last, right is not None
 
 
 def _identities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,8 +165,24 @@ def _identities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([e.lower() if e else None for e in emails], pa.string()), *(pa.array([x[i] for x in found], t) for i, t in enumerate((pa.string(), pa.string(), pa.string(), pa.bool_())))], ["_key", "email", "kind", "first", "last", "supported"])
 
 
-def _same_given(a: str, b: str) -> bool:
-    return a == b or (len(a) > 3 and len(b) > 3 and not (a in GIVEN and b in GIVEN) and lcs_ratio(a, b) >= GIVEN_RATIO)
+def _forms(given: str) -> tuple[str, ...]:
+    return (given, *AMBIGUOUS.get(given, ()))
+
+
+def same_given(a: str, b: str) -> bool:
+    if a == b or b in AMBIGUOUS.get(a, ()) or a in AMBIGUOUS.get(b, ()):
+        return True
+    return len(a) > 3 and len(b) > 3 and not (a in GIVEN and b in GIVEN) and near(a, b, GIVEN_RATIO)
+
+
+def same_name(kind: str, first_a: str, last_a: str, first_b: str, last_b: str) -> bool:
+    """Whether two identities of one kind may be spellings of one name."""
+    firsts = same_given(first_a, first_b) if kind == "person" else first_a == first_b
+    return firsts and near(last_a, last_b, SURNAME_RATIO)
+
+
+def _alike_given(a: str, b: str) -> bool:
+    return same_given(a, b) or (len(a) > 3 and len(b) > 3 and not (a in GIVEN and b in GIVEN) and lcs_ratio(a, b) >= GIVEN_RATIO)
 
 
 def can_be_same(kind_a: str, first_a: str, last_a: str, kind_b: str, first_b: str, last_b: str) -> bool:
@@ -167,7 +193,7 @@ def can_be_same(kind_a: str, first_a: str, last_a: str, kind_b: str, first_b: st
         return kind_a == kind_b and lcs_ratio(last_a, last_b) >= 0.7
     if "initial" in (kind_a, kind_b):
         return lcs_ratio(last_a, last_b) >= 0.7 and first_a[:1] == first_b[:1]
-    return (_same_given(first_a, first_b) or first_a[:3] == first_b[:3]) and lcs_ratio(last_a, last_b) >= 0.7
+    return (_alike_given(first_a, first_b) or first_a[:3] == first_b[:3]) and lcs_ratio(last_a, last_b) >= 0.7
 
 
 @F.pandas_udf(T.BooleanType())
@@ -176,16 +202,9 @@ def _fits(kind_a: pd.Series, first_a: pd.Series, last_a: pd.Series, kind_b: pd.S
 
 
 @F.pandas_udf(T.DoubleType())
-def _score(kind: pd.Series, first_a: pd.Series, last_a: pd.Series, sure_a: pd.Series, first_b: pd.Series, last_b: pd.Series, sure_b: pd.Series) -> pd.Series:
-    """The ratio of two identities of a block, 0 where they must be different."""
-    out = []
-    for k, fa, la, sa, fb, lb, sb in zip(kind, first_a, last_a, sure_a, first_b, last_b, sure_b):
-        last = lcs_ratio(la, lb)
-        if fa == fb:  # two spellings that are both sure are two entities
-            fits = last >= SURNAME_RATIO and one_slip(la, lb) and not (sa and sb)
-        else:
-            fits = k == "person" and la == lb and _same_given(fa, fb) and one_slip(fa, fb)
-        out.append(last + lcs_ratio(fa, fb) if fits else 0.0)
+def _score(first_a: pd.Series, last_a: pd.Series, sure_a: pd.Series, first_b: pd.Series, last_b: pd.Series, sure_b: pd.Series) -> pd.Series:
+    """The sum of both ratios of a pair, 0 for two spellings that both stand on their own."""
+    out = [0.0 if la != lb and sa and sb else lcs_ratio(la, lb) + lcs_ratio(fa, fb) for fa, la, sa, fb, lb, sb in zip(first_a, last_a, sure_a, first_b, last_b, sure_b)]
     return pd.Series(out, dtype="float64")
 
 
@@ -206,20 +225,98 @@ def slip_keys(word: str) -> list[int]:
     return list(out)
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _slips(word: pd.Series) -> pd.Series:
-    return word.map(slip_keys)
+def _hash(word: str) -> int:
+    out = 0
+    for c in word:
+        out = (out * _BASE + ord(c)) % _PRIME
+    return out
+
+
+def _mixed(*parts: int) -> int:
+    out = 7
+    for p in parts:
+        out = (out * 6_364_136_223_846_793_005 + p) % _PRIME
+    return out
 
 
-def field_blocks(names: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(id, key, slip) of identities (id, kind, first, last): an equal field, and a slip key of the other if too many share the field."""
-    field = lambda name, other: F.struct(F.xxhash64(F.lit(name), "kind", name).alias("key"), F.col(other).alias("other"))
-    fields = names.select("id", F.explode(F.array(field("first", "last"), field("last", "first"))).alias("t")).select("id", "t.*")
-    common = fields.groupBy("key").agg(F.count("*").alias("_n")).filter(F.col("_n") > block).select("key", F.lit(True).alias("_many"))
-    sized = fields.join(common, "key", "left")
-    few = sized.filter("_many is null").select("id", "key", F.lit(0).cast("bigint").alias("slip"))
-    many = sized.filter("_many").select("id", "key", F.explode(_slips("other")).alias("slip"))
-    return few.unionByName(many)
+def _slips(word: str) -> list[int]:
+    return slip_keys(word) if len(word) <= MOST_LETTERS else [_hash(word)]
+
+
+def index_keys(kind: str, first: str, last: str) -> set[int]:
+    """The suffix of one word, refined by the other word and that word less each letter."""
+    if kind != "person":
+        return {_mixed(0, _hash(first), s) for s in _slips(last)}
+    givens, tail = _forms(first), _hash(last[-LEAST_SUFFIX:])
+    by_given = {_mixed(1, _hash(g[-LEAST_SUFFIX:]), s) for g in givens for s in _slips(last)}
+    return by_given | {_mixed(2, tail, s) for g in givens for s in _slips(g)}
+
+
+def fine_keys(kind: str, first: str, last: str) -> set[int]:
+    """Both words, whole and less each letter: whatever ``index_keys`` brings together and ``same_name`` accepts shares one."""
+    if kind != "person":
+        return index_keys(kind, first, last)
+    return {_mixed(3, a, b) for g in _forms(first) for a in _slips(g) for b in _slips(last)}
+
+
+_NAMED = "key bigint, id bigint, kind string, first string, last string"
+
+
+def _keyed(keys):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, out = [], []
+            for i, name in enumerate(zip(*(batch.column(c).to_pylist() for c in ("kind", "first", "last")))):
+                found = keys(*name)
+                at += [i] * len(found)
+                out += found
+            rows = batch.select(["id", "kind", "first", "last"]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), *rows.columns], ["key", *rows.schema.names])
+
+    return run
+
+
+def _pairs(block: int | None):
+    """Pairs of a key's identities, of rows in the order of their keys; a key of more than ``block`` gives its identities alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, over = None, [], False
+        for batch in batches:
+            a: list[int] = []
+            b: list[int | None] = []
+            for k, *who in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != key:
+                    key, held, over = k, [], False
+                if not over and block is not None and len(held) >= block:
+                    a += [x[0] for x in held]
+                    b += [None] * len(held)
+                    over, held = True, []
+                if over:
+                    a.append(who[0])
+                    b.append(None)
+                    continue
+                id_, kind, first, last = who
+                for other, kind_b, first_b, last_b in held:
+                    if kind == kind_b and same_name(kind, first, last, first_b, last_b):
+                        a.append(min(id_, other))
+                        b.append(max(id_, other))
+                held.append(who)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def name_pairs(names: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b) of all identities (id, kind, first, last) that share a refined suffix and may be spellings of one name."""
+    names = names.select("id", "kind", "first", "last")
+    found = lambda df, keys, most: df.mapInArrow(_keyed(keys), _NAMED).repartition("key").sortWithinPartitions("key").mapInArrow(_pairs(most), "a bigint, b bigint").distinct()
+    first = cut(found(names, index_keys, block))
+    pairs = first.filter("b is not null")
+    over = first.filter("b is null").select(F.col("a").alias("id"))
+    if not over.take(1):
+        return pairs
+    fine = cut(found(names.join(over, "id", "left_semi"), fine_keys, None))
+    return pairs.unionByName(fine).distinct()
 
 
 def spelling_links(scored: DataFrame) -> DataFrame:
@@ -256,14 +353,15 @@ def link_senders(df: DataFrame, key: str = "sender_id", block: int = BLOCK) -> D
     rows = cut(rows.join(broadcast_if_small(shared), "email", "left").withColumn("_shared", F.coalesce("_shared", F.lit(False))))
     # Identities and the rows' ties to them and to addresses. A spelling is sure if an address holds it or if it
     # comes from two sources, but beside one that comes from MANY times its sources only an address makes it so.
+    # A short form of several names stands for one of them and never on its own.
     names = rows.filter("kind in ('person', 'org') and last <> ''").groupBy("kind", "first", "last").agg(F.max("supported").alias("held"), F.count_distinct(F.coalesce("email", F.lit(""))).alias("sources"), F.count("*").alias("_n"), F.min("_key").alias("id"))
-    names = cut(names.withColumn("supported", F.col("held") | (F.col("sources") > 1)))
-    blocks = field_blocks(names, block)
-    pairs = blocks.alias("x").join(blocks.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.slip") == F.col("y.slip")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    side = lambda s: names.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("kind", "first", "last", "supported", "held", "sources", "_n")])
+    several = (F.col("kind") == "person") & F.col("first").isin(list(AMBIGUOUS))
+    names = cut(names.withColumn("held", F.col("held") & ~several).withColumn("supported", F.col("held") | ((F.col("sources") > 1) & ~several)))
+    pairs = name_pairs(names, block)
+    side = lambda s: names.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("first", "last", "supported", "held", "sources", "_n")])
     beside = lambda s, o: F.col(f"{s}_held") | (F.col(f"{s}_supported") & (F.col(f"{s}_sources") * MANY > F.col(f"{o}_sources")))
     both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("a_own", beside("a", "b")).withColumn("b_own", beside("b", "a"))
-    scored = both.withColumn("score", _score("a_kind", "a_first", "a_last", "a_own", "b_first", "b_last", "b_own")).filter("score > 0 and a_kind = b_kind")
+    scored = both.withColumn("score", _score("a_first", "a_last", "a_own", "b_first", "b_last", "b_own")).filter("score > 0")
     scored = cut(scored)
     alike = spelling_links(scored)
     ids = names.select("kind", "first", "last", "id")

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from postloom.llm.entities import entity_pairs, identity, lcs_ratio, link_senders, one_slip, slip_keys, spelling_links
+from postloom.llm.entities import MOST_LETTERS, SURNAME_RATIO, entity_pairs, fine_keys, identity, index_keys, lcs_ratio, link_senders, name_pairs, near, same_name, slip_keys, spelling_links
 from postloom.operators.components import connected_components
 
 
@@ -94,7 +94,7 @@ def test_nothing_to_link(spark, rows):
 def test_words_one_slip_apart_share_a_key():
     words = ["".join(w) for n in range(5) for w in itertools.product("abc", repeat=n)]
     keys = {w: set(slip_keys(w)) for w in words}
-    assert all(keys[a] & keys[b] for a in words for b in words if one_slip(a, b))
+    assert all(keys[a] & keys[b] for a in words for b in words if near(a, b, 0.0))
     assert len(slip_keys("ab" * 100_000)) > 1
 
 
@@ -111,6 +111,58 @@ def test_common_names_lose_no_slip(spark):
         assert {(a, b) for a in of for b in of if a < b and of[a] == of[b]} == want
 
 
+def random_names(n, seed):
+    r = random.Random(seed)
+    ends, firsts = ["wick", "ford", "ovich"], ["gregory", "grigory", "walter", "wolter", "anders", "joe", "joseph", "yusuf"]
+    return [("person", r.choice(firsts), r.choice("bdkm") + r.choice(["al", "ol", "arl", "la"]) + r.choice(["", "t", "tt"]) + r.choice(ends)) for _ in range(n)] + [("org", "company", "dornfeld"), ("org", "company", "dornfled"), ("org", "press", "dornfeld")]
+
+
+def test_pairs_are_those_of_brute_force_for_any_block(spark):
+    names = sorted(set(random_names(150, 3)))
+    def shared(a, b):
+        return any(x[-4:] == y[-4:] for x in (a[1], *{"joe": ("joseph", "yusuf")}.get(a[1], ())) for y in (b[1], *{"joe": ("joseph", "yusuf")}.get(b[1], ()))) or a[2][-4:] == b[2][-4:]
+
+    want = {(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(names), 2) if a[0] == b[0] and same_name(a[0], *a[1:], *b[1:]) and (a[0] == "org" or shared(a, b))}
+    df = spark.createDataFrame([(i, *n) for i, n in enumerate(names)], "id long, kind string, first string, last string").repartition(3)
+    for block in (1, 5, 10**6):
+        found = [tuple(x) for x in name_pairs(df, block).collect()]
+        assert set(found) == want and len(found) == len(want)
+    assert all(fine_keys(*names[i]) & fine_keys(*names[j]) and index_keys(*names[i]) & index_keys(*names[j]) for i, j in want)
+
+
+def test_the_ratio_decides():
+    assert near("hallwick", "halwicks", SURNAME_RATIO)  # a letter dropped and one added far apart
+    assert near("hallwick", "hallwcik", SURNAME_RATIO) and not near("hallwick", "hallxyck", SURNAME_RATIO)
+    assert not near("lee", "lea", SURNAME_RATIO)
+    assert same_name("person", "gregory", "hallwick", "grgory", "halwick") and not same_name("person", "john", "hallwick", "joan", "hallwick")
+    assert not near("a" * (MOST_LETTERS + 1), "a" * MOST_LETTERS, 0.1)
+
+
+def test_short_forms_of_several_names(spark):
+    def entities(*texts):
+        df = spark.createDataFrame([(i, t, re_name(t), re_mail(t)) for i, t in enumerate(texts)], "sender_id long, from_raw string, from_name string, from_email string")
+        of = {x.sender_id: x.entity for x in link_senders(df).collect()}
+        return [of[i] for i in range(len(texts))]
+
+    re_name = lambda t: t.split(" <")[0]
+    re_mail = lambda t: t.split("<")[1].rstrip(">") if "<" in t else None
+    a, b = entities("Joe Hallwick", "Joseph Hallwick <j.hallwick@a.example>")
+    assert a == b
+    a, b = entities("Joe Hallwick", "Yusuf Hallwick <y.hallwick@a.example>")
+    assert a == b
+    a, b, c = entities("Joe Hallwick <joseph.h@b.example>", "Yusuf Hallwick <y.hallwick@a.example>", "Joseph Hallwick <hallwick@c.example>")
+    assert a == c != b
+    a, b, c = entities("Ken Hallwick", "Kenji Hallwick <hallwick@a.example>", "Kenneth Hallwick <hallwick2@b.example>")
+    assert b != c and a in (b, c)
+
+
+def test_components_beyond_one_task(spark):
+    r = random.Random(6)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(400 + i, 401 + i) for i in range(50)]
+    args = spark.range(500).withColumnRenamed("id", "node"), spark.createDataFrame(edges, "a long, b long")
+    assert {tuple(x) for x in connected_components(*args).collect()} == {tuple(x) for x in connected_components(*args, one_task=0).collect()}
+
+
 def test_repeated_slips_are_judged_beside_the_other_spelling(spark):
     def names(word, count, host):
         return [(f"Gregory {word}", f"{c}q{host}@{host}.example") for c in "bdfghjkm"[:count]]
