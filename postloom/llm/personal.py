@@ -1,25 +1,33 @@
 """Finds personal items in free text and replaces them by typed placeholders.
 
 A skip-chain conditional random field over the candidate tokens of a document. Candidates are e-mail addresses
-(plain and spelt out), number groups, street and box addresses, and runs of capitalised words or initials that
-hold a given name or an initial. A token's features are its own class, the classes of its neighbours in the run
-and the words around it. Neighbours in a run share chain potentials; tokens that recur anywhere in the document,
-the same or nearly the same, share skip potentials, so that what is clear at one place settles the doubtful
-mention at another. Messages are passed round the loops until they settle; each token takes its most probable label.
+(plain and spelt out), number groups, street and box addresses, and all runs of capitalised words or initials of
+any script that has capitals, particles included; in small letters, words around a given name, an initial or a
+word that the document writes as a name or an address elsewhere. A token's features are its own class (whether a
+list holds it is one of them), the classes of its neighbours in the run and the words around it. Neighbours in a
+run share chain potentials; tokens that recur anywhere in the document, the same or nearly the same, share skip
+potentials, so that what is clear at one place settles the doubtful mention at another. Messages are passed round
+the loops of a document until none changes by more than SETTLED; each token takes its most probable label. A name
+that no list and no initial supports must be likely to SURE.
 
 The weights are fitted once per process by pseudo-likelihood on sentences with known labels that
 ``personal_training`` writes (TRAINING_TEXTS of them, a fixed bound); nothing of the corpus is needed.
 
 Defined results: NULL and empty texts have no items; positions count code points from 1; an item starts at the
-bracket, plus sign or house, flat or box designation that opens it. Very long texts are searched whole, in time
-linear in their length: recurring tokens are chained from mention to mention.
+bracket, plus sign or house, flat or box designation that opens it. Very long texts are searched whole: candidates
+are found in time linear in the length, and messages travel one mention a round. Damping makes them settle in some
+tens of rounds; MOST_ROUNDS ends what would swing for ever. Names in scripts without capitals are not found.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,24 +35,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.llm.entities import lcs_ratio
-from postloom.llm.names import GIVEN, NICKNAMES, ORG_SHORT, ORG_WORDS, TITLES
+from postloom.llm.names import AMBIGUOUS, GIVEN, NICKNAMES, ORG_SHORT, ORG_WORDS, TITLES
 from postloom.runtime import spread
 
-TRAINING_TEXTS = 3000
-ROUNDS = 8
+TRAINING_TEXTS = 4000
+#: Messages are settled when none changes by more than this.
+SETTLED = 1e-3
+MOST_ROUNDS = 2000
 DAMPING = 0.3
+#: Least probability of a name without a listed given name or an initial.
+SURE = 0.9
 
+
+def _letters(*kinds: str) -> str:
+    """A character class of all letters of the given Unicode categories."""
+    out, start, last = [], None, None
+    for i in range(sys.maxunicode + 2):
+        inside = i <= sys.maxunicode and unicodedata.category(chr(i)) in kinds
+        if inside and start is None:
+            start = i
+        if not inside and start is not None:
+            last = i - 1
+            out.append(f"\\U{start:08x}" if start == last else f"\\U{start:08x}-\\U{last:08x}")
+            start = None
+    return "".join(out)
+
+
+_UP, _LOW = _letters("Lu", "Lt"), _letters("Ll")
 #: White space inside a name; a line end may be followed by quote prefixes.
 _GAP = r"(?:[ \t]{1,3}|[ \t]{0,3}\n[ \t]*(?:(?:[A-Za-z]{0,4}>|[|:}])[ \t]*)*)"
-_CAP = r"[A-Z](?:[\w'’-]*\w)?\.?"
-_RUN = re.compile(rf"(?<![\w@./+-]){_CAP}(?:,?{_GAP}{_CAP})+(?![\w@]|\.\w)")
-_SPLIT = re.compile(rf"({_CAP})(,?)({_GAP})?")
-_LOWER_WORD = re.compile(r"(?<![\w@./+-])[a-z]{2,12}\b")
-# Names that in small letters are mostly other words do not open a candidate.
-_LOWER_NAMES = (GIVEN | set(NICKNAMES)) - set("will rich bill pat sue sandy jack rob nick kit ray rose mark art ant dick gail kay meg nell bob ron theo tori drew al may june dan ben ed ken jen deb sally polly molly nat sam ted tim tom liz joe jon".split()) | {"jon"}
-_LOWER_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789'-")
-_LOWER_NEXT = re.compile(rf"{_GAP}([a-z]\.{_GAP})?[a-z][a-z0-9'-]+(?![\w@]|\.\w)")
-_LOWER_LAST = re.compile(rf"(?<![\w@./+-])[a-z][a-z0-9'-]+,{_GAP}$")
+_IN = r"[\w'’\u0300-\u036f-]"
+_CAP = rf"[{_UP}](?:{_IN}*[\w\u0300-\u036f])?\.?"
+# Small words inside names.
+PARTICLES = "van von der den de la las los del della di da dos du le ter ten zu bin ibn al el".split()
+_PART = rf"(?:{'|'.join(PARTICLES)})(?={_GAP})"
+_RUN = re.compile(rf"(?<![\w@./+-]){_CAP}(?:,?{_GAP}(?:{_PART}{_GAP}){{0,3}}{_CAP})+(?![\w@]|\.\w)")
+_SPLIT = re.compile(rf"({_CAP}|{_PART})(,?)({_GAP})?")
+_LOWER_SPLIT = re.compile(rf"([{_LOW}]{_IN}*\.?)(,?)({_GAP})?")
+_LOWER_WORD = re.compile(rf"(?<![\w@./+-])[{_LOW}]{_IN}*")
+# Names that in small letters are mostly other words open a candidate only if the document knows them as names.
+_LOWER_NAMES = (GIVEN | set(NICKNAMES) | set(AMBIGUOUS)) - set("will rich bill pat sue sandy jack rob nick kit ray rose mark art ant dick gail kay meg nell bob ron theo tori drew al may june dan ben ed ken jen deb sally polly molly nat sam ted tim tom liz joe jon".split()) | {"jon"}
+_LOWER_NEXT = re.compile(rf"{_GAP}([{_LOW}]\.{_GAP})?[{_LOW}]{_IN}+(?![\w@]|\.\w)")
+_LOWER_LAST = re.compile(rf"(?<![\w@./+-])[{_LOW}]{_IN}+,{_GAP}$")
+_LOWER_INITIAL = re.compile(rf"(?<![\w@./+-])[{_LOW}]\.{_GAP}(?=([{_LOW}]{_IN}+))")
 _DOT = r"(?:\.|\s?\[dot\]\s?|\s?\(dot\)\s?|[ ]dot[ ])"
 _EMAIL = re.compile(rf"(?<![\w.+-])[\w][\w.+-]*(?:@|[ ]?\[at\][ ]?|[ ]?\(at\)[ ]?|[ ]at[ ](?=[\w-]+(?:[ ]dot[ ])))[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[A-Za-z]{{2,}}\b", re.I)
 _NUMBER = re.compile(
@@ -57,17 +90,20 @@ _NUMBER = re.compile(
     r"|0\d{2,4} \d{3,4} \d{3,4}"
     r"|\d{6}-\d{4}|\d{3}([-. ])\d{2}\1\d{4}|\d{3}-\d{4}|\d{9,10}"
     r"|[A-Z]\d{3}-\d{4}-\d{4}|[A-Z] ?\d{7}"
+    r"|\+\d{1,3}(?:[ .-]\(?\d{1,4}\)?){3,6}|\+\d{8,15}|0\d(?:[ .-]\d{2}){4}|0\d{1,5} ?/ ?\d{3,8}(?:[ -]\d{2,6}){0,3}|\(0\d{1,5}\) ?\d{3,8}(?:[ -]\d{2,6}){0,3}|0\d{1,4}-\d{2,4}-\d{3,4}|0\d{2,4}[ -]\d{5,8}"
     r")(?:[ ]?(?:x|ext\.?)[ ]?\d{1,5})?(?![\w@]|[-./]\w)"
 )
 _STREET = r"(?:Street|St|Road|Rd|Lane|Ln|Avenue|Ave|Close|Court|Ct|Terrace|Row|Yard|Drive|Place|Square|Sq|Crescent|Boulevard|Blvd|Way|Walk|Hill|Gardens|Mews)\b\.?"
 _TOWN = rf"(?:,[ \t]*(?:Apt|Flat|Unit|Suite)\.? \d+)?(?:,?{_GAP}(?:\d{{5}} )?[A-Z][a-z]+(?:-[A-Z][a-z]+)*(?: \d{{5}}\b)?|(?={_GAP}))?"
 _ADDRESS = re.compile(rf"(?<![\w./-])(?:(?:(?:Flat|Apt|Unit|Suite)\.? \d+[a-z]?, )?\d{{1,5}}[a-z]? (?:[A-Z][\w'-]+ ){{1,2}}{_STREET}|P\.?[ ]?O\.? ?Box \d+|[A-Z][a-zäöüß]+(?:weg|straße|strasse|gasse|allee|platz|ring|damm) \d+[a-z]?)({_TOWN})")
+_ACCOUNT = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 _URL = re.compile(r"(?i)\b(?:https?|ftp|gopher|mailto|news)://\S+")
-_BEFORE = re.compile(r"([A-Za-z][\w.'-]*)[^\w\n]*$")
+_BEFORE = re.compile(r"([^\W\d_][\w.'-]*)([^\w\n]*)$")
+_AFTER = re.compile(r"[\s>|:}]*([<(@]|[^\W\d_][\w-]*|/)?")
 _MARKS = re.compile(r"\n[ \t]*(?:(?:[A-Za-z]{0,4}>|[|:}])[ \t]*)*$")
 _ID_SHAPES = (re.compile(r"\d{3}([-. ])\d{2}\1\d{4}$|\d{9}$"), re.compile(r"\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])-\d{4}$"), re.compile(r"[A-Z]\d{3}-\d{4}-\d{4}$"), re.compile(r"[A-Z] ?\d{7}$"))
 
-_HEX_BEFORE, _HEX_AFTER = re.compile(r"\b[0-9A-F]{8}[\s>|:}]+$"), re.compile(r"[\s>|:}]+[0-9A-F]{8}\b")
+_HEX, _HEX_AFTER = re.compile(r"[0-9A-F]{8}"), re.compile(r"[\s>|:}]+[0-9A-F]{8}\b")
 
 # Words that open sentences or close letters and are no part of a name.
 STOP = frozenset(
@@ -79,13 +115,19 @@ STOP = frozenset(
     dear sent date newsgroups anyone bounces another copy quoting according am born taxpayer travel voice tel phone""".split()
 )
 CLOSING = frozenset("best regards cheers yours sincerely thanks ciao greetings love faithfully truly bye".split())
-JOBS = frozenset("archivist consultant engineer clerk chandler janitor fellow senior staff network systems research director manager editor student secretary".split())
-SAID = frozenset("wrote writes said says spake schrieb schreibt disagrees disagreed gave put has had asked thinks here reads on at id phone wants".split())
-CUES = frozenset("to called with by from contact reach ask as name was named of and quoting according cc dear".split())
-PHONE_CUES = frozenset("tel phone voice fax call ring dial dial-in reach pager mobile on at is me try number still answers or to".split())
-ID_CUES = frozenset("ssn social security number taxpayer passport document travel national id identity licence license sec no born typed wrote as reads keyed tolbury in".split())
-OTHER_CUES = frozenset("part invoice ping version take bytes port key fingerprint order serial and".split())
-MESSAGE_CUES = frozenset("message article to id message-id references".split())
+# Words of occupations, words of speech, and words around items.
+JOBS = frozenset("consultant engineer clerk manager professor editor director student secretary assistant researcher officer programmer analyst operator administrator fellow senior junior chief staff research network systems software project".split())
+SAID = frozenset("wrote writes said says spake schrieb schreibt writes: disagrees disagreed gave put has had asked thinks here reads on at id phone wants thought spoke pointed explains replied told".split())
+CUES = frozenset("called contact reach ask name was named according cc dear quoting mr mrs ms dr prof professor signed met author bcc attn contacting schrieb".split())
+HEADS = frozenset("from to cc bcc author contact name attn dear sender by".split())
+WEAK_CUES = frozenset("to with by from as of and".split())
+SMALL_WORDS = frozenset("the a an this that these every no our your its his her their in until once than say says said on for at about week if when while".split())
+PHONE_CUES = frozenset("tel telephone phone voice fax call ring dial dial-in reach pager beeper mobile cell handy on at is me try number still answers or to".split())
+ID_CUES = frozenset("ssn social security number taxpayer passport document travel national id identity licence license sec no born typed wrote as reads keyed entered noted is in".split())
+ID_WORDS = frozenset("ssn social security taxpayer passport national id identity licence license document".split())
+GOODS_WORDS = frozenset("part invoice order serial item model bytes version".split())
+OTHER_CUES = frozenset("part invoice ping version take order serial bytes port key fingerprint item model lines and".split())
+MESSAGE_CUES = frozenset("message article to id message-id references answers".split())
 
 WORD, MAIL, NUMBER, PLACE = range(4)
 #: Each node has three labels: none, then by type begin/inside of a name, address, phone/identity number, place.
@@ -107,12 +149,19 @@ class Graph:
         self.names: list[str] = []
 
 
+_PARTICLES = frozenset(PARTICLES)
+
+
 def _class_of(word: str) -> str:
     bare = word.rstrip(".").lower()
     if len(bare) == 1:
         return "I"
-    if bare in GIVEN or bare in NICKNAMES:
+    if bare in GIVEN or bare in NICKNAMES or bare in AMBIGUOUS:
         return "G"
+    if word in _PARTICLES:
+        return "P"
+    if sum(map(str.isdigit, bare)) > 1:
+        return "D"
     if bare in CLOSING:
         return "K"
     if bare in STOP or bare in TITLES:
@@ -140,25 +189,84 @@ class Features:
         out.append(i)
 
 
-def _cue(text: str, start: int) -> str:
-    """The word before a position on its line, or at the end of the line before."""
-    low = max(0, start - 24)
-    piece = text[low:start].rstrip(" \t<([\"'")
-    bare = _MARKS.sub("\n", piece) if "\n" in piece else piece
-    if not bare or bare[-1] == "\n":
-        piece = bare.rstrip()
-        line = "n"
-    else:
-        line = "s"
-    m = _BEFORE.search(piece)
-    return line + (m.group(1).lower().rstrip(".") if m else "")
+def _reach_back(text: str, start: int, pattern: re.Pattern, enough) -> re.Match | None:
+    """The match of a pattern that ends at a position, in a stretch that grows until the match does not touch its beginning."""
+    width = 32
+    while True:
+        low = max(0, start - width)
+        m = pattern.search(text[low:start])
+        if low == 0 or enough(m):
+            return m
+        width *= 4
+
+
+def _line_break(text: str, at: int) -> int | None:
+    """Where the line before ends if only white space and quote marks stand between a line's beginning and a position; -1 at the beginning of the text."""
+    while at:
+        c = text[at - 1]
+        if c in " \t|:}":
+            at -= 1
+        elif c == ">":
+            at -= 1
+            most = max(0, at - 4)
+            while at > most and text[at - 1].isascii() and text[at - 1].isalpha():
+                at -= 1
+        else:
+            return at - 1 if c == "\n" else None
+    return -1
+
+
+def _cue(text: str, start: int) -> tuple[str, str, str]:
+    """Where a position stands ("n": first on its line, else "s"), the word before it, on its line or at the end of the line before, and a colon if one parts them."""
+    while start and text[start - 1] in "<([\"'":
+        start -= 1
+    broken = _line_break(text, start)
+    low = start if broken is None else max(broken, 0)
+    while low and text[low - 1].isspace() and (broken is not None or text[low - 1] != "\n"):
+        low -= 1
+    m = _reach_back(text, low, _BEFORE, lambda m: m is not None and m.start() > 0)
+    line = "s" if broken is None else "n"
+    return (line, m.group(1).lower().rstrip("."), ":" if ":" in m.group(2) else "") if m else (line, "", "")
+
+
+def _words_before(text: str, start: int, n: int = 3) -> list[str]:
+    """The n words before a position, the nearest first, quote marks aside."""
+    out, at = [], start
+    for _ in range(n):
+        while at and not text[at - 1].isalnum():
+            if text[at - 1] == ">" or text[at - 1] == "\n":
+                broken = _line_break(text, at)
+                at = max(broken, 0) if broken is not None else at - 1
+            else:
+                at -= 1
+        end = at
+        while at and (text[at - 1].isalnum() or text[at - 1] in "-'"):
+            at -= 1
+        out.append(text[at:end])
+    return out
 
 
 def _after(text: str, end: int) -> str:
-    m = re.match(r"[\s>|:}]*([<(@]|[A-Za-z-]+|/)?", text[end : end + 24])
+    m = _AFTER.match(text, end)
     return (m.group(1) or "").lower() if m else ""
 
 
+def _covers(spans: list[tuple[int, int]]):
+    """Whether a position lies in one of the spans; a look-up by bisection."""
+    spans = sorted(spans)
+    starts, ends = [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
+    return lambda i: (k := bisect_right(starts, i)) > 0 and ends[k - 1] > i
+
+
+def _local_words(mails: list[str]) -> set[str]:
+    """Words that local parts of addresses hold: their pieces, also without up to three letters at either end."""
+    out = set()
+    for mail in mails:
+        for piece in re.split(r"[._+\d-]+", re.split(r"@| at |\[at\]|\(at\)", mail)[0].strip()):
+            out.update(x for n in range(4) for x in (piece[n:], piece[: len(piece) - n]) if len(x) > 3)
+    return out
+
+
 def _node(g: Graph, doc: int, start: int, end: int, kind: int, joined: int, name: str) -> int:
     g.doc.append(doc)
     g.span.append((start, end))
@@ -169,26 +277,48 @@ def _node(g: Graph, doc: int, start: int, end: int, kind: int, joined: int, name
     return len(g.doc) - 1
 
 
-def _add_run(g: Graph, feats: Features, doc: int, text: str, start: int, run: str, locals_: str) -> None:
-    parts = [(m.group(1), m.group(2), m.group(3) or "", start + m.start(1)) for m in _SPLIT.finditer(run)] if run[0].isupper() else [(w.group(1), w.group(2), w.group(3) or "", start + w.start(1)) for w in re.finditer(rf"([a-z][a-z0-9'-]*\.?)(,?)({_GAP})?", run)]
+def _add_run(g: Graph, feats: Features, doc: int, text: str, start: int, run: str, locals_: set[str]) -> None:
+    small = run[0].islower()
+    parts = [(m.group(1), m.group(2), m.group(3) or "", start + m.start(1)) for m in (_LOWER_SPLIT if small else _SPLIT).finditer(run)]
     parts = [(w[:-1] if w.endswith(".") and len(w) > 2 and w[:-1].lower() not in TITLES else w, w.endswith(".") and len(w) > 2, comma, gap, at) for w, comma, gap, at in parts]
+    line, before, colon = _cue(text, parts[0][4])
+    begin = 0
+    for end in range(1, len(parts) + 1):
+        w, stop, comma, gap, _ = parts[end - 1]
+        if end < len(parts) and not stop and not (comma and "\n" in gap and _class_of(w) == "K"):
+            continue
+        _add_segment(g, feats, doc, text, parts[begin:end], line, before, colon, locals_)
+        line, before, colon, begin = "n" if "\n" in gap else "s", w.lower().rstrip("."), "", end
+
+
+def _add_segment(g: Graph, feats: Features, doc: int, text: str, parts: list, line: str, before: str, colon: str, locals_: set[str]) -> None:
+    """The part of a run between full stops."""
     classes = [_class_of(w) for w, *_ in parts]
-    if not ({"G", "I"} & set(classes)):
+    skip = 0
+    while skip < len(parts) and classes[skip] == "S":  # titles and words that open a sentence are what stands before
+        line, before, colon = "s", parts[skip][0].lower().rstrip("."), ""
+        skip += 1
+    parts, classes = parts[skip:], classes[skip:]
+    n = len(parts)
+    if n < 2:
         return
-    n, before = len(parts), _cue(text, parts[0][4])
-    links = []  # between token i and i + 1: chain, comma, or none behind a full stop
-    for i in range(n - 1):
-        w, stop, comma, gap, _ = parts[i]
-        links.append("" if stop or (comma and "\n" in gap and classes[i] == "K") else "," if comma else "n" if "\n" in gap else "_")
+    links = ["," if comma else "n" if "\n" in gap else "_" for _, _, comma, gap, _ in parts[:-1]]  # between token i and i + 1
+    supported = "L" if {"G", "I"} & set(classes) else "U"
+    cue = ("+" if before in HEADS else "-") if colon else "+" if before in CUES else "w" if before in WEAK_CUES else "d" if before in SMALL_WORDS else "-" if before else "0"
+    org = "O" in classes
     last = -1
     add = feats.add
+    end = parts[-1][4] + len(parts[-1][0])
+    whole = line == "n" and text[end : end + 1] in ("", "\n", "\r")
+    nxt = _after(text, end)
+    follows = "<" if nxt in ("<", "(", "@") else "+" if nxt in SAID or nxt == "/" else "v" if nxt.endswith("s") else "e" if not nxt else "-"
     for i, (w, stop, comma, gap, at) in enumerate(parts):
         left = links[i - 1] if i else ""
         right = links[i] if i < n - 1 else ""
         cls, lc, rc = classes[i], classes[i - 1] if left else "", classes[i + 1] if right else ""
-        node = _node(g, doc, at, at + len(w), WORD, last if left else -1, w.lower().rstrip("."))
-        out = g.features
         key = w.lower().rstrip(".")
+        node = _node(g, doc, at, at + len(w), WORD, last if left else -1, key)
+        out = g.features
         add(out, f"c{cls}")
         add(out, f"l{left}{lc}{cls}")
         add(out, f"r{cls}{right}{rc}")
@@ -198,16 +328,22 @@ def _add_run(g: Graph, feats: Features, doc: int, text: str, start: int, run: st
         if i >= 2 and left:
             add(out, f"p{classes[i - 2] if links[i - 2] else ''}{links[i - 2]}{lc}{left}{cls}")
         if i == 0:
-            add(out, "cue" + ("+" if before[1:] in CUES else "-" if before[1:] else "0") + cls)
-            if not before[1:]:
+            add(out, f"cue{cue}{cls}")
+            if not before:
                 add(out, "linestart" + cls)
+        add(out, f"ctx{supported}{cue}{follows}{min(n, 4)}")
+        add(out, f"first{supported}{cue}{min(i, 3)}")
+        add(out, f"whole{supported}{whole}{min(i, 3)}")
+        add(out, f"org{supported}{org}")
         if i == n - 1:
-            nxt = _after(text, at + len(w))
             add(out, "next" + ("<" if nxt in ("<", "(", "@") else "+" if nxt in SAID or nxt == "/" else "-") + cls)
+            add(out, f"nextu{supported}{follows}")
         if len(key) > 3 and cls in "TGw" and key in locals_:
             add(out, "local" + cls)
         if w.isupper() and len(w) > 2:
             add(out, "upper" + cls)
+        if not w.isascii():
+            add(out, "foreign" + cls)
         if left:
             g.edges.append((last, node, COMMA if left == "," else CHAIN))
         last = node
@@ -222,22 +358,22 @@ def add_document(g: Graph, feats: Features, doc: int, text: str) -> None:
     """Candidates, features and edges of one text."""
     first = len(g.doc)
     urls = [m.span() for m in _URL.finditer(text)] if "://" in text else []
-    inside = lambda i: any(a <= i < b for a, b in urls)
-    add, taken = feats.add, []
+    inside = _covers(urls)
+    add, taken = feats.add, list(urls)
     has_at = "@" in text or " at " in text or "(at)" in text.lower() or "[at]" in text.lower()
     mails = [m for m in _EMAIL.finditer(text) if not inside(m.start())] if has_at else []
-    locals_ = " ".join(re.split(r"@| at |\[at\]|\(at\)", m.group().lower())[0] for m in mails)
+    locals_ = _local_words([m.group().lower() for m in mails])
     for m in mails:
         start, end = m.span()
         _node(g, doc, start, end, MAIL, -1, m.group().lower())
-        out, cue = g.features, _cue(text, start)
+        out, cue = g.features, _cue(text, start)[1]
         angle = text[start - 1 : start] == "<"
         add(out, "mail" + ("<" if angle else ""))
         local = m.group().split("@")[0]
         add(out, "local" + ("hex" if re.search(r"\d{5}|^m-[0-9A-F]{6}|^[0-9a-f]{6,}[.]|\.AA[0-9A-F]*$", local) else "plain") + ("<" if angle else ""))
-        add(out, "mailcue" + ("+" if cue[1:] in MESSAGE_CUES else "-") + ("<" if angle else ""))
+        add(out, "mailcue" + ("+" if cue in MESSAGE_CUES else "-") + ("<" if angle else ""))
         add(out, "mailnext" + ("of" if _after(text, end + 1) == "of" else "") + ("<" if angle else ""))
-        add(out, "mailcue2" + (cue[1:] if cue[1:] in ("message", "article", "to", "message-id", "id", "references") else "") + ("<" if angle else ""))
+        add(out, "mailcue2" + (cue if cue in MESSAGE_CUES else "") + ("<" if angle else ""))
         taken.append((start, end))
     for m in _ADDRESS.finditer(text):
         start, end = m.span()
@@ -245,47 +381,64 @@ def add_document(g: Graph, feats: Features, doc: int, text: str) -> None:
         add(g.features, "place")
         add(g.features, "place" + ("box" if "ox" in m.group()[:9] else "way" if m.group()[0].isalpha() and not m.group().startswith(("Flat", "Apt", "Unit", "Suite")) else "house"))
         taken.append((start, end))
-    for m in _NUMBER.finditer(text):
+    numbers = [m for m in _NUMBER.finditer(text)]
+    inside = _covers([*taken, *(m.span() for m in _ACCOUNT.finditer(text))]) if numbers else _covers(taken)
+    for m in numbers:
         start, end = m.span()
-        if inside(start) or any(a <= start < b for a, b in taken):
+        if inside(start):
             continue
         value = m.group()
         if value[0] == "(" and ")" not in value:
             start, value = start + 1, value[1:]
-        shape = _digit_shape(value)
         known = next((i for i, p in enumerate(_ID_SHAPES) if p.match(value)), -1)
-        if known == 3 and (_HEX_BEFORE.search(text[max(0, start - 12) : start]) or _HEX_AFTER.match(text[end : end + 12])):
+        near = _words_before(text, start)
+        if known == 3 and (_HEX.fullmatch(near[0]) or _HEX_AFTER.match(text, end)):
             continue  # one group of a fingerprint
         _node(g, doc, start, end, NUMBER, -1, re.sub(r"\D", "", value))
-        out, cue = g.features, _cue(text, start)
-        word = cue[1:]
-        add(out, f"shape{shape}")
+        out, (line, word, _) = g.features, _cue(text, start)
+        add(out, f"shape{_digit_shape(value)}")
+        add(out, f"form{value[0] if value[0] in '+(0' else '1'}{sum(map(str.isdigit, value))}")
         add(out, f"id{known}")
-        add(out, "reserved" + ("+" if re.search(r"555[-. ]?01\d\d|1632|7946 0", value) else "-") + str(known))
-        neg = word in OTHER_CUES or word == "no" and text[max(0, start - 9) : start].lower().rstrip().endswith("part no.")
-        part = "part" in text[max(0, start - 12) : start].lower()
-        add(out, "neg" + ("+" if (neg and word != "no") or part else "-") + str(known))
+        around = {w.lower() for w in near}
+        part = "part" in around
+        add(out, "idwords" + ("+" if around & ID_WORDS else "-") + str(known))
+        add(out, "goods" + ("+" if around & GOODS_WORDS else "-") + str(known))
+        neg = word in OTHER_CUES
+        add(out, "neg" + ("+" if neg or part else "-") + str(known))
         add(out, "phonecue" + ("+" if word in PHONE_CUES else "-") + str(known))
         add(out, "idcue" + ("+" if word in ID_CUES and not part else "-") + str(known))
         add(out, "word" + (word if word in PHONE_CUES or word in ID_CUES or word in OTHER_CUES else "?"))
-        alone = cue[0] == "n" and text[end : end + 1] in ("", "\n", " ", "|")
+        alone = line == "n" and text[end : end + 1] in ("", "\n", " ", "|")
         add(out, f"alone{alone}{known}")
         nxt = _after(text, end)
-        add(out, "nextword" + (nxt if nxt in ("bytes", "instead", "is", "was", "when", "rings", "after", "by", "before") else "?"))
+        add(out, "nextword" + (nxt if nxt in ("bytes", "instead", "is", "was", "when", "rings", "after", "by", "before", "if") else "?"))
+    inside = _covers(taken)
+    words: set[str] = set()
     for m in _RUN.finditer(text):
         start, run = m.start(), m.group()
-        if inside(start) or any(a <= start < b for a, b in taken):
-            continue
-        _add_run(g, feats, doc, text, start, run, locals_)
-    if not _LOWER_NAMES.isdisjoint(_LOWER_WORD.findall(text)):
-        for m in _LOWER_WORD.finditer(text):
-            if m.group() in _LOWER_NAMES:
-                for run, at in _lower_runs(text, m.start(), m.end()):
-                    if not inside(at) and not any(a <= at < b for a, b in taken):
-                        _add_run(g, feats, doc, text, at, run, locals_)
+        if not inside(start):
+            _add_run(g, feats, doc, text, start, run, locals_)
+            words.update(w.group(1).lower() for w in _SPLIT.finditer(run))
+    known_here = {w for w in words | locals_ if len(w) > 3}
+    for m in _LOWER_WORD.finditer(text):
+        word = m.group()
+        if word in _LOWER_NAMES or (word not in STOP and (word in known_here or (word in NICKNAMES or word in AMBIGUOUS or word in GIVEN))):
+            for run, at in _lower_runs(text, m.start(), m.end()):
+                if (word in _LOWER_NAMES or _known_pair(run, known_here, word)) and not inside(at):
+                    _add_run(g, feats, doc, text, at, run, locals_)
+    if known_here:
+        for m in _LOWER_INITIAL.finditer(text):
+            if m.group(1) in known_here and m.group(1) in locals_ and not inside(m.start()):
+                _add_run(g, feats, doc, text, m.start(), text[m.start() : m.end(1)], locals_)
     _skip_edges(g, first)
 
 
+def _known_pair(run: str, known: set[str], word: str) -> bool:
+    """Whether the other word of a run in small letters stands in the document as part of a name or an address, and both do unless a list holds one."""
+    others = [w for w in (m.group(1).rstrip(".") for m in _LOWER_SPLIT.finditer(run)) if w != word]
+    return any(w in known and w not in STOP for w in others)
+
+
 def _before_gap(text: str, start: int) -> int:
     """Where a word before a comma and a gap that ends at start may begin, start itself without such a comma; looks no further back."""
     at = start
@@ -302,7 +455,7 @@ def _before_gap(text: str, start: int) -> int:
     if not at or text[at - 1] != ",":
         return start
     at -= 1
-    while at and text[at - 1] in _LOWER_LETTERS:
+    while at and (text[at - 1].isalnum() or text[at - 1] in "'’-"):
         at -= 1
     return at
 
@@ -360,8 +513,8 @@ class Model:
         out[np.isin(kind, (MAIL, PLACE)), 2] = -1e4
         return out
 
-    def marginals(self, g: Graph, rounds: int = ROUNDS) -> np.ndarray:
-        """Sum-product messages along all edges, both ways, damped."""
+    def marginals(self, g: Graph) -> np.ndarray:
+        """Sum-product messages along all edges, both ways, damped; a document is left alone once its messages have settled."""
         theta = self.potentials(g)
         if g.edges:
             a, b, t = np.array(g.edges).T
@@ -369,16 +522,25 @@ class Model:
             pair = np.concatenate([self.pairs[t], self.pairs[t].transpose(0, 2, 1)])
             m = len(a)
             back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
+            doc = np.array(g.doc)[source]
             message = np.zeros((2 * m, 3))
-            for _ in range(rounds):
-                belief = theta.copy()
-                np.add.at(belief, target, message)
-                cavity = belief[source] - message[back]
-                joint = cavity[:, :, None] + pair
+            belief = theta.copy()
+            active = np.arange(2 * m)
+            for _ in range(MOST_ROUNDS):
+                cavity = belief[source[active]] - message[back[active]]
+                joint = cavity[:, :, None] + pair[active]
                 top = joint.max(1)
                 new = top + np.log(np.exp(joint - top[:, None, :]).sum(1))
                 new -= new.max(1, keepdims=True)
-                message = DAMPING * message + (1 - DAMPING) * new
+                new = DAMPING * message[active] + (1 - DAMPING) * new
+                change = new - message[active]
+                np.add.at(belief, target[active], change)
+                message[active] = new
+                moving = np.unique(doc[active[np.abs(change).max(1) > SETTLED]])
+                if not len(moving):
+                    break
+                active = active[np.isin(doc[active], moving)]
+            theta = theta.copy()
             np.add.at(theta, target, message)
         theta -= theta.max(1, keepdims=True)
         p = np.exp(theta)
@@ -393,7 +555,8 @@ class Model:
         found: list[list[tuple[int, int, str]]] = [[] for _ in texts]
         if not g.doc:
             return found
-        label = self.marginals(g).argmax(1)
+        chance = self.marginals(g)
+        label = chance.argmax(1)
         i, n = 0, len(g.doc)
         while i < n:
             if label[i] == 0:
@@ -407,9 +570,12 @@ class Model:
             j = i + 1
             while j < n and label[j] == 2 and g.kind[j] == WORD and g.joined[j] == j - 1:
                 j += 1
+            # The exact check: two words at least, one of them a full one; without a listed given name or an initial all must be sure and none another kind of word.
             classes = [_class_of(x) for x in g.names[i:j]]
-            # The exact check: a given name or an initial together with a surname.
-            if j - i > 1 and {"G", "I"} & set(classes) and any(c in "TwG" and len(x) > 2 for c, x in zip(classes, g.names[i:j])):
+            backed = {"G", "I"} & set(classes)
+            full = any(c in "TwG" and len(x) > (1 if "G" in classes else 2) for c, x in zip(classes, g.names[i:j]))
+            firm = j < n and g.kind[j] == WORD and g.joined[j] == j - 1 and _class_of(g.names[j]) == "O"  # an organisation's word goes on behind it
+            if j - i > 1 and full and (backed or (not firm and chance[i:j, 0].max() <= 1 - SURE and not set(classes) & set("SKJOD") and not texts[g.doc[i]][start].islower())):
                 found[g.doc[i]].append((start, g.span[j - 1][1], "name"))
             i = j
         return [_apart(x) for x in found]
