@@ -3,10 +3,10 @@
 The lines of a body are read once from top to bottom by ordered rules: the frame of a signed message, quoted
 lines by their prefix, attribution lines in several languages that introduce a quotation, indented quotations
 behind such a line, forwarded mail from its heading to its end, signature blocks by delimiter, by rule or box,
-or by the contact lines of an unmarked last paragraph, disclaimers and list footers in several languages. Own
-lines between quotations stay own. Lines that only resemble these (a mail program's escape of "From" at the
+or by the contact lines of an unmarked last paragraph, disclaimers and list footers in several languages. What a
+block is goes by what its lines are, not by how many or how wide they are. Own lines between quotations stay own. Lines that only resemble these (a mail program's escape of "From" at the
 start of a line, tables, dashes that open a sentence, a rule between two paragraphs, a sentence that ends in
-"wrote:", an encrypted or key block sent as content) stay own as well.
+"wrote:", indented code, an encrypted or key block sent as content) stay own as well.
 
 Defined results: NULL and empty bodies have no lines; lines of white space alone are not listed; lines are
 parted at line feeds and counted from 1, carriage returns count as white space; bodies of any length are read
@@ -26,33 +26,39 @@ from postloom.runtime import spread
 
 OWN, QUOTE, SIGNATURE, FRAME, FORWARD, NOTICE = "own", "quote", "signature", "frame", "forward", "notice"
 
-# Verbs of attribution lines at the end or in the middle of a line.
-_WROTE = r"(?:wrote|writes|said|says|spake thus|typed|schrieb|schreibt|a écrit|a ecrit|escribió|escribio|ha scritto|scrisse|schreef|skrev|escreveu|napisał|napisal|kirjoitti)"
-_ATTRIBUTION = re.compile(rf"(?i)(?:\b{_WROTE}\s*:\s*$|^\s*(?:according to|quoting|zitat von|citando|citat från)\b.{{2,120}}:\s*$|^\s*(?:in (?:message|article)|in <).{{0,140}}(?:you write|you wrote|writes?|wrote|said|says)\s*:\s*$|^\s*(?:am|on|le|el|il|op|den|em)\b.{{3,160}}{_WROTE}.{{0,120}}:\s*$)")
-_ATTRIBUTION_START = re.compile(r"(?i)^\s*(?:in (?:message|article)\s+<[^<>\s]+>,?|(?:on|am|le|el|il|op|den|em)\s.{4,60},)\s*$")
-_WHO = re.compile(r"[@<\d]|\b[A-Z][\w'.-]+|\b[a-z][\w.-]+ [a-z][\w.-]+\b.*:")
+# Verbs of attribution lines, what such lines may open with, and the colons behind them.
+_WROTE = r"(?:wrote|writes|said|says|spake thus|typed|schrieb|schreibt|a écrit|a ecrit|escribió|escribio|ha scritto|scrisse|schreef|skrev|escreveu|napisał\(?a?\)?|napisala?|napsal\(?a?\)?|kirjoitti|írta|a scris|yazdı|писал\(?а?\)?|написал\(?а?\)?|пишет|пише|писав|έγραψε|写道|さんは書きました)"
+_VERB, _VERB_LAST = re.compile(rf"(?i)(?<!\w){_WROTE}(?!\w)"), re.compile(rf"(?i)(?:(?<!\w)(?:{_WROTE})|写道|さんは書きました)\s*$")
+_OPENER = re.compile(r"(?i)^(?:on|am|le|el|il|op|den|em|dnia|dne|в|во|στις|在|in (?:message|article)|in <)(?:\b|(?=\d)|\s)")
+_TOLD = re.compile(r"(?i)^(?:according to|quoting|zitat von|citando|citat från|цитирую)\b\s*\S")
+_YOU = re.compile(r"(?i)^(?:in (?:message|article)|in <).*(?:you write|you wrote)\s*$")
+_COLONS = (":", "：")
+_ATTRIBUTION_START = re.compile(r"(?i)^\s*(?:in (?:message|article)\s+<[^<>\s]+>,?|(?:on|am|le|el|il|op|den|em|dnia|в)\s\S.*,)\s*$")
+_WHO = re.compile(r"[@<\d]|\b[a-z][\w.-]+ [a-z][\w.-]+\b.*:")
 _PREFIX = re.compile(r"^[ \t]*(?:[A-Za-z]{0,4}>|[|:}#](?=[ \t>|:}]|$))")
 _STRONG = re.compile(r"^[ \t]*[A-Za-z]{0,4}>")
 _ESCAPED_FROM = re.compile(r"^>From ")
 _TABLE = re.compile(r"^\|.*\|\s*$")
-_HEADER = re.compile(r"(?i)^(?:from|sent|date|to|cc|subject|von|gesendet|datum|an|betreff|de|envoyé|envoye|date|à|objet|enviado|para|asunto|da|inviato|oggetto)\s?:\s")
+_HEADER = re.compile(r"(?i)^(?:from|sent|date|to|cc|subject|von|gesendet|datum|an|betreff|de|envoyé|envoye|date|à|objet|enviado|para|asunto|da|inviato|oggetto|от|кому|тема|дата|od|temat|data)\s?:\s")
 _FORWARD = re.compile(
-    r"(?i)^\s*(?:-{2,}\s*(?:original (?:message|mail)(?: follows)?|forwarded (?:message|mail)(?: from .*)?|begin forwarded message|begin included message|weitergeleitete nachricht|ursprüngliche nachricht|urspruengliche nachricht|message (?:transféré|transfere|original|d'origine)|mensaje (?:original|reenviado)|messaggio (?:originale|inoltrato))\s*(?:follows\s*)?-{2,}|(?:begin forwarded message|anfang der weitergeleiteten nachricht|début du message réexpédié|inizio messaggio inoltrato)\s*:)\s*$"
+    r"(?i)^\s*(?:-{2,}\s*(?:original (?:message|mail)(?: follows)?|forwarded (?:message|mail)(?: from .*)?|begin forwarded message|begin included message|weitergeleitete nachricht|ursprüngliche nachricht|urspruengliche nachricht|message (?:transféré|transfere|original|d'origine)|mensaje (?:original|reenviado)|messaggio (?:originale|inoltrato)|пересылаемое сообщение|исходное сообщение|wiadomość oryginalna)\s*(?:follows\s*)?-{2,}|(?:begin forwarded message|anfang der weitergeleiteten nachricht|début du message réexpédié|inizio messaggio inoltrato)\s*:)\s*$"
 )
 _FORWARD_END = re.compile(r"(?i)^\s*-{2,}\s*(?:end of (?:forwarded|original|included) (?:mail|message)|end (?:forwarded|included) message|ende der weitergeleiteten nachricht|fin du message)\s*-{2,}\s*$")
 _RULE = re.compile(r"^\s*([-_=~*#]{20,}|(?:=-){8,}=?|(?:-=){8,}-?|\+-{10,}\+)\s*$")
 _DELIMITER = re.compile(r"^--\s?$")
-_DEVICE = re.compile(r"(?i)^\s*(?:sent (?:from|via) my \w.{0,60}|gesendet von mein.{0,60}|envoyé de mon .{0,60}|enviado desde mi .{0,60})$")
+_DEVICE = re.compile(r"(?i)^\s*(?:sent (?:from|via) my \w.*|gesendet von mein.*|envoyé de mon .*|enviado desde mi .*|отправлено с .*)$")
 _STARS = re.compile(r"^\s*\*\* .+ \*\* .+\*\*\s*$")
 _FOOTER = re.compile(r"(?i)^\s*(?:\[(?:list|mailing list)[^\]]*footer\].*|\*{2,} .*\b(?:distributed by|list server|digests?|unsubscribe|mailing list)\b.*\*{2,}|to (?:leave|unsubscribe|get off|be removed from)\b.*\b(?:list|mail)\b.*|(?:un)?subscribe:? .*|um die liste zu verlassen.*)\s*$")
 _NOTICE = re.compile(
-    r"(?i)^\s*(?:(?:confidentiality )?(?:notice|disclaimer|warning)\s*:|legal notice|this (?:e-?mail|message|communication|transmission)\b.*\b(?:confidential|privileged|intended)|the (?:views|opinions|information)\b.*\b(?:above|expressed|contained|herein|mine|own)\b|.{0,60}\baccepts? no (?:liability|responsibility)\b|the information (?:contained )?in this (?:e-?mail|message)|diese (?:nachricht|e-?mail|mail)\b.*\bvertraulich|ce (?:message|courriel)\b.*\bconfidentiel|este (?:mensaje|correo)\b.*\bconfidencial|questo messaggio\b.*\briservat|if you (?:have|got|received)\b.*\b(?:error|mistake)\b)"
+    r"(?i)^\s*(?:(?:confidentiality )?(?:notice|disclaimer|warning)\s*:|legal notice|this (?:e-?mail|message|communication|transmission)\b.*\b(?:confidential|privileged|intended)|the (?:views|opinions|information)\b.*\b(?:above|expressed|contained|herein|mine|own)\b|(?:\S+ )*?accepts? no (?:liability|responsibility)\b|the information (?:contained )?in this (?:e-?mail|message)|diese (?:nachricht|e-?mail|mail)\b.*\bvertraulich|ce (?:message|courriel)\b.*\bconfidentiel|este (?:mensaje|correo)\b.*\bconfidencial|questo messaggio\b.*\briservat|if you (?:have|got|received)\b.*\b(?:error|mistake)\b)"
 )
 _PGP = re.compile(r"^-----(BEGIN|END) PGP ([A-Z ]+?)-----\s*$")
 _CLOSING = re.compile(r"(?i)^\s*(?:best|best (?:wishes|regards)|regards|kind regards|cheers|yours|yours (?:truly|sincerely|faithfully)|sincerely|thanks|thanks in advance|many thanks|thank you|greetings|ciao|gruss|gruß|mfg|mit freundlichen gr(?:ü|ue)(?:ß|ss)en|cordialement|saludos|saluti|bye|take care|love|ttfn|later)\s*[,.!]?\s*$")
 _CONTACT = re.compile(r"(?i)(?:[\w.+-]+(?:@| at |\(at\)| \[at\] )[\w.-]+|^\s*(?:tel|phone|voice|fax|mail|e-?mail|pager|office|mobile)\b[.:]?|(?:\+|\b)\d[\d ().-]{5,}\d(?:\s*x\d+)?|\bp\.?\s?o\.? box\b)")
 _TITLE_LINE = re.compile(r"^[A-Z][\w.-]*(?: [\w.-]+){0,3}, (?:the )?[A-Z][\w'-]+(?: [\w'-]+){0,3}$")
 _PROSE_WORDS = 5
+_WORD = re.compile(r"[^\W\d_][\w'’-]*")
+_CODE_SIGN = re.compile(r"[;{}=\[\]$\\|&]|[\w\]]\(|^\s*(?:#|//|/\*|\*/|--\w|%)|^\s*(?:if|for|while|else|elif|end|fi|done|return|import|def|int|char|void|print|echo|cd|sudo|grep|make)\b(?!.*[.?!]$)")
 _SCRIPT_END = ("exit 0", "done", "fi")
 _PLAIN_INDENT = re.compile(r"^ {4}\S")
 _CODE = re.compile(r"^(?: {4}|\t)\s*\S")
@@ -65,15 +71,15 @@ def _is_prefixed(line: str, weak: bool) -> bool:
     return weak and bool(_PREFIX.match(line)) and not (_TABLE.match(line) and not line.lstrip().startswith(("| >", "| |")))
 
 
-def _weak_run(lines: list[str], i: int) -> int:
-    """Lines of a quotation without an introduction that begins here: lines under one weak prefix, not a table or a box; a line by itself must say something."""
+def _weak_run(lines: list[str], i: int) -> tuple[int, int]:
+    """(lines, end) of a quotation without an introduction that begins here: lines under one weak prefix, not a table or a box; a line by itself must say something. Lines are 0 if the run up to the end is none."""
     mark, j, n = lines[i].lstrip()[0], i, len(lines)
     while j < n and lines[j].lstrip()[:1] == mark and _PREFIX.match(lines[j]):
         j += 1
     run = lines[i:j]
     if all(_TABLE.match(x) and len(x) > 1 for x in run) or (len(run) == 1 and (mark == "#" or len(run[0].split()) < 2)):
-        return 0
-    return len(run)
+        return 0, j
+    return len(run), j
 
 
 def _next_filled(lines: list[str], i: int) -> int:
@@ -83,15 +89,23 @@ def _next_filled(lines: list[str], i: int) -> int:
     return i
 
 
+def _attributes(line: str) -> bool:
+    """Whether a line says that somebody wrote what follows."""
+    bare = line.strip()
+    if not bare.endswith(_COLONS):
+        return False
+    head = bare[:-1].rstrip()
+    return bool(_VERB_LAST.search(head) or _TOLD.match(head) or _YOU.match(head) or (_OPENER.match(head) and _VERB.search(head)))
+
+
 def _attribution_at(lines: list[str], i: int) -> int:
     """Lines of an attribution that begins here (0: none); it must name somebody and introduce a quotation."""
-    line = lines[i]
-    size = 1 if _ATTRIBUTION.search(line) else 0
-    if not size and i + 1 < len(lines) and _ATTRIBUTION_START.match(line) and _ATTRIBUTION.search(lines[i + 1]):
+    size = 1 if _attributes(lines[i]) else 0
+    if not size and i + 1 < len(lines) and lines[i].rstrip().endswith((",", ">")) and _ATTRIBUTION_START.match(lines[i]) and _attributes(lines[i + 1]):
         size = 2
-    if not size or not _WHO.search(" ".join(lines[i : i + size])):
-        return 0
-    return size
+    text = " ".join(lines[i : i + size])
+    named = any(c.isupper() or c > "\u2e7f" for c in text) or _WHO.search(text)
+    return size if size and named else 0
 
 
 def _quote_behind(lines: list[str], i: int) -> str:
@@ -113,17 +127,46 @@ def _unmarked_signature(lines: list[str], kinds: list[str]) -> None:
     while start > 0 and lines[start - 1].strip() and kinds[start - 1] == OWN:
         start -= 1
     block = lines[start:end]
-    if not 2 <= len(block) <= 7 or kinds[start] != OWN or _CLOSING.match(block[0]) or any(len(x) > 62 for x in block):
+    if len(block) < 2 or kinds[start] != OWN or _CLOSING.match(block[0]):
         return
-    contacts = sum(bool(_CONTACT.search(x)) for x in block[1:])
+    contacts = sum(map(_is_contact, block[1:]))
     titled = sum(bool(_TITLE_LINE.match(x)) for x in block[1:])
     first = block[0].strip()
-    named = len(first.split()) <= 5 and not first.endswith((".", "?", "!", ":", ";"))
-    prose = sum(len(x.split()) > 5 and not _CONTACT.search(x) for x in block)
-    if named and contacts and not prose and (titled or contacts == len(block) - 1):
+    named = len(first.split()) <= _PROSE_WORDS and not first.endswith((".", "?", "!", ":", ";"))
+    if named and contacts and not any(map(_is_prose, block)) and (titled or contacts == len(block) - 1):
         kinds[start:end] = [SIGNATURE] * (end - start)
 
 
+def _is_contact(line: str) -> bool:
+    """Whether a line gives an address or a number and says no more than what it is."""
+    return bool(_CONTACT.search(line)) and len(_WORD.findall(_CONTACT.sub(" ", line))) <= _PROSE_WORDS
+
+
+def _is_prose(line: str) -> bool:
+    return len(_WORD.findall(line)) > _PROSE_WORDS and not _is_contact(line)
+
+
+class _Blocks:
+    """Where paragraphs and ruled blocks of a body end, and how much prose they hold; every line is looked at once."""
+
+    def __init__(self, lines: list[str]) -> None:
+        n = len(lines)
+        self.blank, self.prose = [n] * (n + 1), [0] * (n + 1)
+        self.same: list[int] = [n] * n  # the next line that is the same rule
+        seen: dict[str, int] = {}
+        for i in range(n - 1, -1, -1):
+            bare = lines[i].strip()
+            self.blank[i] = i if not bare else self.blank[i + 1]
+            if bare and bare[0] in "+_-=~*#" and len(bare) >= 20:
+                self.same[i] = seen.get(bare, n)
+                seen[bare] = i
+        for i, line in enumerate(lines):
+            self.prose[i + 1] = self.prose[i] + _is_prose(line)
+
+    def prose_in(self, a: int, b: int) -> int:
+        return self.prose[b] - self.prose[a]
+
+
 def line_kinds(body: str) -> list[tuple[str, str]]:
     """(line, kind) of every line of a body."""
     lines = body.split("\n")
@@ -131,6 +174,8 @@ def line_kinds(body: str) -> list[tuple[str, str]]:
     kinds = [OWN] * n
     i, weak, indented = 0, False, False
     signed, before, seen = False, None, 0  # before: the last line above with anything on it
+    refused, blocks = 0, None  # the end of a run of marks that is no quotation
+    closing = -1  # the lower rule of ruled prose, which opens nothing
     while i < n:
         line = lines[i]
         bare = line.strip()
@@ -202,18 +247,22 @@ def line_kinds(body: str) -> list[tuple[str, str]]:
             weak = weak or not _STRONG.match(line)
             i += 1
             continue
-        if first in "|:}#" and (size := _weak_run(lines, i)):
-            kinds[i : i + size] = [QUOTE] * size
-            weak = True
-            i += size
-            continue
+        if first in "|:}#" and i >= refused:
+            size, refused = _weak_run(lines, i)
+            if size:
+                kinds[i : i + size] = [QUOTE] * size
+                weak = True
+                i += size
+                continue
         if line[0] in " \t" and _CODE.match(line):
             j = k = i + 1  # an indented stretch, blank lines inside included
             while k < n and (not lines[k].strip() or _CODE.match(lines[k])):
                 j = k + 1 if lines[k].strip() else j
                 k += 1
             behind_quote = before is not None and kinds[before] == QUOTE
-            if indented or behind_quote or any(len(x.split()) >= _PROSE_WORDS for x in lines[i:j]):
+            signs = sum(bool(_CODE_SIGN.search(x)) for x in lines[i:j])
+            code = 2 * signs >= sum(bool(x.strip()) for x in lines[i:j])
+            if indented or behind_quote or (not code and any(len(x.split()) >= _PROSE_WORDS for x in lines[i:j])):
                 kinds[i:j] = [OWN if not x.strip() else QUOTE for x in lines[i:j]]
                 if lines[j - 1].strip() in _SCRIPT_END and _PLAIN_INDENT.match(lines[j - 1]):  # the sender's own script behind it
                     while j > i and _PLAIN_INDENT.match(lines[j - 1]) and len(lines[j - 1].split()) < _PROSE_WORDS:
@@ -224,20 +273,20 @@ def line_kinds(body: str) -> list[tuple[str, str]]:
             i = j
             continue
         # Boxes and ruled blocks of short lines.
-        if first in "+_-=~*" and len(bare) >= 20 and (m := _RULE.match(bare)):
-            j = i + 1
-            while j < n and lines[j].strip() and lines[j].strip() != bare and j - i <= 10:
-                j += 1
-            closed = j < n and lines[j].strip() == bare
-            inner = lines[i + 1 : j] if closed or j == n or not lines[j].strip() else []
-            if inner and (_HEADER.match(inner[0]) or _FOOTER.match(inner[0]) or _NOTICE.match(inner[0])):
-                inner = []
+        if first in "+_-=~*" and len(bare) >= 20 and i != closing and _RULE.match(bare):
+            blocks = blocks or _Blocks(lines)
+            end = blocks.blank[i + 1]
+            closed = blocks.same[i] < end
+            j = blocks.same[i] if closed else end
+            some = j > i + 1 and not (_HEADER.match(lines[i + 1]) or _FOOTER.match(lines[i + 1]) or _NOTICE.match(lines[i + 1]))
             if not closed:  # a last block whose lower rule is missing
                 j -= 1
-            if inner and all(len(x) <= 72 for x in inner) and not any(len(x.split()) > 14 for x in inner):
+            inner = j - i - 1 if closed else j - i
+            if some and 2 * blocks.prose_in(i + 1, i + 1 + inner) <= inner:
                 kinds[i : j + 1] = [SIGNATURE] * (j + 1 - i)
                 i = j + 1
                 continue
+            closing = j if closed and some else closing
             k = _next_filled(lines, i + 1)
             if k < n and (_FOOTER.match(lines[k]) or _NOTICE.match(lines[k])):
                 kinds[i] = NOTICE
@@ -260,7 +309,7 @@ def line_kinds(body: str) -> list[tuple[str, str]]:
                 j += 1
             i = j
             continue
-        if bare.endswith((":", ",", ">")) and (size := _attribution_at(lines, i)):
+        if bare.endswith((":", "：", ",", ">")) and (size := _attribution_at(lines, i)):
             how = _quote_behind(lines, i + size)
             if how:
                 kinds[i : i + size] = [QUOTE] * size
