@@ -72,7 +72,7 @@ _PART = rf"(?:{'|'.join(PARTICLES)})(?={_GAP})"
 _RUN = re.compile(rf"(?<![\w@./+-]){_CAP}(?:,?{_GAP}(?:{_PART}{_GAP}){{0,3}}{_CAP})+(?![\w@]|\.\w)")
 _SPLIT = re.compile(rf"({_CAP}|{_PART})(,?)({_GAP})?")
 _LOWER_SPLIT = re.compile(rf"([{_LOW}]{_IN}*\.?)(,?)({_GAP})?")
-_LOWER_WORD = re.compile(rf"(?<![\w@./+-])[{_LOW}]{_IN}*")
+_WORDS = re.compile(r"[^\W\d_]+")
 # Names that in small letters are mostly other words open a candidate only if the document knows them as names.
 _LOWER_NAMES = (GIVEN | set(NICKNAMES) | set(AMBIGUOUS)) - set("will rich bill pat sue sandy jack rob nick kit ray rose mark art ant dick gail kay meg nell bob ron theo tori drew al may june dan ben ed ken jen deb sally polly molly nat sam ted tim tom liz joe jon".split()) | {"jon"}
 _LOWER_NEXT = re.compile(rf"{_GAP}([{_LOW}]\.{_GAP})?[{_LOW}]{_IN}+(?![\w@]|\.\w)")
@@ -98,7 +98,6 @@ _TOWN = rf"(?:,[ \t]*(?:Apt|Flat|Unit|Suite)\.? \d+)?(?:,?{_GAP}(?:\d{{5}} )?[A-
 _ADDRESS = re.compile(rf"(?<![\w./-])(?:(?:(?:Flat|Apt|Unit|Suite)\.? \d+[a-z]?, )?\d{{1,5}}[a-z]? (?:[A-Z][\w'-]+ ){{1,2}}{_STREET}|P\.?[ ]?O\.? ?Box \d+|[A-Z][a-zäöüß]+(?:weg|straße|strasse|gasse|allee|platz|ring|damm) \d+[a-z]?)({_TOWN})")
 _ACCOUNT = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 _URL = re.compile(r"(?i)\b(?:https?|ftp|gopher|mailto|news)://\S+")
-_BEFORE = re.compile(r"([^\W\d_][\w.'-]*)([^\w\n]*)$")
 _AFTER = re.compile(r"[\s>|:}]*([<(@]|[^\W\d_][\w-]*|/)?")
 _MARKS = re.compile(r"\n[ \t]*(?:(?:[A-Za-z]{0,4}>|[|:}])[ \t]*)*$")
 _ID_SHAPES = (re.compile(r"\d{3}([-. ])\d{2}\1\d{4}$|\d{9}$"), re.compile(r"\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])-\d{4}$"), re.compile(r"[A-Z]\d{3}-\d{4}-\d{4}$"), re.compile(r"[A-Z] ?\d{7}$"))
@@ -178,6 +177,7 @@ class Features:
 
     def __init__(self) -> None:
         self.at: dict[str, int] = {}
+        self.seen: dict[tuple, list[int]] = {}  # the columns of a token by what its features are made of
         self.frozen = False
 
     def add(self, out: list[int], name: str) -> None:
@@ -189,17 +189,6 @@ class Features:
         out.append(i)
 
 
-def _reach_back(text: str, start: int, pattern: re.Pattern, enough) -> re.Match | None:
-    """The match of a pattern that ends at a position, in a stretch that grows until the match does not touch its beginning."""
-    width = 32
-    while True:
-        low = max(0, start - width)
-        m = pattern.search(text[low:start])
-        if low == 0 or enough(m):
-            return m
-        width *= 4
-
-
 def _line_break(text: str, at: int) -> int | None:
     """Where the line before ends if only white space and quote marks stand between a line's beginning and a position; -1 at the beginning of the text."""
     while at:
@@ -224,9 +213,14 @@ def _cue(text: str, start: int) -> tuple[str, str, str]:
     low = start if broken is None else max(broken, 0)
     while low and text[low - 1].isspace() and (broken is not None or text[low - 1] != "\n"):
         low -= 1
-    m = _reach_back(text, low, _BEFORE, lambda m: m is not None and m.start() > 0)
-    line = "s" if broken is None else "n"
-    return (line, m.group(1).lower().rstrip("."), ":" if ":" in m.group(2) else "") if m else (line, "", "")
+    at = low
+    while at and (c := text[at - 1]) != "\n" and not c.isalnum() and c != "_":
+        at -= 1
+    end = at
+    while at and ((c := text[at - 1]).isalnum() or c in "_.'-"):
+        at -= 1
+    word = text[at:end].lstrip("0123456789_.'-").lower()
+    return "s" if broken is None else "n", word, ":" if word and ":" in text[end:low] else ""
 
 
 def _words_before(text: str, start: int, n: int = 3) -> list[str]:
@@ -291,6 +285,23 @@ def _add_run(g: Graph, feats: Features, doc: int, text: str, start: int, run: st
         line, before, colon, begin = "n" if "\n" in gap else "s", w.lower().rstrip("."), "", end
 
 
+def _token_features(feats: Features, cls, lc, left, rc, right, two, back, i, cue, bare, supported, follows, n, whole, org, final, local, upper, foreign) -> list[int]:
+    names = [f"c{cls}", f"l{left}{lc}{cls}", f"r{cls}{right}{rc}", f"b{lc}{left}{cls}{right}{rc}", f"ctx{supported}{cue}{follows}{n}", f"first{supported}{cue}{i}", f"whole{supported}{whole}{i}", f"org{supported}{org}"]
+    if two:
+        names.append(f"q{two}")
+    if back:
+        names.append(f"p{back}")
+    if i == 0:
+        names += [f"cue{cue}{cls}", *([f"linestart{cls}"] if bare else [])]
+    if final:
+        names += [f"next{final}{cls}", f"nextu{supported}{follows}"]
+    names += [name for name, is_so in ((f"local{cls}", local), (f"upper{cls}", upper), (f"foreign{cls}", foreign)) if is_so]
+    out: list[int] = []
+    for name in names:
+        feats.add(out, name)
+    return out
+
+
 def _add_segment(g: Graph, feats: Features, doc: int, text: str, parts: list, line: str, before: str, colon: str, locals_: set[str]) -> None:
     """The part of a run between full stops."""
     classes = [_class_of(w) for w, *_ in parts]
@@ -307,7 +318,6 @@ def _add_segment(g: Graph, feats: Features, doc: int, text: str, parts: list, li
     cue = ("+" if before in HEADS else "-") if colon else "+" if before in CUES else "w" if before in WEAK_CUES else "d" if before in SMALL_WORDS else "-" if before else "0"
     org = "O" in classes
     last = -1
-    add = feats.add
     end = parts[-1][4] + len(parts[-1][0])
     whole = line == "n" and text[end : end + 1] in ("", "\n", "\r")
     nxt = _after(text, end)
@@ -318,32 +328,17 @@ def _add_segment(g: Graph, feats: Features, doc: int, text: str, parts: list, li
         cls, lc, rc = classes[i], classes[i - 1] if left else "", classes[i + 1] if right else ""
         key = w.lower().rstrip(".")
         node = _node(g, doc, at, at + len(w), WORD, last if left else -1, key)
-        out = g.features
-        add(out, f"c{cls}")
-        add(out, f"l{left}{lc}{cls}")
-        add(out, f"r{cls}{right}{rc}")
-        add(out, f"b{lc}{left}{cls}{right}{rc}")
-        if i + 2 < n and right:
-            add(out, f"q{cls}{right}{rc}{links[i + 1]}{classes[i + 2] if links[i + 1] else ''}")
-        if i >= 2 and left:
-            add(out, f"p{classes[i - 2] if links[i - 2] else ''}{links[i - 2]}{lc}{left}{cls}")
-        if i == 0:
-            add(out, f"cue{cue}{cls}")
-            if not before:
-                add(out, "linestart" + cls)
-        add(out, f"ctx{supported}{cue}{follows}{min(n, 4)}")
-        add(out, f"first{supported}{cue}{min(i, 3)}")
-        add(out, f"whole{supported}{whole}{min(i, 3)}")
-        add(out, f"org{supported}{org}")
-        if i == n - 1:
-            add(out, "next" + ("<" if nxt in ("<", "(", "@") else "+" if nxt in SAID or nxt == "/" else "-") + cls)
-            add(out, f"nextu{supported}{follows}")
-        if len(key) > 3 and cls in "TGw" and key in locals_:
-            add(out, "local" + cls)
-        if w.isupper() and len(w) > 2:
-            add(out, "upper" + cls)
-        if not w.isascii():
-            add(out, "foreign" + cls)
+        two = f"{cls}{right}{rc}{links[i + 1]}{classes[i + 2] if links[i + 1] else ''}" if i + 2 < n and right else ""
+        back = f"{classes[i - 2] if links[i - 2] else ''}{links[i - 2]}{lc}{left}{cls}" if i >= 2 and left else ""
+        final = ("<" if nxt in ("<", "(", "@") else "+" if nxt in SAID or nxt == "/" else "-") if i == n - 1 else ""
+        local, upper, foreign = len(key) > 3 and cls in "TGw" and key in locals_, w.isupper() and len(w) > 2, not w.isascii()
+        seen = (cls, lc, left, rc, right, two, back, min(i, 3), cue, not before, supported, follows, min(n, 4), whole, org, final, local, upper, foreign)
+        found = feats.seen.get(seen)
+        if found is None:
+            found = _token_features(feats, *seen)
+            if feats.frozen:
+                feats.seen[seen] = found
+        g.features += found
         if left:
             g.edges.append((last, node, COMMA if left == "," else CHAIN))
         last = node
@@ -420,19 +415,29 @@ def add_document(g: Graph, feats: Features, doc: int, text: str) -> None:
             _add_run(g, feats, doc, text, start, run, locals_)
             words.update(w.group(1).lower() for w in _SPLIT.finditer(run))
     known_here = {w for w in words | locals_ if len(w) > 3}
-    for m in _LOWER_WORD.finditer(text):
-        word = m.group()
-        if word in _LOWER_NAMES or (word not in STOP and (word in known_here or (word in NICKNAMES or word in AMBIGUOUS or word in GIVEN))):
-            for run, at in _lower_runs(text, m.start(), m.end()):
-                if (word in _LOWER_NAMES or _known_pair(run, known_here, word)) and not inside(at):
-                    _add_run(g, feats, doc, text, at, run, locals_)
-    if known_here:
+    openers = {w for w in set(_WORDS.findall(text)) if w in _LOWER_NAMES or (w not in STOP and (w in known_here or w in GIVEN or w in NICKNAMES or w in AMBIGUOUS))}
+    for at_word, word in sorted((at, w) for w in openers if w[0].islower() for at in _places(text, w)):
+        for run, at in _lower_runs(text, at_word, at_word + len(word)):
+            if (word in _LOWER_NAMES or _known_pair(run, known_here, word)) and not inside(at):
+                _add_run(g, feats, doc, text, at, run, locals_)
+    if locals_:
         for m in _LOWER_INITIAL.finditer(text):
             if m.group(1) in known_here and m.group(1) in locals_ and not inside(m.start()):
                 _add_run(g, feats, doc, text, m.start(), text[m.start() : m.end(1)], locals_)
     _skip_edges(g, first)
 
 
+def _places(text: str, word: str) -> Iterator[int]:
+    """Where a word stands by itself, not in a path or an address."""
+    at = text.find(word)
+    while at >= 0:
+        end = at + len(word)
+        before, after = text[at - 1 : at], text[end : end + 1]
+        if not (before and (before.isalnum() or before in "_@./+-")) and not (after and (after.isalnum() or after in "_'’-")):
+            yield at
+        at = text.find(word, end)
+
+
 def _known_pair(run: str, known: set[str], word: str) -> bool:
     """Whether the other word of a run in small letters stands in the document as part of a name or an address, and both do unless a list holds one."""
     others = [w for w in (m.group(1).rstrip(".") for m in _LOWER_SPLIT.finditer(run)) if w != word]
