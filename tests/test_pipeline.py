@@ -31,3 +31,22 @@ def test_archive_text_to_threads(spark, tmp_path):
     assert root["a@x"] == root["b@x"] == root["c@x"] == root["l@x"]
     assert root.get("z@x") != root["a@x"] and "s@x" not in root
     assert {r.message_count for r in threads.collect() if r.root_pos == root["a@x"]} == {4}
+
+
+def test_command_line(spark, tmp_path):
+    from postloom.__main__ import main
+
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "cyp-1994.txt").write_text(message("a@x", "Ann <ann@x.org>", "Keys", 1, "where are the keys kept today") + message("b@x", "GNU", "Re: Keys", 2, "under the mat as always", "a@x"))
+    (source / "cyp-1995.txt").write_text(message("c@x", "Bob <bob@x.org>", "Re: Keys", 3, "no longer under the mat", "b@x"))
+    spark.createDataFrame([("gnu", "gnu@x.org")], "from_key string, email string").write.parquet(str(tmp_path / "known"))
+    main(["parse", str(source), str(tmp_path / "parsed")])
+    records = spark.read.parquet(str(tmp_path / "parsed/emails"))
+    assert [r.message_id for r in records.orderBy("pos").collect()] == ["a@x", "b@x", "c@x"]
+    main(["clean", str(tmp_path / "parsed/emails"), str(tmp_path / "known"), str(tmp_path / "clean")])
+    main(["thread", str(tmp_path / "clean/emails"), str(tmp_path / "threads")])
+    rows = spark.read.parquet(str(tmp_path / "threads/threads")).collect()
+    assert [(r.message_count, r.rank) for r in rows] == [(3, 1)]
+    main(["parse", str(source), str(tmp_path / "lines"), "--json"])
+    assert spark.read.json(str(tmp_path / "lines/emails")).count() == 3
