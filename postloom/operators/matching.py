@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from postloom.functions.text import local_seconds, normalize_for_matching, strip
 from postloom.operators import replies
 from postloom.operators.components import connected_components
-from postloom.operators.hierarchy import loops, resolve_forest
+from postloom.operators.hierarchy import loops, resolve_forest, sums_below
 from postloom.operators.ordered import next_after, place
 from postloom.runtime import broadcast_if_small, cut, filled, spread
 
@@ -305,6 +305,9 @@ def body_lines(mails: DataFrame) -> DataFrame:
     return long.select("pos", F.explode(kept).alias("line")).select("pos", normalize_for_matching(F.col("line")).alias("line_key")).filter(F.length("line_key") > LEAST_KEY)
 
 
+_ANYWHERE = "\x00"  # no normalized subject; stands for all of them
+
+
 def related_subjects(mine: DataFrame, theirs: DataFrame) -> DataFrame:
     """(mine, theirs): each subject with the others that hold it or that it holds; empty subjects aside.
 
@@ -349,9 +352,8 @@ def match_by_quotes(classified: DataFrame) -> DataFrame:
     related = related_subjects(probes.select(F.col("subject").alias("mine")).distinct(), groups.select(F.col("subject").alias("theirs")).distinct())
     held = probes.withColumnRenamed("subject", "mine").join(related, "mine").select("line_key", F.col("theirs").alias("subject"), "probe")
     near = probes.unionByName(probes.withColumn("subject", F.lit(""))).unionByName(held).join(groups, ["line_key", "subject"], "left_semi")
-    under, _ = candidates(cut(near), sources, ["line_key", "subject"])
-    anywhere, _ = candidates(probes.drop("subject"), sources.drop("subject"), ["line_key"])
-    found = under.select("probe", "cell").unionByName(anywhere.select("probe", "cell"))
+    everywhere = lambda df: df.withColumn("subject", F.lit(_ANYWHERE))
+    found, _ = candidates(cut(near.unionByName(everywhere(probes))), sources.unionByName(everywhere(sources)), ["line_key", "subject"])
     mine, theirs = F.col("probe.subject"), F.col("cell.value.subject")
     relation = F.when(mine == theirs, 10).when(F.contains(mine, theirs) | F.contains(theirs, mine), 5).otherwise(0)
     score = (1 + relation + gap_points(F.col("probe.ts") - F.col("cell.ts"))).cast("int")
@@ -390,12 +392,15 @@ def _anchored(roots: DataFrame, max_days: int) -> DataFrame:
     me = F.struct("ts", "pos").alias("probe")
     here = place(F.col("ts"), F.lit(""), F.col("pos")).alias("at")
     cells = roots.select("subject", here, F.struct("ts", "pos", "message_id").alias("cell"))
-    # The first root in the window before a root, the root itself included: if it is itself, it opens a stretch.
-    opens = next_after(roots.select("subject", me, place(F.col("ts") - window + 1).alias("at")), cells, ["subject"])
-    starts = opens.filter("cell.pos = probe.pos").select(F.col("probe.pos").alias("node"))
-    ahead = next_after(roots.select("subject", me, place(F.col("ts") + window).alias("at")), cells, ["subject"])
-    chain = ahead.select(F.col("probe.pos").alias("node"), F.col("cell.pos").alias("up"))
-    anchors = roots.join(_reachable(starts, chain), F.col("pos") == F.col("node"), "left_semi")
+    # One look-up answers two questions: the first root in the window before a root, the root itself included (if it
+    # is itself, it opens a stretch), and the first root at least one window later.
+    at = lambda ahead, ts: F.struct(place(ts).alias("at"), F.lit(ahead).alias("ahead"))
+    asked = roots.select("subject", "ts", "pos", F.explode(F.array(at(False, F.col("ts") - window + 1), at(True, F.col("ts") + window))).alias("w"))
+    near = next_after(asked.select("subject", F.col("w.at").alias("at"), F.struct("pos", F.col("w.ahead").alias("ahead")).alias("probe")), cells, ["subject"])
+    steps = near.groupBy(F.col("probe.pos").alias("node")).agg(F.max(F.when(F.col("probe.ahead"), F.col("cell.pos"))).alias("parent"), F.max((~F.col("probe.ahead") & (F.col("cell.pos") == F.col("probe.pos"))).cast("int")).alias("weight"))
+    # Anchors are the openers and what is reached from them: nodes with an opener at or below them, links leading later.
+    reached = sums_below(cut(steps)).filter("total > 0").select("node")
+    anchors = roots.join(reached, F.col("pos") == F.col("node"), "left_semi")
     # The last anchor not after a root, looked for backwards in time.
     back = anchors.select("subject", place(-F.col("ts"), F.lit(""), -F.col("pos")).alias("at"), F.struct((-F.col("ts")).alias("ts"), (-F.col("pos")).alias("pos"), "message_id").alias("cell"))
     found = next_after(roots.select("subject", me, place(-F.col("ts"), F.lit(""), -F.col("pos") - 1).alias("at")), back, ["subject"])
@@ -431,17 +436,6 @@ def root_groups(classified: DataFrame) -> DataFrame:
     return _time_roots(classified).groupBy(F.col("subject").alias("normalized_subject")).agg(F.count("*").alias("n_roots"), F.count("ts").alias("n_dated")).filter("n_roots > 1")
 
 
-def _reachable(starts: DataFrame, chain: DataFrame) -> DataFrame:
-    """Nodes on the chains that begin at the starts: doubling steps, so a chain of n anchors takes log n rounds."""
-    reached, step = cut(starts), cut(chain)
-    while True:
-        grown = cut(reached.unionByName(reached.join(step, "node").select(F.col("up").alias("node"))).distinct())
-        step = cut(step.join(step.select(F.col("node").alias("up"), F.col("up").alias("_far")), "up").select("node", F.col("_far").alias("up")))
-        if not step.take(1):
-            return cut(grown)
-        reached = grown
-
-
 # --- putting links in
 
 
