@@ -72,14 +72,16 @@ _PART = rf"(?:{'|'.join(PARTICLES)})(?={_GAP})"
 _RUN = re.compile(rf"(?<![\w@./+-]){_CAP}(?:,?{_GAP}(?:{_PART}{_GAP}){{0,3}}{_CAP})+(?![\w@]|\.\w)")
 _SPLIT = re.compile(rf"({_CAP}|{_PART})(,?)({_GAP})?")
 _LOWER_SPLIT = re.compile(rf"([{_LOW}]{_IN}*\.?)(,?)({_GAP})?")
-_WORDS = re.compile(r"[^\W\d_]+")
+_PUNCTUATION = " .,;:!?\"'’()[]{}<>|*_-"
 # Names that in small letters are mostly other words open a candidate only if the document knows them as names.
 _LOWER_NAMES = (GIVEN | set(NICKNAMES) | set(AMBIGUOUS)) - set("will rich bill pat sue sandy jack rob nick kit ray rose mark art ant dick gail kay meg nell bob ron theo tori drew al may june dan ben ed ken jen deb sally polly molly nat sam ted tim tom liz joe jon".split()) | {"jon"}
 _LOWER_NEXT = re.compile(rf"{_GAP}([{_LOW}]\.{_GAP})?[{_LOW}]{_IN}+(?![\w@]|\.\w)")
 _LOWER_LAST = re.compile(rf"(?<![\w@./+-])[{_LOW}]{_IN}+,{_GAP}$")
 _LOWER_INITIAL = re.compile(rf"(?<![\w@./+-])[{_LOW}]\.{_GAP}(?=([{_LOW}]{_IN}+))")
 _DOT = r"(?:\.|\s?\[dot\]\s?|\s?\(dot\)\s?|[ ]dot[ ])"
-_EMAIL = re.compile(rf"(?<![\w.+-])[\w][\w.+-]*(?:@|[ ]?\[at\][ ]?|[ ]?\(at\)[ ]?|[ ]at[ ](?=[\w-]+(?:[ ]dot[ ])))[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[A-Za-z]{{2,}}\b", re.I)
+# What follows the local part of a plain address, and an address that is spelt out.
+_HOST = re.compile(rf"@[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[A-Za-z]{{2,}}\b", re.I)
+_SPELT = re.compile(rf"(?<![\w.+-])[\w][\w.+-]*(?:[ ]?\[at\][ ]?|[ ]?\(at\)[ ]?|[ ]at[ ](?=[\w-]+(?:[ ]dot[ ])))[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[A-Za-z]{{2,}}\b", re.I)
 _NUMBER = re.compile(
     r"(?<![\w./@#$-])(?:"
     r"\+44 \d{4} \d{6}|\+1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}"
@@ -349,22 +351,39 @@ def _digit_shape(text: str) -> str:
     return re.sub(r"[A-Z]", "L", shape)
 
 
+def _addresses(text: str) -> list[tuple[int, int]]:
+    """Where e-mail addresses stand, plain and spelt out, in order and without overlaps."""
+    out, at = [], text.find("@")
+    while at >= 0:
+        start = at
+        while start and ((c := text[start - 1]).isalnum() or c in "_.+-"):
+            start -= 1
+        m = _HOST.match(text, at) if start < at and text[start] not in ".+-" else None
+        if m and (not out or start >= out[-1][1]):
+            out.append((start, m.end()))
+        at = text.find("@", m.end() if m else at + 1)
+    lower = text.lower()
+    if "(at)" in lower or "[at]" in lower or (" at " in lower and " dot " in lower):
+        inside = _covers(out)
+        out += [m.span() for m in _SPELT.finditer(text) if not inside(m.start())]
+        out.sort()
+    return out
+
+
 def add_document(g: Graph, feats: Features, doc: int, text: str) -> None:
     """Candidates, features and edges of one text."""
     first = len(g.doc)
     urls = [m.span() for m in _URL.finditer(text)] if "://" in text else []
     inside = _covers(urls)
     add, taken = feats.add, list(urls)
-    has_at = "@" in text or " at " in text or "(at)" in text.lower() or "[at]" in text.lower()
-    mails = [m for m in _EMAIL.finditer(text) if not inside(m.start())] if has_at else []
-    locals_ = _local_words([m.group().lower() for m in mails])
-    for m in mails:
-        start, end = m.span()
-        _node(g, doc, start, end, MAIL, -1, m.group().lower())
+    mails = [span for span in _addresses(text) if not inside(span[0])]
+    locals_ = _local_words([text[a:b].lower() for a, b in mails])
+    for start, end in mails:
+        _node(g, doc, start, end, MAIL, -1, text[start:end].lower())
         out, cue = g.features, _cue(text, start)[1]
         angle = text[start - 1 : start] == "<"
         add(out, "mail" + ("<" if angle else ""))
-        local = m.group().split("@")[0]
+        local = text[start:end].split("@")[0]
         add(out, "local" + ("hex" if re.search(r"\d{5}|^m-[0-9A-F]{6}|^[0-9a-f]{6,}[.]|\.AA[0-9A-F]*$", local) else "plain") + ("<" if angle else ""))
         add(out, "mailcue" + ("+" if cue in MESSAGE_CUES else "-") + ("<" if angle else ""))
         add(out, "mailnext" + ("of" if _after(text, end + 1) == "of" else "") + ("<" if angle else ""))
@@ -415,7 +434,7 @@ def add_document(g: Graph, feats: Features, doc: int, text: str) -> None:
             _add_run(g, feats, doc, text, start, run, locals_)
             words.update(w.group(1).lower() for w in _SPLIT.finditer(run))
     known_here = {w for w in words | locals_ if len(w) > 3}
-    openers = {w for w in set(_WORDS.findall(text)) if w in _LOWER_NAMES or (w not in STOP and (w in known_here or w in GIVEN or w in NICKNAMES or w in AMBIGUOUS))}
+    openers = {w for w in {t.strip(_PUNCTUATION) for t in set(text.split())} if w in _LOWER_NAMES or (w not in STOP and (w in known_here or w in GIVEN or w in NICKNAMES or w in AMBIGUOUS))}
     for at_word, word in sorted((at, w) for w in openers if w[0].islower() for at in _places(text, w)):
         for run, at in _lower_runs(text, at_word, at_word + len(word)):
             if (word in _LOWER_NAMES or _known_pair(run, known_here, word)) and not inside(at):
