@@ -100,13 +100,11 @@ def _doubled(steps: DataFrame, n: int) -> DataFrame:
 def _solve(steps: DataFrame, span: int, n: int | None, one_task: int) -> DataFrame:
     whole = n is not None and n <= one_task
     local = _contracted(steps, F.lit(0) if whole else F.floor(F.col("node") / F.lit(span)))
-    if whole:
+    if whole or not local.filter(F.col("state") == OPEN).take(1):
         return local
     exits = local.filter(F.col("state") == OPEN).select(F.col("exit").alias("node")).distinct()
     quotient = cut(local.join(broadcast_if_small(exits), "node", "left_semi"))
     left = quotient.count()
-    if not left:
-        return local
     before = n if n is not None else local.count()
     if left > one_task and left > 0.7 * before:
         solved = _doubled(quotient, left)
@@ -238,10 +236,10 @@ def sums_below(links: DataFrame, span: int = SPAN, one_task: int = ONE_TASK, n:
     frag = (F.lit(0) if whole else F.floor(F.col("node") / F.lit(span))).cast("bigint").alias("frag")
     summed = lambda df: df.select(frag, "node", "parent", F.col("weight").cast("bigint").alias("weight")).repartition("frag").mapInArrow(_sum_fragments, _SUMS)
     local = cut(summed(links))
+    if whole or not local.filter("top").take(1):
+        return local.select("node", "total")
     direct = cut(local.filter("top").groupBy(F.col("exit").alias("node")).agg(F.sum("total").alias("weight")))
     left = direct.count()
-    if not left:
-        return local.select("node", "total")
     quotient = cut(local.drop("weight").join(broadcast_if_small(direct), "node").select("node", F.col("exit").alias("parent"), "weight"))
     before = n if n is not None else local.count()
     into = _doubled_sums(quotient, left) if left > one_task and left > 0.7 * before else sums_below(quotient, span * WIDEN, one_task, left)
