@@ -19,10 +19,10 @@ space; repeated rows get equal forms; long texts are processed whole.
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -62,7 +62,8 @@ def _plain_form(c: str) -> str | None:
 def _tables() -> tuple[dict[int, str | None], dict[str, str]]:
     """What goes before decomposition, and the look of each letter."""
     plain: dict[int, str | None] = {}
-    for i in range(sys.maxunicode + 1):
+    # Ideographs and Hangul syllables, which stay as they are, are passed over.
+    for i in chain(range(0x3400), range(0xA000, 0xAC00), range(0xD7B0, 0x20000), range(0xE0000, 0xE0200)):
         c = chr(i)
         kind = unicodedata.category(c)
         if kind == "Cf" and not 0x600 <= i <= 0x6DD and i not in (0x70F, 0x8E2, 0x110BD, 0x110CD):

@@ -22,12 +22,11 @@ tens of rounds; MOST_ROUNDS ends what would swing for ever. Names in scripts wit
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,14 +48,13 @@ SURE = 0.9
 
 def _letters(*kinds: str) -> str:
     """A character class of all letters of the given Unicode categories."""
-    out, start, last = [], None, None
-    for i in range(sys.maxunicode + 2):
-        inside = i <= sys.maxunicode and unicodedata.category(chr(i)) in kinds
+    out, start = [], None
+    for i in chain(range(0x3401), range(0xA000, 0xAC01), range(0xF900, 0x20001)):  # between these no letter has a case
+        inside = unicodedata.category(chr(i)) in kinds
         if inside and start is None:
             start = i
         if not inside and start is not None:
-            last = i - 1
-            out.append(f"\\U{start:08x}" if start == last else f"\\U{start:08x}-\\U{last:08x}")
+            out.append(f"\\U{start:08x}-\\U{i - 1:08x}")
             start = None
     return "".join(out)
 
@@ -434,12 +432,13 @@ def add_document(g: Graph, feats: Features, doc: int, text: str) -> None:
             _add_run(g, feats, doc, text, start, run, locals_)
             words.update(w.group(1).lower() for w in _SPLIT.finditer(run))
     known_here = {w for w in words | locals_ if len(w) > 3}
-    openers = {w for w in {t.strip(_PUNCTUATION) for t in set(text.split())} if w in _LOWER_NAMES or (w not in STOP and (w in known_here or w in GIVEN or w in NICKNAMES or w in AMBIGUOUS))}
+    tokens = {t.strip(_PUNCTUATION) for t in set(text.split())}
+    openers = {w for w in tokens if w in _LOWER_NAMES or (w not in STOP and (w in known_here or w in GIVEN or w in NICKNAMES or w in AMBIGUOUS))}
     for at_word, word in sorted((at, w) for w in openers if w[0].islower() for at in _places(text, w)):
         for run, at in _lower_runs(text, at_word, at_word + len(word)):
             if (word in _LOWER_NAMES or _known_pair(run, known_here, word)) and not inside(at):
                 _add_run(g, feats, doc, text, at, run, locals_)
-    if locals_:
+    if not locals_.isdisjoint(tokens):
         for m in _LOWER_INITIAL.finditer(text):
             if m.group(1) in known_here and m.group(1) in locals_ and not inside(m.start()):
                 _add_run(g, feats, doc, text, m.start(), text[m.start() : m.end(1)], locals_)
