@@ -63,11 +63,9 @@ _DONE = "\x01"
 def canonical_fields(raw: Column) -> Column:
     """year|month|day|hour|minute|second|fraction|half|zone of a header, or NULL."""
     text = F.trim(F.regexp_replace(F.coalesce(raw, F.lit("")), r"(?U)\s+", " "))
-    # Each pattern runs once: a header that matched opens with a sign no pattern takes, so the patterns behind pass it by.
-    out = text
-    for _, pattern, fields in CASCADE:
-        out = F.regexp_replace(out, pattern, _DONE + fields)
-    return F.when(out.startswith(_DONE) & ~text.startswith(_DONE), F.substring(out, 2, 200))
+    text = F.translate(text, _DONE, "\ufffd")
+    # Each pattern runs once, and none behind the first that matches: a replacement leaves its mark and the fields behind it.
+    return F.coalesce(*[F.try_element_at(F.split(F.regexp_replace(text, pattern, _DONE + fields), _DONE, 2), F.lit(2)) for _, pattern, fields in CASCADE])
 
 
 def _number(parts: Column, at: int) -> Column:
