@@ -191,7 +191,7 @@ def unmatchable_orphans(spark: SparkSession, folder: str) -> DataFrame:
 # --- matches
 
 #: Rounds of rejected links that the SQL writes out; the tables need fewer, and a further round changes nothing.
-_ROUNDS = 6
+_ROUNDS = 24
 
 
 def _subject_sql(state: str, p: str) -> str:
