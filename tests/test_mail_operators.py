@@ -267,7 +267,20 @@ def test_loop_free_matching_against_brute_force(spark, blind):
     assert {(x.pos, x.parent_id) for x in rejected.collect()}.isdisjoint((x.pos, x.parent_id) for x in links.collect())
 
 
-def test_next_after_and_running_sums_against_loops(spark):
+@pytest.mark.parametrize("spread", [False, True])
+def test_next_after_and_running_sums_against_loops(spark, spread):
+    """spread: small ranges are kept apart, so that groups cross the borders of partitions."""
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(not spread).lower())
+    spark.conf.set("spark.sql.shuffle.partitions", "23" if spread else "4")
+    try:
+        next_after_and_running_sums(spark)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def next_after_and_running_sums(spark):
     r = random.Random(9)
     rows = [(r.choice("aab"), r.randint(0, 30), i) for i in range(400)]
     df = spark.createDataFrame(rows, "g string, ts long, pos long").repartition(7)
