@@ -677,22 +677,35 @@ def model() -> Model:
     return fit(examples(TRAINING_TEXTS))
 
 
-#: Texts whose tokens go through message passing together.
-BATCH = 2000
+#: Texts and characters whose tokens go through message passing together.
+BATCH, BATCH_CHARS = 2000, 4_000_000
+
+
+def _parts(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Stretches of a batch that are worked on together; a longer text makes a stretch of its own."""
+    low = held = 0
+    for i, t in enumerate(texts):
+        size = len(t or "")
+        if i > low and (i - low >= BATCH or held + size > BATCH_CHARS):
+            yield low, i
+            low, held = i, 0
+        held += size
+    if texts:
+        yield low, len(texts)
 
 
 def _found(trained: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, BATCH):
-                part = batch.slice(low, BATCH)
+            texts = batch.column(1).to_pylist()
+            for low, high in _parts(texts):
                 keys, kinds, starts = [], [], []
-                for key, items in zip(part.column(0).to_pylist(), trained.items(part.column(1).to_pylist())):
+                for key, items in zip(batch.column(0).slice(low, high - low).to_pylist(), trained.items(texts[low:high])):
                     for start, _, kind in items:
                         keys.append(key)
                         kinds.append(kind)
                         starts.append(start + 1)
-                yield pa.RecordBatch.from_arrays([pa.array(keys, part.column(0).type), pa.array(kinds, pa.string()), pa.array(starts, pa.int64())], ["_key", "kind", "start_at"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys, batch.column(0).type), pa.array(kinds, pa.string()), pa.array(starts, pa.int64())], ["_key", "kind", "start_at"])
 
     return run
 
@@ -708,8 +721,8 @@ def _replaced(trained: Model):
         for batch in batches:
             out = []
             texts = batch.column(1).to_pylist()
-            for low in range(0, len(texts), BATCH):
-                part = texts[low : low + BATCH]
+            for low, high in _parts(texts):
+                part = texts[low:high]
                 for text, items in zip(part, trained.items(part)):
                     pieces, at = [], 0
                     for start, end, kind in items:

@@ -171,6 +171,17 @@ def test_frames_and_corner_cases(spark):
     assert find_items(df.limit(0)).count() == 0
 
 
+def test_stretches_of_a_batch(monkeypatch):
+    import postloom.llm.personal as personal
+
+    monkeypatch.setattr(personal, "BATCH", 3)
+    monkeypatch.setattr(personal, "BATCH_CHARS", 10)
+    texts = [None, "ab", "x" * 50, "", "abc", "abcd", "abcdefgh", None, None, None, None]
+    assert [x for a, b in personal._parts(texts) for x in range(a, b)] == list(range(len(texts)))
+    assert all(b - a <= 3 and (b - a == 1 or sum(len(t or "") for t in texts[a:b]) <= 10) for a, b in personal._parts(texts))
+    assert list(personal._parts([])) == []
+
+
 def test_small_letter_names_are_taken_whole():
     word = "hallwick" * 12
     for gap in (" ", "\n" + "> " * 40):
