@@ -18,15 +18,19 @@ of the quoted line, date, pos) for quotations, unknown dates last; copies of a m
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.text import local_seconds, normalize_for_matching, strip
 from postloom.operators import replies
 from postloom.operators.components import connected_components
-from postloom.operators.hierarchy import loops, resolve_forest, sums_below
+from postloom.operators.hierarchy import NOWHERE, _ring, loops, resolve_forest, sums_below
 from postloom.operators.ordered import next_after, place
 from postloom.runtime import broadcast_if_small, cut, filled, spread
 
@@ -122,8 +126,7 @@ def _best(found: DataFrame) -> DataFrame:
     return best.select("pos", F.col("m.cell.value.message_id").alias("parent_id"), F.col("m.score").alias("match_score"), (F.col("m.probe.ts") - F.col("m.cell.ts")).alias("gap_seconds"), "m")
 
 
-def _subject_candidates(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
-    states = cut(_states(classified))
+def _subject_candidates(states: DataFrame) -> tuple[DataFrame, DataFrame]:
     sources = states.filter(filled("message_id")).select(*_GROUP, "ts", "key", "pos", F.struct("id", "message_id", "base", F.col("orphan_status").alias("status")).alias("value"))
     orphans = states.filter("orphan_status = 'orphan_reply'").select("normalized_subject", F.struct("pos", "id", "ts").alias("probe"))
     classes = sources.select(*_GROUP).distinct()  # a subject has at most a handful of point classes
@@ -138,13 +141,141 @@ def match_by_subject(classified: DataFrame, loop_free: bool = False) -> DataFram
 
     loop_free: a link that closes a loop gives way to the mail's next candidate.
     """
-    return match_with_rejections(classified)[0] if loop_free else _best(_subject_candidates(classified)[0]).select(*_LINK)
+    return match_with_rejections(classified)[0] if loop_free else _best(_subject_candidates(cut(_states(classified)))[0]).select(*_LINK)
+
+
+#: Sources that one task may hold while it settles the loops, about 100 bytes each with their copies.
+MOST_SOURCES = 4_000_000
+#: Further candidates looked up at a time for a mail that gives its link up.
+AHEAD = 256
+_SETTLE = ("kind", "group", "pos", "id", "ts", "base", "key", "top", "cell")
+_SETTLED = "pos bigint, cell bigint, match_score int, gap_seconds bigint, rejected boolean"
+
 
+def match_with_rejections(classified: DataFrame, one_task: int = MOST_SOURCES) -> tuple[DataFrame, DataFrame]:
+    """(links without loops, (pos, parent_id) of the candidates rejected on the way).
 
-def match_with_rejections(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(links without loops, (pos, parent_id) of the candidates rejected on the way)."""
-    found, cells = _subject_candidates(classified)
+    Loops share no link, and taking a link out of one leaves the others as they are; so what comes out does not
+    depend on the order in which loops are broken, and one task may follow them to the end, whatever the number of
+    rounds. It holds the sources under the subjects of links that may ever lie on a loop. Of more than one_task
+    of them the rounds are made by joins.
+    """
+    states = cut(_states(classified))
+    found, cells = _subject_candidates(states)
     forest = _forest(classified)
+    best = cut(_best(found))
+    steps = cut(_steps(forest, best.select("pos", "parent_id")))
+    if not loops(steps).take(1):
+        return best.select(*_LINK), best.filter(F.lit(False)).select("pos", "parent_id")
+    # A mail gives its first link up only on a loop, so a link that ends at a mail without one stays.
+    risky = steps.join(steps.select(F.col("node").alias("parent")), "parent", "left_semi").select(F.col("node").alias("pos"), F.col("parent").alias("top"))
+    risky = cut(states.select("pos", "id", "ts", "normalized_subject").join(risky, "pos").join(best.select("pos", F.col("m.cell.pos").alias("cell")), "pos"))
+    subjects = broadcast_if_small(cut(risky.groupBy("normalized_subject").agg(F.min("pos").alias("group"))))
+    nothing = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
+    tops = forest.select("message_id", "top")
+    sources = states.filter(filled("message_id")).join(subjects, "normalized_subject").join(tops, "message_id")
+    sources = cut(sources.select(F.lit(1).alias("kind"), "group", "pos", "id", "ts", F.col("base").cast("bigint").alias("base"), "key", "top", *nothing("bigint", "cell")).select(*_SETTLE))
+    if sources.count() > one_task:
+        return _rounds(found, cells, forest)
+    asking = risky.join(subjects, "normalized_subject").select(F.lit(0).alias("kind"), "group", "pos", "id", "ts", *nothing("bigint", "base"), *nothing("string", "key"), "top", "cell")
+    moved = cut(cut(asking.select(*_SETTLE)).unionByName(sources).coalesce(1).mapInArrow(_settle, _SETTLED))
+    gone = broadcast_if_small(cut(moved.select("pos").distinct()))
+    named = moved.join(states.select(F.col("pos").alias("cell"), F.col("message_id").alias("parent_id")), "cell")
+    links = best.join(gone, "pos", "left_anti").select(*_LINK).unionByName(named.filter("not rejected").select(*_LINK))
+    return links, named.filter("rejected").select("pos", "parent_id")
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Breaks the loops one after another: the last candidate of each mail that gave a link up, and the rejected ones."""
+    got = [b for b in batches if b.num_rows]
+    if not got:
+        return
+    rows = {c: pa.concat_arrays([b.column(c) for b in got]) for c in _SETTLE}
+    numbers = lambda c: pc.fill_null(rows[c], -1 if c == "kind" else NOWHERE).to_numpy(zero_copy_only=False)
+    kind, group, pos, base, top, cell = (numbers(c) for c in ("kind", "group", "pos", "base", "top", "cell"))
+    ts = pc.cast(rows["ts"], pa.float64()).to_numpy(zero_copy_only=False)
+    codes = lambda c: rows[c].dictionary_encode()
+    id_ = pc.fill_null(codes("id").indices, -1).to_numpy(zero_copy_only=False)
+    keys = codes("key")
+    rank = np.empty(len(keys.dictionary) + 1, np.int64)
+    rank[pc.sort_indices(keys.dictionary).to_numpy()] = np.arange(len(keys.dictionary))
+    key = rank[pc.fill_null(keys.indices, len(keys.dictionary)).to_numpy(zero_copy_only=False)]
+    mine, at = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
+    mine = mine[np.argsort(pos[mine])]
+    at = at[np.lexsort((pos[at], key[at], group[at]))]
+    node, up = pos[mine], _index(pos[mine], top[mine])
+    s_pos, s_up, s_ts, s_id, s_base = pos[at], _index(node, top[at]), ts[at], id_[at], base[at]
+    starts = np.flatnonzero(np.diff(group[at], prepend=NOWHERE))
+    span = dict(zip(group[at][starts].tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(at)])))
+    by_pos = np.argsort(s_pos)
+    now = by_pos[np.searchsorted(s_pos[by_pos], cell[mine])].tolist()  # the source each mail is linked to
+    ahead: dict[int, list[int]] = {}
+
+    def ranked(i: int) -> tuple[int, np.ndarray, np.ndarray]:
+        """Where the sources of mail i begin, the place of each in its order of preference (in units of their number by score), and their gaps."""
+        lo, hi = span[group[mine[i]]]
+        gap = ts[mine[i]] - s_ts[lo:hi]
+        near = np.zeros(hi - lo, np.int64)
+        for limit, points in reversed(GAPS):
+            near[gap < limit] = points
+        return lo, (100 - s_base[lo:hi] - near) * (hi - lo) + np.arange(hi - lo), gap
+
+    def next_ones(i: int) -> list[int]:
+        lo, order, gap = ranked(i)
+        own = id_[mine[i]]
+        n = len(order)
+        open_ = order[~(gap <= 0) & (s_id[lo : lo + n] != own) & (s_id[lo : lo + n] >= 0) & (order > order[now[i] - lo]) & (own >= 0)]
+        if len(open_) > AHEAD:
+            open_ = np.partition(open_, AHEAD - 1)[:AHEAD]
+        return (lo + np.sort(open_)[::-1] % n).tolist()
+
+    links, into, gone = up.tolist(), s_up.tolist(), []
+
+    def give_up(i: int) -> None:
+        gone.append((i, now[i]))
+        if not ahead.get(i):
+            ahead[i] = next_ones(i)
+        now[i] = ahead[i].pop() if ahead[i] else -1
+        links[i] = into[now[i]] if now[i] >= 0 else -1
+
+    seen, walk = [0] * len(node), 0
+    ring, loop = _ring(node, np.where(up < 0, NOWHERE, node[up])) if len(node) else (node, node)
+    last: dict[int, int] = {}
+    for i, of in zip(np.searchsorted(node, ring).tolist(), loop.tolist()):
+        last[of] = max(i, last.get(of, -1))
+    for i in last.values():
+        # A new loop holds the mail whose link changed, so only its chain is followed; other loops have their turn.
+        while True:
+            give_up(i)
+            walk += 1
+            latest, to = i, links[i]
+            while to >= 0 and to != i and seen[to] != walk:
+                seen[to] = walk
+                latest, to = max(latest, to), links[to]
+            if to != i:
+                break
+            i = latest
+
+    out = [(i, x, True) for i, x in gone] + [(i, now[i], False) for i in sorted({i for i, _ in gone}) if now[i] >= 0]
+    score, gaps = [], []
+    for i, x, rejected in out:
+        gap = ts[mine[i]] - s_ts[x]
+        gaps.append(None if np.isnan(gap) else int(gap))
+        score.append(int(s_base[x]) + next((p for limit, p in GAPS if gap < limit), 0))
+    columns = [pa.array([int(node[i]) for i, _, _ in out], pa.int64()), pa.array([int(s_pos[x]) for _, x, _ in out], pa.int64()), pa.array(score, pa.int32()), pa.array(gaps, pa.int64()), pa.array([r for _, _, r in out], pa.bool_())]
+    yield pa.RecordBatch.from_arrays(columns, ["pos", "cell", "match_score", "gap_seconds", "rejected"])
+
+
+def _index(node: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places in the sorted node, -1 for what is not there."""
+    if not len(node):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(node, wanted), len(node) - 1)
+    return np.where(node[at] == wanted, at, -1)
+
+
+def _rounds(found: DataFrame, cells: DataFrame, forest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``match_with_rejections`` by joins, each round taking one link out of every loop."""
     rejected = None
     while True:
         best = cut(_best(found))
@@ -463,9 +594,13 @@ def closing_links(forest: DataFrame, links: DataFrame) -> DataFrame:
     top of its tree, so a link leads from tree to tree and only the links are followed. A link of a record that
     does not stand for its message closes nothing.
     """
+    return loops(_steps(forest, links)).groupBy("loop").agg(F.max("node").alias("pos")).select("pos")
+
+
+def _steps(forest: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, parent): from the top of a tree to the top of the tree that its link leads to."""
     to = forest.select(F.col("message_id").alias("parent_id"), F.col("top").alias("parent"))
-    steps = links.join(forest.select("pos"), "pos", "left_semi").join(to, "parent_id").filter("parent is not null")
-    return loops(steps.select(F.col("pos").alias("node"), "parent")).groupBy("loop").agg(F.max("node").alias("pos")).select("pos")
+    return links.join(forest.select("pos"), "pos", "left_semi").join(to, "parent_id").filter("parent is not null").select(F.col("pos").alias("node"), "parent")
 
 
 def drop_loops(before: DataFrame, links: DataFrame) -> DataFrame:

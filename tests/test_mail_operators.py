@@ -379,3 +379,30 @@ def test_empty_tables(spark):
     for df in (matching.match_by_subject(state), matching.match_by_quotes(state), matching.match_by_time(state), threads.build_threads(threads.thread_members(state)), spam.classify(none), replies.fanout_histogram(none), replies.widest_parent(none)):
         assert df.count() == 0
     assert replies.link_stats(none).collect()[0].max_children == 0
+
+
+def long_way_out(n):
+    """Two mails without a date whose subject holds n replies to each of them before the mail that closes no loop."""
+    rows = [dict(message_id=f"top{k}", subject="Re: t", date_raw="~") for k in range(2)]
+    rows += [dict(message_id=f"m{i}", in_reply_to=f"top{i % 2}", subject="Re: t", date_raw=f"{i:03d}") for i in range(n)]
+    return rows + [dict(message_id="last", subject="t", date_raw="~~"), dict(message_id="out", subject="Re: t", date_raw="~~~")]
+
+
+def test_loops_are_broken_in_few_steps_whatever_the_rounds(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(matching, "cut", lambda df, _cut=matching.cut: steps.append(1) or _cut(df))
+    rows = long_way_out(30)
+    for r in rows:
+        r["subject"] = r["subject"] if r["message_id"] != "last" else "Re: t"  # no root, so that replies come first
+    state = replies.classify_orphans(replies.link_replies(mails(spark, rows))).cache()
+    links, rejected = matching.match_with_rejections(state)
+    got = {r.pos: (r.parent_id, r.match_score) for r in links.collect()}, sorted((r.pos, r.parent_id) for r in rejected.collect())
+    assert len(got[1]) >= 30 and len(steps) < 20
+    plain = [x.asDict() for x in state.orderBy("pos").collect()]
+    parents = {y["parent_id"] for y in plain}
+    for x in plain:
+        x["children"] = x["message_id"] in parents and x["message_id"]
+    assert got[0] == rounds(plain)
+    assert matching.link_kinds(state, links).agg(F.sum("n")).first()[0] == len(got[0])
+    row = matching.subject_match_stats(state).first()
+    assert (row.orphans_matched, row.cycles_prevented) == (len(got[0]), len(got[1]))
