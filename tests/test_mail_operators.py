@@ -9,6 +9,7 @@ from postloom.functions.text import is_reply_subject, normalize_for_matching, no
 from postloom.operators import cleaning, matching, parsing, people, replies, spam, threads
 from postloom.operators.ordered import next_after, place, running_sums
 from postloom.operators.parsing import parse_date
+from postloom.plans import pipeline
 from postloom.sources import archive
 from postloom.streaming.incremental import stream_parsed
 
@@ -406,3 +407,13 @@ def test_loops_are_broken_in_few_steps_whatever_the_rounds(spark, monkeypatch):
     assert matching.link_kinds(state, links).agg(F.sum("n")).first()[0] == len(got[0])
     row = matching.subject_match_stats(state).first()
     assert (row.orphans_matched, row.cycles_prevented) == (len(got[0]), len(got[1]))
+
+
+def test_all_links_in_few_steps(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(matching, "cut", lambda df, _cut=matching.cut: steps.append(1) or _cut(df))
+    rows = [{**r, "subject": "Re: t"} for r in long_way_out(30)]
+    state = pipeline.linked_mails(mails(spark, rows))
+    assert {r.orphan_status: r["count"] for r in state.groupBy("orphan_status").count().collect()} == {"has_parent": 30, "matched_by_subject": 3, "orphan_reply": 1}
+    assert len(steps) < 60
+    assert [r.message_count for r in pipeline.archive_threads(state)[1].collect()] == [34]
