@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -328,81 +327,108 @@ def _one_row(first: DataFrame, *rest: DataFrame) -> DataFrame:
 
 # --- subjects in archive order
 
-#: Mails that may hang together through subjects and links when matched in order; one task settles them.
-MOST_TOGETHER = 500_000
-_ORDERED = "pos long, parent_id string, match_score int, gap_seconds long, to_kind string"
-
-
-def _in_order(group: pd.DataFrame) -> pd.DataFrame:
-    """Orphans of one component in archive order; each sees the links made before it."""
-    group = group.sort_values("pos", kind="stable")
-    pos, ids, mids, subjects, status = (group[c].tolist() for c in ("pos", "id", "message_id", "normalized_subject", "orphan_status"))
-    ts, keys = group["ts"].to_numpy(dtype="float64", na_value=np.nan), group["key"].tolist()
-    parent: dict[str, str | None] = {}
-    for m, p in zip(mids, group["parent_id"]):
-        if m:
-            parent[m] = p if isinstance(p, str) else None
-    root = np.array([x == "true_root" for x in status])
-    linked = np.array([isinstance(p, str) for p in group["parent_id"]])
-    children = group["n_children"].to_numpy(dtype="int64", na_value=0).copy()
-    groups: dict[str, list[int]] = {}
-    for i, s in enumerate(subjects):
-        if s:
-            groups.setdefault(s, []).append(i)
-    of_subject = {s: np.array(sorted(at, key=lambda i: keys[i])) for s, at in groups.items()}
-
-    def closes_loop(child: str, above: str) -> bool:
-        seen, at = set(), above
-        while at:
+_ROWS = ("pos", "mid", "parent", "subject", "mail", "status", "ts", "key", "n_children")
+_ORDERED = "pos bigint, cell bigint, match_score int, gap_seconds bigint, to_kind string"
+_NO_CANDIDATE = -100
+_ROOT, _ORPHAN = 0, 1
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Orphans of whole components in archive order; each sees the links made before it."""
+    got = [b for b in batches if b.num_rows]
+    if not got:
+        return
+    rows = {c: pa.concat_arrays([b.column(c) for b in got]) for c in _ROWS}
+    del got
+    order = np.argsort(rows["pos"].to_numpy(), kind="stable")
+    pos, mid, parent, subject, mail, status, children = (pc.fill_null(rows[c], NOWHERE).to_numpy(zero_copy_only=False)[order] for c in ("pos", "mid", "parent", "subject", "mail", "status", "n_children"))
+    ts = pc.cast(rows["ts"], pa.float64()).to_numpy(zero_copy_only=False)[order]
+    keys = rows["key"].dictionary_encode()
+    rank = np.empty(len(keys.dictionary), np.int64)
+    rank[pc.sort_indices(keys.dictionary).to_numpy()] = np.arange(len(rank))
+    key = rank[keys.indices.to_numpy()][order]
+    del rows, keys
+    # Messages by number; of several copies the last one's parent counts.
+    names = np.unique(mid[mid != NOWHERE])
+    message = _index(names, mid)
+    above = np.full(len(names), -1)
+    above[message[message >= 0]] = _index(names, parent)[message >= 0]
+    above = above.tolist()
+    # Mails with a subject side by side by subject, date and place; scores without nearness, kept up to date.
+    there = np.flatnonzero(subject != NOWHERE)
+    there = there[np.lexsort((there, key[there], subject[there]))]
+    place_ = np.full(len(pos), -1)
+    place_[there] = np.arange(len(there))
+    first = np.flatnonzero(np.diff(subject[there], prepend=NOWHERE))
+    span = dict(zip(subject[there][first].tolist(), zip(first.tolist(), [*first[1:].tolist(), len(there)])))
+    when = ts[there]
+    base = ((status[there] == _ROOT) * 10 + (children[there] > 0) * 5 + (parent[there] != NOWHERE) * 3).astype(np.int8)
+    base[message[there] < 0] = _NO_CANDIDATE
+    by_mail = there[np.argsort(mail[there], kind="stable")]
+    of_mail = mail[by_mail]
+
+    def closes_loop(child: int, at: int) -> bool:
+        seen = set()
+        while at >= 0:
             if at == child or at in seen:
                 return True
             seen.add(at)
-            at = parent.get(at)
+            at = above[at]
         return False
 
     out = []
-    for i, s in enumerate(subjects):
-        if status[i] != "orphan_reply" or not s or len(of_subject[s]) < 2:
+    for i in np.flatnonzero((status == _ORPHAN) & (subject != NOWHERE)).tolist():
+        lo, hi = span[int(subject[i])]
+        if hi - lo < 2:
             continue
-        at = of_subject[s]
-        gap = ts[i] - ts[at]
-        open_ = np.array([ids[j] != ids[i] for j in at]) & ~(gap <= 0)
-        near = np.where(np.isnan(gap), 0, np.where(gap < DAY, 5, np.where(gap < 7 * DAY, 3, np.where(gap < SLICE, 1, 0))))
-        score = root[at] * 10 + (children[at] > 0) * 5 + linked[at] * 3 + near
-        for k in np.lexsort((np.arange(len(at)), -score)):
-            j = at[k]
-            if not open_[k] or not mids[j] or closes_loop(mids[i], mids[j]):
+        gap = ts[i] - when[lo:hi]
+        score = base[lo:hi].copy()
+        for (limit, points), (_, less) in zip(GAPS, (*GAPS[1:], (None, 0))):
+            score += (gap < limit) * np.int8(points - less)
+        score[gap <= 0] = _NO_CANDIDATE
+        l, r = np.searchsorted(of_mail, mail[i]), np.searchsorted(of_mail, mail[i], "right")
+        copies = place_[by_mail[l:r]] - lo
+        score[copies[(copies >= 0) & (copies < hi - lo)]] = _NO_CANDIDATE
+        while (k := int(score.argmax())) >= 0 and score[k] >= 0:
+            j = int(there[lo + k])
+            if closes_loop(int(message[i]), int(message[j])):
+                score[k] = _NO_CANDIDATE
                 continue
-            kind = "to_root" if status[j] == "true_root" else "to_parent" if children[j] + 1 > 1 else "to_chain"
-            out.append((pos[i], mids[j], int(score[k]), None if np.isnan(gap[k]) else int(gap[k]), kind))
-            linked[i], children[j] = True, children[j] + 1
-            status[i] = "matched"
-            if mids[i]:
-                parent[mids[i]] = mids[j]
+            kind = "to_root" if status[j] == _ROOT else "to_parent" if children[j] > 0 else "to_chain"
+            out.append((int(pos[i]), int(pos[j]), int(score[k]), None if np.isnan(gap[k]) else int(gap[k]), kind))
+            if message[i] >= 0:
+                base[place_[i]] += 3
+                above[message[i]] = int(message[j])
+            base[lo + k] += 5 * (children[j] == 0)
+            children[j] += 1
             break
-    return pd.DataFrame(out, columns=["pos", "parent_id", "match_score", "gap_seconds", "to_kind"]).astype({"gap_seconds": "Int64"})
+    yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()))], ["pos", "cell", "match_score", "gap_seconds", "to_kind"])
 
 
-def match_in_order(classified: DataFrame, most: int = MOST_TOGETHER) -> DataFrame:
+def match_in_order(classified: DataFrame, most: int | None = None) -> DataFrame:
     """(pos, parent_id, match_score, gap_seconds, to_kind): subject matches made one after another in archive order.
 
     The same scores as ``match_by_subject``, but each match sees the ones before it, and a candidate that would
     close a loop is passed over for the next best. This is sequential by nature: mails that hang together through
-    subjects, links or copies are settled by one task over thin rows, so the size of such a group is checked and
-    more than ``most`` are refused. Use ``match_by_subject`` for archives of any size.
+    subjects, links or copies are settled by one task over rows of numbers, about 100 bytes a mail, and time grows
+    with the orphans of a subject times its mails. With ``most``, larger groups are refused.
     """
     counts = replies.children_of(classified).select("message_id", "n_children")
-    thin = classified.select("pos", "id", F.coalesce("message_id", F.lit("")).alias("message_id"), "parent_id", "normalized_subject", "orphan_status", local_seconds(F.col("date_parsed")).alias("ts"), _date_key().alias("key"))
-    thin = cut(thin.join(counts, "message_id", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
-    subject = thin.filter("normalized_subject <> ''").groupBy("normalized_subject").agg(F.min("pos").alias("b"))
-    own = thin.filter("message_id <> ''").groupBy("message_id").agg(F.min("pos").alias("b"))
-    edges = thin.join(subject, "normalized_subject").select(F.col("pos").alias("a"), "b").unionByName(thin.join(own, "message_id").select(F.col("pos").alias("a"), "b"))
-    edges = edges.unionByName(thin.filter("parent_id is not null").join(own.withColumnRenamed("message_id", "parent_id"), "parent_id").select(F.col("pos").alias("a"), "b"))
-    parts = connected_components(thin.select(F.col("pos").alias("node")), edges)
-    largest = parts.groupBy("component").count().agg(F.max("count")).first()[0] or 0
-    if largest > most:
-        raise ValueError(f"{largest} mails hang together; match_by_subject has no such bound")
-    return thin.join(parts, F.col("pos") == F.col("node")).groupBy("component").applyInPandas(_in_order, _ORDERED)
+    status = F.when(F.col("orphan_status") == "true_root", _ROOT).when(F.col("orphan_status") == "orphan_reply", _ORPHAN).otherwise(2).cast("bigint").alias("status")
+    thin = classified.select("pos", "id", F.coalesce("message_id", F.lit("")).alias("message_id"), "parent_id", "normalized_subject", status, local_seconds(F.col("date_parsed")).cast("bigint").alias("ts"), _date_key().alias("key"))
+    thin = cut(thin.join(counts, "message_id", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("bigint"))))
+    least = lambda c, name: thin.filter(filled(c)).groupBy(c).agg(F.min("pos").alias(name))
+    named = thin.join(least("message_id", "mid"), "message_id", "left").join(least("message_id", "parent").withColumnRenamed("message_id", "parent_id"), "parent_id", "left")
+    named = named.join(least("normalized_subject", "subject"), "normalized_subject", "left").join(least("id", "mail"), "id", "left")
+    rows = cut(named.select(*_ROWS))
+    to = lambda c: rows.filter(F.col(c).isNotNull()).select(F.col("pos").alias("a"), F.col(c).alias("b"))
+    parts = cut(connected_components(rows.select(F.col("pos").alias("node")), to("subject").unionByName(to("mid")).unionByName(to("parent"))))
+    if most is not None and (largest := parts.groupBy("component").count().agg(F.max("count")).first()[0] or 0) > most:
+        raise ValueError(f"{largest} mails hang together, more than the {most} asked for")
+    together = rows.join(parts, F.col("pos") == F.col("node")).repartition("component").select(*_ROWS)
+    found = cut(together.mapInArrow(_in_order, _ORDERED))
+    names = thin.select(F.col("pos").alias("cell"), F.col("message_id").alias("parent_id"))
+    return found.join(names, "cell").select("pos", "parent_id", "match_score", "gap_seconds", "to_kind")
 
 
 def match_kinds(matches: DataFrame) -> DataFrame:

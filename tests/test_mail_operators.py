@@ -417,3 +417,14 @@ def test_all_links_in_few_steps(spark, monkeypatch):
     assert {r.orphan_status: r["count"] for r in state.groupBy("orphan_status").count().collect()} == {"has_parent": 30, "matched_by_subject": 3, "orphan_reply": 1}
     assert len(steps) < 60
     assert [r.message_count for r in pipeline.archive_threads(state)[1].collect()] == [34]
+
+
+def test_matching_in_order_of_many_mails(spark):
+    """More mails under one subject than were accepted once."""
+    n = 500_010
+    late = F.col("pos") > n - 3
+    rows = spark.range(1, n + 1).select(F.col("id").alias("pos"), F.col("id").cast("string").alias("id"), F.col("id").cast("string").alias("message_id"))
+    rows = rows.withColumns({"parent_id": F.lit(None).cast("string"), "normalized_subject": F.lit("t"), "orphan_status": F.when(late, "orphan_reply").otherwise("true_root"), "date_parsed": F.lit(None).cast("string"), "date_raw": F.lpad((n - F.col("pos")).cast("string"), 7, "0")})
+    got = matching.match_in_order(rows).orderBy("pos").collect()
+    # The earliest date string wins at first, then the mail that has a child.
+    assert [tuple(r) for r in got] == [(n - 2 + k, str(n - 3), 10 if k == 0 else 15, None, "to_root") for k in range(3)]
