@@ -76,9 +76,9 @@ def _contracted(steps: DataFrame, fragment) -> DataFrame:
 
 
 def _behind(steps: DataFrame, solved: DataFrame) -> DataFrame:
-    """Puts the solution of the exits behind the open steps."""
+    """Puts the solution of the exits, which is written, behind the open steps."""
     s = solved.select(F.col("node").alias("_n"), F.col("exit").alias("_e"), F.col("hops").alias("_h"), F.col("state").alias("_s"))
-    joined = steps.join(broadcast_if_small(s), (F.col("exit") == F.col("_n")) & (F.col("state") == OPEN), "left")
+    joined = steps.join(broadcast_if_small(s, written=True), (F.col("exit") == F.col("_n")) & (F.col("state") == OPEN), "left")
     open_ = F.col("_n").isNotNull()
     return joined.select(
         "node",
@@ -102,14 +102,15 @@ def _solve(steps: DataFrame, span: int, n: int | None, one_task: int) -> DataFra
     local = _contracted(steps, F.lit(0) if whole else F.floor(F.col("node") / F.lit(span)))
     if whole or not local.filter(F.col("state") == OPEN).take(1):
         return local
-    exits = local.filter(F.col("state") == OPEN).select(F.col("exit").alias("node")).distinct()
-    quotient = cut(local.join(broadcast_if_small(exits), "node", "left_semi"))
+    exits = cut(local.filter(F.col("state") == OPEN).select(F.col("exit").alias("node")).distinct())
+    quotient = cut(local.join(broadcast_if_small(exits, written=True), "node", "left_semi"))
     left = quotient.count()
     before = n if n is not None else local.count()
     if left > one_task and left > 0.7 * before:
         solved = _doubled(quotient, left)
     else:
         solved = _solve(quotient, span * WIDEN, left, one_task)
+        solved = cut(solved) if left > one_task else solved
     return _behind(local, solved)
 
 
@@ -240,11 +241,11 @@ def sums_below(links: DataFrame, span: int = SPAN, one_task: int = ONE_TASK, n:
         return local.select("node", "total")
     direct = cut(local.filter("top").groupBy(F.col("exit").alias("node")).agg(F.sum("total").alias("weight")))
     left = direct.count()
-    quotient = cut(local.drop("weight").join(broadcast_if_small(direct), "node").select("node", F.col("exit").alias("parent"), "weight"))
+    quotient = cut(local.drop("weight").join(broadcast_if_small(direct, written=True), "node").select("node", F.col("exit").alias("parent"), "weight"))
     before = n if n is not None else local.count()
     into = _doubled_sums(quotient, left) if left > one_task and left > 0.7 * before else sums_below(quotient, span * WIDEN, one_task, left)
     into = cut(into.select("node", F.col("total").alias("_into")))
-    again = local.select("node", "parent", "weight").join(broadcast_if_small(into), "node", "left")
+    again = local.select("node", "parent", "weight").join(broadcast_if_small(into, written=True), "node", "left")
     return cut(summed(again.select("node", "parent", (F.col("weight") + F.coalesce("_into", F.lit(0))).alias("weight")))).select("node", "total")
 
 

@@ -169,7 +169,7 @@ def match_with_rejections(classified: DataFrame, one_task: int = MOST_SOURCES) -
     # A mail gives its first link up only on a loop, so a link that ends at a mail without one stays.
     risky = steps.join(steps.select(F.col("node").alias("parent")), "parent", "left_semi").select(F.col("node").alias("pos"), F.col("parent").alias("top"))
     risky = cut(states.select("pos", "id", "ts", "normalized_subject").join(risky, "pos").join(best.select("pos", F.col("m.cell.pos").alias("cell")), "pos"))
-    subjects = broadcast_if_small(cut(risky.groupBy("normalized_subject").agg(F.min("pos").alias("group"))))
+    subjects = broadcast_if_small(cut(risky.groupBy("normalized_subject").agg(F.min("pos").alias("group"))), written=True)
     nothing = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
     tops = forest.select("message_id", "top")
     sources = states.filter(filled("message_id")).join(subjects, "normalized_subject").join(tops, "message_id")
@@ -178,7 +178,7 @@ def match_with_rejections(classified: DataFrame, one_task: int = MOST_SOURCES) -
         return _rounds(found, cells, forest)
     asking = risky.join(subjects, "normalized_subject").select(F.lit(0).alias("kind"), "group", "pos", "id", "ts", *nothing("bigint", "base"), *nothing("string", "key"), "top", "cell")
     moved = cut(cut(asking.select(*_SETTLE)).unionByName(sources).coalesce(1).mapInArrow(_settle, _SETTLED))
-    gone = broadcast_if_small(cut(moved.select("pos").distinct()))
+    gone = broadcast_if_small(cut(moved.select("pos").distinct()), written=True)
     named = moved.join(states.select(F.col("pos").alias("cell"), F.col("message_id").alias("parent_id")), "cell")
     links = best.join(gone, "pos", "left_anti").select(*_LINK).unionByName(named.filter("not rejected").select(*_LINK))
     return links, named.filter("rejected").select("pos", "parent_id")
@@ -282,13 +282,13 @@ def _rounds(found: DataFrame, cells: DataFrame, forest: DataFrame) -> tuple[Data
         if not closing.take(1):
             none = best.filter(F.lit(False)).select("pos", "parent_id")
             return best.select(*_LINK), none if rejected is None else rejected
-        out = best.join(broadcast_if_small(closing), "pos", "left_semi")
+        out = best.join(broadcast_if_small(closing, written=True), "pos", "left_semi")
         rejected = out.select("pos", "parent_id") if rejected is None else rejected.unionByName(out.select("pos", "parent_id"))
         taken = cut(out.select("m.probe", "m.group", "m.upto", "m.cell"))
         gone = taken.select(F.col("probe.pos").alias("_pos"), F.col("group").alias("_group"), F.col("upto").alias("_upto"))
         same = (F.col("probe.pos") == F.col("_pos")) & (F.col("group") == F.col("_group")) & (F.col("upto") == F.col("_upto"))
         next_ = _without_self(cut(behind(taken, cells, _GROUP)), cells, _GROUP)
-        found = cut(found.join(broadcast_if_small(gone), same, "left_anti").unionByName(next_))
+        found = cut(found.join(broadcast_if_small(gone, written=True), same, "left_anti").unionByName(next_))
 
 
 def link_kinds(classified: DataFrame, links: DataFrame) -> DataFrame:
@@ -485,21 +485,23 @@ def related_subjects(mine: DataFrame, theirs: DataFrame) -> DataFrame:
     return down.unionByName(up).distinct()
 
 
-def match_by_quotes(classified: DataFrame) -> DataFrame:
+def match_by_quotes(classified: DataFrame, bodies: DataFrame | None = None) -> DataFrame:
     """(pos, parent_id, quote_match_score) of every root that quotes an earlier mail.
 
-    Bodies are reduced to quoted lines and to keys of those lines that some root quotes in the pass that reads
-    them; only keys, never bodies, are joined. A source scores 1, 10 more under the same subject, 5
-    more if one subject holds the other, and points for nearness.
+    Bodies, which stand in classified or by pos in ``bodies``, are reduced to quoted lines and to keys of those lines
+    that some root quotes where they are read; only keys, never bodies, are joined. A source scores 1, 10 more under
+    the same subject, 5 more if one subject holds the other, and points for nearness.
     """
     roots = classified.filter("orphan_status = 'true_root' and normalized_subject <> ''")
-    quotes = quoted_lines(roots).filter(F.col("ordinal") < PROBES).withColumn("line_key", normalize_for_matching(F.col("quote"))).filter(F.length("line_key") >= LEAST_KEY)
+    quotes = quoted_lines(roots) if bodies is None else quoted_lines(bodies).join(roots.select("pos"), "pos", "left_semi")
+    quotes = quotes.filter(F.col("ordinal") < PROBES).withColumn("line_key", normalize_for_matching(F.col("quote"))).filter(F.length("line_key") >= LEAST_KEY)
+    bodies = spread((classified if bodies is None else bodies).select("pos", "body"))
     about = classified.select("pos", "id", "message_id", "normalized_subject", local_seconds(F.col("date_parsed")).alias("ts"))
     asking = cut(quotes.select("pos", "ordinal", "line_key"))
     probes = about.drop("message_id").join(asking, "pos").withColumnRenamed("normalized_subject", "subject")
     probes = cut(probes.select("line_key", "subject", F.struct("pos", "ordinal", "id", "ts", F.col("subject")).alias("probe")))
     keys = cut(asking.select("line_key").distinct())
-    lines = cut(body_lines(spread(classified.select("pos", "body"))).join(broadcast_if_small(keys), "line_key", "left_semi").distinct())
+    lines = cut(body_lines(bodies).join(broadcast_if_small(keys, written=True), "line_key", "left_semi").distinct())
     sources = about.filter(filled("message_id")).join(lines, "pos")
     value = F.struct("id", "message_id", F.col("normalized_subject").alias("subject")).alias("value")
     by_date = F.coalesce(F.lpad((F.col("ts") + 10**12).cast("string"), 15, "0"), F.lit("~")).alias("key")  # sorts as the date does, unknown ones last
@@ -632,4 +634,4 @@ def _steps(forest: DataFrame, links: DataFrame) -> DataFrame:
 def drop_loops(before: DataFrame, links: DataFrame) -> DataFrame:
     """The links without the one of the latest mail on each loop that they close; a link below a loop stays."""
     links = cut(links)
-    return links.join(broadcast_if_small(cut(closing_links(_forest(before), links))), "pos", "left_anti")
+    return links.join(broadcast_if_small(cut(closing_links(_forest(before), links)), written=True), "pos", "left_anti")

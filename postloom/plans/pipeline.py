@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from postloom.operators import cleaning, matching, replies, spam, threads
-from postloom.runtime import cut
+from postloom.runtime import cut, release
 
 
 def clean_and_filter(mails: DataFrame, known: DataFrame, **rules) -> DataFrame:
@@ -30,12 +30,14 @@ def linked_mails(mails: DataFrame, by_subject: bool = True, by_quotes: bool = Tr
     state = cut(classified_mails(mails.drop("body")))
 
     def put_in(state: DataFrame, links: DataFrame, status: str) -> DataFrame:
-        return cut(matching.apply_links(state, links, status))
+        state = cut(matching.apply_links(state, links, status))
+        release(mails.sparkSession)
+        return state
 
     if by_subject:
         state = put_in(state, matching.match_by_subject(state, loop_free=True), "matched_by_subject")
     if by_quotes:
-        state = put_in(state, matching.drop_loops(state, matching.match_by_quotes(state.join(bodies, "pos"))), "matched_by_quote")
+        state = put_in(state, matching.drop_loops(state, matching.match_by_quotes(state, bodies)), "matched_by_quote")
     if by_time:
         state = put_in(state, matching.drop_loops(state, matching.match_by_time(state, max_days)), "matched_by_time_proximity")
     return state

@@ -6,6 +6,7 @@ Written states are removed with the frames that read them if the session sets
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -77,6 +78,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Frees the shuffle files and written states of frames that are no longer in use, and what the driver holds for them.
+
+    They go when the JVM collects its garbage, which a driver with little to do may put off for the whole run.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _row_bytes(df: DataFrame):
     """About as many bytes as a row holds: texts by their length, nested values by their JSON form, others by eight."""
     total = F.lit(0)
@@ -92,18 +102,23 @@ def _row_bytes(df: DataFrame):
     return total.cast("bigint")
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether df has at most the given rows and bytes; reads no more than that number of rows, and only their sizes travel."""
-    n, held = df.select(_row_bytes(df).alias("_b")).limit(rows + 1).agg(F.count("*"), F.sum("_b")).first()
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES, written: bool = False) -> bool:
+    """Whether df has at most the given rows and bytes; reads no more than that number of rows, and only their sizes travel.
+
+    written: df was ``cut``; one task then reads that number of rows, without an exchange, as each exchange keeps a
+    thread of the driver and its memory for a minute.
+    """
+    sizes = df.select(_row_bytes(df).alias("_b"))
+    n, held = (sizes.coalesce(1) if written else sizes).limit(rows + 1).agg(F.count("*"), F.sum("_b")).first()
     return n <= rows and (held or 0) <= most_bytes
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES, written: bool = False) -> DataFrame:
     """Marks df for a broadcast only after its size was checked; otherwise the join shuffles and AQE splits skewed keys.
 
-    df is computed for the check and again for the join, so callers ``cut`` it first where that is dear.
+    df is computed for the check and again for the join, so callers ``cut`` it first where that is dear, and say so in ``written``.
     """
-    return F.broadcast(df) if is_small(df, rows, most_bytes) else df
+    return F.broadcast(df) if is_small(df, rows, most_bytes, written) else df
 
 
 def partitions(spark: SparkSession) -> int:

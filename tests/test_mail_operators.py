@@ -428,3 +428,13 @@ def test_matching_in_order_of_many_mails(spark):
     got = matching.match_in_order(rows).orderBy("pos").collect()
     # The earliest date string wins at first, then the mail that has a child.
     assert [tuple(r) for r in got] == [(n - 2 + k, str(n - 3), 10 if k == 0 else 15, None, "to_root") for k in range(3)]
+
+
+def test_bodies_are_read_without_a_join(spark, monkeypatch):
+    line = "a line that is long enough to be quoted by others"
+    state = mails(spark, [dict(message_id="a", subject="s", body=f"{line}\nand more of it, so that the body is long enough"), dict(message_id="b", subject="t", body=f"> {line}")])
+    plans, of = [], matching.body_lines
+    monkeypatch.setattr(matching, "body_lines", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or of(df))
+    got = {r.message_id: (r.parent_id, r.orphan_status) for r in pipeline.linked_mails(state).collect()}
+    assert got == {"a": (None, "true_root"), "b": ("a", "matched_by_quote")}
+    assert len(plans) == 1 and "Join" not in plans[0]
