@@ -438,3 +438,11 @@ def test_bodies_are_read_without_a_join(spark, monkeypatch):
     got = {r.message_id: (r.parent_id, r.orphan_status) for r in pipeline.linked_mails(state).collect()}
     assert got == {"a": (None, "true_root"), "b": ("a", "matched_by_quote")}
     assert len(plans) == 1 and "Join" not in plans[0]
+
+
+def test_state_is_freed_after_each_kind_of_link(spark, monkeypatch):
+    freed = []
+    monkeypatch.setattr(pipeline, "release", lambda session: freed.append(session))
+    state = mails(spark, [dict(message_id="a", subject="s"), dict(message_id="b", subject="Re: s")])
+    assert {r.orphan_status: r["count"] for r in pipeline.linked_mails(state).groupBy("orphan_status").count().collect()} == {"true_root": 1, "matched_by_subject": 1}
+    assert freed == [spark] * 3
