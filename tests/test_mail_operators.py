@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from postloom import runtime
 from postloom.functions.text import is_reply_subject, normalize_for_matching, normalize_subject
 from postloom.operators import cleaning, matching, parsing, people, replies, spam, threads
 from postloom.operators.ordered import next_after, place, running_sums
@@ -26,6 +27,18 @@ def values(spark, texts, f):
     return [r.v for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", f(F.col("t")).alias("v")).orderBy("i").collect()]
 
 
+def stages(spark, f):
+    """(what f gives, the number of stages that its jobs have)."""
+    context, group = spark.sparkContext, f"stages-{random.random()}"
+    context.setJobGroup(group, group)
+    try:
+        out = f()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = context.statusTracker()
+    return out, len({s for j in jobs.getJobIdsForGroup(group) for s in jobs.getJobInfo(j).stageIds})
+
+
 def strip_prefixes(s):
     import re
 
@@ -430,6 +443,13 @@ def test_matching_in_order_of_many_mails(spark):
     assert [tuple(r) for r in got] == [(n - 2 + k, str(n - 3), 10 if k == 0 else 15, None, "to_root") for k in range(3)]
 
 
+def test_a_written_state_is_measured_without_an_exchange(spark):
+    many = runtime.cut(spark.range(1000, numPartitions=8).withColumn("t", F.lit("x")))
+    assert stages(spark, lambda: runtime.is_small(many, 1000, written=True)) == (True, 1)
+    assert not runtime.is_small(many, 999, written=True) and not runtime.is_small(many, 1000, 8999, written=True) and runtime.is_small(many, 1000, 9000, written=True)
+    assert runtime.is_small(runtime.cut(many.filter("id < 0")), 0, written=True)
+
+
 def test_bodies_are_read_without_a_join(spark, monkeypatch):
     line = "a line that is long enough to be quoted by others"
     state = mails(spark, [dict(message_id="a", subject="s", body=f"{line}\nand more of it, so that the body is long enough"), dict(message_id="b", subject="t", body=f"> {line}")])
