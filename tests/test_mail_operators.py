@@ -466,3 +466,12 @@ def test_state_is_freed_after_each_kind_of_link(spark, monkeypatch):
     state = mails(spark, [dict(message_id="a", subject="s"), dict(message_id="b", subject="Re: s")])
     assert {r.orphan_status: r["count"] for r in pipeline.linked_mails(state).groupBy("orphan_status").count().collect()} == {"true_root": 1, "matched_by_subject": 1}
     assert freed == [spark] * 3
+
+
+def test_subject_stats_measure_written_sides_only(spark, monkeypatch):
+    asked, of = [], runtime.is_small
+    monkeypatch.setattr(runtime, "is_small", lambda df, rows, most_bytes, written=False: asked.append(written) or of(df, rows, most_bytes, written))
+    rows = [dict(message_id="a", subject="Re: t", date_raw="x"), dict(message_id="b", subject="Re: t", date_raw="y")]
+    got = matching.subject_match_stats(replies.classify_orphans(replies.link_replies(mails(spark, rows)))).first()
+    assert (got.orphans_before, got.orphans_matched, got.cycles_prevented) == (2, 1, 1)
+    assert asked and all(asked)
